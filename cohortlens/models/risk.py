@@ -22,9 +22,9 @@ from cohortlens.contract import (
     RISK_THRESHOLD,
     TOP_IMPORTANCES,
 )
+from cohortlens.functions.expressions import academic_risk
 from cohortlens.models.preparation import ALL_ROWS, Preparation, fit_preparations
 from cohortlens.operators import checks, metrics, split
-from cohortlens.operators.mart import academic_risk
 from cohortlens.session import materialize
 
 LABEL = "academic_risk"

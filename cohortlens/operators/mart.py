@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.contract import (
@@ -12,35 +12,15 @@ from cohortlens.contract import (
     ARTIFACT_VERSION,
     COURSE_KEYS,
     KEYS,
-    PASSED_RESULTS,
-    RISK_RESULTS,
     SCORE,
     TARGETS,
-    TIER_CODES,
     require_cutoff,
 )
+from cohortlens.functions.expressions import passed, performance_tier
 from cohortlens.operators.joins import dimension_join, skew_join
 from cohortlens.sources.roles import RoleTables
 
 
-def passed(result: Column) -> Column:
-    """1 for a passing result, else 0, also for a missing result."""
-    return F.when(F.upper(result).isin(*PASSED_RESULTS), 1).otherwise(0)
-
-
-def performance_tier(result: Column) -> Column:
-    """Ordered code of a known result, else null."""
-    name = F.upper(result)
-    tier = F.lit(None).cast("int")
-    for label, code in TIER_CODES.items():
-        tier = F.when(name == label, code).otherwise(tier)
-    return tier
-
-
-def academic_risk(result: Column) -> Column:
-    return result.isin(*RISK_RESULTS).cast("int")
-
-
 def cohort(roles: RoleTables, cutoff_day: int) -> DataFrame:
     """Enrollments registered by the cutoff, with student and course columns.
 

@@ -25,8 +25,8 @@ from cohortlens.contract import (
     SPARSE_GROUP,
     WHISKER,
 )
+from cohortlens.functions.expressions import academic_risk
 from cohortlens.operators.joins import dimension_join
-from cohortlens.operators.mart import academic_risk
 from cohortlens.operators.ranking import (
     distribution_percentiles,
     equal_frequency_bin,

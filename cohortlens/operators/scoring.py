@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.contract import (
@@ -20,6 +21,7 @@ from cohortlens.operators import checks
 from cohortlens.operators.joins import dimension_join, skew_join
 from cohortlens.operators.ranking import exact_percentiles
 from cohortlens.operators.split import missing_rates
+from cohortlens.session import materialize
 from cohortlens.sources.roles import rename
 
 # Native table and column names of the scoring source.
@@ -106,16 +108,48 @@ def discard_reasons(resolved: DataFrame) -> DataFrame:
     )
 
 
-def resolved_activity(resolved: DataFrame) -> DataFrame:
-    """Activity features of the events that ended up with a module."""
-    return resolved.where(F.col("code_module").isNotNull()).groupBy(*KEYS).agg(
+def _activity_groups(resolved: DataFrame) -> DataFrame:
+    """Activity per key; dropped events form groups without a module, told by ``reason``."""
+    return resolved.groupBy(*KEYS).agg(
         F.sum(F.col("clicks") * F.col("events")).alias("total_clicks"),
         F.countDistinct("event_day").alias("active_days"),
         F.sum("events").alias("vle_events"),
         F.countDistinct("id_site").alias("vle_sites"),
+        F.max("reason").alias("reason"),
     )
 
 
+def _with_module(groups: DataFrame) -> DataFrame:
+    return groups.where(F.col("code_module").isNotNull()).drop("reason")
+
+
+def resolved_activity(resolved: DataFrame) -> DataFrame:
+    """Activity features of the events that ended up with a module."""
+    return _with_module(_activity_groups(resolved))
+
+
+def warn_discarded(groups: DataFrame) -> None:
+    """Tell how many events were dropped, and why."""
+    lost = {
+        row["reason"]: row["events"]
+        for row in groups.where(F.col("code_module").isNull())
+        .groupBy("reason")
+        .agg(F.sum("vle_events").alias("events"))
+        .collect()
+    }
+    if lost:
+        told = {
+            NO_CANDIDATE: "without an enrollment candidate",
+            AMBIGUOUS: "with ambiguous enrollment candidates",
+        }
+        reasons = "; ".join(f"{lost[name]} {text}" for name, text in told.items() if name in lost)
+        warnings.warn(
+            f"Discarded {sum(lost.values())} pre-cutoff VLE_clickStream events: {reasons}.",
+            UserWarning,
+            stacklevel=3,
+        )
+
+
 def scoring_frame(
     tables: Mapping[str, DataFrame], cutoff_day: int, strict: bool = True
 ) -> DataFrame:
@@ -133,9 +167,15 @@ def scoring_frame(
     course = checks.coerce_numeric(course, ["course_duration_days"])
     events = checks.coerce_numeric(events, ["event_day", "clicks"])
     seen = resolve_modules(events.where(F.col("event_day") <= cutoff_day), student.select(*KEYS))
-    activity = resolved_activity(seen)
+    groups = _activity_groups(seen)
     if strict:
-        validate_scoring(student, registration, events, course, activity, cutoff_day)
+        # The clickstream is aggregated once; checks and the result share the groups.
+        groups = materialize(groups)
+        validate_scoring(
+            student, registration, events, course, _with_module(groups), cutoff_day
+        )
+        warn_discarded(groups)
+    activity = _with_module(groups)
     # Both sides hold one row per enrollment key.
     enrollment = student.join(registration, list(KEYS))
     enrollment = dimension_join(enrollment, course, COURSE_KEYS, "left")
@@ -178,7 +218,7 @@ def validate_scoring(
             checks.rules(events, needed, minus),
             checks.orphans(activity, student),
         ],
-        "StudentInfo and Registration coverage": [checks.coverage(student, registration, KEYS)],
+        "identical enrollment coverage of StudentInfo and Registration": [checks.coverage(student, registration, KEYS)],
     }
     for source, found in per_table.items():
         for check in found[1:]:
@@ -277,11 +317,3 @@ def probability_summary(df: DataFrame, probability: str) -> DataFrame:
     return moments.join(exact_percentiles(rows, ["_all"], "p", shares), "_all").select(
         "count", "mean", "std", "min", "p5", "p50", "p95", "max"
     )
-
-
-def fixed_score(clicks: Column, attempts: Column) -> Column:
-    """A deterministic probability for exercising metrics without a model.
-
-    Rounding makes ties on purpose.
-    """
-    return F.round(1 / (1 + F.exp(-(F.lit(0.2) - 0.01 * clicks + 0.15 * attempts))), 6)

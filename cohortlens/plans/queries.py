@@ -15,6 +15,7 @@ from cohortlens.contract import (
     NUMERIC_FEATURES,
     SCORE,
 )
+from cohortlens.functions.expressions import academic_risk, fixed_score
 from cohortlens.models import legacy, neighbors, risk
 from cohortlens.operators import checks, mart, metrics, prep, profile, scoring, split
 from cohortlens.sources.order_binding import (
@@ -48,13 +49,13 @@ def bound_mart(spark: SparkSession, folder: str) -> DataFrame:
 
 def labelled_mart(spark: SparkSession, folder: str) -> DataFrame:
     return bound_mart(spark, folder).withColumn(
-        "academic_risk", mart.academic_risk(F.col("final_result"))
+        "academic_risk", academic_risk(F.col("final_result"))
     )
 
 
 def scored_mart(spark: SparkSession, folder: str) -> DataFrame:
     """Keys, label and the fixed score, with classes predicted at 0.5."""
-    score = scoring.fixed_score(F.col("total_clicks"), F.col("num_of_prev_attempts"))
+    score = fixed_score(F.col("total_clicks"), F.col("num_of_prev_attempts"))
     return labelled_mart(spark, folder).select(
         *KEYS, "academic_risk", "performance_tier", SCORE, score.alias("p")
     ).withColumn("predicted", (F.col("p") >= 0.5).cast("int"))
