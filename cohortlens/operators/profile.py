@@ -424,9 +424,9 @@ def _correlate(counts: DataFrame, pair: Sequence[str]) -> DataFrame:
         F.max(F.when(F.col("side") == "b", F.col("ss"))).alias("ss_b"),
     )
     size = F.sqrt(F.col("ss_a")) * F.sqrt(F.col("ss_b"))
-    value = F.col("sp") / F.nullif(size, F.lit(0.0))
+    bounded = F.least(F.lit(1.0), F.greatest(F.lit(-1.0), F.col("sp") / size))
     return products.join(scale, list(pair)).select(
-        *pair, F.least(F.lit(1.0), F.greatest(F.lit(-1.0), value)).alias("spearman_correlation")
+        *pair, F.when(size > 0, bounded).alias("spearman_correlation")
     )
 
 
