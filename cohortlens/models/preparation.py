@@ -81,7 +81,7 @@ def _numeric_statistics(df: DataFrame, folds: int) -> DataFrame:
     weighted = counts.withColumn("rank", F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0))
     distribution = running_totals(weighted, by, ["value"], ["rank"])
     medians = distribution_percentiles(distribution, by, "value", {"median": 0.5})
-    filled = dimension_join(distribution.select(*by, "value", "n"), medians, by).withColumn(
+    filled = dimension_join(distribution.select(*by, "value", "n"), medians, by, salt_by=["value"]).withColumn(
         "value", F.coalesce("value", "median")
     )
     means = filled.groupBy(*by, "median").agg(
@@ -89,7 +89,7 @@ def _numeric_statistics(df: DataFrame, folds: int) -> DataFrame:
     )
     spread = F.sum(F.col("n") * F.pow(F.col("value") - F.col("center"), 2)) / F.sum("n")
     return (
-        dimension_join(filled.drop("median"), means, by)
+        dimension_join(filled.drop("median"), means, by, salt_by=["value"])
         .groupBy(*by, "median", "center")
         .agg(F.sqrt(spread).alias("scale"))
     )

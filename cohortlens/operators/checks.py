@@ -8,6 +8,7 @@ the schema only and start no job.
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -87,6 +88,25 @@ def rules(df: DataFrame, required: Sequence[str], broken: Mapping[str, Column])
     return _violations(df, {**nulls, **broken})
 
 
+def keyed_rules(
+    df: DataFrame,
+    keys: Sequence[str],
+    required: Sequence[str],
+    broken: Mapping[str, Column] | None = None,
+) -> DataFrame:
+    """``rules`` and ``duplicate_keys`` together, in one aggregation by key."""
+    tests = {f"missing_{name}": F.col(name).isNull() for name in required} | dict(broken or {})
+    per_key = df.groupBy(*keys).agg(
+        (F.count(F.lit(1)) - 1).alias("duplicate_keys"),
+        *[F.count_if(test).alias(name) for name, test in tests.items()],
+    )
+    names = ["duplicate_keys", *tests]
+    totals = per_key.agg(
+        *[F.coalesce(F.sum(name), F.lit(0)).cast("bigint").alias(name) for name in names]
+    )
+    return totals.unpivot([], names, "check_name", "violations")
+
+
 def negative(column: str) -> Column:
     return F.col(column) < 0
 
@@ -123,12 +143,17 @@ def coverage(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFram
     )
 
 
-def orphans(activity: DataFrame, enrollment: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
-    """Activity keys without an enrollment."""
-    # One row per activity key, so no key is heavy in the join.
-    lone = activity.select(*keys).distinct().join(enrollment.select(*keys), list(keys), "left_anti")
+def orphans(
+    rows: DataFrame,
+    parents: DataFrame,
+    keys: Sequence[str] = KEYS,
+    check_name: str = "activity_without_enrollment",
+) -> DataFrame:
+    """Distinct keys of ``rows`` that ``parents`` does not hold."""
+    # One row per key, so no key is heavy in the join.
+    lone = rows.select(*keys).distinct().join(parents.select(*keys), list(keys), "left_anti")
     return lone.agg(F.count(F.lit(1)).alias("violations")).select(
-        F.lit("activity_without_enrollment").alias("check_name"), "violations"
+        F.lit(check_name).alias("check_name"), "violations"
     )
 
 
@@ -139,14 +164,23 @@ def classes_present(df: DataFrame, partition: str, label: str) -> DataFrame:
     ).select(F.col(partition).alias("check_name"), "violations")
 
 
+def require_all(checks: Mapping[str, Sequence[DataFrame]]) -> None:
+    """Evaluate the checks of all sources in one job; raise for the first broken source."""
+    labelled = [
+        check.select(F.lit(source).alias("source"), "check_name", "violations")
+        for source, found in checks.items()
+        for check in found
+    ]
+    rows = reduce(DataFrame.unionByName, labelled).where(F.col("violations") > 0).collect()
+    for source in checks:
+        broken = {row["check_name"]: row["violations"] for row in rows if row["source"] == source}
+        if broken:
+            raise CheckError(f"{source} breaks {broken}")
+
+
 def require(checks: DataFrame, source: str) -> None:
     """Raise with the names and counts of all broken checks."""
-    broken = {
-        row["check_name"]: row["violations"]
-        for row in checks.where(F.col("violations") > 0).collect()
-    }
-    if broken:
-        raise CheckError(f"{source} breaks {broken}")
+    require_all({source: [checks]})
 
 
 def coerce_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -7,20 +7,28 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cohortlens.contract import KEYS
+
 SALTS = 8
 HOT_ROWS = 1_000_000
 
 
-def _row_salt(df: DataFrame, salts: int) -> Column:
+def _row_salt(columns: Sequence[str], salts: int) -> Column:
     """A salt from the row's content, so a retried task repeats it.
 
-    Equal rows share a salt: aggregate repeated rows before the join.
+    Rows equal in ``columns`` share a salt, so these should tell most rows of a
+    key apart, and be few: every column named here has to be read.
     """
-    return F.pmod(F.xxhash64(*[F.col(f"`{name}`") for name in df.columns]), F.lit(salts)).cast("int")
+    return F.pmod(F.xxhash64(*[F.col(name) for name in columns]), F.lit(salts)).cast("int")
 
 
 def dimension_join(
-    fact: DataFrame, dimension: DataFrame, on: Sequence[str], how: str = "inner", salts: int = SALTS
+    fact: DataFrame,
+    dimension: DataFrame,
+    on: Sequence[str],
+    how: str = "inner",
+    salt_by: Sequence[str] = KEYS,
+    salts: int = SALTS,
 ) -> DataFrame:
     """Join a fact to a small dimension holding one row per key.
 
@@ -29,7 +37,7 @@ def dimension_join(
     """
     spread = dimension.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return (
-        fact.withColumn("_salt", _row_salt(fact, salts))
+        fact.withColumn("_salt", _row_salt(salt_by, salts))
         .join(spread, [*on, "_salt"], how)
         .drop("_salt")
     )
@@ -47,6 +55,7 @@ def skew_join(
     right: DataFrame,
     on: Sequence[str],
     how: str = "inner",
+    salt_by: Sequence[str] = KEYS,
     hot_rows: int = HOT_ROWS,
     salts: int = SALTS,
 ) -> DataFrame:
@@ -60,7 +69,7 @@ def skew_join(
     is_hot = F.coalesce(F.col("_hot"), F.lit(False))
     salted = (
         left.join(hot, list(on), "left")
-        .withColumn("_salt", F.when(is_hot, _row_salt(left, salts)).otherwise(0))
+        .withColumn("_salt", F.when(is_hot, _row_salt(salt_by, salts)).otherwise(0))
         .drop("_hot")
     )
     copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))

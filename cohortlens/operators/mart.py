@@ -68,7 +68,7 @@ def course_scores(assessment: DataFrame, submission: DataFrame) -> DataFrame:
     score, weight = F.col("score").cast("double"), F.col("weight").cast("double")
     total = F.sum(weight)
     return (
-        dimension_join(marked, assessment, ["id_assessment"])
+        dimension_join(marked, assessment, ["id_assessment"], salt_by=["id_student", "score"])
         .groupBy(*KEYS)
         .agg((F.sum(score * weight) / F.nullif(total, F.lit(0.0))).alias(SCORE))
     )

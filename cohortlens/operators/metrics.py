@@ -18,7 +18,6 @@ from cohortlens.operators.ranking import (
     equal_frequency_size,
     global_row_number,
     running_totals,
-    value_distribution,
 )
 
 METRICS = ("pr_auc", "roc_auc", "brier_score", "precision_at_0_5", "recall_at_0_5")
@@ -47,7 +46,7 @@ def score_table(
     totals = ranked.groupBy(*by).agg(
         F.sum("rows").alias("all_rows"), F.sum("positives").alias("all_positives")
     )
-    return dimension_join(ranked, totals, by)
+    return dimension_join(ranked, totals, by, salt_by=["probability"])
 
 
 def pr_curve(df: DataFrame, label: str, probability: str, by: Sequence[str] = ()) -> DataFrame:
@@ -119,24 +118,22 @@ def calibration_bins(
     """
     df, by = _grouped(df, [])
     shares = {f"edge_{i}": i / bins for i in range(1, bins)}
-    distribution = value_distribution(
-        df.select(*by, F.col(probability).alias("probability")), by, "probability"
+    counts = df.groupBy(*by, F.col(probability).alias("probability")).agg(
+        F.count(F.lit(1)).alias("rank"), F.sum(F.col(label).cast("bigint")).alias("positives")
     )
-    edges = distribution_percentiles(distribution, by, "probability", shares)
+    scores = running_totals(counts, by, ["probability"], ["rank"])
+    edges = distribution_percentiles(scores, by, "probability", shares)
     above = [F.when(F.col("probability") > F.col(edge), 1).otherwise(0) for edge in shares]
-    scores = df.groupBy(*by, F.col(probability).alias("probability")).agg(
-        F.count(F.lit(1)).alias("rows"), F.sum(F.col(label).cast("bigint")).alias("positives")
-    )
     # One row per bin from here on: at most ``bins`` of them.
     held = (
-        dimension_join(scores, edges, by)
+        dimension_join(scores, edges, by, salt_by=["probability"])
         .groupBy(*by, sum(above[1:], above[0]).alias("_edge"))
         .agg(
-            F.sum("rows").alias("bin_rows"),
-            (F.sum(F.col("probability") * F.col("rows")) / F.sum("rows")).alias(
+            F.sum("rank").alias("bin_rows"),
+            (F.sum(F.col("probability") * F.col("rank")) / F.sum("rank")).alias(
                 "mean_predicted_risk"
             ),
-            (F.sum("positives") / F.sum("rows")).alias("observed_risk"),
+            (F.sum("positives") / F.sum("rank")).alias("observed_risk"),
         )
     )
     frame = held.groupBy(*by).agg(

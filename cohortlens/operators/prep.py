@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortlens.contract import ORDINAL_LEVELS, TARGETS
+from cohortlens.contract import KEYS, ORDINAL_LEVELS, TARGETS
 from cohortlens.operators.joins import dimension_join
 from cohortlens.operators.ranking import exact_percentiles, global_row_number
 
@@ -133,7 +133,8 @@ def label_codes(df: DataFrame, column: str) -> DataFrame:
 def label_encode(df: DataFrame, column: str) -> DataFrame:
     """Add ``<column>_code``; missing values get no code."""
     text = df.withColumn(column, F.col(column).cast("string"))
-    return dimension_join(text, label_codes(df, column), [column], "left")
+    salt_by = [name for name in KEYS if name in df.columns] or [column]
+    return dimension_join(text, label_codes(df, column), [column], "left", salt_by)
 
 
 def drop_missing_target(df: DataFrame, target: str) -> DataFrame:

@@ -34,6 +34,7 @@ from cohortlens.operators.ranking import (
     running_totals,
     value_distribution,
 )
+from cohortlens.session import materialize
 
 PROFILE_COLUMNS = ("code_module", "code_presentation", "gender", "age_band", "imd_band")
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
@@ -139,7 +140,7 @@ def numeric_distribution(mart: DataFrame, columns: Sequence[str]) -> DataFrame:
 def _weighted_std(totals: DataFrame, distribution: DataFrame) -> DataFrame:
     """Add the sample standard deviation, summed around the mean."""
     spread = (
-        dimension_join(distribution, totals.select("feature", "mean"), ["feature"])
+        dimension_join(distribution, totals.select("feature", "mean"), ["feature"], salt_by=["value"])
         .groupBy("feature")
         .agg(F.sum(F.col("rank") * F.pow(F.col("value") - F.col("mean"), 2)).alias("_squares"))
     )
@@ -199,7 +200,7 @@ def _histogram(counts: DataFrame, bins: Column) -> DataFrame:
     )
     step = F.floor((F.col("value") - F.col("lo")) * F.col("bins") / (F.col("hi") - F.col("lo")))
     filled = (
-        dimension_join(counts, edges, ["feature"])
+        dimension_join(counts, edges, ["feature"], salt_by=["value"])
         .withColumn("bin", F.least(step, F.col("bins") - 1).cast("int"))
         .groupBy("feature", "bin")
         .agg(F.sum("n").alias("count"))
@@ -250,7 +251,7 @@ def box_summary(distribution: DataFrame, by: Sequence[str], value: str) -> DataF
     low = F.col("q1") - WHISKER * F.col("iqr")
     high = F.col("q3") + WHISKER * F.col("iqr")
     return (
-        dimension_join(distribution, quartiles, by)
+        dimension_join(distribution, quartiles, by, salt_by=[value])
         .groupBy(*by, "median", "q1", "q3", "iqr")
         .agg(
             F.sum("rank").alias("count"),
@@ -400,7 +401,7 @@ def _correlate(counts: DataFrame, pair: Sequence[str]) -> DataFrame:
     totals = ranked.groupBy(*side).agg(F.sum("n").alias("rows"))
     # Average rank of tied values, relative to the mean rank (rows + 1) / 2.
     offset = F.col("n_before") + (F.col("n") + 1) / 2 - (F.col("rows") + 1) / 2
-    centred = dimension_join(ranked, totals, side).select(*side, "value", "n", offset.alias("rank"))
+    centred = dimension_join(ranked, totals, side, salt_by=["value"]).select(*side, "value", "n", offset.alias("rank"))
     spread = centred.groupBy(*side).agg(F.sum(F.col("n") * F.col("rank") * F.col("rank")).alias("ss"))
     ranks_a = centred.where(F.col("side") == "a").select(
         *pair, F.col("value").alias("a"), F.col("rank").alias("rank_a")
@@ -410,7 +411,7 @@ def _correlate(counts: DataFrame, pair: Sequence[str]) -> DataFrame:
     )
     # Summing over b first leaves one row per value of a for the second join.
     per_a = (
-        dimension_join(counts, ranks_b, [*pair, "b"])
+        dimension_join(counts, ranks_b, [*pair, "b"], salt_by=["a"])
         .groupBy(*pair, "a")
         .agg(F.sum(F.col("n") * F.col("rank_b")).alias("weighted_b"))
     )
@@ -433,6 +434,7 @@ def _correlate(counts: DataFrame, pair: Sequence[str]) -> DataFrame:
 def spearman_matrix(mart: DataFrame) -> DataFrame:
     """The symmetric correlation matrix, one row and one column per feature."""
     features = ROLES.numeric_candidates(mart.schema)
+    mart = materialize(mart.select(*features))
     pairs = spearman_pairs(mart)
     mirrored = pairs.select(
         F.col("feature_b").alias("feature_a"),
@@ -470,6 +472,7 @@ def collinear_pairs(mart: DataFrame, threshold: float = NEAR_DUPLICATE) -> DataF
 
 def eda_headlines(mart: DataFrame) -> DataFrame:
     """The single numbers a reader of the profile looks for, as ``(headline, value)``."""
+    mart = materialize(mart)
     risk = F.coalesce(academic_risk(F.col("final_result")), F.lit(0))
     rows = F.count(F.lit(1))
     facts = {

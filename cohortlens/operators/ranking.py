@@ -123,7 +123,7 @@ def distribution_percentiles(
     Groups without any value give null percentiles.
     """
     totals = distribution.groupBy(*by).agg(F.sum("rank").alias("_valid"))
-    ranked = dimension_join(distribution, totals, by)
+    ranked = dimension_join(distribution, totals, by, salt_by=[value])
 
     def at(rank: Column) -> Column:
         start = F.col("rank_before")

@@ -81,7 +81,9 @@ def resolve_modules(events: DataFrame, enrollment: DataFrame) -> DataFrame:
     blank = events.where(F.col("code_module").isNull())
     # Events that agree in everything that matters later travel as one row.
     packed = blank.groupBy(*blank.columns).agg(F.count(F.lit(1)).alias("events"))
-    found = skew_join(packed.drop("code_module"), only, list(STUDENT_TERM), "left")
+    found = skew_join(
+        packed.drop("code_module"), only, list(STUDENT_TERM), "left", ["event_day", "id_site"]
+    )
     unique = F.col("_modules") == 1
     reason = (
         F.when(F.col("_modules").isNull(), NO_CANDIDATE)
@@ -179,10 +181,6 @@ def scoring_frame(
     # Both sides hold one row per enrollment key.
     enrollment = student.join(registration, list(KEYS))
     enrollment = dimension_join(enrollment, course, COURSE_KEYS, "left")
-    if strict:
-        checks.require(
-            checks.completeness(enrollment, ["course_duration_days"]), "cursos coverage"
-        )
     return (
         enrollment.join(activity, list(KEYS), "left")
         .withColumns({name: F.coalesce(F.col(name), F.lit(0)) for name in ACTIVITY})
@@ -199,31 +197,39 @@ def validate_scoring(
     activity: DataFrame,
     cutoff_day: int,
 ) -> None:
-    """Raise on the first table that breaks its expectations."""
-    late = {"starts_after_cutoff": checks.after_cutoff("date_registration", cutoff_day)}
-    short = {"non_positive_duration": checks.not_positive("course_duration_days")}
-    minus = {"negative_clicks": checks.negative("clicks")}
+    """Raise on the first table that breaks its expectations; all are counted in one job."""
     needed = ("id_student", "code_presentation", "id_site", "event_day", "clicks")
-    per_table = {
-        "StudentInfo": [checks.completeness(student, KEYS), checks.duplicate_keys(student, KEYS)],
-        "Registration": [
-            checks.rules(registration, (*KEYS, "date_registration"), late),
-            checks.duplicate_keys(registration, KEYS),
-        ],
-        "cursos": [
-            checks.rules(course, (*COURSE_KEYS, "course_duration_days"), short),
-            checks.duplicate_keys(course, COURSE_KEYS),
-        ],
-        "VLE_clickStream": [
-            checks.rules(events, needed, minus),
-            checks.orphans(activity, student),
-        ],
-        "identical enrollment coverage of StudentInfo and Registration": [checks.coverage(student, registration, KEYS)],
-    }
-    for source, found in per_table.items():
-        for check in found[1:]:
-            found[0] = found[0].unionByName(check)
-        checks.require(found[0], source)
+    checks.require_all(
+        {
+            "StudentInfo": [checks.keyed_rules(student, KEYS, KEYS)],
+            "Registration": [
+                checks.keyed_rules(
+                    registration,
+                    KEYS,
+                    (*KEYS, "date_registration"),
+                    {"starts_after_cutoff": checks.after_cutoff("date_registration", cutoff_day)},
+                )
+            ],
+            "cursos": [
+                checks.keyed_rules(
+                    course,
+                    COURSE_KEYS,
+                    (*COURSE_KEYS, "course_duration_days"),
+                    {"non_positive_duration": checks.not_positive("course_duration_days")},
+                )
+            ],
+            "VLE_clickStream": [
+                checks.rules(events, needed, {"negative_clicks": checks.negative("clicks")}),
+                checks.orphans(activity, student),
+            ],
+            "identical enrollment coverage of StudentInfo and Registration": [
+                checks.coverage(student, registration, KEYS)
+            ],
+            "coverage of the courses in cursos": [
+                checks.orphans(student, course, COURSE_KEYS, "enrollment_without_course")
+            ],
+        }
+    )
 
 
 def _unseen(df: DataFrame, known: DataFrame, fields: Sequence[str]) -> DataFrame:
@@ -236,9 +242,8 @@ def _unseen(df: DataFrame, known: DataFrame, fields: Sequence[str]) -> DataFrame
         values = known.where(F.col("field") == field).select(
             F.col("value").alias(f"_{field}"), F.lit(True).alias(f"_known_{field}")
         )
-        checked = dimension_join(
-            checked.withColumn(f"_{field}", F.col(field).cast("string")), values, [f"_{field}"], "left"
-        )
+        text = checked.withColumn(f"_{field}", F.col(field).cast("string"))
+        checked = dimension_join(text, values, [f"_{field}"], "left")
     names = F.concat_ws(
         ";", *[F.when(F.col(f"_known_{field}").isNull(), field) for field in fields]
     )

@@ -18,6 +18,7 @@ from cohortlens.contract import (
 from cohortlens.functions.expressions import academic_risk, fixed_score
 from cohortlens.models import legacy, neighbors, risk
 from cohortlens.operators import checks, mart, metrics, prep, profile, scoring, split
+from cohortlens.session import materialize
 from cohortlens.sources.order_binding import (
     AGE_ORDER,
     HOLDOUT,
@@ -61,17 +62,26 @@ def scored_mart(spark: SparkSession, folder: str) -> DataFrame:
     ).withColumn("predicted", (F.col("p") >= 0.5).cast("int"))
 
 
+def split_mart(spark: SparkSession, folder: str) -> DataFrame:
+    """The labelled mart with its temporal part."""
+    columns = [*KEYS, "final_result"]
+    rows = materialize(bound_mart(spark, folder).select(*columns))
+    labelled = rows.withColumn("academic_risk", academic_risk(F.col("final_result")))
+    return split.temporal_parts(labelled, HOLDOUT)
+
+
 def development_mart(spark: SparkSession, folder: str) -> DataFrame:
-    return split.temporal_holdout(bound_mart(spark, folder), HOLDOUT)[0]
+    rows = materialize(bound_mart(spark, folder).select(*KEYS))
+    return split.temporal_holdout(rows, HOLDOUT)[0]
 
 
 def _every(count: int) -> Column:
     return F.col("id_student") % count == 0
 
 
-def drifted_mart(spark: SparkSession, folder: str) -> DataFrame:
+def drifted(rows: DataFrame) -> DataFrame:
     """The mart with unseen and missing values planted by student number."""
-    return bound_mart(spark, folder).withColumns(
+    return rows.withColumns(
         {
             "highest_education": F.when(_every(50), "UNKNOWN").otherwise(F.col("highest_education")),
             "age_band": F.when(~_every(40), F.col("age_band")),
@@ -80,17 +90,20 @@ def drifted_mart(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def training_mart(spark: SparkSession, folder: str) -> DataFrame:
-    return bound_mart(spark, folder).where(F.col("code_presentation") != HOLDOUT)
+def training_side(rows: DataFrame) -> DataFrame:
+    return rows.where(F.col("code_presentation") != HOLDOUT)
+
+
+def flagged(rows: DataFrame) -> DataFrame:
+    """Unseen fields of the drifted rows, seen from the training side."""
+    training = training_side(rows)
+    planted = drifted(rows).select(*KEYS, *CATEGORICAL_FEATURES)
+    unseen = scoring.unseen_fields(planted, split.known_categories(training))
+    return scoring.unseen_keys(unseen, split.known_key_values(training)).drop(*CATEGORICAL_FEATURES)
 
 
-def flagged_mart(spark: SparkSession, folder: str) -> DataFrame:
-    training = training_mart(spark, folder)
-    rows = drifted_mart(spark, folder).select(*KEYS, *CATEGORICAL_FEATURES)
-    known = split.known_categories(training)
-    return scoring.unseen_keys(
-        scoring.unseen_fields(rows, known), split.known_key_values(training)
-    ).drop(*CATEGORICAL_FEATURES)
+def written_features(spark: SparkSession, folder: str) -> DataFrame:
+    return materialize(bound_mart(spark, folder).select(*KEYS, *FEATURES))
 
 
 # --- mart and its parts -------------------------------------------------------
@@ -189,8 +202,7 @@ def check_orphan_activity(spark, folder):
 
 
 def check_classes_present(spark, folder):
-    parts = split.temporal_parts(labelled_mart(spark, folder), HOLDOUT)
-    return checks.classes_present(parts, "part", "academic_risk")
+    return checks.classes_present(split_mart(spark, folder), "part", "academic_risk")
 
 
 def coerce_numeric(spark, folder):
@@ -257,7 +269,8 @@ def regression_scores(spark, folder):
 
 
 def holdout_report(spark, folder):
-    report = metrics.holdout_report(scored_mart(spark, folder), "academic_risk", "p")
+    scored = materialize(scored_mart(spark, folder).select(*KEYS, "academic_risk", "p"))
+    report = metrics.holdout_report(scored, "academic_risk", "p")
     capacity = F.col("intervention_capacity")
     return rounded(
         report.select(
@@ -276,38 +289,39 @@ def holdout_report(spark, folder):
 
 
 def impute_median_mode(spark, folder):
-    gaps = bound_mart(spark, folder).withColumns(
+    columns = [*KEYS, "studied_credits", "age_band", "imd_band", SCORE]
+    gaps = materialize(bound_mart(spark, folder).select(*columns)).withColumns(
         {
             "studied_credits": F.when(~_every(4), F.col("studied_credits")),
             "age_band": F.when(~_every(9), F.col("age_band")),
         }
     )
-    filled = prep.impute_median_mode(gaps)
-    return rounded(filled.select(*KEYS, "studied_credits", "age_band", "imd_band", SCORE))
+    return rounded(prep.impute_median_mode(gaps).select(*columns))
 
 
 def ordinal_encode(spark, folder):
     levels = {"highest_education": SEGMENT_ORDER, "age_band": AGE_ORDER[:2]}
-    encoded = prep.ordinal_encode(drifted_mart(spark, folder), levels)
+    encoded = prep.ordinal_encode(drifted(bound_mart(spark, folder)), levels)
     return encoded.select(*KEYS, "highest_education_encoded", "age_band_encoded")
 
 
 def standardize(spark, folder):
     columns = ["studied_credits", "date_registration", "total_clicks", "vle_sites"]
-    return rounded(prep.standardize(bound_mart(spark, folder).select(*KEYS, *columns), columns))
+    rows = materialize(bound_mart(spark, folder).select(*KEYS, *columns))
+    return rounded(prep.standardize(rows, columns))
 
 
 def label_encode(spark, folder):
     rows = bound_mart(spark, folder).select(*KEYS, "final_result")
-    return prep.label_encode(rows, "final_result")
+    return prep.label_encode(materialize(rows), "final_result")
 
 
 def temporal_holdout(spark, folder):
-    return split.temporal_parts(labelled_mart(spark, folder), HOLDOUT).select(*KEYS, "part")
+    return split_mart(spark, folder).select(*KEYS, "part")
 
 
 def split_summary(spark, folder):
-    return split.split_summary(split.temporal_parts(labelled_mart(spark, folder), HOLDOUT))
+    return split.split_summary(split_mart(spark, folder))
 
 
 def grouped_holdout(spark, folder):
@@ -315,7 +329,7 @@ def grouped_holdout(spark, folder):
 
 
 def group_folds(spark, folder):
-    development = development_mart(spark, folder)
+    development = materialize(development_mart(spark, folder))
     folds = split.fold_count(development)
     return split.group_folds(development, folds).select(*KEYS, "fold")
 
@@ -325,15 +339,14 @@ def known_key_values(spark, folder):
 
 
 def baseline_missing_rates(spark, folder):
-    drifted = drifted_mart(spark, folder).where(F.col("code_presentation") != HOLDOUT)
-    return rounded(split.missing_rates(drifted))
+    return rounded(split.missing_rates(drifted(training_side(bound_mart(spark, folder)))))
 
 
 # --- models -------------------------------------------------------------------
 
 
 def prevalence_baseline(spark, folder):
-    parts = split.temporal_parts(labelled_mart(spark, folder), HOLDOUT)
+    parts = materialize(split_mart(spark, folder))
     rate = risk.prevalence(parts.where(F.col("part") == "development"), "academic_risk")
     return parts.where(F.col("part") == "holdout").select(
         *KEYS, F.lit(round(rate, 6)).alias("probability_academic_risk")
@@ -341,7 +354,8 @@ def prevalence_baseline(spark, folder):
 
 
 def knn_score(spark, folder):
-    rows = prep.drop_missing_target(split.grouped_parts(bound_mart(spark, folder)), SCORE)
+    scored = prep.drop_missing_target(bound_mart(spark, folder), SCORE)
+    rows = split.grouped_parts(materialize(scored.select(*KEYS, *NUMERIC_FEATURES, SCORE)))
     return rounded(
         neighbors.nearest_mean(
             rows.where(F.col("part") == "development"),
@@ -410,21 +424,21 @@ def scoring_frame(spark, folder):
 
 
 def unseen_fields(spark, folder):
-    return flagged_mart(spark, folder).drop("oov_key_fields")
+    return flagged(written_features(spark, folder)).drop("oov_key_fields")
 
 
 def unseen_keys(spark, folder):
-    return flagged_mart(spark, folder).drop("oov_categorical_fields")
+    return flagged(written_features(spark, folder)).drop("oov_categorical_fields")
 
 
 def missing_to_impute(spark, folder):
-    return scoring.missing_to_impute(drifted_mart(spark, folder))
+    return scoring.missing_to_impute(drifted(bound_mart(spark, folder)))
 
 
 def drift_warnings(spark, folder):
-    baseline = split.missing_rates(training_mart(spark, folder))
-    flagged = flagged_mart(spark, folder)
-    return rounded(scoring.drift_warnings(drifted_mart(spark, folder), baseline, flagged))
+    rows = written_features(spark, folder)
+    baseline = split.missing_rates(training_side(rows))
+    return rounded(scoring.drift_warnings(drifted(rows), baseline, flagged(rows)))
 
 
 def probability_summary(spark, folder):
@@ -432,7 +446,7 @@ def probability_summary(spark, folder):
 
 
 def oov_counts(spark, folder):
-    return scoring.oov_counts(flagged_mart(spark, folder))
+    return scoring.oov_counts(flagged(written_features(spark, folder)))
 
 
 PROFILES = {

@@ -91,8 +91,8 @@ def test_repeated_blank_events_all_count(spark):
         ({"registered": (31, -5)}, "starts_after_cutoff"),
         ({"registered": (None, -5)}, "missing_date_registration"),
         ({"courses": [("AAA", "2013J", 0), ("BBB", "2014J", 120)]}, "non_positive_duration"),
-        ({"courses": [("AAA", "2013J", 100)]}, "course_duration_days"),
-        ({"courses": [("AAA", "2013J", 1), ("AAA", "2013J", 2), ("BBB", "2014J", 3)]}, "breaks {'key': 1}"),
+        ({"courses": [("AAA", "2013J", 100)]}, "enrollment_without_course"),
+        ({"courses": [("AAA", "2013J", 1), ("AAA", "2013J", 2), ("BBB", "2014J", 3)]}, "cursos breaks {'duplicate_keys': 1}"),
     ],
 )
 def test_broken_sources_are_refused(spark, change, message):
