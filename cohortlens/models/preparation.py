@@ -78,15 +78,14 @@ def _numeric_statistics(df: DataFrame, folds: int) -> DataFrame:
         .groupBy(*by, "value")
         .agg(F.sum("n").alias("n"))
     )
-    weighted = counts.withColumn("rank", F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0))
-    distribution = running_totals(weighted, by, ["value"], ["rank"])
+    ranked = F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0)
+    distribution = running_totals(counts.withColumn("rank", ranked), by, ["value"], ["rank"])
     medians = distribution_percentiles(distribution, by, "value", {"median": 0.5})
-    filled = dimension_join(distribution.select(*by, "value", "n"), medians, by, salt_by=["value"]).withColumn(
-        "value", F.coalesce("value", "median")
-    )
-    means = filled.groupBy(*by, "median").agg(
-        (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("center")
-    )
+    filled = dimension_join(
+        distribution.select(*by, "value", "n"), medians, by, salt_by=["value"]
+    ).withColumn("value", F.coalesce("value", "median"))
+    rows, total = F.sum("n"), F.sum(F.col("value") * F.col("n"))
+    means = filled.groupBy(*by, "median").agg((total / rows).alias("center"))
     spread = F.sum(F.col("n") * F.pow(F.col("value") - F.col("center"), 2)) / F.sum("n")
     return (
         dimension_join(filled.drop("median"), means, by, salt_by=["value"])

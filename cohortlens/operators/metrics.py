@@ -42,11 +42,7 @@ def score_table(
     scores = df.groupBy(*by, F.col(probability).alias("probability")).agg(
         F.count(F.lit(1)).alias("rows"), F.sum(F.col(label).cast("bigint")).alias("positives")
     )
-    ranked = running_totals(scores, by, [F.col("probability").desc()], ["rows", "positives"])
-    totals = ranked.groupBy(*by).agg(
-        F.sum("rows").alias("all_rows"), F.sum("positives").alias("all_positives")
-    )
-    return dimension_join(ranked, totals, by, salt_by=["probability"])
+    return running_totals(scores, by, [F.col("probability").desc()], ["rows", "positives"])
 
 
 def pr_curve(df: DataFrame, label: str, probability: str, by: Sequence[str] = ()) -> DataFrame:
@@ -58,7 +54,7 @@ def pr_curve(df: DataFrame, label: str, probability: str, by: Sequence[str] = ()
         F.col("probability").alias("threshold"),
         flagged.alias("flagged"),
         (hits / flagged).alias("precision"),
-        (hits / F.nullif("all_positives", F.lit(0))).alias("recall"),
+        (hits / F.nullif("positives_total", F.lit(0))).alias("recall"),
     )
 
 
@@ -66,19 +62,19 @@ def _pr_auc() -> Column:
     """Average precision: each threshold's gain in recall times its precision."""
     reached = F.col("positives_before") + F.col("positives")
     precision = reached / (F.col("rows_before") + F.col("rows"))
-    return _ratio(F.sum(F.col("positives") * precision), F.max("all_positives"))
+    return _ratio(F.sum(F.col("positives") * precision), F.max("positives_total"))
 
 
 def _roc_auc() -> Column:
     """Share of (positive, negative) pairs in the right order, ties at half; null for one class."""
     negatives = F.col("rows") - F.col("positives")
     below = (
-        F.col("all_rows") - F.col("all_positives")
+        F.col("rows_total") - F.col("positives_total")
         - (F.col("rows_before") - F.col("positives_before")) - negatives
     )
     ordered = F.sum((F.col("positives") * (below + negatives / 2)).cast("double"))
-    positives = F.max("all_positives").cast("double")
-    return ordered / F.nullif(positives * (F.max("all_rows") - positives), F.lit(0.0))
+    positives = F.max("positives_total").cast("double")
+    return ordered / F.nullif(positives * (F.max("rows_total") - positives), F.lit(0.0))
 
 
 def metrics_of_scores(scores: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -93,7 +89,7 @@ def metrics_of_scores(scores: DataFrame, by: Sequence[str]) -> DataFrame:
         _roc_auc().alias("roc_auc"),
         (F.sum(error) / F.sum("rows")).alias("brier_score"),
         _ratio(hits, flagged).alias("precision_at_0_5"),
-        _ratio(hits, F.max("all_positives")).alias("recall_at_0_5"),
+        _ratio(hits, F.max("positives_total")).alias("recall_at_0_5"),
     ).select(*by, *METRICS)
 
 
@@ -164,17 +160,12 @@ def capacity_metrics(
 ) -> DataFrame:
     """Precision and recall when the top share of rows is selected; ties go by key."""
     rows = df.select(*keys, F.col(probability).alias("_p"), F.col(label).cast("bigint").alias("_y"))
-    ranked = global_row_number(rows, [F.col("_p").desc(), *keys], "_rank")
-    ranked = ranked.withColumn("_all", F.lit(0))
-    totals = ranked.groupBy("_all").agg(
-        F.count(F.lit(1)).alias("_rows"), F.sum("_y").alias("_positives")
-    )
-    chosen = F.greatest(F.lit(1), F.floor(F.col("_rows") * F.lit(float(capacity))))
-    hits = F.sum(F.when(F.col("_rank") <= chosen, F.col("_y")).otherwise(0))
+    ranked = global_row_number(rows, [F.col("_p").desc(), *keys], "place")
+    chosen = F.greatest(F.lit(1), F.floor(F.col("place_total") * F.lit(float(capacity))))
+    hits = F.sum(F.when(F.col("place") <= chosen, F.col("_y")).otherwise(0))
     return (
-        ranked.join(F.broadcast(totals), "_all")
-        .groupBy("_rows", "_positives")
-        .agg(hits.alias("_hits"))
+        ranked.groupBy("place_total")
+        .agg(hits.alias("_hits"), F.sum("_y").alias("_positives"))
         .select(
             F.lit(float(capacity)).alias("capacity"),
             chosen.cast("bigint").alias("selected_rows"),

@@ -127,7 +127,7 @@ def label_codes(df: DataFrame, column: str) -> DataFrame:
     classes = df.select(F.col(column).cast("string").alias(column)).distinct()
     code = f"{column}_code"
     ranked = global_row_number(classes.where(F.col(column).isNotNull()), [column], code)
-    return ranked.withColumn(code, (F.col(code) - 1).cast("int"))
+    return ranked.select(column, (F.col(code) - 1).cast("int").alias(code))
 
 
 def label_encode(df: DataFrame, column: str) -> DataFrame:

@@ -31,6 +31,7 @@ from cohortlens.operators.ranking import (
     distribution_percentiles,
     equal_frequency_bin,
     global_row_number,
+    percentile_columns,
     running_totals,
     value_distribution,
 )
@@ -137,35 +138,28 @@ def numeric_distribution(mart: DataFrame, columns: Sequence[str]) -> DataFrame:
     return value_distribution(long, ["feature"], "value")
 
 
-def _weighted_std(totals: DataFrame, distribution: DataFrame) -> DataFrame:
-    """Add the sample standard deviation, summed around the mean."""
-    spread = (
-        dimension_join(distribution, totals.select("feature", "mean"), ["feature"], salt_by=["value"])
-        .groupBy("feature")
-        .agg(F.sum(F.col("rank") * F.pow(F.col("value") - F.col("mean"), 2)).alias("_squares"))
-    )
-    degrees = F.nullif(F.greatest(F.col("count") - 1, F.lit(0)), F.lit(0))
-    return totals.join(spread, "feature").withColumn("std", F.sqrt(F.col("_squares") / degrees))
-
-
 def numeric_profile(mart: DataFrame) -> DataFrame:
     """Count, missing, mean, median, std, min, quartiles and max per numeric candidate."""
     distribution = numeric_distribution(mart, ROLES.numeric_candidates(mart.schema))
-    seen = F.sum("rank")
-    totals = distribution.groupBy("feature").agg(
-        seen.alias("count"),
-        F.sum(F.col("n") - F.col("rank")).alias("missing_count"),
-        (F.sum(F.col("value") * F.col("rank")) / F.nullif(seen, F.lit(0))).alias("mean"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
-    quartiles = distribution_percentiles(distribution, ["feature"], "value", QUARTILES)
-    return (
-        _weighted_std(totals, distribution)
-        .join(quartiles, "feature")
-        .select("feature", "count", "missing_count", "mean", "median", "std", "min", "q1", "q3",
-                "max")
+    picks, quartiles = percentile_columns("value", QUARTILES)
+    mean = F.col("weight_total") / F.nullif("rank_total", F.lit(0))
+    squares = F.sum(F.col("rank") * F.pow(F.col("value") - F.col("mean"), 2))
+    totals = (
+        distribution.withColumn("mean", mean)
+        .groupBy("feature", "rank_total", "mean")
+        .agg(
+            F.sum(F.col("n") - F.col("rank")).alias("missing_count"),
+            squares.alias("_squares"),
+            F.min("value").alias("min"),
+            F.max("value").alias("max"),
+            *picks,
+        )
     )
+    count = F.col("rank_total")
+    degrees = F.when(count > 1, count - 1)
+    return totals.select(
+        "*", *quartiles, count.alias("count"), F.sqrt(F.col("_squares") / degrees).alias("std")
+    ).select("feature", "count", "missing_count", "mean", "median", "std", "min", "q1", "q3", "max")
 
 
 def missingness(mart: DataFrame) -> DataFrame:
@@ -188,8 +182,12 @@ def _histogram(counts: DataFrame, bins: Column) -> DataFrame:
 
     A feature with one value is laid over [value - 0.5, value + 0.5].
     """
+    zero = F.when(F.col("value") == 0, F.col("n")).otherwise(0)
     edges = counts.groupBy("feature").agg(
-        F.min("value").alias("lo"), F.max("value").alias("hi"), F.sum("n").alias("_rows")
+        F.min("value").alias("lo"),
+        F.max("value").alias("hi"),
+        F.sum("n").alias("_rows"),
+        F.sum(zero).alias("zero_count"),
     )
     flat = F.col("lo") == F.col("hi")
     edges = edges.select(
@@ -197,12 +195,12 @@ def _histogram(counts: DataFrame, bins: Column) -> DataFrame:
         F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
         F.when(flat, F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"),
         bins.cast("int").alias("bins"),
+        "zero_count",
     )
     step = F.floor((F.col("value") - F.col("lo")) * F.col("bins") / (F.col("hi") - F.col("lo")))
     filled = (
         dimension_join(counts, edges, ["feature"], salt_by=["value"])
-        .withColumn("bin", F.least(step, F.col("bins") - 1).cast("int"))
-        .groupBy("feature", "bin")
+        .groupBy("feature", F.least(step, F.col("bins") - 1).cast("int").alias("bin"))
         .agg(F.sum("n").alias("count"))
     )
     frame = edges.withColumn("bin", F.explode(F.sequence(F.lit(0), F.col("bins") - 1)))
@@ -213,14 +211,16 @@ def _histogram(counts: DataFrame, bins: Column) -> DataFrame:
         (F.col("lo") + F.col("bin") * width).alias("lower"),
         (F.col("lo") + (F.col("bin") + 1) * width).alias("upper"),
         F.coalesce("count", F.lit(0)).alias("count"),
+        "zero_count",
     )
 
 
 def _value_counts(mart: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows per feature and value, written once for the edges and the bins."""
     long = mart.select(*[F.col(name).cast("double").alias(name) for name in columns]).unpivot(
         [], list(columns), "feature", "value"
     )
-    return (
+    return materialize(
         long.where(F.col("value").isNotNull())
         .groupBy("feature", "value")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -228,18 +228,14 @@ def _value_counts(mart: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def click_histogram(mart: DataFrame, bins: int = CLICK_BINS) -> DataFrame:
-    return _histogram(_value_counts(mart, [ENGAGEMENT]), F.lit(bins)).drop("feature")
+    counts = _value_counts(mart, [ENGAGEMENT])
+    return _histogram(counts, F.lit(bins)).drop("feature", "zero_count")
 
 
 def feature_histograms(mart: DataFrame) -> DataFrame:
     """One histogram per numeric candidate, with the feature's zero count."""
     counts = _value_counts(mart, ROLES.numeric_candidates(mart.schema))
-    root = F.floor(F.sqrt("_rows"))
-    bins = F.least(F.lit(40), F.greatest(F.lit(5), root))
-    zeros = counts.groupBy("feature").agg(
-        F.sum(F.when(F.col("value") == 0, F.col("n")).otherwise(0)).alias("zero_count")
-    )
-    return _histogram(counts, bins).join(zeros, "feature")
+    return _histogram(counts, F.least(F.lit(40), F.greatest(F.lit(5), F.floor(F.sqrt("_rows")))))
 
 
 def box_summary(distribution: DataFrame, by: Sequence[str], value: str) -> DataFrame:
@@ -319,15 +315,12 @@ def risk_distribution(mart: DataFrame) -> DataFrame:
 
 def engagement_quartiles(mart: DataFrame) -> DataFrame:
     """Each enrollment's quartile by clicks; equal clicks are ordered by key."""
-    rows = mart.select(*KEYS, ENGAGEMENT, "final_result").where(F.col(ENGAGEMENT).isNotNull())
-    ranked = global_row_number(rows, [ENGAGEMENT, *KEYS], "_rank")
-    total = F.broadcast(_rows(ranked).withColumn("_all", F.lit(0)))
-    quartile = equal_frequency_bin(F.col("_rank"), F.col("rows"), 4)
-    return (
-        ranked.withColumn("_all", F.lit(0))
-        .join(total, "_all")
-        .withColumn("engagement_quantile", F.concat(F.lit("Q"), quartile.cast("string")))
-        .drop("_rank", "_all", "rows")
+    columns = [*KEYS, ENGAGEMENT, "final_result"]
+    rows = mart.select(*columns).where(F.col(ENGAGEMENT).isNotNull())
+    ranked = global_row_number(rows, [ENGAGEMENT, *KEYS], "place")
+    quartile = equal_frequency_bin(F.col("place"), F.col("place_total"), 4)
+    return ranked.select(
+        *columns, F.concat(F.lit("Q"), quartile.cast("string")).alias("engagement_quantile")
     )
 
 
@@ -369,65 +362,70 @@ def spearman_pairs(mart: DataFrame) -> DataFrame:
     first reduced to counts per pair of values, so ranking and summing work on
     distinct values. A constant column gives a null correlation.
     """
-    features = ROLES.numeric_candidates(mart.schema)
+    names = list(combinations(ROLES.numeric_candidates(mart.schema), 2))
     pairs = [
-        F.struct(
-            F.lit(left).alias("feature_a"),
-            F.lit(right).alias("feature_b"),
-            F.col(left).cast("double").alias("a"),
-            F.col(right).cast("double").alias("b"),
-        )
-        for left, right in combinations(features, 2)
+        F.struct(F.lit(place).alias("pair"), F.col(left).cast("double").alias("a"),
+                 F.col(right).cast("double").alias("b"))
+        for place, (left, right) in enumerate(names)
     ]
-    pair = ["feature_a", "feature_b"]
-    counts = (
+    counts = materialize(
         mart.select(F.explode(F.array(*pairs)).alias("p"))
         .select("p.*")
         .where(F.col("a").isNotNull() & F.col("b").isNotNull())
-        .groupBy(*pair, "a", "b")
+        .groupBy("pair", "a", "b")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    return _correlate(counts, pair)
+    left = F.array(*[F.lit(name) for name, _ in names])
+    right = F.array(*[F.lit(name) for _, name in names])
+    return _correlate(counts).select(
+        left[F.col("pair")].alias("feature_a"),
+        right[F.col("pair")].alias("feature_b"),
+        "spearman_correlation",
+    )
 
 
-def _correlate(counts: DataFrame, pair: Sequence[str]) -> DataFrame:
-    side = [*pair, "side"]
+def _correlate(counts: DataFrame) -> DataFrame:
+    side = ["pair", "side"]
     margins = (
-        counts.unpivot([*pair, "n"], ["a", "b"], "side", "value")
+        counts.unpivot(["pair", "n"], ["a", "b"], "side", "value")
         .groupBy(*side, "value")
         .agg(F.sum("n").alias("n"))
     )
-    ranked = running_totals(margins, side, ["value"], ["n"])
-    totals = ranked.groupBy(*side).agg(F.sum("n").alias("rows"))
     # Average rank of tied values, relative to the mean rank (rows + 1) / 2.
-    offset = F.col("n_before") + (F.col("n") + 1) / 2 - (F.col("rows") + 1) / 2
-    centred = dimension_join(ranked, totals, side, salt_by=["value"]).select(*side, "value", "n", offset.alias("rank"))
-    spread = centred.groupBy(*side).agg(F.sum(F.col("n") * F.col("rank") * F.col("rank")).alias("ss"))
-    ranks_a = centred.where(F.col("side") == "a").select(
-        *pair, F.col("value").alias("a"), F.col("rank").alias("rank_a")
-    )
-    ranks_b = centred.where(F.col("side") == "b").select(
-        *pair, F.col("value").alias("b"), F.col("rank").alias("rank_b")
+    rank = F.col("n_before") + (F.col("n") + 1) / 2 - (F.col("n_total") + 1) / 2
+    ranks = materialize(
+        running_totals(margins, side, ["value"], ["n"]).select(
+            *side, "value", "n", rank.alias("rank")
+        )
     )
+
+    def of(name: str) -> DataFrame:
+        return ranks.where(F.col("side") == name).select(
+            "pair", F.col("value").alias(name), F.col("rank").alias(f"rank_{name}"),
+            F.col("n").alias(f"n_{name}"),
+        )
+
     # Summing over b first leaves one row per value of a for the second join.
     per_a = (
-        dimension_join(counts, ranks_b, [*pair, "b"], salt_by=["a"])
-        .groupBy(*pair, "a")
+        dimension_join(counts, of("b").drop("n_b"), ["pair", "b"], salt_by=["a"])
+        .groupBy("pair", "a")
         .agg(F.sum(F.col("n") * F.col("rank_b")).alias("weighted_b"))
     )
     products = (
-        per_a.join(ranks_a, [*pair, "a"])
-        .groupBy(*pair)
-        .agg(F.sum(F.col("weighted_b") * F.col("rank_a")).alias("sp"))
-    )
-    scale = spread.groupBy(*pair).agg(
-        F.max(F.when(F.col("side") == "a", F.col("ss"))).alias("ss_a"),
-        F.max(F.when(F.col("side") == "b", F.col("ss"))).alias("ss_b"),
-    )
-    size = F.sqrt(F.col("ss_a")) * F.sqrt(F.col("ss_b"))
-    bounded = F.least(F.lit(1.0), F.greatest(F.lit(-1.0), F.col("sp") / size))
-    return products.join(scale, list(pair)).select(
-        *pair, F.when(size > 0, bounded).alias("spearman_correlation")
+        per_a.join(of("a"), ["pair", "a"])
+        .groupBy("pair")
+        .agg(
+            F.sum(F.col("weighted_b") * F.col("rank_a")).alias("sp"),
+            F.sum(F.col("n_a") * F.col("rank_a") * F.col("rank_a")).alias("ss_a"),
+        )
+    )
+    spread = of("b").groupBy("pair").agg(
+        F.sum(F.col("n_b") * F.col("rank_b") * F.col("rank_b")).alias("ss_b")
+    )
+    size = F.sqrt("ss_a") * F.sqrt("ss_b")
+    bounded = F.least(F.lit(1.0), F.greatest(F.lit(-1.0), F.col("sp") / F.when(size > 0, size)))
+    return products.join(spread, "pair").select(
+        "pair", F.when(size > 0, bounded).alias("spearman_correlation")
     )
 
 

@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cohortlens.operators.joins import dimension_join
 from cohortlens.session import materialize, shuffle_width
 
 # monotonically_increasing_id keeps the partition number above these bits.
@@ -23,26 +22,34 @@ POSITION_BITS = 33
 def global_row_number(
     df: DataFrame, order_by: Sequence[str | Column], name: str = "row_number"
 ) -> DataFrame:
-    """Number all rows 1..n in ``order_by``, which must order every pair of rows."""
+    """Number all rows 1..n in ``order_by``, and add n as ``<name>_total``.
+
+    ``order_by`` must order every pair of rows.
+    """
     placed = materialize(
         df.repartitionByRange(shuffle_width(df.sparkSession), *order_by)
         .sortWithinPartitions(*order_by)
         .withColumn("_id", F.monotonically_increasing_id())
-        .withColumn("_part", F.shiftright("_id", POSITION_BITS))
-        .withColumn(name, F.col("_id") - F.shiftleft("_part", POSITION_BITS))
-        .drop("_id")
+        .select(
+            *df.columns,
+            F.shiftright("_id", POSITION_BITS).alias("_part"),
+            F.col("_id").bitwiseAND((1 << POSITION_BITS) - 1).alias("_place"),
+        )
     )
     # One row per range partition: the offsets are as few as the partitions.
-    earlier = W.partitionBy(F.lit(0)).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    every = W.partitionBy(F.lit(0))
+    earlier = every.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
     offsets = (
         placed.groupBy("_part")
         .agg(F.count(F.lit(1)).alias("_rows"))
-        .select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+        .select(
+            "_part",
+            F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"),
+            F.sum("_rows").over(every).alias(f"{name}_total"),
+        )
     )
-    return (
-        placed.join(F.broadcast(offsets), "_part")
-        .withColumn(name, F.col(name) + F.col("_before") + 1)
-        .drop("_part", "_before")
+    return placed.join(F.broadcast(offsets), "_part").select(
+        *df.columns, (F.col("_before") + F.col("_place") + 1).alias(name), f"{name}_total"
     )
 
 
@@ -65,54 +72,75 @@ def equal_frequency_size(bin_no: Column, rows: Column, bins: Column) -> Column:
 def running_totals(
     df: DataFrame, by: Sequence[str], order_by: Sequence[str | Column], sums: Sequence[str]
 ) -> DataFrame:
-    """Add ``<sum>_before``: the group's total over the rows that come earlier.
+    """Add ``<sum>_before``, the group's total over the rows that come earlier, and
+    ``<sum>_total`` over all its rows.
 
     ``by`` values must not be null, and ``by`` plus ``order_by`` must be unique.
     """
-    keys = [*by, "_part"]
     placed = materialize(
         df.repartitionByRange(shuffle_width(df.sparkSession), *by, *order_by).withColumn(
             "_part", F.spark_partition_id()
         )
     )
-    group = [F.col(name) for name in by] or [F.lit(0)]
-    earlier_parts = W.partitionBy(*group).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
-    offsets = (
-        placed.groupBy(*keys)
-        .agg(*[F.sum(name).alias(name) for name in sums])
-        .select(
-            *keys,
-            *[
-                F.coalesce(F.sum(name).over(earlier_parts), F.lit(0)).alias(f"_{name}_parts")
-                for name in sums
-            ],
-        )
+    keys = [*by, "_part"]
+    group = W.partitionBy(*(by or [F.lit(0)]))
+    earlier_parts = group.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    # One row per group and range partition.
+    per_part = placed.groupBy(*keys).agg(*[F.sum(name).alias(name) for name in sums])
+    offsets = per_part.select(
+        *keys,
+        *[
+            F.coalesce(F.sum(name).over(earlier_parts), F.lit(0)).alias(f"_{name}_parts")
+            for name in sums
+        ],
+        *[F.sum(name).over(group).alias(f"{name}_total") for name in sums],
     )
     earlier_rows = W.partitionBy(*keys).orderBy(*order_by).rowsBetween(W.unboundedPreceding, -1)
     inside = placed.select(
         "*",
         *[
-            F.coalesce(F.sum(name).over(earlier_rows), F.lit(0)).alias(f"{name}_before")
+            F.coalesce(F.sum(name).over(earlier_rows), F.lit(0)).alias(f"_{name}_rows")
             for name in sums
         ],
     )
-    joined = inside.join(offsets, keys)
-    for name in sums:
-        joined = joined.withColumn(
-            f"{name}_before", F.col(f"{name}_before") + F.col(f"_{name}_parts")
-        )
-    return joined.drop("_part", *[f"_{name}_parts" for name in sums])
+    return inside.join(offsets, keys).select(
+        *df.columns,
+        *[(F.col(f"_{name}_rows") + F.col(f"_{name}_parts")).alias(f"{name}_before") for name in sums],
+        *[f"{name}_total" for name in sums],
+    )
 
 
 def value_distribution(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
-    """One row per group and distinct value: rows ``n``, and ``rank_before`` earlier rows.
+    """One row per group and distinct value: its rows ``n``, the ``rank_before`` rows with
+    smaller values, and the group's ``rank_total`` and ``weight_total`` (sum of values).
 
     Null values keep their row (``n`` counts them) but take no rank.
     """
+    held = F.col(value).isNotNull()
     counts = df.groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"))
-    weighted = counts.withColumn("rank", F.when(F.col(value).isNotNull(), F.col("n")).otherwise(0))
-    ranked = running_totals(weighted, by, [value], ["rank"])
-    return ranked.select(*by, value, "n", "rank", "rank_before")
+    weighted = counts.select(
+        "*",
+        F.when(held, F.col("n")).otherwise(0).alias("rank"),
+        F.when(held, F.col("n") * F.col(value).cast("double")).otherwise(0.0).alias("weight"),
+    )
+    return running_totals(weighted, by, [value], ["rank", "weight"]).drop("weight", "weight_before")
+
+
+def percentile_columns(
+    value: str, probabilities: Mapping[str, float]
+) -> tuple[list[Column], list[Column]]:
+    """Aggregates and the result columns on top of them, for linear interpolation."""
+    held = F.col(value).cast("double")
+    start, total = F.col("rank_before"), F.col("rank_total")
+    picks, results = [], []
+    for name, share in probabilities.items():
+        position = F.lit(float(share)) * (total - 1)
+        for end, rank in (("lo", F.floor(position)), ("hi", F.ceil(position))):
+            covers = (start <= rank) & (rank < start + F.col("rank"))
+            picks.append(F.max(F.when(covers, held)).alias(f"_{name}_{end}"))
+        low, high = F.col(f"_{name}_lo"), F.col(f"_{name}_hi")
+        results.append((low + (high - low) * (position - F.floor(position))).alias(name))
+    return picks, results
 
 
 def distribution_percentiles(
@@ -122,24 +150,8 @@ def distribution_percentiles(
 
     Groups without any value give null percentiles.
     """
-    totals = distribution.groupBy(*by).agg(F.sum("rank").alias("_valid"))
-    ranked = dimension_join(distribution, totals, by, salt_by=[value])
-
-    def at(rank: Column) -> Column:
-        start = F.col("rank_before")
-        covers = (start <= rank) & (rank < start + F.col("rank"))
-        return F.max(F.when(covers, F.col(value).cast("double")))
-
-    picks, results = [], []
-    for name, share in probabilities.items():
-        position = F.lit(float(share)) * (F.col("_valid") - 1)
-        picks += [
-            at(F.floor(position)).alias(f"_{name}_lo"),
-            at(F.ceil(position)).alias(f"_{name}_hi"),
-        ]
-        low, high = F.col(f"_{name}_lo"), F.col(f"_{name}_hi")
-        results.append((low + (high - low) * (position - F.floor(position))).alias(name))
-    return ranked.groupBy(*by, "_valid").agg(*picks).select(*by, *results)
+    picks, results = percentile_columns(value, probabilities)
+    return distribution.groupBy(*by, "rank_total").agg(*picks).select(*by, *results)
 
 
 def exact_percentiles(

@@ -17,6 +17,8 @@ def local_session(app: str, cores: int | str = 8, shuffle_partitions: int = 8) -
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
+        # Recording a call site per column makes building plans several times slower.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
 

@@ -7,7 +7,7 @@ run over whole tables for which no enrollment data exist.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlens.contract import COURSE_KEYS, DEFAULT_CUTOFF, KEYS
@@ -39,19 +39,15 @@ def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
 
 def order_keys(spark: SparkSession, folder: str) -> DataFrame:
     """Each order under the enrollment key it stands for."""
-    placed = F.to_date("o_orderdate")
-    spring = F.month(placed) <= 6
-    start = F.make_date(F.year(placed), F.when(spring, 1).otherwise(7), F.lit(1))
-    return _read(spark, folder, "orders").select(
-        F.col("o_orderkey"),
-        F.col("o_orderstatus"),
-        F.col("o_totalprice"),
-        F.col("o_custkey").alias("id_student"),
-        F.concat(F.lit("M"), F.substring("o_orderpriority", 1, 1)).alias("code_module"),
-        F.concat(
-            F.year(placed).cast("string"), F.when(spring, "B").otherwise("J")
-        ).alias("code_presentation"),
-        (F.datediff(placed, start) - 60).alias("date_registration"),
+    start = "make_date(year(o_orderdate), IF(month(o_orderdate) <= 6, 1, 7), 1)"
+    return _read(spark, folder, "orders").selectExpr(
+        "o_orderkey",
+        "o_orderstatus",
+        "o_totalprice",
+        "o_custkey AS id_student",
+        "concat('M', substring(o_orderpriority, 1, 1)) AS code_module",
+        "concat(year(o_orderdate), IF(month(o_orderdate) <= 6, 'B', 'J')) AS code_presentation",
+        f"datediff(to_date(o_orderdate), {start}) - 60 AS date_registration",
     )
 
 
@@ -65,110 +61,82 @@ RESULT_CODES = ("Fail", "Pass", "Distinction", "Withdrawn")
 def enrollments(orders: DataFrame) -> DataFrame:
     """The earliest order per key, and how many more there were."""
     code = (
-        F.when(F.col("o_orderstatus") == "F", 0)
-        .when(F.col("o_orderstatus") == "P", 1)
-        .when(F.col("o_totalprice") > 250000, 2)
-        .otherwise(3)
-    )
-    packed = (
-        F.shiftleft((F.col("date_registration") + DAY_SHIFT).cast("bigint"), DAY_BITS)
-        + F.shiftleft("o_orderkey", KEY_BITS)
-        + code
+        "CASE WHEN o_orderstatus = 'F' THEN 0 WHEN o_orderstatus = 'P' THEN 1 "
+        "WHEN o_totalprice > 250000 THEN 2 ELSE 3 END"
     )
+    day = f"CAST(date_registration + {DAY_SHIFT} AS bigint)"
+    packed = f"shiftleft({day}, {DAY_BITS}) + shiftleft(o_orderkey, {KEY_BITS}) + {code}"
     # The minimum of a long is combined on the map side in a hash table; a window
     # would sort every order of a key, and a struct would fall back to sorting.
-    first = F.col("first")
-    key = F.shiftright(first.bitwiseAND((1 << DAY_BITS) - 1), KEY_BITS)
-    results = F.array(*[F.lit(name) for name in RESULT_CODES])
+    key = f"shiftright(first & {(1 << DAY_BITS) - 1}L, {KEY_BITS})"
+    names = ", ".join(f"'{name}'" for name in RESULT_CODES)
     return (
         orders.groupBy(*KEYS)
-        .agg(F.min(packed).alias("first"), F.count(F.lit(1)).alias("orders"))
-        .select(
+        .agg(F.min(F.expr(packed)).alias("first"), F.count(F.lit(1)).alias("orders"))
+        .selectExpr(
             *KEYS,
-            (F.shiftright(first, DAY_BITS) - DAY_SHIFT).cast("int").alias("date_registration"),
-            (F.col("orders") - 1).cast("int").alias("num_of_prev_attempts"),
-            (30 * (1 + key % 4)).cast("int").alias("studied_credits"),
-            F.get(results, first.bitwiseAND((1 << KEY_BITS) - 1).cast("int")).alias("final_result"),
+            f"CAST(shiftright(first, {DAY_BITS}) - {DAY_SHIFT} AS int) AS date_registration",
+            "CAST(orders - 1 AS int) AS num_of_prev_attempts",
+            f"CAST(30 * (1 + {key} % 4) AS int) AS studied_credits",
+            f"get(array({names}), CAST(first & {(1 << KEY_BITS) - 1}L AS int)) AS final_result",
         )
     )
 
 
 def students(spark: SparkSession, folder: str) -> DataFrame:
-    key = F.col("c_custkey")
-    nation, region = _read(spark, folder, "nation"), _read(spark, folder, "region")
-    band = F.concat(F.floor(F.col("c_acctbal") / 2500).cast("int").cast("string"), F.lit("Q"))
-    return (
-        _read(spark, folder, "customer")
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-        .select(
-            key.alias("id_student"),
-            F.when(key % 2 == 0, "F").otherwise("M").alias("gender"),
-            F.col("r_name").alias("region"),
-            F.col("c_mktsegment").alias("highest_education"),
-            F.when(F.col("c_acctbal") >= 0, band).alias("imd_band"),
-            (key % 10 == 0).alias("disability"),
-            F.when(key % 3 == 0, "0-35")
-            .when(key % 3 == 1, "35-55")
-            .otherwise("55<=")
-            .alias("age_band"),
-        )
+    people = _read(spark, folder, "customer").join(
+        _read(spark, folder, "nation"), F.expr("c_nationkey = n_nationkey")
+    )
+    return people.join(
+        _read(spark, folder, "region"), F.expr("n_regionkey = r_regionkey")
+    ).selectExpr(
+        "c_custkey AS id_student",
+        "IF(c_custkey % 2 = 0, 'F', 'M') AS gender",
+        "r_name AS region",
+        "c_mktsegment AS highest_education",
+        "IF(c_acctbal >= 0, concat(CAST(floor(c_acctbal / 2500) AS int), 'Q'), NULL) AS imd_band",
+        "c_custkey % 10 = 0 AS disability",
+        "CASE c_custkey % 3 WHEN 0 THEN '0-35' WHEN 1 THEN '35-55' ELSE '55<=' END AS age_band",
     )
 
 
 def courses(orders: DataFrame) -> DataFrame:
-    length = F.when(F.col("code_presentation").endswith("J"), 268).otherwise(240)
-    return (
-        orders.select(*COURSE_KEYS).distinct().withColumn("course_duration_days", length)
+    return orders.select(*COURSE_KEYS).distinct().selectExpr(
+        "*", "IF(code_presentation LIKE '%J', 268, 240) AS course_duration_days"
     )
 
 
 def _lines(spark: SparkSession, folder: str, orders: DataFrame) -> DataFrame:
     lines = _read(spark, folder, "lineitem")
-    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    return lines.join(orders, F.expr("l_orderkey = o_orderkey"))
 
 
-def event_day() -> Column:
-    days = F.datediff(F.to_date("l_shipdate"), F.lit("1995-01-01").cast("date"))
-    return days % 270 - 20
+EVENT_DAY = "datediff(to_date(l_shipdate), DATE '1995-01-01') % 270 - 20"
 
 
 def interactions(lines: DataFrame) -> DataFrame:
-    return lines.select(
+    return lines.selectExpr(
         *KEYS,
-        F.col("l_partkey").alias("id_site"),
-        event_day().alias("event_day"),
-        F.col("l_quantity").cast("int").alias("clicks"),
+        "l_partkey AS id_site",
+        f"{EVENT_DAY} AS event_day",
+        "CAST(l_quantity AS int) AS clicks",
     )
 
 
-def _assessment_id(flag: str | Column) -> Column:
-    return F.concat(F.col("code_module"), F.col("code_presentation"), flag)
-
-
 def assessments(course: DataFrame) -> DataFrame:
     """Three weighted assessments per course, named by return flag."""
-    kinds = F.explode(
-        F.array(
-            *[
-                F.struct(F.lit(flag).alias("flag"), F.lit(weight).alias("weight"))
-                for flag, weight in ASSESSMENT_WEIGHTS.items()
-            ]
-        )
-    )
-    return course.select(*COURSE_KEYS, kinds.alias("kind")).select(
-        _assessment_id(F.col("kind.flag")).alias("id_assessment"),
-        *COURSE_KEYS,
-        F.col("kind.weight").alias("weight"),
+    kinds = ", ".join(f"'{flag}', {weight}D" for flag, weight in ASSESSMENT_WEIGHTS.items())
+    return course.selectExpr(*COURSE_KEYS, f"explode(map({kinds})) AS (flag, weight)").selectExpr(
+        "concat(code_module, code_presentation, flag) AS id_assessment", *COURSE_KEYS, "weight"
     )
 
 
 def submissions(lines: DataFrame) -> DataFrame:
-    unmarked = (F.col("l_linestatus") == "F") & (F.col("l_tax") < 0.02)
-    return lines.select(
-        _assessment_id(F.col("l_returnflag")).alias("id_assessment"),
-        F.col("id_student"),
-        F.when(~unmarked, F.round(F.col("l_discount") * 1000)).alias("score"),
+    unmarked = "l_linestatus = 'F' AND l_tax < 0.02D"
+    return lines.selectExpr(
+        "concat(code_module, code_presentation, l_returnflag) AS id_assessment",
+        "id_student",
+        f"IF({unmarked}, NULL, round(l_discount * 1000)) AS score",
     )
 
 
@@ -195,11 +163,11 @@ def order_scoring_tables(
     enrolled = enrollments(orders).where(F.col("date_registration") <= cutoff_day)
     people = enrolled.join(students(spark, folder), "id_student")
     lines = _lines(spark, folder, orders).join(enrolled.select(*KEYS), list(KEYS), "left_semi")
-    blank = F.col("l_linenumber") == BLANK_LINE
-    stray = blank & (F.col("id_student") % 97 == 0)
+    blank = f"l_linenumber = {BLANK_LINE}"
+    stray = f"{blank} AND id_student % 97 = 0"
     return {
-        "StudentInfo": people.select(
-            F.col("id_student").alias("guid_student_id"),
+        "StudentInfo": people.selectExpr(
+            "id_student AS guid_student_id",
             *COURSE_KEYS,
             "gender",
             "region",
@@ -211,20 +179,18 @@ def order_scoring_tables(
             "disability",
             "final_result",
         ),
-        "Registration": enrolled.select(
-            F.col("id_student").alias("guid_studente_id"), *COURSE_KEYS, "date_registration"
+        "Registration": enrolled.selectExpr(
+            "id_student AS guid_studente_id", *COURSE_KEYS, "date_registration"
         ),
-        "VLE_clickStream": lines.select(
-            F.when(stray, F.col("id_student") + 10_000_000)
-            .otherwise(F.col("id_student"))
-            .alias("guid_student_id"),
-            F.col("l_partkey").alias("guid_site_id"),
-            F.when(~blank, F.col("code_module")).alias("modulo"),
-            F.col("code_presentation").alias("presentation"),
-            event_day().alias("date"),
-            F.col("l_quantity").cast("int").alias("sum_clics"),
+        "VLE_clickStream": lines.selectExpr(
+            f"IF({stray}, id_student + 10000000, id_student) AS guid_student_id",
+            "l_partkey AS guid_site_id",
+            f"IF({blank}, NULL, code_module) AS modulo",
+            "code_presentation AS presentation",
+            f"{EVENT_DAY} AS date",
+            "CAST(l_quantity AS int) AS sum_clics",
         ),
-        "cursos": courses(orders).select(
-            *COURSE_KEYS, F.col("course_duration_days").alias("module_presentation_length")
+        "cursos": courses(orders).selectExpr(
+            *COURSE_KEYS, "course_duration_days AS module_presentation_length"
         ),
     }

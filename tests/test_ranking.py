@@ -20,7 +20,9 @@ def skewed(spark):
 
 
 def test_global_row_number_equals_window(skewed):
-    mine = ranking.global_row_number(skewed, ["v", "id"], "rn").select("id", "rn")
+    ranked = ranking.global_row_number(skewed, ["v", "id"], "rn")
+    assert ranked.where("rn_total <> 5000").count() == 0
+    mine = ranked.select("id", "rn")
     plain = skewed.select("id", F.row_number().over(W.orderBy("v", "id")).alias("plain"))
     assert mine.join(plain, "id").where("rn <> plain").count() == 0
     assert mine.count() == 5000
