@@ -20,7 +20,8 @@ from cohortlens.contract import KEYS
 from cohortlens.operators.joins import skew_join
 from cohortlens.session import materialize
 
-PIVOTS = 128
+# Pivots grow with the square root of the points, between these bounds.
+PIVOTS = (32, 2_048)
 BLOCK_ROWS = 4_096
 SALTS = 64
 # Slack for rounding in square roots; it only lets a few more pivots be visited.
@@ -39,21 +40,28 @@ def _points(frame: pd.DataFrame) -> np.ndarray:
     return np.array(frame["vector"].tolist(), dtype=float).reshape(len(frame), -1)
 
 
+def _first_rows(df: DataFrame, by: Sequence[str], order_by: Sequence[str], k: int) -> DataFrame:
+    """The first k rows per group; a large group is cut down in salted parts first."""
+    some = W.partitionBy(*by, "_salt").orderBy(*order_by)
+    few = (
+        df.withColumn("_salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)))
+        .withColumn("_place", F.row_number().over(some))
+        .where(F.col("_place") <= k)
+    )
+    return (
+        few.withColumn("_place", F.row_number().over(W.partitionBy(*by).orderBy(*order_by)))
+        .where(F.col("_place") <= k)
+        .drop("_salt", "_place")
+    )
+
+
 def _training_points(df: DataFrame, features: Sequence[str], target: str, k: int) -> DataFrame:
     """Per distinct vector, the first k rows by key; later ones can never be chosen."""
     vector = F.array(*[F.col(name).cast("double") for name in features])
     rows = df.select(
         vector.alias("vector"), F.struct(*KEYS).alias("key"), F.col(target).cast("double").alias("y")
     )
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)))
-    first = W.partitionBy("vector", "_salt").orderBy("key")
-    some = salted.withColumn("_place", F.row_number().over(first)).where(F.col("_place") <= k)
-    last = W.partitionBy("vector").orderBy("key")
-    return (
-        some.withColumn("_place", F.row_number().over(last))
-        .where(F.col("_place") <= k)
-        .drop("_salt", "_place")
-    )
+    return _first_rows(rows, ["vector"], ["key"], k)
 
 
 def _with_pivots(points: DataFrame, pivots: np.ndarray) -> DataFrame:
@@ -148,26 +156,23 @@ def nearest_mean(
     asked = queries.select(*KEYS, F.col(target).alias("actual"), vector.alias("vector"))
     distinct = materialize(asked.select("vector").distinct())
 
-    # A fixed number of pivots, spread by hash.
-    sample = points.select("vector").distinct().orderBy(F.xxhash64("vector"), "vector").limit(PIVOTS)
+    # Pivots are spread by hash over the distinct vectors; the driver holds them all.
+    wanted = int(np.clip(np.sqrt(points.count()), *PIVOTS))
+    sample = points.select("vector").distinct().orderBy(F.xxhash64("vector"), "vector").limit(wanted)
     pivots = np.array([row["vector"] for row in sample.collect()], dtype=float)
     placed = materialize(_with_pivots(points, pivots))
-    smallest = W.partitionBy("pivot").orderBy("radius")
-    radii = (
-        placed.groupBy("pivot", "radius").agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("place", F.row_number().over(smallest))
+    totals = placed.groupBy("pivot").agg(
+        F.max("radius").alias("reach"), F.count(F.lit(1)).alias("rows")
+    )
+    nearest = _first_rows(placed, ["pivot"], ["radius", "key"], k).groupBy("pivot").agg(
+        F.array_sort(F.collect_list("radius")).alias("close")
     )
-    facts = radii.groupBy("pivot").agg(
-        F.max("radius").alias("reach"),
-        F.sum("n").alias("rows"),
-        F.array_sort(F.collect_list(F.when(F.col("place") <= k, F.struct("radius", "n")))).alias("close"),
-    ).collect()
+    facts = totals.join(nearest, "pivot").collect()
     reach = np.full(len(pivots), -np.inf)
     close = np.full((len(pivots), k), np.inf)
     for fact in facts:
         reach[fact["pivot"]] = fact["reach"]
-        near = np.repeat([c["radius"] for c in fact["close"]], [min(c["n"], k) for c in fact["close"]])
-        close[fact["pivot"], : min(k, len(near))] = near[:k]
+        close[fact["pivot"], : len(fact["close"])] = fact["close"]
     point_sizes = {fact["pivot"]: fact["rows"] for fact in facts}
 
     visits = materialize(_visits(distinct, pivots, reach, close, k))
@@ -189,10 +194,8 @@ def nearest_mean(
             _block_nearest(k), f"vector array<double>, distance double, key {key_type}, y double"
         )
     )
-    order = W.partitionBy("vector").orderBy("distance", "key")
     answers = (
-        partial.withColumn("_place", F.row_number().over(order))
-        .where(F.col("_place") <= k)
+        _first_rows(partial, ["vector"], ["distance", "key"], k)
         .groupBy("vector")
         .agg(F.avg("y").alias("predicted"))
     )

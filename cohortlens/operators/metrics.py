@@ -7,6 +7,7 @@ as one threshold. ``by`` evaluates many models or folds in the same jobs.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -246,16 +247,22 @@ def partition_counts(df: DataFrame, partition: str) -> DataFrame:
 
 def holdout_report(df: DataFrame, label: str, probability: str) -> DataFrame:
     """All holdout metrics, the capacity result and the calibration bins in one row."""
-    metrics = risk_metrics(df, label, probability).withColumn("_all", F.lit(0))
-    capacity = capacity_metrics(df, label, probability).select(
-        F.lit(0).alias("_all"), F.struct("*").alias("intervention_capacity")
-    )
-    calibration = calibration_bins(df, label, probability).groupBy(F.lit(0).alias("_all")).agg(
+    size = df.agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("id_student").alias("students"))
+    capacity = capacity_metrics(df, label, probability)
+    # At most ``CALIBRATION_BINS`` rows are gathered.
+    calibration = calibration_bins(df, label, probability).agg(
         F.array_sort(F.collect_list(F.struct("*"))).alias("calibration")
     )
-    size = df.groupBy(F.lit(0).alias("_all")).agg(
-        F.count(F.lit(1)).alias("rows"), F.countDistinct("id_student").alias("students")
-    )
-    return (
-        size.join(metrics, "_all").join(capacity, "_all").join(calibration, "_all").drop("_all")
+    return one_row(
+        size,
+        risk_metrics(df, label, probability),
+        capacity.select(F.struct("*").alias("intervention_capacity")),
+        calibration,
     )
+
+
+def one_row(*parts: DataFrame) -> DataFrame:
+    """One-row tables with different columns side by side, without a join."""
+    names = [name for part in parts for name in part.columns]
+    stacked = reduce(lambda one, two: one.unionByName(two, allowMissingColumns=True), parts)
+    return stacked.agg(*[F.first(name, ignorenulls=True).alias(name) for name in names])

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,9 +30,9 @@ from cohortlens.functions.expressions import academic_risk
 from cohortlens.operators.joins import dimension_join
 from cohortlens.operators.ranking import (
     distribution_percentiles,
+    distribution_summary,
     equal_frequency_bin,
     global_row_number,
-    percentile_columns,
     running_totals,
     value_distribution,
 )
@@ -46,18 +47,10 @@ def _count(condition: Column) -> Column:
     return F.count_if(condition)
 
 
-def _share(df: DataFrame, total: DataFrame) -> DataFrame:
-    """Add each row's part of the one-row ``rows`` total."""
-    keyed = df.withColumn("_all", F.lit(0))
-    return (
-        keyed.join(F.broadcast(total.withColumn("_all", F.lit(0))), "_all")
-        .withColumn("share", F.col("count") / F.col("rows"))
-        .drop("_all", "rows")
-    )
-
-
-def _rows(df: DataFrame) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias("rows"))
+def _share(counts: DataFrame, *by: str) -> DataFrame:
+    """Add each category's part of its column; ``counts`` has one row per category."""
+    total = F.sum("count").over(W.partitionBy(*(by or [F.lit(0)])))
+    return counts.withColumn("share", F.col("count") / total)
 
 
 def cohort_snapshot(mart: DataFrame) -> DataFrame:
@@ -117,7 +110,7 @@ def _category_counts(
         .groupBy(name, "category")
         .agg(F.count(F.lit(1)).alias("count"))
     )
-    return _share(counts, _rows(mart))
+    return _share(counts, name)
 
 
 def categorical_profile(mart: DataFrame) -> DataFrame:
@@ -141,25 +134,10 @@ def numeric_distribution(mart: DataFrame, columns: Sequence[str]) -> DataFrame:
 def numeric_profile(mart: DataFrame) -> DataFrame:
     """Count, missing, mean, median, std, min, quartiles and max per numeric candidate."""
     distribution = numeric_distribution(mart, ROLES.numeric_candidates(mart.schema))
-    picks, quartiles = percentile_columns("value", QUARTILES)
-    mean = F.col("weight_total") / F.nullif("rank_total", F.lit(0))
-    squares = F.sum(F.col("rank") * F.pow(F.col("value") - F.col("mean"), 2))
-    totals = (
-        distribution.withColumn("mean", mean)
-        .groupBy("feature", "rank_total", "mean")
-        .agg(
-            F.sum(F.col("n") - F.col("rank")).alias("missing_count"),
-            squares.alias("_squares"),
-            F.min("value").alias("min"),
-            F.max("value").alias("max"),
-            *picks,
-        )
+    return distribution_summary(distribution, ["feature"], "value", QUARTILES).select(
+        "feature", "count", F.col("missing").alias("missing_count"), "mean", "median", "std", "min",
+        "q1", "q3", "max",
     )
-    count = F.col("rank_total")
-    degrees = F.when(count > 1, count - 1)
-    return totals.select(
-        "*", *quartiles, count.alias("count"), F.sqrt(F.col("_squares") / degrees).alias("std")
-    ).select("feature", "count", "missing_count", "mean", "median", "std", "min", "q1", "q3", "max")
 
 
 def missingness(mart: DataFrame) -> DataFrame:
@@ -302,7 +280,7 @@ def score_boxplot_by_group(mart: DataFrame) -> DataFrame:
 
 def result_distribution(mart: DataFrame) -> DataFrame:
     counts = mart.groupBy("final_result").agg(F.count(F.lit(1)).alias("count"))
-    return _share(counts, _rows(mart)).withColumnRenamed("count", "n_total")
+    return _share(counts).withColumnRenamed("count", "n_total")
 
 
 def risk_distribution(mart: DataFrame) -> DataFrame:
@@ -310,7 +288,14 @@ def risk_distribution(mart: DataFrame) -> DataFrame:
     risk = F.coalesce(academic_risk(F.col("final_result")), F.lit(0))
     label = F.when(risk == 1, RISK_LABEL).otherwise(NON_RISK_LABEL)
     counts = mart.groupBy(label.alias("academic_risk")).agg(F.count(F.lit(1)).alias("count"))
-    return _share(counts, _rows(mart)).withColumnRenamed("count", "n_total")
+    return _share(counts).withColumnRenamed("count", "n_total")
+
+
+def target_share(mart: DataFrame) -> DataFrame:
+    """Share of each ``academic_risk`` value; a missing result counts as 0."""
+    risk = F.coalesce(academic_risk(F.col("final_result")), F.lit(0)).alias("academic_risk")
+    counts = mart.groupBy(risk).agg(F.count(F.lit(1)).alias("count"))
+    return _share(counts).drop("count")
 
 
 def engagement_quartiles(mart: DataFrame) -> DataFrame:

@@ -158,3 +158,27 @@ def exact_percentiles(
     df: DataFrame, by: Sequence[str], value: str, probabilities: Mapping[str, float]
 ) -> DataFrame:
     return distribution_percentiles(value_distribution(df, by, value), by, value, probabilities)
+
+
+def distribution_summary(
+    distribution: DataFrame, by: Sequence[str], value: str, probabilities: Mapping[str, float]
+) -> DataFrame:
+    """Count, missing, mean, sample deviation, extremes and percentiles per group, in one pass."""
+    held = F.col(value).cast("double")
+    count = F.col("rank_total")
+    picks, percentiles = percentile_columns(value, probabilities)
+    totals = (
+        distribution.withColumn("mean", F.col("weight_total") / F.nullif(count, F.lit(0)))
+        .groupBy(*by, "rank_total", "mean")
+        .agg(
+            F.sum(F.col("n") - F.col("rank")).alias("missing"),
+            F.sum(F.col("rank") * F.pow(held - F.col("mean"), 2)).alias("_squares"),
+            F.min(held).alias("min"),
+            F.max(held).alias("max"),
+            *picks,
+        )
+    )
+    deviation = F.sqrt(F.col("_squares") / F.when(count > 1, count - 1))
+    return totals.select(
+        *by, count.alias("count"), "missing", "mean", deviation.alias("std"), "min", "max", *percentiles
+    )

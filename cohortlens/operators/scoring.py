@@ -19,7 +19,7 @@ from cohortlens.contract import (
 )
 from cohortlens.operators import checks
 from cohortlens.operators.joins import dimension_join, skew_join
-from cohortlens.operators.ranking import exact_percentiles
+from cohortlens.operators.ranking import distribution_summary, value_distribution
 from cohortlens.operators.split import missing_rates
 from cohortlens.session import materialize
 from cohortlens.sources.roles import rename
@@ -57,7 +57,9 @@ SCORING_COLUMNS = {
     },
 }
 
-KEPT, RESOLVED, AMBIGUOUS, NO_CANDIDATE = "with_module", "resolved", "ambiguous", "no_candidate"
+# How an event got its module, as numbers: the largest of a group is found by hashing.
+REASONS = ("with_module", "resolved", "ambiguous", "no_candidate")
+KEPT, RESOLVED, AMBIGUOUS, NO_CANDIDATE = range(len(REASONS))
 STUDENT_TERM = ("id_student", "code_presentation")
 UNSEEN_CATEGORY_WARNING = "unseen_categorical_values"
 
@@ -72,8 +74,8 @@ def canonical_table(tables: Mapping[str, DataFrame], name: str) -> DataFrame:
 def resolve_modules(events: DataFrame, enrollment: DataFrame) -> DataFrame:
     """Give events without a module the student's only module of that presentation.
 
-    ``reason`` tells kept and resolved events from those to drop: no enrollment
-    in the presentation, or more than one.
+    ``reason``, a place in ``REASONS``, tells kept and resolved events from those to
+    drop: no enrollment in the presentation, or more than one.
     """
     only = enrollment.groupBy(*STUDENT_TERM).agg(
         F.count(F.lit(1)).alias("_modules"), F.min("code_module").alias("_module")
@@ -104,10 +106,12 @@ def resolve_modules(events: DataFrame, enrollment: DataFrame) -> DataFrame:
 
 def discard_reasons(resolved: DataFrame) -> DataFrame:
     """Events and clicks per resolution outcome."""
-    return resolved.groupBy("reason").agg(
+    counts = resolved.groupBy("reason").agg(
         F.sum("events").alias("events"),
         F.sum(F.col("clicks") * F.col("events")).cast("bigint").alias("clicks"),
     )
+    names = F.array(*[F.lit(name) for name in REASONS])
+    return counts.withColumn("reason", names[F.col("reason")])
 
 
 def _activity_groups(resolved: DataFrame) -> DataFrame:
@@ -312,13 +316,6 @@ def probability_summary(df: DataFrame, probability: str) -> DataFrame:
     """Count, mean, sample deviation, extremes and three percentiles of a probability."""
     rows = df.select(F.lit(0).alias("_all"), F.col(probability).alias("p"))
     shares = {"p5": 0.05, "p50": 0.5, "p95": 0.95}
-    moments = rows.groupBy("_all").agg(
-        F.count("p").alias("count"),
-        F.avg("p").alias("mean"),
-        F.stddev_samp("p").alias("std"),
-        F.min("p").alias("min"),
-        F.max("p").alias("max"),
-    )
-    return moments.join(exact_percentiles(rows, ["_all"], "p", shares), "_all").select(
-        "count", "mean", "std", "min", "p5", "p50", "p95", "max"
+    return distribution_summary(value_distribution(rows, ["_all"], "p"), ["_all"], "p", shares).select(
+        "count", "mean", "std", "min", *shares, "max"
     )

@@ -11,12 +11,12 @@ from cohortlens.contract import (
     DEFAULT_HOLDOUT,
     FEATURES,
     KEYS,
-    RISK_RESULTS,
     TARGETS,
     require_cutoff,
 )
 from cohortlens.models import risk
 from cohortlens.operators import checks, mart, profile as profiles, scoring
+from cohortlens.operators.metrics import one_row
 from cohortlens.session import materialize
 from cohortlens.sinks import bundle as bundles
 from cohortlens.sinks import tables as sinks
@@ -74,13 +74,6 @@ def profile(rows: DataFrame, folder: str | None = None, **options) -> dict[str,
     return tables
 
 
-def target_share(rows: DataFrame) -> DataFrame:
-    """Share of each ``academic_risk`` value."""
-    flag = F.coalesce(F.col("final_result").isin(*RISK_RESULTS), F.lit(False)).cast("int")
-    shares = profiles.result_distribution(rows.select(flag.alias("final_result")))
-    return shares.select(F.col("final_result").alias("academic_risk"), "share")
-
-
 def train_champion(
     rows: DataFrame,
     cutoff_day: int,
@@ -123,26 +116,23 @@ def score_frame(frame: DataFrame, loaded: bundles.Bundle, cutoff_day: int) -> Da
 
 def scoring_report(frame: DataFrame, output: DataFrame, loaded: bundles.Bundle) -> DataFrame:
     """One nested row: counts, unseen values, imputations, probabilities and drift."""
-    one = F.lit(0).alias("_all")
     manifest = loaded.manifest
     told = ("artifact_version", "champion_name", "model_target", "target_definition",
             "contract_version", "contract_fingerprint", "cutoff_day")
-    rows = output.agg(F.count(F.lit(1)).alias("rows")).select(one, "rows")
-    unseen = scoring.oov_counts(output).select(one, F.struct("*").alias("oov"))
-    gaps = frame.agg(
-        *[F.count_if(F.col(name).isNull()).alias(name) for name in FEATURES]
-    ).select(one, F.struct("*").alias("missing_values_requiring_imputation"))
-    summary = scoring.probability_summary(output, "probability_academic_risk").select(
-        one, F.struct("*").alias("probability_academic_risk")
-    )
+    gaps = frame.agg(*[F.count_if(F.col(name).isNull()).alias(name) for name in FEATURES])
+    summary = scoring.probability_summary(output, "probability_academic_risk")
     # At most one warning per feature and one for unseen categories.
     drift = scoring.drift_warnings(frame, loaded.baseline(frame.sparkSession), output).agg(
         F.array_sort(F.collect_list("warning")).alias("drift_warnings")
-    ).select(one, "drift_warnings")
-    report = rows
-    for part in (unseen, gaps, summary, drift):
-        report = report.join(part, "_all")
-    return report.select(*[F.lit(manifest.get(name)).alias(name) for name in told], "*").drop("_all")
+    )
+    report = one_row(
+        output.agg(F.count(F.lit(1)).alias("rows")),
+        scoring.oov_counts(output).select(F.struct("*").alias("oov")),
+        gaps.select(F.struct("*").alias("missing_values_requiring_imputation")),
+        summary.select(F.struct("*").alias("probability_academic_risk")),
+        drift,
+    )
+    return report.select(*[F.lit(manifest.get(name)).alias(name) for name in told], "*")
 
 
 def score(

@@ -461,6 +461,10 @@ def oracle_sql() -> dict[str, str]:
             "count(*) AS n_total, round(CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM mart), 6) AS share "
             "FROM mart GROUP BY 1"
         ),
+        "target_share": _mart(
+            "SELECT academic_risk, round(CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM mart), 6) AS share "
+            "FROM mart GROUP BY 1"
+        ),
         "engagement_quartiles": _mart(
             f"SELECT {KEY}, total_clicks, final_result, engagement_quantile FROM quartiled", QUARTILED
         ),

@@ -462,6 +462,7 @@ PROFILES = {
     "score_boxplot_by_group": profile.score_boxplot_by_group,
     "result_distribution": profile.result_distribution,
     "risk_distribution": profile.risk_distribution,
+    "target_share": profile.target_share,
     "engagement_quartiles": profile.engagement_quartiles,
     "risk_by_engagement_quartile": profile.risk_by_engagement_quartile,
     "risk_by_course_suppressed": profile.risk_by_course,

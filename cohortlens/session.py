@@ -47,9 +47,11 @@ def materialize(df: DataFrame) -> DataFrame:
 
     Fixes row placement (partition numbers, row positions) so that later
     branches and recomputed tasks all see the same values, and cuts lineage.
+    All tables of one application lie in one folder, to be removed when it ends.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/cohortlens/{uuid.uuid4().hex}"
+    application = spark.sparkContext.applicationId
+    path = f"{shared_folder(spark)}/cohortlens/{application}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

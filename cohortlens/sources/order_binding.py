@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlens.contract import COURSE_KEYS, DEFAULT_CUTOFF, KEYS
+from cohortlens.session import materialize
 from cohortlens.sources.roles import RoleTables
 
 HOLDOUT = "2001J"
@@ -158,9 +159,13 @@ def order_roles(spark: SparkSession, folder: str) -> RoleTables:
 def order_scoring_tables(
     spark: SparkSession, folder: str, cutoff_day: int = DEFAULT_CUTOFF
 ) -> dict[str, DataFrame]:
-    """The four-table scoring source over the order tables, with blank modules."""
+    """The four-table scoring source over the order tables, with blank modules.
+
+    Two tables and the clickstream's filter come from the same enrollments, so
+    these are written first.
+    """
     orders = order_keys(spark, folder)
-    enrolled = enrollments(orders).where(F.col("date_registration") <= cutoff_day)
+    enrolled = materialize(enrollments(orders).where(F.col("date_registration") <= cutoff_day))
     people = enrolled.join(students(spark, folder), "id_student")
     lines = _lines(spark, folder, orders).join(enrolled.select(*KEYS), list(KEYS), "left_semi")
     blank = f"l_linenumber = {BLANK_LINE}"

@@ -97,7 +97,7 @@ def test_known_values_and_missing_rates(spark, mart8):
     assert rates["age_band"] == 1.0 and rates["total_clicks"] == 0.0
 
 
-@pytest.mark.parametrize("pivots,block", [(1, 4096), (7, 16), (500, 8)])
+@pytest.mark.parametrize("pivots,block", [((1, 1), 4096), ((7, 7), 16), ((500, 500), 8)])
 def test_neighbors_equal_brute_force(spark, monkeypatch, pivots, block):
     monkeypatch.setattr(neighbors, "PIVOTS", pivots)
     monkeypatch.setattr(neighbors, "BLOCK_ROWS", block)

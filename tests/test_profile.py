@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.contract import KEYS, MISSING_LABEL, ROLES, SCORE
 from cohortlens.operators import profile
-from cohortlens.plans.commands import PROFILE_TABLES, profile as run_profile, target_share
+from cohortlens.plans.commands import PROFILE_TABLES, profile as run_profile
 
 
 def by(df, *names):
@@ -153,4 +153,4 @@ def test_profile_refuses_duplicate_keys(mart8):
 
 
 def test_target_share(mart8):
-    assert {r.academic_risk: r.share for r in target_share(mart8).collect()} == {0: 0.5, 1: 0.5}
+    assert {r.academic_risk: r.share for r in profile.target_share(mart8).collect()} == {0: 0.5, 1: 0.5}
