@@ -252,8 +252,11 @@ def search(mart: DataFrame, holdout: str = DEFAULT_HOLDOUT) -> RiskSearch:
     )
 
 
-def predict(fitted: FittedRisk, frame: DataFrame, cutoff_day: int) -> DataFrame:
-    """Class and probability per enrollment; exactly 0.5 is class 0, as models predict it."""
+def predict(fitted: FittedRisk, frame: DataFrame, cutoff_day: int, *keep: str) -> DataFrame:
+    """Class and probability per enrollment; exactly 0.5 is class 0, as models predict it.
+
+    ``keep`` names further columns of ``frame`` to carry along.
+    """
     probability = F.col("probability_academic_risk")
     return fitted.probability(frame).select(
         *KEYS,
@@ -261,4 +264,5 @@ def predict(fitted: FittedRisk, frame: DataFrame, cutoff_day: int) -> DataFrame:
         F.lit(LABEL).alias("model_target"),
         (probability > RISK_THRESHOLD).cast("int").alias("prediction_academic_risk"),
         probability,
+        *keep,
     )

@@ -107,11 +107,11 @@ def score_frame(frame: DataFrame, loaded: bundles.Bundle, cutoff_day: int) -> Da
     """Prediction, probability and unseen fields per enrollment."""
     spark = frame.sparkSession
     checks.check_contract_columns(frame, "scoring frame")
-    predicted = risk.predict(loaded.champion, frame, cutoff_day)
-    flags = scoring.unseen_fields(frame, loaded.known(spark, "known_categories"))
-    flags = scoring.unseen_keys(flags, loaded.known(spark, "known_key_values"))
-    flags = flags.select(*KEYS, "oov_categorical_fields", "oov_key_fields")
-    return predicted.join(flags, list(KEYS))
+    flagged = scoring.unseen_fields(frame, loaded.known(spark, "known_categories"))
+    flagged = scoring.unseen_keys(flagged, loaded.known(spark, "known_key_values"))
+    return risk.predict(
+        loaded.champion, flagged, cutoff_day, "oov_categorical_fields", "oov_key_fields"
+    )
 
 
 def scoring_report(frame: DataFrame, output: DataFrame, loaded: bundles.Bundle) -> DataFrame:
