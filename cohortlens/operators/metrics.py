@@ -238,13 +238,6 @@ def value_scores(df: DataFrame, label: str, prediction: str, by: Sequence[str] =
     return df.groupBy(*by).agg(*scores) if by else df.agg(*scores)
 
 
-def partition_counts(df: DataFrame, partition: str) -> DataFrame:
-    """Rows and distinct students per split partition."""
-    return df.groupBy(partition).agg(
-        F.count(F.lit(1)).alias("rows"), F.countDistinct("id_student").alias("students")
-    )
-
-
 def holdout_report(df: DataFrame, label: str, probability: str) -> DataFrame:
     """All holdout metrics, the capacity result and the calibration bins in one row."""
     size = df.agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("id_student").alias("students"))

@@ -348,6 +348,9 @@ def spearman_pairs(mart: DataFrame) -> DataFrame:
     distinct values. A constant column gives a null correlation.
     """
     names = list(combinations(ROLES.numeric_candidates(mart.schema), 2))
+    if not names:
+        schema = "feature_a string, feature_b string, spearman_correlation double"
+        return mart.sparkSession.createDataFrame([], schema)
     pairs = [
         F.struct(F.lit(place).alias("pair"), F.col(left).cast("double").alias("a"),
                  F.col(right).cast("double").alias("b"))

@@ -121,6 +121,12 @@ def test_spearman_ranks_pairs_of_present_values(spark, mart8):
     assert strength == sorted(strength, reverse=True) and len(strength) == 6
 
 
+def test_one_numeric_column_gives_a_one_by_one_matrix(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,)], "total_clicks double")
+    assert profile.collinear_pairs(df).count() == 0
+    assert profile.spearman_matrix(df).collect() == [("total_clicks", 1.0)]
+
+
 def test_near_duplicates_are_flagged(mart8):
     got = by(profile.collinear_pairs(mart8), "feature_a", "feature_b")
     assert got[("total_clicks", "active_days")].near_duplicate
