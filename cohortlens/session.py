@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,8 +25,9 @@ def local_session(app: str, cores: int | str = 8, shuffle_partitions: int = 8) -
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a folder of its own; on a
-    cluster a machine-local folder would be lost with its machine.
+    Where the setting is missing, intermediate tables go below the warehouse
+    folder; a cluster whose warehouse is a machine's own disk is refused, as its
+    tables would be lost with the machine.
     """
     context = spark.sparkContext
     folder = context.getConf().get("spark.checkpoint.dir") or spark.conf.get(
@@ -35,26 +35,40 @@ def shared_folder(spark: SparkSession) -> str:
     )
     if folder:
         return folder
-    if not context.master.startswith("local"):
+    folder = spark.conf.get("spark.sql.warehouse.dir")
+    own_disk = folder.startswith(("file:", "/"))
+    if own_disk and not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="cohortlens-")
-    spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
+def _application_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/cohortlens/{spark.sparkContext.applicationId}"
+
+
+def scratch_path(spark: SparkSession) -> str:
+    """A new path in the shared folder, removed by ``release``."""
+    return f"{_application_folder(spark)}/{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Fixes row placement (partition numbers, row positions) so that later
     branches and recomputed tasks all see the same values, and cuts lineage.
-    All tables of one application lie in one folder, to be removed when it ends.
+    All tables of one application lie in one folder, removed by ``release``.
     """
     spark = df.sparkSession
-    application = spark.sparkContext.applicationId
-    path = f"{shared_folder(spark)}/cohortlens/{application}/{uuid.uuid4().hex}"
+    path = scratch_path(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Remove the application's intermediate tables; call it once its results are written."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
