@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortlens.llm.words import text_buffer
+from cohortlens.llm.words import mix, text_buffer
 
 UNIT_BYTES = 4 << 20
 NO_ID = -(2**63)
@@ -83,6 +83,10 @@ class Unit:
         self.ids, self.copies = ids[self.first], copies[self.first]
         self.buffer, self.offsets = text_buffer(self.rows.column("_text").take(self.first))
 
+    def positions(self, document: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Order keys of places in the unit's text: id, copy and place in the document."""
+        return self.ids[document], self.copies[document], place - self.offsets[document]
+
 
 def pack(values: np.ndarray) -> bytes:
     """Integers byte plane by byte plane, which the shuffle's compression handles better."""
@@ -147,3 +151,104 @@ def read_messages(table: pa.Table) -> list[tuple[int, int, bytes]]:
     """The messages of one slice or unit, in a fixed order."""
     rows = zip(*[table.column(name).to_pylist() for name in MESSAGE.names], strict=True)
     return sorted(rows, key=lambda row: row[:2])
+
+
+#: Cells of a slice's sketch row.
+SLICE_CELLS = 1 << 22
+
+
+def cells_of(hashes: np.ndarray, row: int, slices: int) -> np.ndarray:
+    """The sketch cell of each window in one row, numbered through all slices."""
+    spread = mix(hashes + np.uint64(row))
+    cell = spread & np.uint64(SLICE_CELLS - 1)
+    return slice_of(spread, slices) * np.uint64(SLICE_CELLS) + cell
+
+
+def filled_cells(cells: np.ndarray, slices: int) -> list[tuple[int, np.ndarray]]:
+    """Per slice, the ascending cells that are filled."""
+    filled = np.unique(cells)
+    edges = np.searchsorted(filled, np.arange(slices + 1, dtype=np.uint64) * np.uint64(SLICE_CELLS))
+    return [
+        (number, filled[edges[number] : edges[number + 1]] - np.uint64(number * SLICE_CELLS))
+        for number in np.flatnonzero(np.diff(edges)).tolist()
+    ]
+
+
+def _first_of_each(hashes: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Which entries are the first with their two hashes."""
+    first, second = hashes
+    order = np.lexsort((second, first))
+    new = np.ones(len(order), bool)
+    a, b = first[order], second[order]
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    leads = np.zeros(len(order), bool)
+    leads[order[new]] = True
+    return leads
+
+
+def send_first(
+    unit: int,
+    entry: np.ndarray,
+    hashes: tuple[np.ndarray, np.ndarray],
+    positions: tuple[np.ndarray, ...],
+    slices: int,
+) -> pa.Table:
+    """Messages with a unit's entries, ascending in position, to be grouped by two hashes.
+
+    Only the first entry of each group in the unit travels. The others are known to come
+    later; they go with a message to the unit itself, which no slice reads.
+    """
+    leads = _first_of_each(hashes)
+    lead = np.flatnonzero(leads)
+    sent = [(-1 - unit, unit, pack_ascending(entry[~leads]))]
+    for part, chosen in by_slice(slice_of(hashes[0][lead], slices)):
+        own = lead[chosen]
+        packed = [pack_ascending(entry[own]), pack(hashes[0][own]), pack(hashes[1][own])]
+        packed += [pack_by_text(column[own]) for column in positions]
+        sent.append((part, unit, b"".join(packed)))
+    return messages(sent)
+
+
+def read_columns(data: bytes, widths: Sequence[int]) -> list[bytes]:
+    """The packed columns of a message, given the bytes of one value of each."""
+    cuts = np.cumsum([0, *widths]) * (len(data) // sum(widths))
+    return [data[low:high] for low, high in zip(cuts[:-1], cuts[1:], strict=True)]
+
+
+def later_than_first(groups: Sequence[np.ndarray], positions: Sequence[np.ndarray]) -> np.ndarray:
+    """The entries that have the same group values as one with an earlier position."""
+    order = np.lexsort((*positions[::-1], *groups[::-1]))
+    again = np.zeros(len(order), bool)
+    again[1:] = np.logical_and.reduce(
+        [group[order][1:] == group[order][:-1] for group in groups]
+    )
+    return np.sort(order[again])
+
+
+def answer(part: int, units: np.ndarray, entries: np.ndarray) -> pa.Table:
+    """Messages that give each unit its entries among the given ones."""
+    return messages(
+        [
+            (part, unit, pack_ascending(np.sort(entries[chosen])))
+            for unit, chosen in by_slice(units)
+        ]
+    )
+
+
+def later_entries(table: pa.Table) -> pa.Table:
+    """The entries of a slice that also come earlier, back to their units."""
+    received = read_messages(table)
+    part = received[0][0]
+    if part < 0:
+        return messages(received)
+    columns = []
+    for _, unit, data in received:
+        entry, first, second, *positions = read_columns(data, (4, 8, 8, 8, 8, 8))
+        entry = unpack_ascending(entry)
+        hashes = unpack(first, np.uint64), unpack(second, np.uint64)
+        columns.append(
+            (np.full(len(entry), unit), entry, *hashes, *map(unpack_by_text, positions))
+        )
+    units, entry, first, second, *positions = map(np.concatenate, zip(*columns, strict=True))
+    gone = later_than_first((first, second), positions)
+    return answer(part, units[gone], entry[gone])

@@ -23,26 +23,24 @@ from pyspark.sql import DataFrame
 
 from cohortlens.llm.units import (
     MESSAGE_DDL,
+    SLICE_CELLS,
     Unit,
-    by_slice,
+    cells_of,
+    filled_cells,
     in_units,
+    later_entries,
     messages,
-    pack,
     pack_ascending,
-    pack_by_text,
     read_messages,
     result_schema,
-    slice_of,
+    send_first,
     text_bytes,
-    unpack,
     unpack_ascending,
-    unpack_by_text,
     with_columns_back,
 )
 from cohortlens.llm.words import (
     WHITE_SPACE_WORDS,
     covered,
-    mix,
     runs,
     span_hashes,
     spans,
@@ -53,9 +51,8 @@ from cohortlens.llm.words import (
 WINDOW = 20
 #: Rows of the count-min sketch.
 DEPTH = 2
-#: Entries that a slice holds about, and cells in each of its sketch rows.
-SLICE_ENTRIES = 1 << 20
-SLICE_CELLS = 1 << 22
+#: Windows that a slice holds about, a quarter of the cells in each of its sketch rows.
+SLICE_ENTRIES = SLICE_CELLS // 4
 #: Text bytes per window, low on purpose: it only sets how many slices there are.
 BYTES_PER_WINDOW = 6
 
@@ -74,23 +71,6 @@ class _Windows:
         return tuple(window_hashes(words, size, seed)[self.opening] for seed in (1, 2))
 
 
-def _cells(hashes: np.ndarray, row: int, slices: int) -> np.ndarray:
-    """The sketch cell of each window in one row, numbered through all slices."""
-    spread = mix(hashes + np.uint64(row))
-    cell = spread & np.uint64(SLICE_CELLS - 1)
-    return slice_of(spread, slices) * np.uint64(SLICE_CELLS) + cell
-
-
-def _filled(cells: np.ndarray, slices: int) -> list[tuple[int, np.ndarray]]:
-    """Per slice, the ascending cells that are filled."""
-    filled = np.unique(cells)
-    edges = np.searchsorted(filled, np.arange(slices + 1, dtype=np.uint64) * np.uint64(SLICE_CELLS))
-    return [
-        (number, filled[edges[number] : edges[number + 1]] - np.uint64(number * SLICE_CELLS))
-        for number in np.flatnonzero(np.diff(edges)).tolist()
-    ]
-
-
 def _sketch(size: int, slices: int):
     def run(table: pa.Table) -> pa.Table:
         unit = Unit(table)
@@ -100,7 +80,7 @@ def _sketch(size: int, slices: int):
             [
                 (row * slices + part, number, pack_ascending(cells.astype(np.int64)))
                 for row in range(DEPTH)
-                for part, cells in _filled(_cells(first, row, slices), slices)
+                for part, cells in filled_cells(cells_of(first, row, slices), slices)
             ]
         )
 
@@ -127,11 +107,11 @@ def _estimated_repeated(
     """Windows that every sketch row counts twice or more, here or in any other unit."""
     repeated = np.ones(len(hashes), bool)
     for row in range(DEPTH):
-        cells = _cells(hashes, row, slices)
+        cells = cells_of(hashes, row, slices)
         filled, place, here = np.unique(cells, return_inverse=True, return_counts=True)
         shared = [
             np.unpackbits(np.frombuffer(answers[row * slices + part], np.uint8), count=len(own))
-            for part, own in _filled(cells, slices)
+            for part, own in filled_cells(cells, slices)
         ]
         shared = np.concatenate(shared) if shared else np.zeros(0, np.uint8)
         repeated &= ((shared > 0) | (here > 1))[place]
@@ -146,71 +126,18 @@ def _entries(size: int, slices: int):
         heard = {part: data for part, _, data in read_messages(answers)}
         entry = np.flatnonzero(_estimated_repeated(first, heard, slices))
         number = table.column("_unit")[0].as_py()
-        first, second = first[entry], second[entry]
-        # Within the unit only a window's first start has to travel.
-        order = np.lexsort((second, first))
-        new = np.ones(len(entry), bool)
-        new[1:] = (first[order][1:] != first[order][:-1]) | (second[order][1:] != second[order][:-1])
-        leads = np.zeros(len(entry), bool)
-        leads[order[new]] = True
-        begins = windows.starts[windows.opening[entry]]
-        document = windows.document[windows.opening[entry]]
-        sent = []
-        lead = np.flatnonzero(leads)
-        for part, chosen in by_slice(slice_of(first[lead], slices)):
-            own = lead[chosen]
-            packed = [
-                pack_ascending(entry[own]),
-                pack(first[own]),
-                pack(second[own]),
-                pack_by_text(unit.ids[document[own]]),
-                pack_by_text(unit.copies[document[own]]),
-                pack_by_text(begins[own]),
-            ]
-            sent.append((part, number, b"".join(packed)))
-        # Later starts in the unit are known to be repeats; they pass through unread.
-        sent.append((-1 - number, number, pack_ascending(entry[~leads])))
-        return messages(sent)
+        opening = windows.opening[entry]
+        return send_first(
+            number,
+            entry,
+            (first[entry], second[entry]),
+            unit.positions(windows.document[opening], windows.starts[opening]),
+            slices,
+        )
 
     return run
 
 
-def _later(table: pa.Table) -> pa.Table:
-    """The entries of a slice whose window also starts earlier, back to their units."""
-    received = read_messages(table)
-    if received[0][0] < 0:
-        return messages(received)
-    columns = []
-    for _, number, data in received:
-        count = len(data) // 44
-        cuts = np.cumsum([0, 4, 8, 8, 8, 8, 8]) * count
-        parts = [data[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-        columns.append(
-            (
-                unpack_ascending(parts[0]),
-                unpack(parts[1], np.uint64),
-                unpack(parts[2], np.uint64),
-                *[unpack_by_text(part) for part in parts[3:]],
-                np.full(count, number, np.int64),
-            )
-        )
-    entry, first, second, ids, copies, begins, numbers = map(
-        np.concatenate, zip(*columns, strict=True)
-    )
-    order = np.lexsort((begins, copies, ids, second, first))
-    repeat = np.zeros(len(order), bool)
-    a, b = first[order], second[order]
-    repeat[1:] = (a[1:] == a[:-1]) & (b[1:] == b[:-1])
-    gone = np.sort(order[repeat])
-    part = received[0][0]
-    return messages(
-        [
-            (part, int(number), pack_ascending(np.sort(entry[gone[chosen]])))
-            for number, chosen in by_slice(numbers[gone])
-        ]
-    )
-
-
 def _removed(size: int):
     def run(table: pa.Table, answers: pa.Table) -> pa.Table:
         unit = Unit(table)
@@ -270,7 +197,7 @@ def remove_repeated_windows(
     entries = by_unit.cogroup(answers.groupBy("_unit")).applyInArrow(
         _entries(size, slices), MESSAGE_DDL
     )
-    later = entries.groupBy("_slice").applyInArrow(_later, MESSAGE_DDL)
+    later = entries.groupBy("_slice").applyInArrow(later_entries, MESSAGE_DDL)
     schema = result_schema(
         docs, "n_words long, n_removed long, kept_text string, removed array<struct<start:int,end:int>>"
     )

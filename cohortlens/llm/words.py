@@ -54,7 +54,8 @@ def _power_tables() -> list[np.ndarray]:
     return _POWERS
 
 
-_BYTE_VALUES = np.random.default_rng(7).integers(1, 2**63, 256).astype(np.uint64)
+#: Random values of the bytes, for two independent hashes.
+_BYTE_VALUES = np.random.default_rng(7).integers(1, 2**63, (2, 256)).astype(np.uint64)
 
 
 def mix(values: np.ndarray) -> np.ndarray:
@@ -104,11 +105,14 @@ def spans(
     return starts, ends, np.searchsorted(offsets, starts, "right") - 1
 
 
-def span_hashes(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each span's bytes. Starts and ends must ascend.
+def span_hashes(
+    buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray, lane: int = 0
+) -> np.ndarray:
+    """A 64-bit hash of each span's bytes; ``lane`` 0 and 1 are independent.
 
-    Polynomial prefix sums give all spans of a piece at once; the length is mixed
-    in. A span longer than a piece is hashed by xxHash.
+    Starts and ends must ascend; spans may overlap. Polynomial prefix sums give all spans
+    of a piece at once; the length is mixed in. A span longer than a piece is hashed by
+    xxHash.
     """
     power, inverse = _power_tables()
     found = np.empty(len(starts), np.uint64)
@@ -118,12 +122,12 @@ def span_hashes(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
         stop = int(np.searchsorted(ends, base + PIECE, "right"))
         if stop <= place:
             whole = buffer[base : int(ends[place])].tobytes()
-            found[place] = xxhash.xxh3_64_intdigest(whole)
+            found[place] = xxhash.xxh3_64_intdigest(whole, seed=lane)
             place += 1
             continue
         part = buffer[base : int(ends[stop - 1])]
         sums = np.zeros(len(part) + 1, np.uint64)
-        np.cumsum(_BYTE_VALUES[part] * power[: len(part)], out=sums[1:])
+        np.cumsum(_BYTE_VALUES[lane][part] * power[: len(part)], out=sums[1:])
         low, high = starts[place:stop] - base, ends[place:stop] - base
         found[place:stop] = (sums[high] - sums[low]) * inverse[low]
         place = stop

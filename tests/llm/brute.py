@@ -1,20 +1,107 @@
-"""Plain Python versions of the operators' results, written from their contracts."""
+"""Plain Python versions of the operators' results, written from their contracts.
 
+Documents are (doc_id, text) pairs with distinct ids.
+"""
+
+import base64
 import hashlib
 import re
+import struct
+import zlib
+
+import public_tokenizers
+import tiktoken
+from tokenizers import Tokenizer
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+LETTERS = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
 def sha(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()
 
 
+def raw(text) -> bytes:
+    return (text or "").encode()
+
+
+def token_files(docs, path=None):
+    own = Tokenizer.from_file(path or public_tokenizers.path("word_bpe_49k.json"))
+    found, start = {}, 0
+    for doc_id, text in sorted(docs):
+        ids = own.encode(text or "", add_special_tokens=False).ids + [1]
+        found[doc_id] = (start, len(ids), zlib.crc32(struct.pack(f"<{len(ids)}I", *ids)))
+        start += len(ids)
+    return found
+
+
+def token_counts(docs):
+    own = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    found = {}
+    for doc_id, text in docs:
+        count = len(own.encode(text or "", add_special_tokens=False).ids)
+        found[doc_id] = (len(raw(text)), count, count > 2048)
+    return found
+
+
+def shingles(text):
+    words = WORD.findall(re.sub(rb"[A-Z]", lambda m: m[0].lower(), raw(text)))
+    if len(words) < 2:
+        return {tuple(words)} if words else set()
+    return set(zip(words, words[1:]))
+
+
+def near_groups(docs):
+    sets = {doc_id: shingles(text) for doc_id, text in docs}
+    ids = sorted(sets, key=lambda i: len(sets[i]))
+    parent = {i: i for i in ids}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for place, a in enumerate(ids):
+        for b in ids[place + 1 :]:
+            if 100 * len(sets[a]) < 80 * len(sets[b]):
+                break
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both):
+                low, high = sorted((root(a), root(b)))
+                parent[high] = low
+    return {i: (len(sets[i]), root(i), root(i) == i) for i in ids}
+
+
+def lower_words(text):
+    return LETTERS.findall(re.sub(rb"[A-Z]", lambda m: m[0].lower(), raw(text)))
+
+
+def passages(docs, items, size=10):
+    windows = {}
+    for item_id, text in items:
+        words = lower_words(text)
+        if words:
+            width = min(size, len(words))
+            for start in range(len(words) - width + 1):
+                windows.setdefault(tuple(words[start : start + width]), set()).add(str(item_id))
+    found = {}
+    for doc_id, text in docs:
+        words, hit, names = lower_words(text), set(), set()
+        for width in {len(window) for window in windows}:
+            for start in range(len(words) - width + 1):
+                owners = windows.get(tuple(words[start : start + width]))
+                if owners:
+                    hit.update(range(start, start + width))
+                    names |= owners
+        joined = ",".join(sorted(names)).encode()
+        found[doc_id] = (len(words), len(hit), len(names), sha(joined), bool(hit))
+    return found
+
+
 def remove_windows(docs, size=20):
-    """docs: (doc_id, text) with distinct ids; {doc_id: (n_words, n_removed, kept_sha256)}."""
     seen, found = set(), {}
     for doc_id, text in sorted(docs):
-        words = WORD.findall((text or "").encode())
+        words = WORD.findall(raw(text))
         gone = [False] * len(words)
         for start in range(len(words) - size + 1):
             window = b" ".join(words[start : start + size])
@@ -24,3 +111,61 @@ def remove_windows(docs, size=20):
         kept = b" ".join(word for word, out in zip(words, gone) if not out)
         found[doc_id] = (len(words), sum(gone), sha(kept))
     return found
+
+
+def remove_bytes(docs, size=100):
+    seen, found = set(), {}
+    for doc_id, text in sorted(docs):
+        data = raw(text)
+        gone = bytearray(len(data))
+        for start in range(len(data) - size + 1):
+            piece = data[start : start + size]
+            if piece in seen:
+                gone[start : start + size] = b"\1" * size
+            seen.add(piece)
+        kept = bytes(byte for byte, out in zip(data, gone) if not out)
+        spans = len(re.findall(rb"\x01+", bytes(gone)))
+        found[doc_id] = (len(data), sum(gone), spans, sha(kept))
+    return found
+
+
+def byte_bpe(docs):
+    with open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb") as lines:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    own = tiktoken.Encoding(
+        "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+    )
+    found = {}
+    for doc_id, text in docs:
+        ids = own.encode_ordinary(text or "")
+        packed = struct.pack(f"<{len(ids)}I", *ids)
+        found[doc_id] = (len(ids), sha(packed), sha(raw(text)))
+    return found
+
+
+def quality_counts(docs):
+    found = {}
+    for doc_id, text in docs:
+        text = text or ""
+        words = re.findall(r"[^\x20\x09-\x0D]+", text)
+        seen, duplicates = set(), 0
+        for line in text.split("\n"):
+            if re.search(r"[^\x20\x09-\x0D]", line):
+                duplicates += line in seen
+                seen.add(line)
+        places = {}
+        for start in range(len(words) - 4):
+            places.setdefault(tuple(words[start : start + 5]), []).append(start)
+        repeated = {
+            start + step for all_ in places.values() if len(all_) > 1 for start in all_ for step in range(5)
+        }
+        failed = len(words) < 10 or 100 * len(repeated) > 20 * len(words)
+        found[doc_id] = (
+            len(words),
+            sum(map(len, words)),
+            len(re.findall(r"[#*$%&|<>]", text)),
+            duplicates,
+            len(repeated),
+            failed,
+        )
+    return found
