@@ -12,12 +12,13 @@ prolonged for the documents where one is not.
 Work stays in proportion to the documents:
 
 * documents with equal sets are one class, represented by its smallest doc_id;
-* a bucket (equal registers in a band) never makes all its pairs. Each round links all
-  its members to a few pivots and drops the pivots; members that a verified link has
-  joined to a pivot's group meanwhile are skipped, and a bucket whose members are all
-  in one group is done. So every pair of a bucket is either tested or already joined,
-  and a group of copies costs one link per member;
-* a pair's similarity is first estimated by the likelihood of its register comparisons
+* a bucket (equal registers in a band) never makes all its pairs. First all its members
+  are tested against one pivot, and verified links join most of a group of copies;
+* a bucket whose members are in one group by then is done. The others form cells with
+  the buckets that share members. There the members outside a cell's largest group are
+  compared with all, in blocks of bounded size, each of which gives only the links that
+  join its groups. So every two members of a bucket are either joined or compared;
+* a pair with a pivot is first estimated by the likelihood of its register comparisons
   given both set sizes, and verified on the full sets unless that is far too low.
 
 A null or empty text has an empty set and is linked with nothing. Fewer words than a
@@ -35,7 +36,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from cohortlens.llm.decontamination import bounded
 from cohortlens.llm.units import pack, unpack
@@ -62,11 +62,11 @@ REGISTERS = BANDS * BAND_REGISTERS
 GRID = 1.001
 #: Pairs with a lower estimate are not verified: over six deviations below the limit.
 LEAST_ESTIMATE = 0.62
-#: Pivots of a bucket in the first round, and how they grow from round to round.
-FIRST_PIVOTS = 1
-PIVOT_GROWTH = 4
-#: Parts into which a bucket is cut where its pivots are looked for.
-PIVOT_PARTS = 64
+#: Members of a block that are compared with those of another.
+BLOCK = 512
+#: Shingles with more holders in two blocks are compared as columns of a matrix, so many at once.
+FEW_HOLDERS, MATRIX_COLUMNS = 32, 8192
+LINK = "a long, b long"
 
 #: Draws that are made at once.
 DRAWS = 1 << 20
@@ -310,26 +310,6 @@ def components(links: DataFrame) -> DataFrame:
     return labels
 
 
-def _pivot_edges(buckets: DataFrame, pivots: int) -> DataFrame:
-    """The buckets' rows with the bucket's ``pivots`` smallest members and their groups.
-
-    The pivots come from aggregates that combine on the map side and hold few members;
-    only the join back meets a hot bucket whole, and Spark can split that.
-    """
-    member = F.struct("doc", "component")
-    if pivots == 1:
-        lead = buckets.groupBy("bucket").agg(F.array(F.min(member)).alias("pivots"))
-    else:
-        # Buckets are cut into parts by doc, whose lists are cut before they meet.
-        few = F.slice(F.sort_array(F.collect_list(member)), 1, pivots)
-        part = F.pmod(F.xxhash64("doc"), F.lit(PIVOT_PARTS))
-        parts = buckets.groupBy("bucket", part.alias("_part")).agg(few.alias("_few"))
-        lead = parts.groupBy("bucket").agg(
-            F.slice(F.sort_array(F.flatten(F.collect_list("_few"))), 1, pivots).alias("pivots")
-        )
-    return buckets.join(lead, "bucket")
-
-
 def near_groups(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every document."""
     text = F.coalesce(F.col("text").cast("string"), F.lit("")).alias("_text")
@@ -355,7 +335,7 @@ def near_groups(docs: DataFrame) -> DataFrame:
     crowded = banded.groupBy("bucket").agg(F.min("doc").alias("_low"), F.max("doc").alias("_high"))
     crowded = crowded.where(F.col("_low") != F.col("_high")).select("bucket")
     buckets = materialize(
-        banded.join(crowded, "bucket").select("bucket", "doc", F.col("doc").alias("component"))
+        banded.join(crowded, "bucket").select("bucket", "doc")
     )
     links = _links(named, buckets)
     # Rows of one doc_id with different texts are one document: their classes are linked.
@@ -380,8 +360,7 @@ def near_groups(docs: DataFrame) -> DataFrame:
 def _links(named: DataFrame, buckets: DataFrame) -> DataFrame:
     """Verified links among the members of the buckets, enough of them to join whatever any
     sequence of links joins."""
-    spark = named.sparkSession
-    empty = spark.createDataFrame([], "a long, b long")
+    empty = named.sparkSession.createDataFrame([], LINK)
     if buckets.isEmpty():
         return empty
     involved = buckets.select("doc").distinct()
@@ -390,36 +369,147 @@ def _links(named: DataFrame, buckets: DataFrame) -> DataFrame:
             _set_rows, "doc long, registers binary, shingles binary"
         )
     )
-    schema = T.StructType.fromDDL("a long, b long")
-    found, tested, pivots = empty, empty, FIRST_PIVOTS
-    while True:
-        held = _pivot_edges(buckets, pivots)
-        rest = held.where(~F.array_contains("pivots.doc", F.col("doc")))
-        apart = held.select("doc", "component", F.explode("pivots").alias("pivot")).where(
-            (F.col("doc") > F.col("pivot.doc"))
-            & (F.col("component") != F.col("pivot.component"))
-        )
-        pairs = apart.select(F.col("pivot.doc").alias("a"), F.col("doc").alias("b")).distinct()
-        pairs = materialize(pairs.join(tested, ["a", "b"], "left_anti"))
-        both = pairs
-        for side in "ab":
-            own = [F.col(name).alias(f"{name}_{side}") for name in ("registers", "shingles")]
-            both = both.join(sets.select(F.col("doc").alias(side), *own), side)
-        linked = materialize(both.mapInArrow(_verified, schema))
-        found = materialize(found.union(linked))
-        tested = materialize(tested.union(pairs))
-        group = components(found).withColumnRenamed("component", "_new")
-        grouped = rest.join(group, "doc", "left").select(
-            "bucket", "doc", F.coalesce("_new", "doc").alias("component")
-        )
-        mixed = grouped.groupBy("bucket").agg(
-            F.min("component").alias("_low"), F.max("component").alias("_high")
-        )
-        mixed = mixed.where(F.col("_low") != F.col("_high")).select("bucket")
-        buckets = materialize(grouped.join(mixed, "bucket", "left_semi"))
-        if buckets.isEmpty():
-            return found
-        pivots *= PIVOT_GROWTH
+    # The pivot comes from an aggregate that combines on the map side; only the join back
+    # meets a hot bucket whole, and Spark can split that.
+    pivots = buckets.groupBy("bucket").agg(F.min("doc").alias("a"))
+    both = materialize(
+        buckets.join(pivots, "bucket")
+        .where(F.col("doc") != F.col("a"))
+        .select("a", F.col("doc").alias("b"))
+        .distinct()
+    )
+    for side in "ab":
+        own = [F.col(name).alias(f"{name}_{side}") for name in ("registers", "shingles")]
+        both = both.join(sets.select(F.col("doc").alias(side), *own), side)
+    found = materialize(both.mapInArrow(_verified, LINK))
+    group = components(found)
+    grouped = buckets.join(group, "doc", "left").select(
+        "bucket", "doc", F.coalesce("component", "doc").alias("component")
+    )
+    ends = grouped.groupBy("bucket").agg(
+        F.min("component").alias("_low"), F.max("component").alias("_high")
+    )
+    mixed = ends.where(F.col("_low") != F.col("_high")).select("bucket")
+    rest = materialize(grouped.join(mixed, "bucket", "left_semi"))
+    if rest.isEmpty():
+        return found
+    return materialize(found.union(_links_across(rest, sets)))
+
+
+def _links_across(rest: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between members of different groups, in cells of buckets that share members.
+
+    In each cell all but the largest group's members are compared with all members, block
+    by block, on their full sets. Blocks hold few members and give at most one link for
+    each of them, however many pairs they look at.
+    """
+    low = rest.groupBy("bucket").agg(F.min("doc").alias("a"))
+    stars = rest.join(low, "bucket").select("a", F.col("doc").alias("b"))
+    cells = components(stars).withColumnRenamed("component", "cell")
+    members = materialize(rest.select("doc", "component").distinct().join(cells, "doc"))
+    groups = members.groupBy("cell", "component").agg(F.count(F.lit(1)).alias("n"))
+    cell = groups.groupBy("cell").agg(
+        F.max(F.struct("n", "component")).alias("_home"), F.sum("n").alias("_n")
+    )
+
+    def blocks(count):
+        return F.ceil(count / F.lit(BLOCK)).cast("int")
+
+    cell = cell.select(
+        "cell",
+        F.col("_home.component").alias("_home"),
+        blocks(F.col("_n")).alias("_all"),
+        blocks(F.col("_n") - F.col("_home.n")).alias("_others"),
+    )
+    held = members.join(cell, "cell").join(sets.select("doc", "shingles"), "doc")
+    spread = F.xxhash64("doc")
+
+    def every(count: str):
+        return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+
+    told = ["cell", "doc", "component", "shingles"]
+    others = held.where(F.col("component") != F.col("_home")).select(
+        *told,
+        F.lit(True).alias("asks"),
+        F.pmod(spread, F.col("_others")).cast("int").alias("row"),
+        every("_all").alias("column"),
+    )
+    everyone = held.select(
+        *told,
+        F.lit(False).alias("asks"),
+        every("_others").alias("row"),
+        F.pmod(spread, F.col("_all")).cast("int").alias("column"),
+    )
+    both = others.unionByName(everyone)
+    return both.groupBy("cell", "row", "column").applyInArrow(_block_links, LINK)
+
+
+def _shared(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many shingles each left set shares with each right one.
+
+    Shingles that many sets hold go through a product of matrices, the others through the
+    pairs of their few holders.
+    """
+    sets = [*left, *right]
+    owner = np.repeat(np.arange(len(sets)), [len(one) for one in sets])
+    _, shingle = np.unique(np.concatenate(sets), return_inverse=True)
+    shared = np.zeros((len(left), len(right)), np.float32)
+    asks = owner < len(left)
+    count = len(shingle) and int(shingle.max()) + 1
+    lefts = np.bincount(shingle[asks], minlength=count)
+    rights = np.bincount(shingle[~asks], minlength=count)
+    many = (lefts > 0) & (rights > 0) & (lefts + rights > FEW_HOLDERS)
+    few = (lefts > 0) & (rights > 0) & ~many
+    place = np.cumsum(many) - 1
+    total = int(many.sum())
+    for low in range(0, total, MATRIX_COLUMNS):
+        chosen = many[shingle] & (place[shingle] >= low) & (place[shingle] < low + MATRIX_COLUMNS)
+        held = np.zeros((len(sets), min(MATRIX_COLUMNS, total - low)), np.float32)
+        held[owner[chosen], place[shingle[chosen]] - low] = 1
+        shared += held[: len(left)] @ held[len(left) :].T
+    # Each holder on the left meets the run of holders on the right.
+    chosen = few[shingle]
+    a, b = chosen & asks, chosen & ~asks
+    order = np.argsort(shingle[b], kind="stable")
+    b_shingle, b_owner = shingle[b][order], owner[b][order] - len(left)
+    begin = np.searchsorted(b_shingle, shingle[a], "left")
+    runs = np.searchsorted(b_shingle, shingle[a], "right") - begin
+    where = np.repeat(begin - (np.cumsum(runs) - runs), runs) + np.arange(int(runs.sum()))
+    pair = np.repeat(owner[a], runs) * len(right) + b_owner[where]
+    shared += np.bincount(pair, minlength=shared.size).reshape(shared.shape)
+    return shared.astype(np.int64)
+
+
+def _block_links(table: pa.Table) -> pa.Table:
+    """Links of one block's askers with its other members, just enough to join them."""
+    order = np.argsort(table.column("doc").to_numpy(), kind="stable")
+    table = table.take(pa.array(order))
+    asks = table.column("asks").to_numpy(zero_copy_only=False)
+    docs, group = table.column("doc").to_numpy(), table.column("component").to_numpy()
+    sets = [_unpack_set(data) for data in table.column("shingles").to_pylist()]
+    left, right = np.flatnonzero(asks), np.flatnonzero(~asks)
+    found: list[tuple[int, int]] = []
+    if len(left) and len(right):
+        shared = _shared([sets[i] for i in left], [sets[i] for i in right])
+        sizes = np.array([len(one) for one in sets])
+        union = sizes[left][:, None] + sizes[right][None, :] - shared
+        linked = (100 * shared >= SIMILAR_PERCENT * union) & (shared > 0)
+        linked &= group[left][:, None] != group[right][None, :]
+        parent = {int(one): int(one) for one in np.unique(group)}
+
+        def root(one: int) -> int:
+            while parent[one] != one:
+                parent[one] = parent[parent[one]]
+                one = parent[one]
+            return one
+
+        for a, b in zip(*np.nonzero(linked), strict=True):
+            one, two = root(int(group[left[a]])), root(int(group[right[b]]))
+            if one != two:
+                parent[max(one, two)] = min(one, two)
+                found.append((int(docs[left[a]]), int(docs[right[b]])))
+    columns = list(zip(*found, strict=True)) if found else [(), ()]
+    return pa.table({name: pa.array(column, pa.int64()) for name, column in zip("ab", columns)})
 
 
 def keep_first(docs: DataFrame) -> DataFrame:

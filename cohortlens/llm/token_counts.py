@@ -44,33 +44,25 @@ def _offsets(tokenizer: Tokenizer, text: str, start: int, end: int) -> list[tupl
 
 
 def _splice(text: str, left: list, right: list, low: int, high: int) -> int | None:
-    """The first stable boundary of two chunks' tokens within ``low`` to ``high``."""
-    stable = [
-        start
-        for start, _, _ in right
-        if low < start < high and text[start - 1] in _WHITE
-    ]
+    """The first stable boundary of two chunks' tokens within ``low`` to ``high``.
+
+    Both chunks must agree from there to the last white space of the overlap; what
+    follows it is a word that the left chunk cuts off.
+    """
+    edge = max(text.rfind(mark, low, high) for mark in _WHITE)
     opened = {start for start, _, _ in left}
-    for boundary in stable:
-        if boundary not in opened:
+    for boundary, _, _ in right:
+        if not low < boundary < high or text[boundary - 1] not in _WHITE:
             continue
-        # Tokens that reach the left chunk's end may go on behind it.
-        ends = [end for _, end, _ in left]
-        last = max((end for end in ends if end < high), default=low)
-        a = [token for token in left if boundary <= token[0] and token[1] <= last]
-        b = [token for token in right if boundary <= token[0] and token[1] <= last]
-        inner = _until_white(text, a, high), _until_white(text, b, high)
-        if inner[0] == inner[1]:
+        inner = [
+            [token for token in tokens if boundary <= token[0] and token[1] <= edge]
+            for tokens in (left, right)
+        ]
+        if boundary in opened and inner[0] == inner[1]:
             return boundary
     return None
 
 
-def _until_white(text: str, tokens: list, high: int) -> list:
-    """The tokens before the last white space ahead of ``high``; later ones are cut off words."""
-    edge = max(text.rfind(mark, 0, high) for mark in _WHITE)
-    return [token for token in tokens if token[1] <= edge]
-
-
 def count_huge(
     tokenizer: Tokenizer, text: str, chunk: int = CHUNK, overlap: int = OVERLAP
 ) -> int:

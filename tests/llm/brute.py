@@ -169,3 +169,72 @@ def quality_counts(docs):
             failed,
         )
     return found
+
+
+BOILERPLATE = re.compile(
+    r"all rights reserved|cookie policy|privacy policy|terms of (use|service)|"
+    r"accept (all )?cookies|enable javascript|subscribe to our|sign up for our|"
+    r"lorem ipsum|click here|copyright \(c\)|spdx-license-identifier|"
+    r"licensed under the|permission is hereby granted",
+    re.IGNORECASE,
+)
+
+
+def line_fails(line):
+    words = re.findall(r"[^\x20\x09-\x0D]+", line)
+    if not words:
+        return False
+
+    def ends(word):
+        if word in ("…", "。", "！", "？") or word[-1] in ".!?:;":
+            return True
+        return len(word) > 1 and word[-1] in "\"')]}" and word[-2] in ".!?:;"
+
+    count = len(words)
+    doubled = sum(len(w) > 1 and w[-1] in "!?*#$%&" and w[-1] == w[-2] for w in words)
+    symbols = sum(bool(re.search(r"[#*$%&|<>]", w)) for w in words)
+    bars = sum(w in ("|", ">", "<", "»", "·", "•") for w in words)
+    echoes = sum(a == b for a, b in zip(words, words[1:]))
+    return (
+        (count >= 10 and not any(map(ends, words)))
+        or 10 * doubled >= 3 * count
+        or (symbols >= 3 and 10 * symbols >= 3 * count)
+        or (bars >= 3 and 4 * bars >= count)
+        or (count >= 10 and 2 * echoes >= count)
+        or (count <= 60 and bool(BOILERPLATE.search(line)))
+    )
+
+
+def keeps(text):
+    """The line-first verdict on one text."""
+    failed = quality_counts([(0, text)])[0][5]
+    lost = total = 0
+    for line in (text or "").split("\n"):
+        chars = sum(map(len, re.findall(r"[^\x20\x09-\x0D]+", line)))
+        total += chars
+        lost += chars * line_fails(line)
+    return not failed and 100 * lost <= 50 * total
+
+
+def kept_bytes(docs, size=100):
+    """{doc_id: the bytes that remain}."""
+    seen, found = set(), {}
+    for doc_id, text in sorted(docs):
+        data = raw(text)
+        gone = bytearray(len(data))
+        for start in range(len(data) - size + 1):
+            piece = data[start : start + size]
+            if piece in seen:
+                gone[start : start + size] = b"\1" * size
+            seen.add(piece)
+        found[doc_id] = bytes(byte for byte, out in zip(data, gone) if not out)
+    return found
+
+
+def pipeline(docs, items):
+    docs = [(i, t) for i, t in docs if keeps(t)]
+    groups = near_groups(docs)
+    docs = [(i, t) for i, t in docs if groups[i][2]]
+    docs = [(i, data.decode(errors="ignore")) for i, data in kept_bytes(docs).items()]
+    hits = passages(docs, items)
+    return byte_bpe([(i, t) for i, t in docs if not hits[i][4]])

@@ -31,7 +31,7 @@ def hostile(count=60, seed=4):
         texts[number] += " " + PASSAGE
     texts[7] = texts[3]
     texts[8] = texts[3] + " one more word"
-    for number in range(20, 32):
+    for number in range(20, min(32, count)):
         words = texts[19].split(" ")
         words[generator.randrange(len(words))] = f"edit{number}"
         texts[number] = " ".join(words)
