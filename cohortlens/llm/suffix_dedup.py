@@ -5,7 +5,9 @@ be equal. The start of every ``SIZE``-byte string belongs to the *segment* of st
 strings share one occurrence of their smallest ``CORE``-byte substring (by hash). Equal
 strings have equal cores, so only segments whose core occurs twice can hold one:
 
-1. units sketch their cores; slices answer which are shared, and which are in many units;
+1. a string reaches well beyond its core to one side, so units sketch their cores with
+   either side; slices answer which are shared, and which are in many units, and units
+   cut their segments to the strings that may occur twice;
 2. equal segments are grouped by 128 bits of hash: in all but the first every string
    comes earlier, and only the first one's bytes travel on, once;
 3. slices, by core, take the bytes of those first segments as a collection of sequences
@@ -59,24 +61,26 @@ from cohortlens.llm.units import (
     unpack_by_text,
     with_columns_back,
 )
-from cohortlens.llm.words import PIECE, covered, runs, span_hashes
+from cohortlens.llm.words import Rolling, covered, mix, runs, span_hashes
+from cohortlens.session import shuffle_width
 
 SIZE = 100
 CORE = 50
 #: Text bytes per segment, low on purpose, and segments that a slice of cores holds about.
 BYTES_PER_SEGMENT = 25
-SLICE_SEGMENTS = SLICE_CELLS // 8
+SLICE_SEGMENTS = SLICE_CELLS // 16
 #: Text bytes of the whole table for each slice of sequences.
 SEQUENCE_SLICE_BYTES = 2 << 20
 #: A core in more units than this is dealt string by string.
 MANY_UNITS = 64
-#: Starts are told apart from a segment's first by less than this.
-STRINGS_PER_SEGMENT = 64
+#: Starts that are cut into segments at once, and sequences of a collection, about.
+SEGMENT_PIECE = 1 << 17
+COLLECTION = 400
 
 #: Bits of a suffix's number that hold its length.
 _LENGTH_BITS = 31
-_PLACE_BITS = np.uint64(21)
-_PLACE = np.uint64((1 << 21) - 1)
+_PLACE_BITS = np.uint64(18)
+_PLACE = np.uint64((1 << 18) - 1)
 
 
 def _sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
@@ -94,46 +98,63 @@ class _Segments:
     """The segments of a unit's text: first start, number of starts, hash of the core.
 
     The core of a string is its substring with the smallest hash, the leftmost of equal
-    ones, so equal strings choose alike. Long texts are cut into pieces of starts; a cut
-    may divide a segment, which only makes two of it.
+    ones, so equal strings choose alike. Texts are cut into pieces of starts; a cut may
+    divide a segment, which only makes two of it.
+
+    A string reaches beyond its core by half of ``size - core`` bytes at least, to the
+    left or to the right: ``sides`` are hashes of the core with so many bytes of either
+    side, 0 where a segment has no string that reaches so far.
     """
 
     def __init__(self, unit: Unit, size: int, core: int):
-        found = [self._piece(unit, low, size, core) for low in self._pieces(unit, size)]
-        columns = zip(*found, strict=True) if found else [[np.zeros(0, np.int64)]] * 3
-        self.first, self.count, self.core = map(np.concatenate, columns)
-        self.core = self.core.astype(np.uint64)
+        ends = unit.offsets[1:]
+        found = [
+            self._piece(unit.buffer, low, size, core, ends)
+            for low in range(0, max(0, len(unit.buffer) - size + 1), SEGMENT_PIECE)
+        ]
+        columns = zip(*found, strict=True) if found else [[np.zeros(0, np.int64)]] * 6
+        self.first, self.count, self.place, *hashes = map(np.concatenate, columns)
+        self.core, *self.sides = [column.astype(np.uint64) for column in hashes]
         self.document = np.searchsorted(unit.offsets, self.first, "right") - 1
+        #: The last start whose string reaches left.
+        self.turn = self.place - (size - core) // 2
 
     @staticmethod
-    def _pieces(unit: Unit, size: int) -> range:
-        return range(0, max(0, len(unit.buffer) - size + 1), PIECE - size)
-
-    @staticmethod
-    def _piece(unit: Unit, low: int, size: int, core: int):
-        part = unit.buffer[low : low + PIECE - 1]
-        places = np.arange(len(part) - core + 1)
-        hashes = span_hashes(part, places, places + core)
-        keyed = (hashes >> _PLACE_BITS << _PLACE_BITS) | places.astype(np.uint64)
-        smallest = _sliding_minimum(keyed, size - core + 1) & _PLACE
-        starts = np.arange(len(smallest)) + low
-        inside = np.searchsorted(unit.offsets, starts, "right") == np.searchsorted(
-            unit.offsets, starts + size - 1, "right"
-        )
+    def _piece(buffer: np.ndarray, low: int, size: int, core: int, ends: np.ndarray):
+        part = Rolling(buffer[low : low + SEGMENT_PIECE + size - 1])
+        hashes = part.all(core)
+        places = np.arange(len(hashes), dtype=np.uint64)
+        keyed = (hashes >> _PLACE_BITS << _PLACE_BITS) | places
+        smallest = (_sliding_minimum(keyed, size - core + 1) & _PLACE).astype(np.int64)
+        # Strings that cross a document's end are none.
+        inner = ends[(ends > low) & (ends < low + part.count)] - low
+        crossing = np.bincount(np.maximum(inner - size + 1, 0), minlength=part.count + 1).astype(int)
+        crossing -= np.bincount(inner, minlength=part.count + 1)
+        inside = np.cumsum(crossing[: len(smallest)]) == 0
         opens = inside.copy()
         opens[1:] &= (smallest[1:] != smallest[:-1]) | ~inside[:-1]
         first = np.flatnonzero(opens)
         closes = inside.copy()
         closes[:-1] &= opens[1:] | ~inside[1:]
         last = np.flatnonzero(closes)
-        return first + low, last - first + 1, hashes[smallest[first].astype(np.int64)]
+        place = smallest[first]
+        reach = (size - core) // 2
+        other = size - core - reach
+        sides = np.zeros((2, len(first)), np.uint64)
+        # The leftmost string reaches left, the rightmost one right.
+        left = first <= place - reach
+        right = last + size >= place + core + other
+        sides[0, left] = part.at(place[left] - reach, core + reach)
+        sides[1, right] = mix(part.at(place[right], core + other))
+        return first + low, last - first + 1, place + low, hashes[place], *sides
 
 
 def _sketch(size: int, core: int, slices: int):
     def run(table: pa.Table) -> pa.Table:
         unit = Unit(table)
         number = table.column("_unit")[0].as_py()
-        cells = cells_of(_Segments(unit, size, core).core, 0, slices)
+        segments = _Segments(unit, size, core)
+        cells = cells_of(_side_hashes(segments), 0, slices)
         return messages(
             [
                 (part, number, pack_ascending(own.astype(np.int64)))
@@ -162,9 +183,14 @@ def _merge(table: pa.Table) -> pa.Table:
     )
 
 
-def _flags(cores: np.ndarray, heard: dict[int, bytes], slices: int):
-    """Per segment: may its core occur twice, and is it in many units?"""
-    cells = cells_of(cores, 0, slices)
+def _side_hashes(segments: _Segments) -> np.ndarray:
+    """What a unit sketches: cores with their left sides, then those with their right ones."""
+    return np.concatenate([side[side > 0] for side in segments.sides])
+
+
+def _flags(hashes: np.ndarray, heard: dict[int, bytes], slices: int):
+    """Per hash: may it occur twice, and is it in many units?"""
+    cells = cells_of(hashes, 0, slices)
     _, place, here = np.unique(cells, return_inverse=True, return_counts=True)
     bits = [
         np.unpackbits(np.frombuffer(heard[part], np.uint8), count=2 * len(own)).reshape(2, -1)
@@ -174,6 +200,28 @@ def _flags(cores: np.ndarray, heard: dict[int, bytes], slices: int):
     return ((shared > 0) | (here > 1))[place], (many > 0)[place]
 
 
+def _cut_to_shared(
+    segments: _Segments, heard: dict[int, bytes], slices: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Cut the segments to the strings that may occur twice.
+
+    Starts up to the turn reach left and need a shared left side, those behind it a shared
+    right one. Returns for both kinds which segments have a side in many units.
+    """
+    shared, many = _flags(_side_hashes(segments), heard, slices)
+    sides = [side > 0 for side in segments.sides]
+    flags = np.zeros((2, 2, len(segments.first)), bool)
+    cut = int(sides[0].sum())
+    for number, (own, found) in enumerate(zip(sides, (slice(0, cut), slice(cut, None)))):
+        flags[number, 0, own], flags[number, 1, own] = shared[found], many[found]
+    (left, left_many), (right, right_many) = flags
+    last = segments.first + segments.count - 1
+    segments.first = np.where(left, segments.first, np.maximum(segments.first, segments.turn + 1))
+    last = np.where(right, last, np.minimum(last, segments.turn))
+    segments.count = np.where(left | right, np.maximum(last - segments.first + 1, 0), 0)
+    return left_many, right_many
+
+
 def _pass_on(unit: int, *columns: np.ndarray) -> tuple[int, int, bytes]:
     """A message to the unit itself, which slices do not read."""
     packed = [pack_ascending(column) for column in columns]
@@ -192,16 +240,21 @@ def _segment_entries(size: int, core: int, slices: int):
         number = table.column("_unit")[0].as_py()
         segments = _Segments(unit, size, core)
         heard = {part: data for part, _, data in read_messages(answers)}
-        shared, many = _flags(segments.core, heard, slices)
-        entry = np.flatnonzero(shared)
+        many = _cut_to_shared(segments, heard, slices)
+        entry = np.flatnonzero(segments.count)
         starts = segments.first[entry]
         ends = starts + segments.count[entry] + size - 1
         hashes = tuple(span_hashes(unit.buffer, starts, ends, lane) for lane in (0, 1))
         positions = unit.positions(segments.document[entry], starts)
         sent = send_first(number, entry, hashes, positions, slices)
-        # The unit's own message, first, also says which segments were looked at.
+        # The unit's own message also says which segments were looked at, and how they were cut.
         own = _pass_on(
-            number, unpack_ascending(sent.column("data")[0].as_py()), entry, np.flatnonzero(many)
+            number,
+            unpack_ascending(sent.column("data")[0].as_py()),
+            entry,
+            *map(np.flatnonzero, many),
+            starts,
+            ends,
         )
         return messages([own, *[row for row in read_messages(sent) if row[0] >= 0]])
 
@@ -219,6 +272,12 @@ def _heard(answers: pa.Table, columns: int) -> tuple[list[np.ndarray], np.ndarra
     return passed, np.concatenate(told)
 
 
+def _each(starts: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each run's number and places, ``counts`` of them from its start on."""
+    number = np.repeat(np.arange(len(starts)), counts)
+    return number, starts[number] + np.arange(len(number)) - np.repeat(np.cumsum(counts) - counts, counts)
+
+
 def _sequences(size: int, core: int, slices: int):
     """The bytes of segments that come first, to the slice of their core."""
 
@@ -226,39 +285,44 @@ def _sequences(size: int, core: int, slices: int):
         unit = Unit(table)
         number = table.column("_unit")[0].as_py()
         segments = _Segments(unit, size, core)
-        (local, looked_at, many), told = _heard(answers, 3)
+        (local, looked_at, left_many, right_many, starts, ends), told = _heard(answers, 6)
         later = np.union1d(local, told)
-        lead = np.setdiff1d(looked_at, later)
-        hot = np.isin(lead, many)
-        whole = lead[~hot]
-        # Segments with a core in many units go string by string, each to its own slice.
-        single = np.repeat(lead[hot], segments.count[lead[hot]])
-        begins = np.cumsum(segments.count[lead[hot]]) - segments.count[lead[hot]]
-        within = np.arange(len(single)) - np.repeat(begins, segments.count[lead[hot]])
-        starts = segments.first[single] + within
-        order = np.argsort(starts, kind="stable")
-        own_hash = np.empty(len(single), np.uint64)
-        own_hash[order] = span_hashes(unit.buffer, starts[order], starts[order] + size)
-        code = np.concatenate(
-            [whole * STRINGS_PER_SEGMENT, single * STRINGS_PER_SEGMENT + within]
+        again = np.isin(looked_at, later)
+        lead, first, last = looked_at[~again], starts[~again], ends[~again] - size
+        turn = np.clip(segments.turn[lead], first - 1, last)
+        left_many, right_many = np.isin(lead, left_many), np.isin(lead, right_many)
+        # Strings with a side in many units go one by one, each to its own slice.
+        low = np.where(left_many, turn + 1, first)
+        high = np.where(right_many, turn, last)
+        whole = np.flatnonzero(low <= high)
+        single, singles = _each(
+            np.concatenate([first, turn + 1]),
+            np.concatenate(
+                [np.where(left_many, turn - first + 1, 0), np.where(right_many, last - turn, 0)]
+            ),
         )
-        begin = np.concatenate([segments.first[whole], starts])
+        single %= max(1, len(lead))
+        order = np.argsort(singles, kind="stable")
+        single, singles = single[order], singles[order]
+        begin = np.concatenate([low[whole], singles])
         length = np.concatenate(
-            [segments.count[whole] + size - 1, np.full(len(single), size, np.int64)]
+            [high[whole] - low[whole] + size, np.full(len(singles), size, np.int64)]
         )
-        key = np.concatenate([segments.core[whole], own_hash])
-        document = np.concatenate([segments.document[whole], segments.document[single]])
-        order = np.argsort(code, kind="stable")
-        code, begin, length, key, document = (
-            column[order] for column in (code, begin, length, key, document)
+        own_hash = span_hashes(unit.buffer, singles, singles + size)
+        key = np.concatenate([segments.core[lead[whole]], own_hash])
+        document = segments.document[np.concatenate([lead[whole], lead[single]])]
+        order = np.argsort(begin, kind="stable")
+        begin, length, key, document = (
+            column[order] for column in (begin, length, key, document)
         )
         positions = unit.positions(document, begin)
-        sent = [_pass_on(number, later)]
+        sent = [_pass_on(number, starts[again], ends[again])]
         data = unit.buffer.tobytes()
         for part, own in by_slice(slice_of(key, slices)):
             spans = zip(begin[own].tolist(), length[own].tolist(), strict=True)
             text = b"".join([data[low : low + count] for low, count in spans])
-            packed = [pack_ascending(code[own]), pack(length[own].astype(np.uint32))]
+            packed = [pack_ascending(begin[own]), pack(length[own].astype(np.uint32))]
+            packed.append(pack(key[own]))
             packed += [pack_by_text(column[own]) for column in positions]
             head = np.array([len(own)], np.int64).tobytes()
             sent.append((part, number, head + b"".join([*packed, text])))
@@ -345,6 +409,21 @@ class ColumnWise:
         return owner, self.lengths[owner] - left, number[shared]
 
 
+def _collections(key: np.ndarray) -> list[np.ndarray]:
+    """Places of the sequences, by collection: equal keys stay together, and a collection is
+    small enough for its runs to stay in a processor's cache."""
+    order = np.argsort(key, kind="stable")
+    opens = np.flatnonzero(np.diff(key[order], prepend=~key[order[:1]]))
+    sizes = np.diff(np.append(opens, len(order)))
+    number = (np.cumsum(sizes) - sizes) // COLLECTION
+    begins = opens[np.flatnonzero(np.diff(number, prepend=-1))]
+    # A sequence alone with its key has no equal string elsewhere.
+    alone = np.repeat(sizes == 1, sizes)
+    parts = np.split(np.arange(len(order)), begins[1:])
+    found = [order[part[~alone[part]]] for part in parts]
+    return [own for own in found if len(own)] or [order[:1]]
+
+
 def _strings_to_remove(size: int):
     def run(table: pa.Table) -> pa.Table:
         received = read_messages(table)
@@ -354,7 +433,7 @@ def _strings_to_remove(size: int):
         columns, texts = [], []
         for _, unit, data in received:
             count = int(np.frombuffer(data[:8], np.int64)[0])
-            cuts = 8 + count * np.cumsum([0, 4, 4, 8, 8, 8])
+            cuts = 8 + count * np.cumsum([0, 4, 4, 8, 8, 8, 8])
             packed = [data[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
             texts.append(data[cuts[-1] :])
             columns.append(
@@ -362,28 +441,32 @@ def _strings_to_remove(size: int):
                     np.full(count, unit),
                     unpack_ascending(packed[0]),
                     unpack(packed[1], np.uint32).astype(np.int64),
-                    *map(unpack_by_text, packed[2:]),
+                    unpack(packed[2], np.uint64),
+                    *map(unpack_by_text, packed[3:]),
                 )
             )
-        units, code, lengths, ids, copies, begin = map(np.concatenate, zip(*columns, strict=True))
-        built = ColumnWise(np.frombuffer(b"".join(texts), np.uint8), lengths)
-        owner, offset, group = built.groups(size)
-        later = later_than_first((group,), (ids[owner], copies[owner], begin[owner] + offset))
-        return answer(part, units[owner[later]], code[owner[later]] + offset[later])
+        columns = list(map(np.concatenate, zip(*columns, strict=True)))
+        units, code, lengths, key, ids, copies, begin = columns
+        text = np.frombuffer(b"".join(texts), np.uint8)
+        at = np.cumsum(lengths) - lengths
+        gone = []
+        for own in _collections(key):
+            held = np.concatenate([text[low : low + count] for low, count in zip(at[own], lengths[own])])
+            owner, offset, group = ColumnWise(held, lengths[own]).groups(size)
+            owner = own[owner]
+            later = later_than_first((group,), (ids[owner], copies[owner], begin[owner] + offset))
+            gone.append((units[owner[later]], code[owner[later]] + offset[later]))
+        return answer(part, *map(np.concatenate, zip(*gone, strict=True)))
 
     return run
 
 
-def _removed(size: int, core: int, as_text: bool):
+def _removed(size: int, as_text: bool):
     def run(table: pa.Table, answers: pa.Table) -> pa.Table:
         unit = Unit(table)
-        segments = _Segments(unit, size, core)
-        (later,), codes = _heard(answers, 1)
-        where, within = np.divmod(codes, STRINGS_PER_SEGMENT)
-        starts = np.concatenate([segments.first[later], segments.first[where] + within])
-        lengths = np.concatenate(
-            [segments.count[later] + size - 1, np.full(len(where), size, np.int64)]
-        )
+        (again, ends), codes = _heard(answers, 2)
+        starts = np.concatenate([again, codes])
+        lengths = np.concatenate([ends - again, np.full(len(codes), size, np.int64)])
         gone = covered(len(unit.buffer), starts, lengths)
         sizes, lost, pieces, kept = [], [], [], []
         for low, high in zip(unit.offsets[:-1], unit.offsets[1:], strict=True):
@@ -422,8 +505,8 @@ def remove_repeated_bytes(
     removed (maximal runs, the end exclusive) and kept: the remaining bytes, which may
     cut a character, or with ``as_text`` a string without such parts of characters.
     """
-    if not core <= size < core + STRINGS_PER_SEGMENT:
-        raise ValueError("a core must be shorter than the strings by less than 64 bytes")
+    if not 2 <= core <= size:
+        raise ValueError("a core must be a part of the strings")
     total = text_bytes(docs)
     slices = max(1, -(-total // (BYTES_PER_SEGMENT * SLICE_SEGMENTS)))
     bytes_slices = max(1, -(-total // SEQUENCE_SLICE_BYTES))
@@ -438,13 +521,15 @@ def remove_repeated_bytes(
 
     shared = to_units(_merge, by_unit.applyInArrow(_sketch(size, core, slices), MESSAGE_DDL))
     later = to_units(later_entries, by_units(_segment_entries(size, core, slices), shared))
-    marked = to_units(
-        _strings_to_remove(size), by_units(_sequences(size, core, bytes_slices), later)
+    # Construction takes more time than its bytes suggest, so its slices are not gathered.
+    sequences = by_units(_sequences(size, core, bytes_slices), later).repartition(
+        shuffle_width(docs.sparkSession), "_slice"
     )
+    marked = to_units(_strings_to_remove(size), sequences)
     schema = result_schema(
         docs,
         "n_bytes long, n_removed long, removed array<struct<start:int,end:int>>, "
         f"kept {'string' if as_text else 'binary'}",
     )
-    done = by_units(_removed(size, core, as_text), marked, schema)
+    done = by_units(_removed(size, as_text), marked, schema)
     return with_columns_back(done, columns, ["n_bytes", "n_removed", "removed", "kept"])

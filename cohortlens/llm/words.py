@@ -134,6 +134,31 @@ def span_hashes(
     return mix(found ^ ((ends - starts).astype(np.uint64) * _LEFT))
 
 
+def _of_length(width: int) -> np.uint64:
+    return np.uint64(width * int(_LEFT) & (2**64 - 1))
+
+
+class Rolling:
+    """Hashes of the substrings of at most a piece of bytes, as ``span_hashes`` has them."""
+
+    def __init__(self, buffer: np.ndarray):
+        power, self._inverse = _power_tables()
+        self.count = len(buffer)
+        self._sums = np.zeros(self.count + 1, np.uint64)
+        np.cumsum(_BYTE_VALUES[0][buffer] * power[: self.count], out=self._sums[1:])
+
+    def all(self, width: int) -> np.ndarray:
+        """Of each ``width`` consecutive bytes."""
+        count = max(0, self.count - width + 1)
+        found = (self._sums[width:] - self._sums[:count]) * self._inverse[:count]
+        return mix(found ^ _of_length(width))
+
+    def at(self, places: np.ndarray, width: int) -> np.ndarray:
+        """Of ``width`` bytes from the given places on."""
+        found = (self._sums[places + width] - self._sums[places]) * self._inverse[places]
+        return mix(found ^ _of_length(width))
+
+
 def _join(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return mix(left * _LEFT + right)
 

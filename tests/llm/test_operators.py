@@ -83,7 +83,8 @@ def test_removed_runs_give_the_kept_text(spark):
         assert b" ".join(found).decode() == row["kept_text"]
 
 
-def test_cores_in_many_units_go_string_by_string(spark, monkeypatch):
+@pytest.mark.parametrize("hot", [0, 1])
+def test_cores_in_many_units_go_string_by_string(spark, monkeypatch, hot):
     docs = cases.hostile(40)
     wanted = brute.remove_bytes(docs)
     rows = cases.frame(spark, docs)
@@ -92,11 +93,11 @@ def test_cores_in_many_units_go_string_by_string(spark, monkeypatch):
     monkeypatch.setattr(units.in_units, "__defaults__", ((), max(1, total // 12)))
     flags = suffix_dedup._flags
 
-    def all_hot(cores, heard, slices):
-        shared, _ = flags(cores, heard, slices)
-        return shared, shared
+    def some_hot(hashes, heard, slices):
+        shared, _ = flags(hashes, heard, slices)
+        return shared, shared & (hashes % np.uint64(2) == hot)
 
-    monkeypatch.setattr(suffix_dedup, "_flags", all_hot)
+    monkeypatch.setattr(suffix_dedup, "_flags", some_hot)
     found = suffix_dedup.remove_repeated_bytes(rows).select(
         "doc_id", "n_bytes", "n_removed", F.size("removed"), F.sha2("kept", 256)
     )
