@@ -35,27 +35,60 @@ TREES = 100
 NEIGHBORS = 5
 CLUSTERS = 3
 SEED = 42
-BINS = 64
-# Forests and the single tree stop here; fully grown trees do not fit large data.
-TREE_DEPTH = 10
-BOOST = {"maxIter": TREES, "maxDepth": 3, "stepSize": 0.1, "maxBins": BINS, "seed": SEED}
-FOREST = {"numTrees": TREES, "maxDepth": TREE_DEPTH, "maxBins": BINS, "seed": SEED}
+# Rounds that a clustering may take until its centres stand still.
+CLUSTER_ROUNDS = 300
+
+
+@dataclass(frozen=True)
+class Growth:
+    """How far trees grow.
+
+    ``depth`` is that of forests and the single tree, by default the deepest that Spark
+    builds, so they stop only at pure leaves; ``bins`` are the candidate cuts per feature;
+    boosting takes ``trees`` steps of ``boost_depth``.
+    """
+
+    trees: int = TREES
+    depth: int = 30
+    bins: int = 256
+    boost_depth: int = 3
+
+    def single(self) -> dict[str, int]:
+        return {"maxDepth": self.depth, "maxBins": self.bins, "seed": SEED}
+
+    def forest(self) -> dict[str, int]:
+        return self.single() | {"numTrees": self.trees}
+
+    def boost(self) -> dict[str, Any]:
+        return {
+            "maxIter": self.trees, "maxDepth": self.boost_depth, "stepSize": 0.1,
+            "maxBins": self.bins, "seed": SEED,
+        }
+
+
+FULL = Growth()
 
 
 @dataclass(frozen=True)
 class ModelRun:
-    """Test predictions in long form, one metrics row per model, and the weights."""
+    """Test predictions in long form, one metrics row per model, the weights, and rows per
+    model, actual and predicted class where there are classes."""
 
     predictions: DataFrame
     metrics: DataFrame
     importance: DataFrame | None = None
+    confusion: DataFrame | None = None
     models: Mapping[str, Any] = field(default_factory=dict)
 
 
 def prepare(
     mart: DataFrame, levels: Mapping[str, Sequence[str]] = ORDINAL_LEVELS
 ) -> tuple[DataFrame, list[str]]:
-    """Imputed and encoded rows, and the numeric feature columns."""
+    """Imputed and encoded rows, and the numeric feature columns.
+
+    The mart is read several times, for gaps, medians, modes and rows: it is written first.
+    """
+    mart = materialize(mart)
     encoded = prep.ordinal_encode(prep.impute_median_mode(mart.drop("academic_risk")), levels)
     return encoded, prep.numeric_feature_columns(encoded, TARGETS)
 
@@ -122,7 +155,7 @@ def _predict(
 
 
 def binary_models(
-    mart: DataFrame, levels: Mapping[str, Sequence[str]] = ORDINAL_LEVELS
+    mart: DataFrame, levels: Mapping[str, Sequence[str]] = ORDINAL_LEVELS, growth: Growth = FULL
 ) -> ModelRun:
     """Logistic regression, forest and boosting on ``passed``."""
     training, test, features = _parts(mart, "passed", levels)
@@ -131,8 +164,8 @@ def binary_models(
         "LogisticRegression": LogisticRegression(
             regParam=1.0 / size, standardization=False, maxIter=1000
         ),
-        "RandomForest": RandomForestClassifier(**FOREST),
-        "GradientBoosting": GBTClassifier(**BOOST),
+        "RandomForest": RandomForestClassifier(**growth.forest()),
+        "GradientBoosting": GBTClassifier(**growth.boost()),
     }
     models = {name: learner.fit(training) for name, learner in learners.items()}
     scored = _predict("binary", models, test, probability=True)
@@ -145,18 +178,19 @@ def binary_models(
         .join(metrics.binary_confusion(scored, "y_test", "y_pred", by), by)
         .withColumns({"msePI2": F.col("mse"), "r2PI2": F.col("r2")})
     )
-    return ModelRun(scored, table, _weights(models, features, "binary", mart), models)
+    cells = metrics.confusion(scored, "y_test", "y_pred", by)
+    return ModelRun(scored, table, _weights(models, features, "binary", mart), cells, models)
 
 
 def ordinal_models(
-    mart: DataFrame, levels: Mapping[str, Sequence[str]] = ORDINAL_LEVELS
+    mart: DataFrame, levels: Mapping[str, Sequence[str]] = ORDINAL_LEVELS, growth: Growth = FULL
 ) -> ModelRun:
     """Tree, forest and one-against-rest boosting on ``performance_tier``."""
     training, test, features = _parts(mart, "performance_tier", levels)
     learners = {
-        "DecisionTree": DecisionTreeClassifier(maxDepth=TREE_DEPTH, maxBins=BINS, seed=SEED),
-        "RandomForest": RandomForestClassifier(**FOREST),
-        "GradientBoosting": OneVsRest(classifier=GBTClassifier(**BOOST), parallelism=4),
+        "DecisionTree": DecisionTreeClassifier(**growth.single()),
+        "RandomForest": RandomForestClassifier(**growth.forest()),
+        "GradientBoosting": OneVsRest(classifier=GBTClassifier(**growth.boost()), parallelism=4),
     }
     models = {name: learner.fit(training) for name, learner in learners.items()}
     scored = _predict("ordinal", models, test)
@@ -164,17 +198,20 @@ def ordinal_models(
     table = metrics.class_scores(scored, "y_test", "y_pred", by).drop("f1_score").join(
         metrics.value_scores(scored, "y_test", "y_pred", by), by
     )
-    return ModelRun(scored, table, _weights(models, features, "ordinal", mart), models)
+    cells = metrics.confusion(scored, "y_test", "y_pred", by)
+    return ModelRun(scored, table, _weights(models, features, "ordinal", mart), cells, models)
 
 
 def regression_models(
-    mart: DataFrame, levels: Mapping[str, Sequence[str]] = ORDINAL_LEVELS
+    mart: DataFrame, levels: Mapping[str, Sequence[str]] = ORDINAL_LEVELS, growth: Growth = FULL
 ) -> ModelRun:
     """Linear regression, forest and nearest neighbours on the weighted score."""
     training, test, features = _parts(mart, SCORE, levels)
     learners = {
         "LinearRegression": LinearRegression(regParam=0.0),
-        "RandomForestRegressor": RandomForestRegressor(**FOREST, featureSubsetStrategy="all"),
+        "RandomForestRegressor": RandomForestRegressor(
+            **growth.forest(), featureSubsetStrategy="all"
+        ),
     }
     models = {name: learner.fit(training) for name, learner in learners.items()}
     near = neighbors.nearest_mean(training, test, features, "label", NEIGHBORS).select(
@@ -183,7 +220,8 @@ def regression_models(
     )
     scored = materialize(_predict("regression", models, test).unionByName(near))
     table = metrics.value_scores(scored, "y_test", "y_pred", ["type", "model"])
-    return ModelRun(scored, table, _weights(models, features, "regression", mart), models)
+    weights = _weights(models, features, "regression", mart)
+    return ModelRun(scored, table, weights, models=models)
 
 
 def segments(
@@ -196,7 +234,7 @@ def segments(
     rows, features = prepare(mart, levels)
     vectors = VectorAssembler(inputCols=features, outputCol="features")
     wide = vectors.transform(materialize(rows.select(*KEYS, *features)))
-    model = KMeans(k=CLUSTERS, seed=SEED).fit(wide)
+    model = KMeans(k=CLUSTERS, seed=SEED, maxIter=CLUSTER_ROUNDS).fit(wide)
     clustered = materialize(
         model.transform(wide).select(*KEYS, "features", F.col("prediction").alias("cluster"))
     )
@@ -206,18 +244,20 @@ def segments(
         "rows",
         F.lit(float(model.summary.trainingCost)).alias("inertia"),
         F.lit(float(silhouette)).alias("silhouette_score"),
+        F.lit(model.summary.numIter < CLUSTER_ROUNDS).alias("converged"),
     )
-    return ModelRun(clustered.drop("features"), table, None, {"KMeans": model})
+    return ModelRun(clustered.drop("features"), table, models={"KMeans": model})
 
 
 def run_all(
-    mart: DataFrame, levels: Mapping[str, Sequence[str]] = ORDINAL_LEVELS
+    mart: DataFrame, levels: Mapping[str, Sequence[str]] = ORDINAL_LEVELS, growth: Growth = FULL
 ) -> dict[str, ModelRun]:
-    """All four model families, one after another."""
+    """All four model families, one after another, on the mart computed once."""
+    mart = materialize(mart)
     return {
-        "binary": binary_models(mart, levels),
-        "ordinal": ordinal_models(mart, levels),
-        "regression": regression_models(mart, levels),
+        "binary": binary_models(mart, levels, growth),
+        "ordinal": ordinal_models(mart, levels, growth),
+        "regression": regression_models(mart, levels, growth),
         "unsupervised": segments(mart, levels),
     }
 

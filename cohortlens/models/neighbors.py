@@ -1,9 +1,11 @@
 """Exact k-nearest-neighbour mean as a partitioned join with triangle-inequality bounds.
 
-Training points belong to their nearest pivot. A query visits only the pivots
-whose ball can hold one of its k nearest points, in blocks of bounded size.
-Equal points are first reduced to the k that could ever be chosen, and equal
-queries to one, so repeated vectors do not add work.
+Training points belong to their nearest pivot, and so do queries. A query first looks
+among the points of its own pivot, which gives a true bound on its k-th distance, and
+then visits only the other pivots whose ball reaches within that bound, in blocks of
+bounded size. Equal points are first reduced to the k that could ever be chosen, and
+equal queries to one, so repeated vectors do not add work. Points are numbered by key
+once, so ties are settled by a number.
 """
 
 from __future__ import annotations
@@ -18,11 +20,15 @@ from pyspark.sql import functions as F
 
 from cohortlens.contract import KEYS
 from cohortlens.operators.joins import skew_join
+from cohortlens.operators.ranking import global_row_number
 from cohortlens.session import materialize
 
-# Pivots grow with the square root of the points, between these bounds.
-PIVOTS = (32, 2_048)
+# Pivots grow with the square root of the points, between these bounds; the driver and
+# every task hold them.
+PIVOTS = (32, 1 << 20)
 BLOCK_ROWS = 4_096
+# Bytes of the distances that a task holds at once.
+DISTANCE_BYTES = 64 << 20
 SALTS = 64
 # Slack for rounding in square roots; it only lets a few more pivots be visited.
 SLACK = 1e-9
@@ -56,12 +62,17 @@ def _first_rows(df: DataFrame, by: Sequence[str], order_by: Sequence[str], k: in
 
 
 def _training_points(df: DataFrame, features: Sequence[str], target: str, k: int) -> DataFrame:
-    """Per distinct vector, the first k rows by key; later ones can never be chosen."""
+    """Per distinct vector, the first k rows by key, numbered; later ones can never be chosen."""
     vector = F.array(*[F.col(name).cast("double") for name in features])
-    rows = df.select(
-        vector.alias("vector"), F.struct(*KEYS).alias("key"), F.col(target).cast("double").alias("y")
-    )
-    return _first_rows(rows, ["vector"], ["key"], k)
+    rows = df.select(*KEYS, vector.alias("vector"), F.col(target).cast("double").alias("y"))
+    numbered = global_row_number(rows, list(KEYS), "key").select("vector", "key", "y")
+    return _first_rows(numbered, ["vector"], ["key"], k)
+
+
+def _slices(rows: int, columns: int) -> Iterator[slice]:
+    """Cuts of ``rows`` whose distances to ``columns`` others fit in the stated bytes."""
+    step = max(1, DISTANCE_BYTES // (8 * max(1, columns)))
+    return (slice(low, low + step) for low in range(0, rows, step))
 
 
 def _with_pivots(points: DataFrame, pivots: np.ndarray) -> DataFrame:
@@ -69,35 +80,35 @@ def _with_pivots(points: DataFrame, pivots: np.ndarray) -> DataFrame:
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            far = np.sqrt(_distances(_points(batch), pivots)) if len(batch) else np.zeros((0, 1))
-            batch["pivot"] = far.argmin(axis=1).astype("int32")
-            batch["radius"] = far.min(axis=1)
-            yield batch
+            vectors = _points(batch)
+            nearest = np.zeros(len(batch), "int32")
+            radius = np.zeros(len(batch))
+            for part in _slices(len(batch), len(pivots)):
+                far = np.sqrt(_distances(vectors[part], pivots))
+                nearest[part], radius[part] = far.argmin(axis=1), far.min(axis=1)
+            yield batch.assign(pivot=nearest, radius=radius)
 
     schema = points.schema.simpleString()[len("struct<"):-1]
     return points.mapInPandas(assign, f"{schema},pivot:int,radius:double")
 
 
-def _visits(
-    queries: DataFrame, pivots: np.ndarray, reach: np.ndarray, close: np.ndarray, k: int
-) -> DataFrame:
-    """One row per query and pivot whose ball meets the query's k-th distance bound.
+def _visits(queries: DataFrame, pivots: np.ndarray, reach: np.ndarray) -> DataFrame:
+    """One row per query and other pivot whose ball reaches within the query's ``bound``.
 
-    ``reach`` is each pivot's largest radius, ``close`` its k smallest radii.
+    ``reach`` is each pivot's largest radius.
     """
 
     def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            if not len(batch):
-                continue
-            far = np.sqrt(_distances(_points(batch), pivots))
-            upper = (far[:, :, None] + close[None, :, :]).reshape(len(batch), -1)
-            bound = np.partition(upper, k - 1, axis=1)[:, k - 1]
-            bound = bound * (1 + SLACK) + SLACK
-            rows, cells = np.nonzero(far - reach[None, :] <= bound[:, None])
-            yield pd.DataFrame(
-                {"vector": batch["vector"].to_numpy()[rows], "pivot": cells.astype("int32")}
-            )
+            vectors, own = _points(batch), batch["pivot"].to_numpy()
+            bound = batch["bound"].to_numpy(float) * (1 + SLACK) + SLACK
+            for part in _slices(len(batch), len(pivots)):
+                far = np.sqrt(_distances(vectors[part], pivots))
+                near = far - reach[None, :] <= bound[part][:, None]
+                near[np.arange(len(near)), own[part]] = False
+                rows, cells = np.nonzero(near)
+                held = batch["vector"].to_numpy()[part]
+                yield pd.DataFrame({"vector": held[rows], "pivot": cells.astype("int32")})
 
     return queries.mapInPandas(visit, "vector array<double>, pivot int")
 
@@ -122,28 +133,58 @@ def _other_blocks(df: DataFrame, sizes: dict[int, int], name: str) -> DataFrame:
 def _block_nearest(k: int):
     def nearest(queries: pd.DataFrame, points: pd.DataFrame) -> pd.DataFrame:
         """The k nearest points of one block for each query of one block."""
+        parts = []
+        if len(points):
+            points = points.sort_values("key")
+            keys, values = points["key"].to_numpy(), points["y"].to_numpy()
+            asked, held = _points(queries), _points(points)
+            most = min(k, len(points))
+            for part in _slices(len(queries), len(points)):
+                found = _distances(asked[part], held)
+                # All points up to the k-th distance, then by distance and key: ties are whole.
+                edge = np.partition(found, most - 1, axis=1)[:, most - 1]
+                rows, picked = np.nonzero(found <= edge[:, None])
+                order = np.lexsort((picked, found[rows, picked], rows))
+                rows, picked = rows[order], picked[order]
+                place = np.arange(len(rows)) - np.searchsorted(rows, rows)
+                rows, picked = rows[place < k], picked[place < k]
+                parts.append(
+                    pd.DataFrame(
+                        {
+                            "vector": queries["vector"].to_numpy()[part][rows],
+                            "distance": found[rows, picked],
+                            "key": keys[picked],
+                            "y": values[picked],
+                        }
+                    )
+                )
         columns = ["vector", "distance", "key", "y"]
-        if not len(queries) or not len(points):
-            return pd.DataFrame({name: [] for name in columns})
-        order = points["key"].map(lambda key: tuple(key.values())).argsort()
-        points = points.iloc[order.to_numpy()]
-        found = _distances(_points(queries), _points(points))
-        # Points are in key order, so a stable sort settles equal distances by key.
-        best = np.argsort(found, axis=1, kind="stable")[:, :k]
-        rows = np.repeat(np.arange(len(queries)), best.shape[1])
-        picked = best.ravel()
-        return pd.DataFrame(
-            {
-                "vector": queries["vector"].to_numpy()[rows],
-                "distance": found[rows, picked],
-                "key": points["key"].to_numpy()[picked],
-                "y": points["y"].to_numpy()[picked],
-            }
-        )
+        return pd.concat(parts) if parts else pd.DataFrame({name: [] for name in columns})
 
     return nearest
 
 
+def _search(visits: DataFrame, placed: DataFrame, point_sizes: dict[int, int], k: int) -> DataFrame:
+    """The k nearest points per query and block of the pivots that it visits."""
+    visit_sizes = {
+        row["pivot"]: row["count"] for row in visits.groupBy("pivot").count().collect()
+    }
+    if not visit_sizes:
+        return placed.select("vector", F.lit(0.0).alias("distance"), "key", "y").limit(0)
+    left = _other_blocks(
+        _blocks(visits, visit_sizes, ["vector"], "query_block"), point_sizes, "point_block"
+    )
+    right = _other_blocks(
+        _blocks(placed.drop("radius"), point_sizes, ["key"], "point_block"), visit_sizes, "query_block"
+    )
+    block = ["pivot", "query_block", "point_block"]
+    return (
+        left.groupBy(*block)
+        .cogroup(right.groupBy(*block))
+        .applyInPandas(_block_nearest(k), "vector array<double>, distance double, key long, y double")
+    )
+
+
 def nearest_mean(
     training: DataFrame, queries: DataFrame, features: Sequence[str], target: str, k: int = 5
 ) -> DataFrame:
@@ -161,39 +202,24 @@ def nearest_mean(
     sample = points.select("vector").distinct().orderBy(F.xxhash64("vector"), "vector").limit(wanted)
     pivots = np.array([row["vector"] for row in sample.collect()], dtype=float)
     placed = materialize(_with_pivots(points, pivots))
-    totals = placed.groupBy("pivot").agg(
+    facts = placed.groupBy("pivot").agg(
         F.max("radius").alias("reach"), F.count(F.lit(1)).alias("rows")
-    )
-    nearest = _first_rows(placed, ["pivot"], ["radius", "key"], k).groupBy("pivot").agg(
-        F.array_sort(F.collect_list("radius")).alias("close")
-    )
-    facts = totals.join(nearest, "pivot").collect()
+    ).collect()
     reach = np.full(len(pivots), -np.inf)
-    close = np.full((len(pivots), k), np.inf)
     for fact in facts:
         reach[fact["pivot"]] = fact["reach"]
-        close[fact["pivot"], : len(fact["close"])] = fact["close"]
     point_sizes = {fact["pivot"]: fact["rows"] for fact in facts}
 
-    visits = materialize(_visits(distinct, pivots, reach, close, k))
-    visit_sizes = {
-        row["pivot"]: row["count"] for row in visits.groupBy("pivot").count().collect()
-    }
-    left = _other_blocks(
-        _blocks(visits, visit_sizes, ["vector"], "query_block"), point_sizes, "point_block"
-    )
-    right = _other_blocks(
-        _blocks(placed.drop("radius"), point_sizes, ["key"], "point_block"), visit_sizes, "query_block"
-    )
-    block = ["pivot", "query_block", "point_block"]
-    key_type = points.schema["key"].dataType.simpleString()
-    partial = (
-        left.groupBy(*block)
-        .cogroup(right.groupBy(*block))
-        .applyInPandas(
-            _block_nearest(k), f"vector array<double>, distance double, key {key_type}, y double"
-        )
+    at_home = materialize(_with_pivots(distinct, pivots).drop("radius"))
+    first = materialize(
+        _first_rows(_search(at_home, placed, point_sizes, k), ["vector"], ["distance", "key"], k)
     )
+    found = first.groupBy("vector").agg(F.count(F.lit(1)).alias("_n"), F.max("distance").alias("_d"))
+    # Fewer than k points at home bound nothing.
+    bound = F.when(F.col("_n") >= k, F.sqrt("_d")).otherwise(F.lit(float("inf")))
+    bounded = at_home.join(found, "vector", "left").select("vector", "pivot", bound.alias("bound"))
+    visits = materialize(_visits(bounded, pivots, reach))
+    partial = first.unionByName(_search(visits, placed, point_sizes, k))
     answers = (
         _first_rows(partial, ["vector"], ["distance", "key"], k)
         .groupBy("vector")

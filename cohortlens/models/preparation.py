@@ -18,6 +18,18 @@ from cohortlens.operators.joins import dimension_join
 from cohortlens.operators.ranking import distribution_percentiles, running_totals
 
 ALL_ROWS = -1
+# Most values a category may have: each is a column of the encoded features.
+MOST_LEVELS = 10_000
+
+
+def check_width(counts: DataFrame, what: str, most: int = MOST_LEVELS) -> None:
+    """Refuse a field with more values than an encoding or a record can hold.
+
+    ``counts`` has one row per field, its number of values in ``count``.
+    """
+    wide = counts.where(F.col("count") > most).limit(1).collect()
+    if wide:
+        raise ValueError(f"{what}: {wide[0].asDict()} has more than {most} values")
 
 
 @dataclass(frozen=True)
@@ -103,6 +115,7 @@ def _category_statistics(df: DataFrame, folds: int) -> DataFrame:
         .groupBy(*by, "value")
         .agg(F.sum("n").alias("n"))
     )
+    check_width(counts.groupBy(*by).count(), "categories")
     best = F.min(F.struct((-F.col("n")).alias("rank"), "value"))
     # One entry per category: the width of the one-hot encoding.
     return counts.groupBy(*by).agg(

@@ -92,12 +92,17 @@ class FittedRisk:
         return "unavailable", []
 
 
+def no_weights_reason(fitted: FittedRisk) -> str | None:
+    """Why a model shows no importances, or None where it does."""
+    return None if fitted.model is not None else f"{fitted.name} exposes no weights"
+
+
 def importance_table(spark: SparkSession, fitted: FittedRisk, top: int = TOP_IMPORTANCES) -> DataFrame:
     """The strongest features; one row with a reason when the model shows none."""
     kind, values = fitted.importance()
     rows = [(fitted.name, kind, name, value) for name, value in values]
     if not rows:
-        rows = [(fitted.name, f"{kind}: {fitted.name} exposes no weights", None, None)]
+        rows = [(fitted.name, f"{kind}: {no_weights_reason(fitted)}", None, None)]
     table = spark.createDataFrame(rows, "model string, kind string, feature string, importance double")
     return table.orderBy(F.col("importance").desc_nulls_last(), "feature").limit(top)
 

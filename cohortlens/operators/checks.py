@@ -10,7 +10,8 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from py4j.protocol import Py4JError
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,7 +34,7 @@ class CheckError(ValueError):
 def require_columns(df: DataFrame, columns: Iterable[str], source: str) -> None:
     missing = sorted(set(columns).difference(df.columns))
     if missing:
-        raise CheckError(f"{source} is missing required columns: {missing}")
+        raise CheckError(f"{source} lacks the columns {missing}")
 
 
 def reject_banned_columns(
@@ -46,15 +47,14 @@ def reject_banned_columns(
 
 def check_contract_columns(df: DataFrame, source: str, allow_outcomes: bool = False) -> None:
     """Keys and features present, outcomes only where allowed, nothing else."""
-    needed = {*KEYS, *FEATURES}
-    require_columns(df, needed, source)
-    outcomes = sorted(set(OUTCOMES).intersection(df.columns))
-    if outcomes and not allow_outcomes:
-        raise CheckError(f"{source} must not contain target or outcome columns: {outcomes}")
-    extra = {*OUTCOMES, *SENSITIVE} if allow_outcomes else set()
-    unsupported = sorted(set(df.columns) - needed - extra)
-    if unsupported:
-        raise CheckError(f"{source} contains unsupported columns: {unsupported}")
+    require_columns(df, (*KEYS, *FEATURES), source)
+    allowed = {*KEYS, *FEATURES, *((*OUTCOMES, *SENSITIVE) if allow_outcomes else ())}
+    other = [name for name in df.columns if name not in allowed]
+    leaks = sorted(set(other).intersection(OUTCOMES))
+    if leaks:
+        raise CheckError(f"{source} would leak the outcomes {leaks}")
+    if other:
+        raise CheckError(f"{source} has columns outside the feature contract: {sorted(other)}")
 
 
 def _violations(df: DataFrame, conditions: Mapping[str, Column]) -> DataFrame:
@@ -82,10 +82,40 @@ def range_rules(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
     return _violations(df, rules)
 
 
+def _row_rules(required: Sequence[str], broken: Mapping[str, Column]) -> dict[str, Column]:
+    return {f"missing_{name}": F.col(name).isNull() for name in required} | dict(broken)
+
+
 def rules(df: DataFrame, required: Sequence[str], broken: Mapping[str, Column]) -> DataFrame:
     """Null counts of required columns and range rules together, in one pass."""
-    nulls = {f"missing_{name}": F.col(name).isNull() for name in required}
-    return _violations(df, {**nulls, **broken})
+    return _violations(df, _row_rules(required, broken))
+
+
+def observed_rules(
+    df: DataFrame, required: Sequence[str], broken: Mapping[str, Column]
+) -> tuple[DataFrame, Observation]:
+    """``rules`` counted while another job reads the rows, without a pass of their own."""
+    told = Observation()
+    tests = _row_rules(required, broken)
+    return df.observe(told, *[F.count_if(test).alias(name) for name, test in tests.items()]), told
+
+
+def require_observed(
+    told: Observation, df: DataFrame, required: Sequence[str], broken: Mapping[str, Column], source: str
+) -> None:
+    """Raise for observed violations; the job that reads the rows must have ended.
+
+    Where nothing is left to read, Spark may drop the counting with the rest of the plan;
+    the rules then take a pass of their own.
+    """
+    try:
+        counts = told.get
+    except Py4JError:
+        require(rules(df, required, broken), source)
+        return
+    found = {name: count for name, count in counts.items() if count}
+    if found:
+        raise CheckError(f"{source} breaks {found}")
 
 
 def keyed_rules(
@@ -184,22 +214,28 @@ def require(checks: DataFrame, source: str) -> None:
 
 
 def coerce_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Text columns as doubles, unparsable text as null; numbers stay as they are."""
+    """Text columns as doubles, unparsable text as null; numbers stay as they are.
+
+    Not-a-number is a missing value, whether it comes as a number or as text.
+    """
     numeric = {
         field.name for field in df.schema.fields if isinstance(field.dataType, T.NumericType)
     }
-    return df.withColumns(
-        {name: F.col(name).try_cast("double") for name in columns if name not in numeric}
-    )
+    parsed = {name: F.col(name).try_cast("double") for name in columns if name not in numeric}
+    return nan_to_null(df.withColumns(parsed), columns)
+
 
+def nan_to_null(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
+    """Floating-point not-a-number as null, in all columns or the given ones.
 
-def nan_to_null(df: DataFrame) -> DataFrame:
-    """Missing floating-point numbers as null."""
+    Comparisons place it above every number, so a filter by day would drop it unseen.
+    """
+    wanted = set(df.columns if columns is None else columns)
     return df.withColumns(
         {
             name: F.when(~F.isnan(name), F.col(name))
             for name, kind in df.dtypes
-            if kind in ("double", "float")
+            if kind in ("double", "float") and name in wanted
         }
     )
 

@@ -10,16 +10,19 @@ from pyspark.sql import functions as F
 from cohortlens.contract import KEYS
 
 SALTS = 8
+# Rows of a key that one task takes, and the most keys that can be called hot.
 HOT_ROWS = 1_000_000
+MOST_HOT = 1_000
 
 
-def _row_salt(columns: Sequence[str], salts: int) -> Column:
+def _row_salt(columns: Sequence[str], salts: int | Column) -> Column:
     """A salt from the row's content, so a retried task repeats it.
 
     Rows equal in ``columns`` share a salt, so these should tell most rows of a
     key apart, and be few: every column named here has to be read.
     """
-    return F.pmod(F.xxhash64(*[F.col(name) for name in columns]), F.lit(salts)).cast("int")
+    salts = F.lit(salts) if isinstance(salts, int) else salts
+    return F.pmod(F.xxhash64(*[F.col(name) for name in columns]), salts).cast("int")
 
 
 def dimension_join(
@@ -43,11 +46,19 @@ def dimension_join(
     )
 
 
-def hot_keys(df: DataFrame, on: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with at least ``hot_rows`` rows; at most ``rows / hot_rows`` of them exist."""
-    return df.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows")).where(
-        F.col("_rows") >= hot_rows
-    ).select(*on)
+def hot_keys(
+    df: DataFrame, on: Sequence[str], hot_rows: int = HOT_ROWS, most: int = MOST_HOT
+) -> DataFrame:
+    """Keys with at least ``hot_rows`` rows and one ``most``-th of all rows, and their salts.
+
+    There are at most ``most`` of them however many rows there are; a key gets one salt
+    for each ``hot_rows`` of its rows.
+    """
+    counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
+    total = counts.agg(F.sum("_rows")).scalar()
+    return counts.where(
+        (F.col("_rows") >= hot_rows) & (F.col("_rows") * F.lit(most) >= total)
+    ).select(*on, F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("int").alias("_salts"))
 
 
 def skew_join(
@@ -57,25 +68,24 @@ def skew_join(
     how: str = "inner",
     salt_by: Sequence[str] = KEYS,
     hot_rows: int = HOT_ROWS,
-    salts: int = SALTS,
+    most: int = MOST_HOT,
 ) -> DataFrame:
     """Join a skewed left side to a large right side holding one row per key.
 
-    Only the keys counted as hot are salted on the left and copied on the right,
-    so the right side does not grow. The list of hot keys is bounded by
-    ``rows / hot_rows``, which is what makes broadcasting it safe.
+    Only hot keys are salted on the left and copied on the right, as often as their rows
+    need, so a hot key's tasks stay bounded and the right side hardly grows. How the short
+    list of hot keys is joined is left to Spark.
     """
-    hot = F.broadcast(hot_keys(left, on, hot_rows).withColumn("_hot", F.lit(True)))
-    is_hot = F.coalesce(F.col("_hot"), F.lit(False))
+    hot = hot_keys(left, on, hot_rows, most)
+    salts = F.coalesce(F.col("_salts"), F.lit(1))
     salted = (
         left.join(hot, list(on), "left")
-        .withColumn("_salt", F.when(is_hot, _row_salt(salt_by, salts)).otherwise(0))
-        .drop("_hot")
+        .withColumn("_salt", _row_salt(salt_by, salts))
+        .drop("_salts")
     )
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     spread = (
         right.join(hot, list(on), "left")
-        .withColumn("_salt", F.explode(copies))
-        .drop("_hot")
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+        .drop("_salts")
     )
     return salted.join(spread, [*on, "_salt"], how).drop("_salt")

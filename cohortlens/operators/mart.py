@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.contract import (
     ACTIVITY,
+    ARTIFACTS,
     ARTIFACT_VERSION,
     COURSE_KEYS,
     KEYS,
@@ -17,7 +18,7 @@ from cohortlens.contract import (
     require_cutoff,
 )
 from cohortlens.functions.expressions import passed, performance_tier
-from cohortlens.operators.joins import dimension_join, skew_join
+from cohortlens.operators.joins import dimension_join
 from cohortlens.sources.roles import RoleTables
 
 
@@ -29,7 +30,8 @@ def cohort(roles: RoleTables, cutoff_day: int) -> DataFrame:
     enrolled = roles.enrollment.where(
         F.col("date_registration").isNotNull() & (F.col("date_registration") <= cutoff_day)
     )
-    with_student = skew_join(enrolled, roles.student, ["id_student"])
+    # A student has one enrollment per course and presentation, so no key is heavy.
+    with_student = enrolled.join(roles.student, "id_student")
     return dimension_join(with_student, roles.course, COURSE_KEYS).select(
         *KEYS,
         "gender",
@@ -138,7 +140,6 @@ def artifact_metadata(
     """One row describing the artifact tables."""
     moment = (generated_at or datetime.now(timezone.utc)).astimezone(timezone.utc)
     feature_columns = [name for name in mart.columns if name not in (*KEYS, *TARGETS)]
-    names = {name: f"{name}" for name in ("full", "features", "targets")}
     return mart.agg(F.count(F.lit(1)).alias("row_count")).select(
         F.lit(ARTIFACT_VERSION).alias("artifact_version"),
         F.lit(require_cutoff(cutoff_day)).alias("cutoff_day"),
@@ -147,5 +148,5 @@ def artifact_metadata(
         F.col("row_count"),
         F.lit(len(feature_columns)).alias("feature_column_count"),
         F.lit(len(TARGETS)).alias("target_column_count"),
-        F.struct(*[F.lit(value).alias(key) for key, value in names.items()]).alias("artifacts"),
+        F.struct(*[F.lit(table).alias(name) for name, table in ARTIFACTS.items()]).alias("artifacts"),
     )

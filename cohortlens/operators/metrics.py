@@ -20,6 +20,7 @@ from cohortlens.operators.ranking import (
     global_row_number,
     running_totals,
 )
+from cohortlens.session import materialize
 
 METRICS = ("pr_auc", "roc_auc", "brier_score", "precision_at_0_5", "recall_at_0_5")
 EVERYTHING = "_everything"
@@ -160,19 +161,31 @@ def capacity_metrics(
     keys: Sequence[str] = KEYS,
 ) -> DataFrame:
     """Precision and recall when the top share of rows is selected; ties go by key."""
-    rows = df.select(*keys, F.col(probability).alias("_p"), F.col(label).cast("bigint").alias("_y"))
-    ranked = global_row_number(rows, [F.col("_p").desc(), *keys], "place")
-    chosen = F.greatest(F.lit(1), F.floor(F.col("place_total") * F.lit(float(capacity))))
-    hits = F.sum(F.when(F.col("place") <= chosen, F.col("_y")).otherwise(0))
-    return (
-        ranked.groupBy("place_total")
-        .agg(hits.alias("_hits"), F.sum("_y").alias("_positives"))
-        .select(
-            F.lit(float(capacity)).alias("capacity"),
-            chosen.cast("bigint").alias("selected_rows"),
-            (F.col("_hits") / chosen).alias("precision"),
-            _ratio(F.col("_hits"), F.col("_positives")).alias("recall"),
-        )
+    rows = materialize(
+        df.select(*keys, F.col(probability).alias("_p"), F.col(label).cast("bigint").alias("_y"))
+    )
+    scores = materialize(score_table(rows, "_y", "_p"))
+    chosen = F.greatest(F.lit(1), F.floor(F.col("rows_total") * F.lit(float(capacity))))
+    after = F.col("rows_before") + F.col("rows")
+    # One row: the probability at which the selection ends.
+    cut = scores.where((F.col("rows_before") < chosen) & (chosen <= after)).select(
+        F.col("probability").alias("_p"),
+        (chosen - F.col("rows_before")).alias("_needed"),
+        chosen.cast("bigint").alias("selected_rows"),
+        "positives_before",
+        "positives_total",
+    )
+    # Only rows tied at the cut need an order.
+    tied = global_row_number(rows.join(cut.select("_p"), "_p", "left_semi"), list(keys), "place")
+    taken = tied.join(cut, "_p").groupBy("selected_rows", "positives_before", "positives_total").agg(
+        F.sum(F.when(F.col("place") <= F.col("_needed"), F.col("_y")).otherwise(0)).alias("_tied")
+    )
+    hits = F.col("positives_before") + F.col("_tied")
+    return taken.select(
+        F.lit(float(capacity)).alias("capacity"),
+        "selected_rows",
+        (hits / F.col("selected_rows")).alias("precision"),
+        _ratio(hits, F.col("positives_total")).alias("recall"),
     )
 
 

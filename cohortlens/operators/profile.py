@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
@@ -317,7 +318,44 @@ def _risk_rate(df: DataFrame, *by: str) -> DataFrame:
 
 
 def risk_by_engagement_quartile(mart: DataFrame) -> DataFrame:
-    return _risk_rate(engagement_quartiles(mart), "engagement_quantile")
+    """Rows and risk per quartile by clicks; equal clicks are ordered by key.
+
+    A click count whose rows all fall into one quartile needs no order of rows. At most
+    three counts straddle an edge; only their rows are numbered.
+    """
+    risk = F.coalesce(academic_risk(F.col("final_result")), F.lit(0))
+    rows = materialize(
+        mart.where(F.col(ENGAGEMENT).isNotNull()).select(
+            *KEYS, F.col(ENGAGEMENT).alias("_clicks"), risk.alias("_risk")
+        )
+    )
+    counts = rows.groupBy("_clicks").agg(F.count(F.lit(1)).alias("n"), F.sum("_risk").alias("_risk"))
+    totals = running_totals(counts, [], ["_clicks"], ["n"])
+    low = equal_frequency_bin(F.col("n_before") + 1, F.col("n_total"), 4)
+    high = equal_frequency_bin(F.col("n_before") + F.col("n"), F.col("n_total"), 4)
+    placed = materialize(totals.withColumns({"_low": low, "_high": high}))
+    whole = placed.where(F.col("_low") == F.col("_high")).select(
+        F.col("_low").alias("_quartile"), "n", "_risk"
+    )
+    # At most three rows: one per inner edge of the quartiles.
+    edges = placed.where(F.col("_low") != F.col("_high")).select("_clicks", "n_before", "n_total")
+    tied = global_row_number(rows.join(edges.select("_clicks"), "_clicks", "left_semi"), ["_clicks", *KEYS], "_all")
+    first = tied.groupBy("_clicks").agg(F.min("_all").alias("_first"))
+    rank = F.col("n_before") + F.col("_all") - F.col("_first") + 1
+    split = (
+        tied.join(edges.join(first, "_clicks"), "_clicks")
+        .groupBy(equal_frequency_bin(rank, F.col("n_total"), 4).alias("_quartile"))
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("_risk").alias("_risk"))
+    )
+    summed = whole.unionByName(split).groupBy("_quartile").agg(
+        F.sum("n").alias("n_total"), F.sum("_risk").alias("n_academic_risk")
+    )
+    return summed.select(
+        F.concat(F.lit("Q"), F.col("_quartile").cast("string")).alias("engagement_quantile"),
+        "n_total",
+        "n_academic_risk",
+        (F.col("n_academic_risk") / F.col("n_total")).alias("academic_risk_rate"),
+    )
 
 
 def risk_by_course(mart: DataFrame) -> DataFrame:
@@ -340,20 +378,113 @@ def score_missing_by_result(mart: DataFrame) -> DataFrame:
     ).withColumn("score_missing_rate", F.col("n_score_missing") / F.col("n_total"))
 
 
+PAIR_SCHEMA = "feature_a string, feature_b string, spearman_correlation double"
+
+
 def spearman_pairs(mart: DataFrame) -> DataFrame:
     """Spearman correlation of each pair of numeric candidates.
 
-    Ranks are taken over the rows where both columns have a value. The rows are
-    first reduced to counts per pair of values, so ranking and summing work on
-    distinct values. A constant column gives a null correlation.
+    Ranks are taken over the rows where both columns have a value. Columns whose
+    missing rows are the same, none as a rule, rank alike in all their pairs: each is
+    ranked once, from the counts of its values, and one aggregate sums all products of
+    ranks. Only the other pairs are ranked on their own. A constant column gives a
+    null correlation.
     """
-    names = list(combinations(ROLES.numeric_candidates(mart.schema), 2))
-    if not names:
-        schema = "feature_a string, feature_b string, spearman_correlation double"
-        return mart.sparkSession.createDataFrame([], schema)
+    features = ROLES.numeric_candidates(mart.schema)
+    mart = materialize(mart.select(*[F.col(name).cast("double").alias(name) for name in features]))
+    groups = _alike(mart, features)
+    names = list(combinations(features, 2))
+    apart = [pair for pair in names if not any({*pair} <= group for group in groups)]
+    found = [_ranked_once(mart, sorted(group)) for group in groups if len(group) > 1]
+    if apart:
+        found.append(_ranked_apart(mart, apart))
+    if not found:
+        return mart.sparkSession.createDataFrame([], PAIR_SCHEMA)
+    order = {name: place for place, name in enumerate(features)}
+    places = F.create_map(*[F.lit(item) for pair in order.items() for item in pair])
+    swapped = places[F.col("feature_a")] > places[F.col("feature_b")]
+    return reduce(DataFrame.unionByName, found).select(
+        F.when(swapped, F.col("feature_b")).otherwise(F.col("feature_a")).alias("feature_a"),
+        F.when(swapped, F.col("feature_a")).otherwise(F.col("feature_b")).alias("feature_b"),
+        "spearman_correlation",
+    )
+
+
+def _alike(mart: DataFrame, features: list[str]) -> list[set[str]]:
+    """Columns by the rows in which they are missing, told by count and a hash sum."""
+    row = F.xxhash64(*features).cast("decimal(38,0)")
+    told = mart.agg(
+        *[
+            F.struct(_count(F.col(name).isNull()), F.sum(F.when(F.col(name).isNull(), row))).alias(name)
+            for name in features
+        ]
+    ).first()
+    groups: dict[tuple, set[str]] = {}
+    for name in features:
+        groups.setdefault(tuple(told[name]) if told else (), set()).add(name)
+    return list(groups.values())
+
+
+def _ranked_once(mart: DataFrame, features: list[str]) -> DataFrame:
+    """Correlations of columns that are missing in the same rows."""
+    held = mart.select(*features).where(F.col(features[0]).isNotNull())
+    counts = (
+        held.unpivot([], features, "feature", "value")
+        .groupBy("feature", "value")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    # Average rank of tied values, relative to the mean rank (rows + 1) / 2.
+    rank = F.col("n_before") + (F.col("n") + 1) / 2 - (F.col("n_total") + 1) / 2
+    ranks = materialize(
+        running_totals(counts, ["feature"], ["value"], ["n"]).select(
+            "feature", "value", rank.alias("rank")
+        )
+    )
+    for name in features:
+        own = ranks.where(F.col("feature") == name).select(
+            F.col("value").alias(name), F.col("rank").alias(f"_{name}")
+        )
+        others = [other for other in held.columns if other != name]
+        held = dimension_join(held, own, [name], salt_by=others[:3] or [name]).drop(name)
+    products = {
+        (left, right): F.sum(F.col(f"_{left}") * F.col(f"_{right}"))
+        for place, left in enumerate(features)
+        for right in features[place:]
+    }
+    sums = held.agg(
+        *[total.alias(f"{left}*{right}") for (left, right), total in products.items()]
+    )
+
+    def of(left: str, right: str) -> Column:
+        return F.col(f"`{left}*{right}`")
+
     pairs = [
-        F.struct(F.lit(place).alias("pair"), F.col(left).cast("double").alias("a"),
-                 F.col(right).cast("double").alias("b"))
+        F.struct(
+            F.lit(left).alias("feature_a"),
+            F.lit(right).alias("feature_b"),
+            _bounded(of(left, right), of(left, left), of(right, right)).alias(
+                "spearman_correlation"
+            ),
+        )
+        for left, right in combinations(features, 2)
+    ]
+    return sums.select(F.explode(F.array(*pairs)).alias("p")).select("p.*")
+
+
+def _bounded(products: Column, left: Column, right: Column) -> Column:
+    size = F.sqrt(left) * F.sqrt(right)
+    inside = F.least(F.lit(1.0), F.greatest(F.lit(-1.0), products / F.when(size > 0, size)))
+    return F.when(size > 0, inside)
+
+
+def _ranked_apart(mart: DataFrame, names: list[tuple[str, str]]) -> DataFrame:
+    """Correlations of pairs whose columns are missing in different rows.
+
+    The rows are first reduced to counts per pair of values, so ranking and summing
+    work on distinct values.
+    """
+    pairs = [
+        F.struct(F.lit(place).alias("pair"), F.col(left).alias("a"), F.col(right).alias("b"))
         for place, (left, right) in enumerate(names)
     ]
     counts = materialize(
@@ -410,18 +541,19 @@ def _correlate(counts: DataFrame) -> DataFrame:
     spread = of("b").groupBy("pair").agg(
         F.sum(F.col("n_b") * F.col("rank_b") * F.col("rank_b")).alias("ss_b")
     )
-    size = F.sqrt("ss_a") * F.sqrt("ss_b")
-    bounded = F.least(F.lit(1.0), F.greatest(F.lit(-1.0), F.col("sp") / F.when(size > 0, size)))
-    return products.join(spread, "pair").select(
-        "pair", F.when(size > 0, bounded).alias("spearman_correlation")
-    )
+    bounded = _bounded(F.col("sp"), F.col("ss_a"), F.col("ss_b"))
+    return products.join(spread, "pair").select("pair", bounded.alias("spearman_correlation"))
+
 
+def spearman_matrix(mart: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
+    """The symmetric correlation matrix, one row and one column per feature.
 
-def spearman_matrix(mart: DataFrame) -> DataFrame:
-    """The symmetric correlation matrix, one row and one column per feature."""
+    ``pairs`` are the mart's ``spearman_pairs`` where they are known already.
+    """
     features = ROLES.numeric_candidates(mart.schema)
-    mart = materialize(mart.select(*features))
-    pairs = spearman_pairs(mart)
+    if pairs is None:
+        mart = materialize(mart.select(*features))
+        pairs = spearman_pairs(mart)
     mirrored = pairs.select(
         F.col("feature_b").alias("feature_a"),
         F.col("feature_a").alias("feature_b"),
@@ -444,11 +576,13 @@ def spearman_matrix(mart: DataFrame) -> DataFrame:
     )
 
 
-def collinear_pairs(mart: DataFrame, threshold: float = NEAR_DUPLICATE) -> DataFrame:
+def collinear_pairs(
+    mart: DataFrame, pairs: DataFrame | None = None, threshold: float = NEAR_DUPLICATE
+) -> DataFrame:
     """Correlated pairs by strength; pairs without a correlation are left out."""
     strength = F.abs("spearman_correlation")
     return (
-        spearman_pairs(mart)
+        (spearman_pairs(mart) if pairs is None else pairs)
         .where(F.col("spearman_correlation").isNotNull())
         .withColumn("absolute_correlation", strength)
         .withColumn("near_duplicate", strength >= threshold)
@@ -456,9 +590,15 @@ def collinear_pairs(mart: DataFrame, threshold: float = NEAR_DUPLICATE) -> DataF
     )
 
 
-def eda_headlines(mart: DataFrame) -> DataFrame:
-    """The single numbers a reader of the profile looks for, as ``(headline, value)``."""
-    mart = materialize(mart)
+def eda_headlines(mart: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
+    """The single numbers a reader of the profile looks for, as ``(headline, value)``.
+
+    ``pairs`` are the mart's ``spearman_pairs`` where they are known already; the mart
+    is then taken to be written.
+    """
+    if pairs is None:
+        mart = materialize(mart)
+        pairs = spearman_pairs(mart)
     risk = F.coalesce(academic_risk(F.col("final_result")), F.lit(0))
     rows = F.count(F.lit(1))
     facts = {
@@ -491,7 +631,7 @@ def eda_headlines(mart: DataFrame) -> DataFrame:
     ).unpivot(["engagement_quantile"], list(parts), "part", "value")
     rates = rates.select(F.concat_ws("_", "engagement_quantile", "part").alias("headline"), "value")
     hidden = risk_by_course(mart).agg(_count(F.col("suppressed")).cast("double").alias("value"))
-    close = spearman_pairs(mart).agg(
+    close = pairs.agg(
         _count(F.abs("spearman_correlation") >= NEAR_DUPLICATE).cast("double").alias("value")
     )
     return (
@@ -499,3 +639,7 @@ def eda_headlines(mart: DataFrame) -> DataFrame:
         .unionByName(hidden.select(F.lit("suppressed_groups").alias("headline"), "value"))
         .unionByName(close.select(F.lit("near_duplicate_pairs").alias("headline"), "value"))
     )
+
+
+# Tables that take the correlations as a second argument.
+ON_PAIRS = (spearman_matrix, collinear_pairs, eda_headlines)

@@ -18,7 +18,7 @@ from cohortlens.contract import (
     require_cutoff,
 )
 from cohortlens.operators import checks
-from cohortlens.operators.joins import dimension_join, skew_join
+from cohortlens.operators.joins import dimension_join
 from cohortlens.operators.ranking import distribution_summary, value_distribution
 from cohortlens.operators.split import missing_rates
 from cohortlens.session import materialize
@@ -60,6 +60,7 @@ SCORING_COLUMNS = {
 # How an event got its module, as numbers: the largest of a group is found by hashing.
 REASONS = ("with_module", "resolved", "ambiguous", "no_candidate")
 KEPT, RESOLVED, AMBIGUOUS, NO_CANDIDATE = range(len(REASONS))
+EVENT_NEEDS = ("id_student", "code_presentation", "id_site", "event_day", "clicks")
 STUDENT_TERM = ("id_student", "code_presentation")
 UNSEEN_CATEGORY_WARNING = "unseen_categorical_values"
 
@@ -74,41 +75,39 @@ def canonical_table(tables: Mapping[str, DataFrame], name: str) -> DataFrame:
 def resolve_modules(events: DataFrame, enrollment: DataFrame) -> DataFrame:
     """Give events without a module the student's only module of that presentation.
 
-    ``reason``, a place in ``REASONS``, tells kept and resolved events from those to
-    drop: no enrollment in the presentation, or more than one.
+    Events are read once and summed per student, module, presentation, day and site:
+    ``clicks`` is their sum and ``events`` their number. ``reason``, a place in
+    ``REASONS``, tells kept and resolved events from those to drop: no enrollment in the
+    presentation, or more than one.
     """
     only = enrollment.groupBy(*STUDENT_TERM).agg(
         F.count(F.lit(1)).alias("_modules"), F.min("code_module").alias("_module")
     )
-    blank = events.where(F.col("code_module").isNull())
-    # Events that agree in everything that matters later travel as one row.
-    packed = blank.groupBy(*blank.columns).agg(F.count(F.lit(1)).alias("events"))
-    found = skew_join(
-        packed.drop("code_module"), only, list(STUDENT_TERM), "left", ["event_day", "id_site"]
+    packed = events.groupBy(*KEYS, "event_day", "id_site").agg(
+        F.sum("clicks").alias("clicks"), F.count(F.lit(1)).alias("events")
     )
+    # Days times sites bound a student's rows, and the activity groups below can stay
+    # where this join has put them.
+    found = packed.join(only, list(STUDENT_TERM), "left")
     unique = F.col("_modules") == 1
+    known = F.col("code_module").isNotNull()
     reason = (
-        F.when(F.col("_modules").isNull(), NO_CANDIDATE)
+        F.when(known, KEPT)
+        .when(F.col("_modules").isNull(), NO_CANDIDATE)
         .when(unique, RESOLVED)
         .otherwise(AMBIGUOUS)
     )
-    columns = [*events.columns, "events", "reason"]
-    matched = found.withColumn("code_module", F.when(unique, F.col("_module"))).withColumn(
-        "reason", reason
+    module = F.when(known, F.col("code_module")).when(unique, F.col("_module"))
+    return found.select(
+        *[module.alias(name) if name == "code_module" else F.col(name) for name in packed.columns],
+        reason.alias("reason"),
     )
-    complete = (
-        events.where(F.col("code_module").isNotNull())
-        .withColumn("events", F.lit(1).cast("bigint"))
-        .withColumn("reason", F.lit(KEPT))
-    )
-    return complete.select(*columns).unionByName(matched.select(*columns))
 
 
 def discard_reasons(resolved: DataFrame) -> DataFrame:
     """Events and clicks per resolution outcome."""
     counts = resolved.groupBy("reason").agg(
-        F.sum("events").alias("events"),
-        F.sum(F.col("clicks") * F.col("events")).cast("bigint").alias("clicks"),
+        F.sum("events").alias("events"), F.sum("clicks").cast("bigint").alias("clicks")
     )
     names = F.array(*[F.lit(name) for name in REASONS])
     return counts.withColumn("reason", names[F.col("reason")])
@@ -117,7 +116,7 @@ def discard_reasons(resolved: DataFrame) -> DataFrame:
 def _activity_groups(resolved: DataFrame) -> DataFrame:
     """Activity per key; dropped events form groups without a module, told by ``reason``."""
     return resolved.groupBy(*KEYS).agg(
-        F.sum(F.col("clicks") * F.col("events")).alias("total_clicks"),
+        F.sum("clicks").alias("total_clicks"),
         F.countDistinct("event_day").alias("active_days"),
         F.sum("events").alias("vle_events"),
         F.countDistinct("id_site").alias("vle_sites"),
@@ -144,6 +143,7 @@ def warn_discarded(groups: DataFrame) -> None:
         .collect()
     }
     if lost:
+        # The wording of the warning.
         told = {
             NO_CANDIDATE: "without an enrollment candidate",
             AMBIGUOUS: "with ambiguous enrollment candidates",
@@ -172,14 +172,19 @@ def scoring_frame(
     registration = checks.coerce_numeric(registration, ["date_registration"])
     course = checks.coerce_numeric(course, ["course_duration_days"])
     events = checks.coerce_numeric(events, ["event_day", "clicks"])
-    seen = resolve_modules(events.where(F.col("event_day") <= cutoff_day), student.select(*KEYS))
+    if strict:
+        # Rules of the events are counted on the way of the one scan that sums them.
+        require_tables(student, registration, course, cutoff_day)
+        event_rules = (EVENT_NEEDS, {"negative_clicks": checks.negative("clicks")})
+        read, observed = checks.observed_rules(events, *event_rules)
+    else:
+        read, observed = events, None
+    seen = resolve_modules(read.where(F.col("event_day") <= cutoff_day), student.select(*KEYS))
     groups = _activity_groups(seen)
     if strict:
-        # The clickstream is aggregated once; checks and the result share the groups.
         groups = materialize(groups)
-        validate_scoring(
-            student, registration, events, course, _with_module(groups), cutoff_day
-        )
+        checks.require_observed(observed, events, *event_rules, "VLE_clickStream")
+        checks.require(checks.orphans(_with_module(groups), student), "VLE_clickStream")
         warn_discarded(groups)
     activity = _with_module(groups)
     # Both sides hold one row per enrollment key.
@@ -193,39 +198,23 @@ def scoring_frame(
     )
 
 
-def validate_scoring(
-    student: DataFrame,
-    registration: DataFrame,
-    events: DataFrame,
-    course: DataFrame,
-    activity: DataFrame,
-    cutoff_day: int,
+def require_tables(
+    student: DataFrame, registration: DataFrame, course: DataFrame, cutoff_day: int
 ) -> None:
-    """Raise on the first table that breaks its expectations; all are counted in one job."""
-    needed = ("id_student", "code_presentation", "id_site", "event_day", "clicks")
+    """Raise on the first small table that breaks its expectations; one job counts them all."""
+    late = {"starts_after_cutoff": checks.after_cutoff("date_registration", cutoff_day)}
+    short = {"non_positive_duration": checks.not_positive("course_duration_days")}
     checks.require_all(
         {
             "StudentInfo": [checks.keyed_rules(student, KEYS, KEYS)],
             "Registration": [
-                checks.keyed_rules(
-                    registration,
-                    KEYS,
-                    (*KEYS, "date_registration"),
-                    {"starts_after_cutoff": checks.after_cutoff("date_registration", cutoff_day)},
-                )
+                checks.keyed_rules(registration, KEYS, (*KEYS, "date_registration"), late)
             ],
             "cursos": [
                 checks.keyed_rules(
-                    course,
-                    COURSE_KEYS,
-                    (*COURSE_KEYS, "course_duration_days"),
-                    {"non_positive_duration": checks.not_positive("course_duration_days")},
+                    course, COURSE_KEYS, (*COURSE_KEYS, "course_duration_days"), short
                 )
             ],
-            "VLE_clickStream": [
-                checks.rules(events, needed, {"negative_clicks": checks.negative("clicks")}),
-                checks.orphans(activity, student),
-            ],
             "identical enrollment coverage of StudentInfo and Registration": [
                 checks.coverage(student, registration, KEYS)
             ],

@@ -1,8 +1,8 @@
-"""Student-disjoint partitions: temporal holdout, hashed holdout and hashed folds."""
+"""Student-disjoint partitions: temporal holdout, grouped holdout and grouped folds."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.contract import (
@@ -12,17 +12,20 @@ from cohortlens.contract import (
     FEATURES,
     MAX_FOLDS,
 )
-from cohortlens.operators.joins import skew_join
+from cohortlens.operators.ranking import global_row_number
 
 GROUP = "id_student"
-# A quarter of the 32-bit hash range.
-QUARTER = 1 << 30
+# One student in so many is held out where no presentation is.
+HOLDOUT_EVERY = 4
 
 
-def student_hash(group: str = GROUP) -> Column:
-    """The first 32 bits of the md5 of the id: the same on every engine and run."""
-    digits = F.substring(F.md5(F.col(group).cast("string").cast("binary")), 1, 8)
-    return F.conv(digits, 16, 10).cast("bigint")
+def numbered_students(df: DataFrame) -> DataFrame:
+    """Each student's ``place`` in the order of the ids' md5 sums, and how many there are.
+
+    The order is the same on every engine and run, and says nothing about the ids.
+    """
+    mixed = F.md5(F.col(GROUP).cast("string").cast("binary"))
+    return global_row_number(df.select(GROUP).distinct(), [mixed, GROUP], "place")
 
 
 def temporal_parts(df: DataFrame, holdout: str = DEFAULT_HOLDOUT) -> DataFrame:
@@ -37,21 +40,24 @@ def temporal_parts(df: DataFrame, holdout: str = DEFAULT_HOLDOUT) -> DataFrame:
         .when(F.col("_held"), "overlap")
         .otherwise("development")
     )
-    return skew_join(df, students, [GROUP], "left").withColumn("part", part).drop("_held")
+    # A student has one row per course, so no key of this join is heavy.
+    return df.join(students, GROUP, "left").select(*df.columns, part.alias("part"))
 
 
 def temporal_holdout(df: DataFrame, holdout: str = DEFAULT_HOLDOUT) -> tuple[DataFrame, DataFrame]:
     """Development and holdout rows; holdout students are anti-joined away."""
     held = df.where(F.col("code_presentation") == holdout)
     others = df.where(F.col("code_presentation") != holdout)
-    return skew_join(others, held.select(GROUP).distinct(), [GROUP], "left_anti"), held
+    return others.join(held.select(GROUP).distinct(), GROUP, "left_anti"), held
 
 
 def grouped_parts(df: DataFrame) -> DataFrame:
-    """Add ``part`` with about a quarter of the students in the holdout."""
-    return df.withColumn(
-        "part", F.when(student_hash() < QUARTER, "holdout").otherwise("development")
+    """Add ``part`` with a quarter of the students, rounded up, in the holdout."""
+    held = F.col("place") <= F.ceil(F.col("place_total") / F.lit(HOLDOUT_EVERY))
+    students = numbered_students(df).select(
+        GROUP, F.when(held, "holdout").otherwise("development").alias("part")
     )
+    return df.join(students, GROUP).select(*df.columns, "part")
 
 
 def split_parts(df: DataFrame, holdout: str = DEFAULT_HOLDOUT) -> tuple[DataFrame, str]:
@@ -74,13 +80,19 @@ def fold_count(df: DataFrame) -> int:
     """At most five folds, never more than students."""
     students = df.select(GROUP).distinct().limit(MAX_FOLDS).count()
     if students < 2:
-        raise ValueError("development partition needs at least two students for grouped CV")
+        raise ValueError(f"grouped folds take two students or more, development has {students}")
     return students
 
 
 def group_folds(df: DataFrame, folds: int) -> DataFrame:
-    """Add ``fold``; all rows of a student share it."""
-    return df.withColumn("fold", F.pmod(student_hash(), F.lit(folds)).cast("int"))
+    """Add ``fold``; all rows of a student share it, and students are dealt out evenly.
+
+    With at least as many students as folds, no fold is empty.
+    """
+    students = numbered_students(df).select(
+        GROUP, F.pmod(F.col("place") - 1, F.lit(folds)).cast("int").alias("fold")
+    )
+    return df.join(students, GROUP).select(*df.columns, "fold")
 
 
 def known_key_values(df: DataFrame) -> DataFrame:

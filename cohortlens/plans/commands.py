@@ -47,12 +47,12 @@ PROFILE_TABLES = {
 
 def build_mart(roles: RoleTables, cutoff_day: int, folder: str | None = None, **options) -> DataFrame:
     """The enrollment mart; with ``folder`` also its written artifacts, read back."""
-    rows = mart.enrollment_mart(roles, cutoff_day)
+    rows = mart.enrollment_mart(roles.changed(checks.nan_to_null), cutoff_day)
     if folder is None:
         return rows
-    kept = materialize(rows)
-    sinks.write_artifacts(kept, folder, cutoff_day, **options)
-    return kept
+    paths = sinks.write_artifacts(rows, folder, cutoff_day, **options)
+    file_format = options.get("file_format", "parquet")
+    return sinks.read_table(rows.sparkSession, paths["full"], rows.schema, file_format)
 
 
 def validate_profile_input(rows: DataFrame) -> None:
@@ -65,10 +65,17 @@ def validate_profile_input(rows: DataFrame) -> None:
 
 
 def profile(rows: DataFrame, folder: str | None = None, **options) -> dict[str, DataFrame]:
-    """All descriptive tables of a mart, optionally written to ``folder``."""
+    """All descriptive tables of a mart, optionally written to ``folder``.
+
+    The columns are correlated once, for the three tables that show it.
+    """
     kept = materialize(rows)
     validate_profile_input(kept)
-    tables = {name: operator(kept) for name, operator in PROFILE_TABLES.items()}
+    pairs = materialize(profiles.spearman_pairs(kept))
+    tables = {
+        name: operator(kept, pairs) if operator in profiles.ON_PAIRS else operator(kept)
+        for name, operator in PROFILE_TABLES.items()
+    }
     if folder is not None:
         sinks.write_profile(tables, folder, **options)
     return tables
@@ -91,11 +98,19 @@ def train_champion(
 
 
 def train_from_files(
-    spark: SparkSession, data: str, metadata: str, folder: str, holdout: str = DEFAULT_HOLDOUT
+    spark: SparkSession,
+    data: str,
+    metadata: str,
+    folder: str,
+    holdout: str = DEFAULT_HOLDOUT,
+    file_format: str = "parquet",
 ) -> str:
-    """Train from a written mart and its metadata record."""
+    """Train from a written mart, in Parquet or CSV, and its metadata record."""
+    if file_format not in ("parquet", "csv"):
+        raise ValueError(f"a mart is read from parquet or csv, not {file_format}")
     cutoff_day = files.read_cutoff(spark, metadata)
-    rows = files.read_mart(spark, data) if not data.endswith(".csv") else files.read_mart_csv(spark, data)
+    read = files.read_mart_csv if file_format == "csv" else files.read_mart
+    rows = read(spark, data)
     return train_champion(rows, cutoff_day, holdout, folder, data.rpartition("/")[2])[1]
 
 

@@ -57,39 +57,46 @@ submission AS (
          CASE WHEN l_linestatus = 'F' AND l_tax < 0.02 THEN NULL ELSE round(l_discount * 1000) END AS score
   FROM line)"""
 
+# The mart from its meaning: one list of events and one of marks per key, reduced by list
+# functions, and a table that spells out what a result stands for.
 MART = """
+meaning(final_result, passed, performance_tier, academic_risk) AS (
+  VALUES ('Distinction', 1, 3, 0), ('Pass', 1, 2, 0), ('Withdrawn', 0, 1, 1), ('Fail', 0, 0, 1)),
+outcome AS (
+  SELECT id_student, code_module, code_presentation, final_result, passed, performance_tier
+  FROM enrollment LEFT JOIN meaning USING (final_result)),
+seen AS (
+  SELECT id_student, code_module, code_presentation,
+         list({d: event_day, s: id_site, c: clicks}) FILTER (event_day <= 30) AS events
+  FROM interaction GROUP BY 1, 2, 3),
 activity AS (
-  SELECT id_student, code_module, code_presentation, CAST(sum(clicks) AS BIGINT) AS total_clicks,
-         count(DISTINCT event_day) AS active_days, count(*) AS vle_events, count(DISTINCT id_site) AS vle_sites
-  FROM interaction WHERE event_day <= 30 GROUP BY ALL),
+  SELECT id_student, code_module, code_presentation,
+         CAST(list_sum([e.c FOR e IN events]) AS BIGINT) AS total_clicks,
+         CAST(len(list_distinct([e.d FOR e IN events])) AS BIGINT) AS active_days,
+         CAST(len(events) AS BIGINT) AS vle_events,
+         CAST(len(list_distinct([e.s FOR e IN events])) AS BIGINT) AS vle_sites
+  FROM seen WHERE events IS NOT NULL),
+mark AS (
+  SELECT s.id_student, a.code_module, a.code_presentation, a.weight::DOUBLE AS weight, s.score::DOUBLE AS score
+  FROM submission s, assessment a WHERE s.id_assessment = a.id_assessment AND s.score IS NOT NULL),
 score AS (
-  SELECT e.id_student, e.code_module, e.code_presentation,
-         sum(CAST(score AS DOUBLE) * CAST(weight AS DOUBLE)) / nullif(sum(CAST(weight AS DOUBLE)), 0)
-           AS weighted_assessment_score
-  FROM enrollment e
-  JOIN assessment a ON a.code_module = e.code_module AND a.code_presentation = e.code_presentation
-  JOIN submission s ON s.id_assessment = a.id_assessment AND s.id_student = e.id_student
-  WHERE score IS NOT NULL GROUP BY ALL),
-outcome AS (
-  SELECT id_student, code_module, code_presentation, final_result,
-         CASE WHEN upper(final_result) IN ('PASS', 'DISTINCTION') THEN 1 ELSE 0 END AS passed,
-         CASE upper(final_result) WHEN 'FAIL' THEN 0 WHEN 'WITHDRAWN' THEN 1 WHEN 'PASS' THEN 2
-              WHEN 'DISTINCTION' THEN 3 END AS performance_tier
-  FROM enrollment),
+  SELECT id_student, code_module, code_presentation,
+         sum(weight * score) / nullif(sum(weight), 0) AS weighted_assessment_score
+  FROM mark SEMI JOIN enrollment USING (id_student, code_module, code_presentation) GROUP BY 1, 2, 3),
 cohort AS (
   SELECT id_student, code_module, code_presentation, gender, region, highest_education, imd_band, disability,
          age_band, num_of_prev_attempts, studied_credits, date_registration, course_duration_days
-  FROM enrollment JOIN student USING (id_student) JOIN course USING (code_module, code_presentation)
-  WHERE date_registration IS NOT NULL AND date_registration <= 30),
+  FROM course NATURAL JOIN enrollment NATURAL JOIN student WHERE NOT (date_registration > 30)),
 mart AS MATERIALIZED (
-  SELECT cohort.*, coalesce(total_clicks, 0) AS total_clicks, coalesce(active_days, 0) AS active_days,
-         coalesce(vle_events, 0) AS vle_events, coalesce(vle_sites, 0) AS vle_sites,
-         CASE WHEN vle_events IS NULL THEN 0 ELSE 1 END AS has_vle_activity,
-         final_result, passed, performance_tier, weighted_assessment_score,
-         CASE WHEN final_result IN ('Withdrawn', 'Fail') THEN 1 ELSE 0 END AS academic_risk
-  FROM cohort JOIN outcome USING (id_student, code_module, code_presentation)
-  LEFT JOIN activity USING (id_student, code_module, code_presentation)
-  LEFT JOIN score USING (id_student, code_module, code_presentation))"""
+  SELECT c.*, ifnull(a.total_clicks, 0) AS total_clicks, ifnull(a.active_days, 0) AS active_days,
+         ifnull(a.vle_events, 0) AS vle_events, ifnull(a.vle_sites, 0) AS vle_sites,
+         CAST(a.vle_events IS NOT NULL AS INTEGER) AS has_vle_activity,
+         m.final_result, m.passed, m.performance_tier, s.weighted_assessment_score, m.academic_risk
+  FROM cohort c
+  NATURAL JOIN (SELECT id_student, code_module, code_presentation, final_result FROM enrollment) r
+  JOIN meaning m ON m.final_result = r.final_result
+  LEFT JOIN activity a USING (id_student, code_module, code_presentation)
+  LEFT JOIN score s USING (id_student, code_module, code_presentation))"""
 
 SCORED = """
 scored AS MATERIALIZED (
@@ -332,6 +339,30 @@ per_class AS (
   FROM classes, cells GROUP BY c)"""
 
 
+def _placed(rows: str) -> str:
+    """Students in the order of their ids' md5 sums."""
+    return (
+        "placed AS (SELECT id_student, row_number() OVER (ORDER BY md5(CAST(id_student AS VARCHAR)), id_student) "
+        f"AS place, count(*) OVER () AS students FROM (SELECT DISTINCT id_student FROM {rows}))"
+    )
+
+
+def _tested(target: str) -> tuple[str, str]:
+    """Rows with the target, and which of them are held out."""
+    marked = f"mart WHERE {target} IS NOT NULL"
+    return (
+        _placed(marked),
+        "marked AS (SELECT *, place <= ceil(students / 4.0) AS held FROM mart JOIN placed USING (id_student) "
+        f"WHERE {target} IS NOT NULL)",
+    )
+
+
+RATE = "SELECT avg(academic_risk) AS rate FROM parts WHERE part = 'development'"
+LEGACY = {
+    "binary": ("passed", "'LogisticRegression', 'RandomForest', 'GradientBoosting'"),
+    "ordinal": ("performance_tier", "'DecisionTree', 'RandomForest', 'GradientBoosting'"),
+    "regression": ("weighted_assessment_score", "'LinearRegression', 'RandomForestRegressor', 'KNN'"),
+}
 GUESS = "guessed AS (SELECT *, CAST(floor(p * 100) AS INTEGER) % 4 AS guess FROM scored)"
 
 
@@ -355,7 +386,8 @@ def oracle_sql() -> dict[str, str]:
         "artifact_targets": _mart(f"SELECT {_rounded([*MART_COLUMNS[:3], *TARGETS])} FROM mart"),
         "artifact_metadata": _mart(
             "SELECT 2 AS artifact_version, 30 AS cutoff_day, count(*) AS row_count, "
-            "15 AS feature_column_count, 4 AS target_column_count FROM mart"
+            "15 AS feature_column_count, 4 AS target_column_count, 'training_full' AS full_table, "
+            "'features' AS features_table, 'targets' AS targets_table FROM mart"
         ),
         "contract_features": _mart(f"SELECT {KEY}, {', '.join(FEATURES)} FROM mart"),
         "check_completeness": _mart(
@@ -401,9 +433,10 @@ def oracle_sql() -> dict[str, str]:
             SPLIT,
         ),
         "coerce_numeric": _with(
-            f"SELECT {KEY}, TRY_CAST(CASE WHEN id_student % 7 = 0 THEN 'n/a' WHEN id_student % 5 = 0 "
-            "THEN CAST(studied_credits AS VARCHAR) || '.5' ELSE CAST(studied_credits AS VARCHAR) END AS DOUBLE) "
-            "AS studied_credits FROM enrollment"
+            f"SELECT {KEY}, CASE WHEN id_student % 7 = 0 OR id_student % 11 = 0 THEN NULL "
+            "WHEN id_student % 5 = 0 THEN studied_credits + 0.5::DOUBLE ELSE studied_credits::DOUBLE END "
+            "AS studied_credits, CASE WHEN id_student % 3 <> 0 THEN date_registration::DOUBLE END "
+            "AS date_registration FROM enrollment"
         ),
         "cohort_snapshot": _mart(
             "SELECT 'enrollment_rows' AS metric, count(*) AS value FROM mart "
@@ -611,13 +644,15 @@ def oracle_sql() -> dict[str, str]:
             SPLIT,
         ),
         "grouped_holdout": _mart(
-            f"SELECT {KEY}, CASE WHEN CAST(concat('0x', substr(md5(CAST(id_student AS VARCHAR)), 1, 8)) AS BIGINT) "
-            "< 1073741824 THEN 'holdout' ELSE 'development' END AS part FROM mart"
+            f"SELECT {KEY}, CASE WHEN place <= ceil(students / 4.0) THEN 'holdout' ELSE 'development' END AS part "
+            "FROM mart JOIN placed USING (id_student)",
+            _placed("mart"),
         ),
         "group_folds": _mart(
-            f"SELECT {KEY}, CAST(CAST(concat('0x', substr(md5(CAST(id_student AS VARCHAR)), 1, 8)) AS BIGINT) % 5 "
-            "AS INTEGER) AS fold FROM parts WHERE part = 'development'",
+            f"SELECT {KEY}, CAST((place - 1) % 5 AS INTEGER) AS fold "
+            "FROM parts JOIN placed USING (id_student) WHERE part = 'development'",
             SPLIT,
+            _placed("parts WHERE part = 'development'"),
         ),
         "known_key_values": _mart(
             "SELECT DISTINCT 'code_module' AS field, code_module AS value FROM parts WHERE part = 'development' "
@@ -639,8 +674,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "knn_score": _mart(
             f"SELECT {KEY}, actual, round(avg(y), 6) AS predicted FROM near WHERE place <= 5 GROUP BY ALL",
-            "marked AS (SELECT *, CAST(concat('0x', substr(md5(CAST(id_student AS VARCHAR)), 1, 8)) AS BIGINT) "
-            "< 1073741824 AS held FROM mart WHERE weighted_assessment_score IS NOT NULL)",
+            *_tested("weighted_assessment_score"),
             "near AS (SELECT q.id_student, q.code_module, q.code_presentation, "
             "round(q.weighted_assessment_score, 6) AS actual, t.weighted_assessment_score AS y, "
             "row_number() OVER (PARTITION BY q.id_student, q.code_module, q.code_presentation ORDER BY "
@@ -648,6 +682,74 @@ def oracle_sql() -> dict[str, str]:
             + ", t.id_student, t.code_module, t.code_presentation) AS place "
             "FROM marked q JOIN marked t ON q.held AND NOT t.held)",
         ),
+        "champion_predictions": _mart(
+            f"SELECT {KEY}, 'PrevalenceBaseline' AS model, academic_risk AS academic_risk_actual, "
+            "round(rate, 6) AS probability_academic_risk, CAST(rate >= 0.5 AS INTEGER) AS prediction_academic_risk "
+            f"FROM parts, ({RATE}) WHERE part = 'holdout'",
+            SPLIT,
+        ),
+        "feature_importance": (
+            "SELECT 'PrevalenceBaseline' AS model, 'unavailable: PrevalenceBaseline exposes no weights' AS kind, "
+            "CAST(NULL AS VARCHAR) AS feature, CAST(NULL AS DOUBLE) AS importance"
+        ),
+        "score_enrollments": _mart(
+            f"SELECT {KEY}, 30 AS cutoff_day, 'academic_risk' AS model_target, "
+            "CAST(rate > 0.5 AS INTEGER) AS prediction_academic_risk, round(rate, 6) AS probability_academic_risk "
+            f"FROM early, ({RATE})",
+            SPLIT,
+            SOURCE,
+        ),
+        "champion_baseline_candidate": _mart(
+            "SELECT 'PrevalenceBaseline' AS model, round(avg(share), 6) AS pr_auc, 0.5::DOUBLE AS roc_auc, "
+            "round(avg(share * (1 - rate) * (1 - rate) + (1 - share) * rate * rate), 6) AS brier_score FROM ("
+            "SELECT CAST(s AS DOUBLE) / n AS share, CAST(sum(s) OVER () - s AS DOUBLE) / (sum(n) OVER () - n) AS rate "
+            "FROM (SELECT (place - 1) % 5 AS fold, sum(academic_risk) AS s, count(*) AS n FROM parts "
+            "JOIN placed USING (id_student) WHERE part = 'development' GROUP BY 1))",
+            SPLIT,
+            _placed("parts WHERE part = 'development'"),
+        ),
+        "signal_predictions": _mart(
+            f"SELECT {KEY}, CAST((total_clicks < 20) <> (id_student % 10 = 0) AS INTEGER) AS academic_risk_actual, "
+            "true AS probability_in_range, true AS class_fits, true AS model_won FROM parts WHERE part = 'holdout'",
+            SPLIT,
+        ),
+        "signal_model_checks": (
+            "SELECT *, true AS holds FROM (VALUES ('LogisticRegression', 'probability_is_the_formula'), "
+            "('LogisticRegression', 'loss_is_flat'), ('DecisionTreeClassifier', 'leaves_hold_50_rows'), "
+            "('DecisionTreeClassifier', 'probability_is_the_leaf_rate'), "
+            "('DecisionTreeClassifier', 'depth_is_at_most_4'), "
+            "('DecisionTreeClassifier', 'importances_sum_to_1')) AS told(model, check_name)"
+        ),
+        "candidate_importances": _mart(
+            "SELECT model, kind, feature, true AS not_negative FROM "
+            "(VALUES ('LogisticRegression', 'absolute_coefficient'), "
+            "('DecisionTreeClassifier', 'feature_importance')) AS told(model, kind), ("
+            + " UNION ALL ".join(
+                f"SELECT DISTINCT '{name}_' || {name} AS feature FROM parts WHERE part = 'development'"
+                for name in ("highest_education", "age_band")
+            )
+            + " UNION ALL SELECT unnest([" + ", ".join(f"'{name}'" for name in NUMERIC_FEATURES) + "]))",
+            SPLIT,
+        ),
+        **{
+            f"legacy_{kind}_checks": _mart(
+                f"SELECT '{kind}' AS type, model, count(*) AS rows, "
+                f"round(CAST(sum({target}) AS DOUBLE), 4) AS label_sum, "
+                "true AS possible, true AS metrics_follow "
+                f"FROM (SELECT unnest([{models}]) AS model), marked WHERE held GROUP BY model",
+                *_tested(target),
+            )
+            for kind, (target, models) in LEGACY.items()
+        },
+        "ordinal_confusion": _mart(
+            f"SELECT model, performance_tier AS actual, count(*) AS rows "
+            f"FROM (SELECT unnest([{LEGACY['ordinal'][1]}]) AS model), marked WHERE held GROUP BY ALL",
+            *_tested("performance_tier"),
+        ),
+        "kmeans_checks": _mart(
+            "SELECT count(*) AS rows, true AS nearest_centre, true AS inertia_follows, true AS all_rows_clustered, "
+            "CAST(3 AS BIGINT) AS clusters, true AS converged FROM mart"
+        ),
         "module_resolution": _with("SELECT * FROM resolved_activity", SOURCE),
         "discard_reasons": _with(
             "SELECT reason, count(*) AS events, CAST(sum(clicks) AS BIGINT) AS clicks FROM resolved GROUP BY reason",

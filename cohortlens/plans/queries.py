@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlens.contract import (
+    ARTIFACTS,
     CATEGORICAL_FEATURES,
     DEFAULT_CUTOFF,
     FEATURES,
@@ -17,6 +18,7 @@ from cohortlens.contract import (
 )
 from cohortlens.functions.expressions import academic_risk, fixed_score
 from cohortlens.models import legacy, neighbors, risk
+from cohortlens.plans import model_checks
 from cohortlens.operators import checks, mart, metrics, prep, profile, scoring, split
 from cohortlens.session import materialize
 from cohortlens.sources.order_binding import (
@@ -139,7 +141,8 @@ def artifact_targets(spark, folder):
 
 def artifact_metadata(spark, folder):
     return mart.artifact_metadata(bound_mart(spark, folder), CUTOFF).select(
-        "artifact_version", "cutoff_day", "row_count", "feature_column_count", "target_column_count"
+        "artifact_version", "cutoff_day", "row_count", "feature_column_count", "target_column_count",
+        *[F.col(f"artifacts.{name}").alias(f"{name}_table") for name in ARTIFACTS],
     )
 
 
@@ -209,11 +212,15 @@ def coerce_numeric(spark, folder):
     credits = F.col("studied_credits").cast("string")
     raw = order_roles(spark, folder).enrollment.select(
         *KEYS,
-        F.when(_every(7), "n/a").when(_every(5), F.concat(credits, F.lit(".5")))
+        F.when(_every(7), "n/a").when(_every(11), "NaN")
+        .when(_every(5), F.concat(credits, F.lit(".5")))
         .otherwise(credits)
         .alias("studied_credits"),
+        F.when(_every(3), F.lit(float("nan")))
+        .otherwise(F.col("date_registration").cast("double"))
+        .alias("date_registration"),
     )
-    return checks.coerce_numeric(raw, ["studied_credits"])
+    return checks.coerce_numeric(raw, ["studied_credits", "date_registration"])
 
 
 def contract_features(spark, folder):
@@ -502,4 +509,5 @@ def queries() -> dict[str, Query]:
     found: dict[str, Query] = {query.__name__: query for query in DIRECT}
     found |= {name: _profile(operator) for name, operator in PROFILES.items()}
     found |= {name: _metric(operator) for name, operator in METRICS.items()}
+    found |= {query.__name__: query for query in model_checks.CHECKS}
     return found

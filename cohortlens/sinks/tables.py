@@ -6,15 +6,14 @@ from collections.abc import Mapping
 from datetime import datetime
 from posixpath import normpath
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
-from cohortlens.contract import KEYS
+from cohortlens.contract import ARTIFACTS, KEYS, TARGETS
 from cohortlens.models.legacy import ModelRun, metrics_summary
-from cohortlens.operators.checks import validate_mart
+from cohortlens.operators.checks import reject_banned_columns, require_columns, validate_mart
 from cohortlens.operators.mart import artifact_metadata, artifact_tables
 
-# Names of the written artifact tables.
-ARTIFACTS = {"full": "training_full", "features": "features", "targets": "targets"}
 METADATA = "training_metadata"
 
 
@@ -27,6 +26,16 @@ def write_table(df: DataFrame, path: str, file_format: str = "parquet") -> str:
     return path
 
 
+def read_table(
+    spark: SparkSession, path: str, schema: StructType, file_format: str = "parquet"
+) -> DataFrame:
+    """A table that ``write_table`` wrote."""
+    reader = spark.read.schema(schema)
+    if file_format == "csv":
+        return reader.option("header", True).csv(path)
+    return reader.format(file_format).load(path)
+
+
 def write_artifacts(
     mart: DataFrame,
     folder: str,
@@ -34,20 +43,20 @@ def write_artifacts(
     file_format: str = "parquet",
     generated_at: datetime | None = None,
 ) -> dict[str, str]:
-    """Full, features and targets tables sorted by key, then the metadata record.
+    """Write full, features and targets tables sorted by key, then the metadata record.
 
-    The full table is written first and the others are cut from it, so the mart
-    is computed once; a later read finds them in key order.
+    The full table is written first and checked as read back, and the others are cut
+    from it, so the mart is computed once. Metadata are written last and only for a
+    table that passed.
     """
-    validate_mart(mart)
     spark = mart.sparkSession
+    require_columns(mart, (*KEYS, *TARGETS), "training mart")
+    reject_banned_columns(mart, "training mart")
     paths = {name: f"{folder}/{table}" for name, table in ARTIFACTS.items()}
     ordered = artifact_tables(mart)["full"].orderBy(*KEYS)
     write_table(ordered, paths["full"], file_format)
-    if file_format == "csv":
-        full = spark.read.schema(ordered.schema).option("header", True).csv(paths["full"])
-    else:
-        full = spark.read.schema(ordered.schema).format(file_format).load(paths["full"])
+    full = read_table(spark, paths["full"], ordered.schema, file_format)
+    validate_mart(full)
     for name, table in artifact_tables(full).items():
         if name != "full":
             write_table(table.orderBy(*KEYS), paths[name], file_format)
@@ -78,7 +87,7 @@ def write_predictions(
     target, origin = _location(path), _location(source)
     if target == origin or origin.startswith(f"{target}/") or target.startswith(f"{origin}/"):
         raise ValueError("prediction output must not overwrite the scoring source")
-    return write_table(predictions, path, file_format)
+    return write_table(predictions.orderBy(*KEYS), path, file_format)
 
 
 def write_legacy(runs: Mapping[str, ModelRun], folder: str) -> dict[str, str]:

@@ -31,7 +31,7 @@ def read_cutoff(spark: SparkSession, path: str) -> int:
         "schema_of_variant(variant_get(parse_json(value), '$.cutoff_day')) AS kind",
     ).take(1)
     if not rows or rows[0]["kind"] != "BIGINT":
-        raise ValueError("Training metadata must contain an integer cutoff_day")
+        raise ValueError(f"{path} records no whole number as cutoff_day")
     return int(rows[0]["day"])
 
 
@@ -42,13 +42,14 @@ def read_scoring_tables(
     tables, missing = {}, []
     for name in SCORING_TABLES:
         try:
-            tables[name] = spark.read.format(file_format).options(**options).load(f"{folder}/{name}")
+            read = spark.read.format(file_format).options(**options).load(f"{folder}/{name}")
+            tables[name] = nan_to_null(read)
         except Exception as error:
             if "PATH_NOT_FOUND" not in str(error):
                 raise
             missing.append(name)
     if missing:
-        raise CheckError(f"scoring source is missing required tables: {missing}")
+        raise CheckError(f"the scoring source lacks the tables {missing}")
     return tables
 
 
@@ -56,5 +57,5 @@ def read_scoring_catalog(spark: SparkSession, database: str) -> dict[str, DataFr
     """The four scoring tables of a catalog database."""
     missing = [name for name in SCORING_TABLES if not spark.catalog.tableExists(f"{database}.{name}")]
     if missing:
-        raise CheckError(f"scoring source is missing required tables: {missing}")
-    return {name: spark.table(f"{database}.{name}") for name in SCORING_TABLES}
+        raise CheckError(f"the scoring source lacks the tables {missing}")
+    return {name: nan_to_null(spark.table(f"{database}.{name}")) for name in SCORING_TABLES}

@@ -52,34 +52,22 @@ def order_keys(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-# An order as one long that sorts by registration day, then order key: the day
-# above 52 bits, the order key (below 2**50) above 2, and the result code.
-DAY_BITS, KEY_BITS = 52, 2
-DAY_SHIFT = 128
-RESULT_CODES = ("Fail", "Pass", "Distinction", "Withdrawn")
-
-
 def enrollments(orders: DataFrame) -> DataFrame:
     """The earliest order per key, and how many more there were."""
-    code = (
-        "CASE WHEN o_orderstatus = 'F' THEN 0 WHEN o_orderstatus = 'P' THEN 1 "
-        "WHEN o_totalprice > 250000 THEN 2 ELSE 3 END"
-    )
-    day = f"CAST(date_registration + {DAY_SHIFT} AS bigint)"
-    packed = f"shiftleft({day}, {DAY_BITS}) + shiftleft(o_orderkey, {KEY_BITS}) + {code}"
-    # The minimum of a long is combined on the map side in a hash table; a window
-    # would sort every order of a key, and a struct would fall back to sorting.
-    key = f"shiftright(first & {(1 << DAY_BITS) - 1}L, {KEY_BITS})"
-    names = ", ".join(f"'{name}'" for name in RESULT_CODES)
+    # A minimum is combined on the map side, so no task sorts all orders of a key.
+    order = F.struct("date_registration", "o_orderkey", "o_orderstatus", "o_totalprice")
     return (
         orders.groupBy(*KEYS)
-        .agg(F.min(F.expr(packed)).alias("first"), F.count(F.lit(1)).alias("orders"))
+        .agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("orders"))
         .selectExpr(
             *KEYS,
-            f"CAST(shiftright(first, {DAY_BITS}) - {DAY_SHIFT} AS int) AS date_registration",
+            "first.date_registration",
             "CAST(orders - 1 AS int) AS num_of_prev_attempts",
-            f"CAST(30 * (1 + {key} % 4) AS int) AS studied_credits",
-            f"get(array({names}), CAST(first & {(1 << KEY_BITS) - 1}L AS int)) AS final_result",
+            "CAST(30 * (1 + first.o_orderkey % 4) AS int) AS studied_credits",
+            "CASE WHEN first.o_orderstatus = 'F' THEN 'Fail' "
+            "WHEN first.o_orderstatus = 'P' THEN 'Pass' "
+            "WHEN first.o_totalprice > 250000 THEN 'Distinction' ELSE 'Withdrawn' END "
+            "AS final_result",
         )
     )
 

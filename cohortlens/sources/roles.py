@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +20,12 @@ class RoleTables:
     assessment: DataFrame
     submission: DataFrame
 
+    def changed(self, operator: Callable[[DataFrame], DataFrame]) -> RoleTables:
+        """The roles with ``operator`` applied to each table."""
+        return RoleTables(
+            **{field.name: operator(getattr(self, field.name)) for field in fields(self)}
+        )
+
 
 # Native table and column names of the relational source.
 SOURCE_TABLES = {

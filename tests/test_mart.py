@@ -140,7 +140,7 @@ def test_artifacts_split_keys_features_and_targets(spark, mart8, tmp_path, file_
 def test_metadata_without_integer_cutoff_is_refused(spark, tmp_path, value):
     path = tmp_path / "meta.json"
     path.write_text('{"cutoff_day": %s}' % value)
-    with pytest.raises(ValueError, match="integer cutoff_day"):
+    with pytest.raises(ValueError, match="whole number as cutoff_day"):
         files.read_cutoff(spark, str(path))
 
 

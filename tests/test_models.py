@@ -144,7 +144,7 @@ def test_loaded_model_scores_alike(spark, trained):
 
 def test_bundle_is_refused_when_absent_or_different(spark, trained, tmp_path, monkeypatch):
     _, _, path = trained
-    with pytest.raises(FileNotFoundError, match="bundle directory"):
+    with pytest.raises(FileNotFoundError, match="no finished bundle"):
         bundles.load_bundle(spark, path.rpartition("/")[0], 30)
     with pytest.raises(ValueError, match="cutoff_day"):
         bundles.load_bundle(spark, path, 31)
@@ -186,22 +186,22 @@ def test_training_needs_both_classes(spark):
         risk.search(rows, "2014J")
 
 
-def test_train_from_written_artifacts(spark, tmp_path):
+@pytest.mark.parametrize("file_format", ["parquet", "csv"])
+def test_train_from_written_artifacts(spark, tmp_path, file_format):
     rows = training_rows(spark, 80)
-    paths = sinks.write_artifacts(rows, str(tmp_path / "mart"), 30)
-    path = commands.train_from_files(spark, paths["full"], paths["metadata"], str(tmp_path / "out"))
+    paths = sinks.write_artifacts(rows, str(tmp_path / "mart"), 30, file_format)
+    path = commands.train_from_files(
+        spark, paths["full"], paths["metadata"], str(tmp_path / "out"), file_format=file_format
+    )
     assert bundles.load_bundle(spark, path, 30).manifest["data_name"] == "training_full"
 
 
-def test_legacy_models_write_predictions_and_metrics(spark, tmp_path, monkeypatch):
-    for settings in (legacy.BOOST, legacy.FOREST):
-        monkeypatch.setitem(settings, "maxDepth", 2)
-    monkeypatch.setitem(legacy.BOOST, "maxIter", 2)
-    monkeypatch.setitem(legacy.FOREST, "numTrees", 3)
+def test_legacy_models_write_predictions_and_metrics(spark, tmp_path):
+    growth = legacy.Growth(trees=3, depth=2, bins=64, boost_depth=2)
     rows = training_rows(spark, 120).withColumn(
         "performance_tier", (F.col("id_student") % 4).cast("int")
     )
-    runs = legacy.run_all(rows)
+    runs = legacy.run_all(rows, growth=growth)
     paths = sinks.write_legacy(runs, str(tmp_path))
     summary = {(r.type, r.model): r for r in spark.read.parquet(paths["metrics_summary"]).collect()}
     assert len(summary) == 9
@@ -212,6 +212,8 @@ def test_legacy_models_write_predictions_and_metrics(spark, tmp_path, monkeypatc
         if row.type == "binary":
             assert row.TP + row.FP + row.TN + row.FN == held
             assert row.msePI2 == row.mse
+    cells = runs["ordinal"].confusion.groupBy("model").agg(F.sum("count")).collect()
+    assert [n for _, n in cells] == [held] * 3
     for name in ("binary", "ordinal", "regression"):
         assert spark.read.parquet(paths[name]).count() == 3 * held
     clusters = runs["unsupervised"].metrics.collect()
