@@ -68,8 +68,9 @@ BLOCK = 512
 FEW_HOLDERS, MATRIX_COLUMNS = 32, 8192
 LINK = "a long, b long"
 
-#: Draws that are made at once.
-DRAWS = 1 << 20
+#: Text bytes that are sketched at once, and draws that are made at once.
+TEXT_BYTES = 1 << 19
+DRAWS = 1 << 17
 
 _ONE = 2.0**-64
 _STEP = 0x9E3779B97F4A7C15
@@ -166,7 +167,7 @@ def _sums(values: np.ndarray, number: np.ndarray, count: int) -> np.ndarray:
 
 def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
-        for batch in bounded(whole, "_text", 1 << 20):
+        for batch in bounded(whole, "_text", TEXT_BYTES):
             number, hashes, sizes = shingle_sets(batch.column("_text"))
             found = registers(number, hashes, sizes)
             bands = found.reshape(-1, BAND_REGISTERS).astype(np.uint64)
@@ -191,7 +192,7 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
-        for batch in bounded(whole, "_text", 1 << 20):
+        for batch in bounded(whole, "_text", TEXT_BYTES):
             number, hashes, sizes = shingle_sets(batch.column("_text"))
             found = registers(number, hashes, sizes)
             edges = np.concatenate([[0], np.cumsum(sizes)])

@@ -13,7 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
-PIECE = 1 << 20
+PIECE = 1 << 18
 
 
 def _mask(kept) -> np.ndarray:
