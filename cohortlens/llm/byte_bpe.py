@@ -28,46 +28,60 @@ from pyspark.sql import types as T
 from cohortlens.llm.decontamination import bounded
 
 #: Bits of a rank that the lower level of the bitmap holds.
-BLOCK_BITS = 8
+BLOCK_BITS = 10
+BLOCK_MASK = (1 << BLOCK_BITS) - 1
+#: Bits that hold an id, and what stands in the place of a part that has merged.
+ID_BITS = 32
+GONE = -1
 #: Pieces of text that a worker remembers at most, and the longest that it remembers.
-MEMORY_ENTRIES = 400_000
+MEMORY_ENTRIES = 1_000_000
 MEMORY_LONGEST = 64
 
 
 class RankQueue:
-    """Places in a text by merge rank; ``pop`` gives the leftmost place of the lowest rank.
+    """Places in a text by merge rank; ``pop`` gives the places of the lowest rank.
 
     Ranks are buckets of places. ``top`` has a bit for each block of ranks in use, each
     block a bit for each rank in use.
     """
 
+    __slots__ = ("buckets", "blocks", "top")
+
     def __init__(self):
         self.buckets: dict[int, list[int]] = {}
         self.blocks: dict[int, int] = {}
         self.top = 0
 
     def push(self, rank: int, place: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket is not None:
-            bucket.append(place)
+        buckets = self.buckets
+        if rank in buckets:
+            buckets[rank].append(place)
             return
-        self.buckets[rank] = [place]
-        block = rank >> BLOCK_BITS
-        self.blocks[block] = self.blocks.get(block, 0) | 1 << (rank & (1 << BLOCK_BITS) - 1)
-        self.top |= 1 << block
+        buckets[rank] = [place]
+        block, bit = rank >> BLOCK_BITS, 1 << (rank & BLOCK_MASK)
+        blocks = self.blocks
+        if block in blocks:
+            blocks[block] |= bit
+        else:
+            blocks[block] = bit
+            self.top |= 1 << block
 
     def pop(self) -> tuple[int, list[int]]:
         """The lowest rank and all its places from the left; its bucket is emptied."""
-        block = (self.top & -self.top).bit_length() - 1
-        bits = self.blocks[block]
-        low = bits & -bits
-        rank = block << BLOCK_BITS | low.bit_length() - 1
-        bits ^= low
-        self.blocks[block] = bits
-        if not bits:
-            self.top ^= 1 << block
+        top = self.top
+        block = (top & -top).bit_length() - 1
+        blocks = self.blocks
+        bits = blocks[block]
+        rank = block << BLOCK_BITS | (bits & -bits).bit_length() - 1
+        bits &= bits - 1
+        if bits:
+            blocks[block] = bits
+        else:
+            del blocks[block]
+            self.top = top & (top - 1)
         places = self.buckets.pop(rank)
-        places.sort()
+        if len(places) > 1:
+            places.sort()
         return rank, places
 
 
@@ -79,71 +93,72 @@ class ByteBpe:
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.pattern = regex.compile(pattern)
         self.of_byte = [ranks[bytes([value])] for value in range(256)]
-        self.merges: dict[tuple[int, int], int | None] = {}
+        self.merges = self._all_merges()
         self.memory: dict[str, bytes] = {}
 
+    def _all_merges(self) -> dict[int, int]:
+        """The id that two ids merge into, by both in one number: every cut of every token."""
+        ranks = self.ranks
+        return {
+            ranks[token[:cut]] << ID_BITS | ranks[token[cut:]]: rank
+            for token, rank in ranks.items()
+            for cut in range(1, len(token))
+            if token[:cut] in ranks and token[cut:] in ranks
+        }
+
     @classmethod
     def from_file(cls, path: str, pattern: str) -> ByteBpe:
         with open(path, "rb") as lines:
             pairs = (line.split() for line in lines if line.strip())
             return cls({base64.b64decode(token): int(rank) for token, rank in pairs}, pattern)
 
-    def _merge(self, left: int, right: int) -> int | None:
-        """The id that two neighbouring ids merge into, if any."""
-        pair = (left, right)
-        try:
-            return self.merges[pair]
-        except KeyError:
-            if len(self.merges) >= MEMORY_ENTRIES:
-                self.merges.clear()
-            merged = self.ranks.get(self.tokens[left] + self.tokens[right])
-            self.merges[pair] = merged
-            return merged
-
     def encode_piece(self, piece: bytes) -> list[int]:
         """The ids of one pre-token."""
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        ids: list[int | None] = [self.of_byte[value] for value in piece]
+        ids: list[int] = [self.of_byte[value] for value in piece]
         count = len(ids)
         following = list(range(1, count + 1))
         before = list(range(-1, count - 1))
+        merge = self.merges.get
         queue = RankQueue()
+        push = queue.push
         for place in range(count - 1):
-            merged = self._merge(ids[place], ids[place + 1])
+            merged = merge(ids[place] << ID_BITS | ids[place + 1])
             if merged is not None:
-                queue.push(merged, place)
+                push(merged, place)
         while queue.top:
             rank, places = queue.pop()
             for at, place in enumerate(places):
                 right = following[place]
-                left_id = ids[place]
                 # Stale if this part is gone, is the last, or no longer makes this pair.
-                if left_id is None or right >= count or self._merge(left_id, ids[right]) != rank:
+                if right >= count or merge(ids[place] << ID_BITS | ids[right]) != rank:
                     continue
-                ids[place], ids[right] = rank, None
+                ids[place], ids[right] = rank, GONE
                 after = following[right]
                 following[place] = after
+                # The part that went takes part in no pair any more.
+                following[right] = count
                 lower = False
                 if after < count:
                     before[after] = place
-                    merged = self._merge(rank, ids[after])
+                    merged = merge(rank << ID_BITS | ids[after])
                     if merged is not None:
-                        queue.push(merged, place)
+                        push(merged, place)
                         lower = merged < rank
                 prior = before[place]
                 if prior >= 0:
-                    merged = self._merge(ids[prior], rank)
+                    merged = merge(ids[prior] << ID_BITS | rank)
                     if merged is not None:
-                        queue.push(merged, prior)
+                        push(merged, prior)
                         lower |= merged < rank
                 if lower:
                     # A lower rank came up: it goes first, the rest of this bucket waits.
                     for waiting in places[at + 1 :]:
-                        queue.push(rank, waiting)
+                        push(rank, waiting)
                     break
-        return [part for part in ids if part is not None]
+        return [part for part in ids if part != GONE]
 
     def _packed(self, pieces: list[str]) -> bytes:
         return array("I", [i for piece in pieces for i in self.encode_piece(piece.encode())]).tobytes()

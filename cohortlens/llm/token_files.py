@@ -33,7 +33,7 @@ ROW_GROUP_BYTES = 16 << 20
 PAGE_BYTES = 256 << 10
 DICTIONARY_BYTES = 1 << 20
 #: Distinct stretches of text whose ids a worker remembers at most, and the longest.
-MEMORY_ENTRIES = 400_000
+MEMORY_ENTRIES = 1_000_000
 MEMORY_LONGEST = 64
 
 
