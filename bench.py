@@ -14,7 +14,7 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from cohortlens.plans.queries import queries  # noqa: E402
-from cohortlens.session import local_session  # noqa: E402
+from cohortlens.session import local_session, release  # noqa: E402
 
 HEADLINE = (
     "enrollment_mart",
@@ -31,6 +31,9 @@ HEADLINE = (
     "capacity_top20",
     "calibration_bins",
     "unseen_fields",
+    "knn_score",
+    "eda_headlines",
+    "champion_candidates",
 )
 
 
@@ -61,6 +64,7 @@ def main() -> None:
             }
         )
     )
+    release(spark)
     spark.stop()
 
 
