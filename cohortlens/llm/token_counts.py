@@ -17,7 +17,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -94,17 +96,12 @@ def _counting(path: Callable[[], str], huge: int):
         own = encoder(path())
         for whole in batches:
             for batch in bounded(whole, "_text"):
-                texts = batch.column("_text").to_pylist()
-                counts = [None if len(text) > huge else 0 for text in texts]
-                small = [place for place, count in enumerate(counts) if count is not None]
-                for place, ids in zip(
-                    small, own.encode([texts[place] for place in small]), strict=True
-                ):
-                    counts[place] = len(ids) // 4
-                counts = [
-                    count_huge(own.tokenizer, text) if count is None else count
-                    for text, count in zip(texts, counts, strict=True)
-                ]
+                texts = batch.column("_text")
+                long = np.array(pc.utf8_length(texts)) > huge
+                counts = np.zeros(len(texts), np.int64)
+                counts[~long] = own.encode(texts.filter(pa.array(~long)))[1]
+                for place in np.flatnonzero(long).tolist():
+                    counts[place] = count_huge(own.tokenizer, texts[place].as_py())
                 yield pa.RecordBatch.from_pydict(
                     {"row": batch.column("row"), "n_tokens": pa.array(counts, pa.int64())}
                 )

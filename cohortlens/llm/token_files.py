@@ -14,6 +14,7 @@ rows. Other columns are left out unless named in ``columns``.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Callable, Iterator, Sequence
 
@@ -26,61 +27,113 @@ from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from cohortlens.llm.decontamination import bounded
+from cohortlens.llm.words import WHITE_SPACE_WORDS, span_hashes, spans, text_buffer
 from cohortlens.session import shuffle_width
 
 #: Parquet settings: bytes of a row group and of a page, of a page dictionary.
 ROW_GROUP_BYTES = 16 << 20
 PAGE_BYTES = 256 << 10
 DICTIONARY_BYTES = 1 << 20
-#: Distinct stretches of text whose ids a worker remembers at most, and the longest.
-MEMORY_ENTRIES = 1_000_000
-MEMORY_LONGEST = 64
-
-
-def stretches(text: str) -> list[str]:
-    """A text cut at ASCII white space; other white space is left to the tokenizer."""
-    for mark in "\t\n\x0b\x0c\r":
-        if mark in text:
-            text = text.replace(mark, " ")
-    return text.split(" ")
+#: Distinct stretches of text whose ids a worker remembers at most.
+MEMORY_ENTRIES = 2_000_000
+#: Characters that are encoded at once to learn new stretches.
+LEARN_CHARS = 1 << 15
 
 
 class StretchEncoder:
-    """Ids of whole texts by the tokenizers library, each stretch between spaces once.
+    """Ids of whole texts by the tokenizers library, each distinct stretch between spaces once.
 
     The tokenizer must cut at ASCII white space whatever stands around it and give the
-    white space no id, so that a text's ids are those of its stretches in turn.
+    white space no id, so that a text's ids are those of its stretches in turn. Stretches
+    are told apart by 64 bits of hash; the memory is a sorted array of hashes and a flat
+    array of ids, so that it holds millions of them, and is emptied when it is full.
     """
 
     def __init__(self, path: str):
+        # One thread per task: Spark's slots are the parallelism.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.memory: dict[str, bytes] = {}
-
-    def _learn(self, stretches: list[str]) -> dict[str, bytes]:
-        encoded = self.tokenizer.encode_batch_fast(stretches, add_special_tokens=False)
-        found = {
-            stretch: np.array(one.ids, np.uint32).tobytes()
-            for stretch, one in zip(stretches, encoded, strict=True)
-        }
-        if len(self.memory) + len(found) > MEMORY_ENTRIES:
-            self.memory.clear()
-        self.memory.update(
-            (stretch, ids) for stretch, ids in found.items() if len(stretch) <= MEMORY_LONGEST
-        )
-        return found
-
-    def encode(self, texts: Sequence[str]) -> list[bytes]:
-        """Per text, its ids as little-endian unsigned 32-bit integers."""
-        cut = [stretches(text) for text in texts]
-        known = self.memory
-        new = list({part for parts in cut for part in parts if part and part not in known})
-        before = dict(known) if len(known) + len(new) > MEMORY_ENTRIES else known
-        found = self._learn(new)
-        ids = {"": b""} | found
-        result = []
-        for parts in cut:
-            result.append(b"".join([ids[p] if p in ids else before[p] for p in parts]))
-        return result
+        self._forget()
+
+    def _forget(self) -> None:
+        self.hashes = np.zeros(0, np.uint64)
+        self.begins = np.zeros(0, np.int64)
+        self.counts = np.zeros(0, np.int64)
+        self.ids = np.zeros(0, np.uint32)
+
+    def _encoded(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The stretches' ids and their numbers, from one encoding with spaces between.
+
+        A token belongs to the stretch in which it starts.
+        """
+        whole = self.tokenizer.encode(" ".join(parts), add_special_tokens=False)
+        begins = np.cumsum([0, *[len(part) + 1 for part in parts]])
+        starts = np.array([start for start, _ in whole.offsets], np.int64)
+        return np.array(whole.ids, np.uint32), np.diff(np.searchsorted(starts, begins))
+
+    def _learn(self, hashes: np.ndarray, parts: list[str]) -> None:
+        """Add stretches, given in ascending order of their hashes."""
+        if len(self.hashes) + len(hashes) > MEMORY_ENTRIES:
+            raise MemoryError("the stretches at hand must fit in the memory")
+        ids, counts = [], []
+        low = size = 0
+        for place, part in enumerate(parts):
+            size += len(part)
+            if size >= LEARN_CHARS or place + 1 == len(parts):
+                found = self._encoded(parts[low : place + 1])
+                ids.append(found[0])
+                counts.append(found[1])
+                low, size = place + 1, 0
+        counts = np.concatenate(counts)
+        begins = np.cumsum(counts) - counts + len(self.ids)
+        at = np.searchsorted(self.hashes, hashes)
+        self.hashes = np.insert(self.hashes, at, hashes)
+        self.begins = np.insert(self.begins, at, begins)
+        self.counts = np.insert(self.counts, at, counts)
+        self.ids = np.concatenate([self.ids, *ids])
+
+    def _knows(self, hashes: np.ndarray) -> np.ndarray:
+        at = np.searchsorted(self.hashes, hashes)
+        at[at == len(self.hashes)] = 0
+        return self.hashes[at] == hashes if len(self.hashes) else np.zeros(len(hashes), bool)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and how many each text has."""
+        buffer, offsets = text_buffer(texts)
+        starts, ends, text = spans(buffer, offsets, WHITE_SPACE_WORDS)
+        of_words = span_hashes(buffer, starts, ends)
+        hashes = np.unique(of_words)
+        if len(hashes) > MEMORY_ENTRIES:
+            # So many different stretches are taken in two halves of the texts, or, within
+            # one text, of its stretches.
+            return self._halves(texts, buffer, starts)
+        place = np.searchsorted(hashes, of_words)
+        known = self._knows(hashes)
+        if len(self.hashes) + int((~known).sum()) > MEMORY_ENTRIES:
+            self._forget()
+            known[:] = False
+        unknown = np.flatnonzero(~known[place])
+        if len(unknown):
+            new, first = np.unique(place[unknown], return_index=True)
+            first = unknown[first]
+            spelled = zip(starts[first].tolist(), ends[first].tolist(), strict=True)
+            self._learn(hashes[new], [buffer[a:b].tobytes().decode() for a, b in spelled])
+        entry = np.searchsorted(self.hashes, hashes)[place]
+        counts = self.counts[entry]
+        edges = np.concatenate([[0], np.cumsum(counts)])
+        into = np.repeat(self.begins[entry] - edges[:-1], counts) + np.arange(edges[-1])
+        words = np.searchsorted(text, np.arange(len(texts) + 1))
+        return self.ids[into], np.diff(edges[words])
+
+    def _halves(self, texts: pa.Array, buffer: np.ndarray, starts: np.ndarray):
+        if len(texts) > 1:
+            middle = len(texts) // 2
+            parts = [self.encode(texts.slice(0, middle)), self.encode(texts.slice(middle))]
+            return tuple(map(np.concatenate, zip(*parts, strict=True)))
+        cut = int(starts[len(starts) // 2])
+        halves = [buffer[:cut].tobytes().decode(), buffer[cut:].tobytes().decode()]
+        ids, counts = self.encode(pa.array(halves))
+        return ids, np.array([counts.sum()])
 
 
 _ENCODERS: dict[str, StretchEncoder] = {}
@@ -96,25 +149,25 @@ def encoder(path: str) -> StretchEncoder:
 def _encoding(path: Callable[[], str], end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, place = encoder(path()), 0
-        end = np.array([end_id], np.uint32).tobytes()
         for whole in batches:
             for batch in bounded(whole, "_text"):
-                ids = [data + end for data in own.encode(batch.column("_text").to_pylist())]
-                counts = np.array([len(data) // 4 for data in ids], np.int64)
+                ids, counts = own.encode(batch.column("_text"))
+                # Each text's end id goes behind its own ids.
+                flat = np.insert(ids.view(np.int32), np.cumsum(counts), np.int32(end_id))
+                counts = counts + 1
                 offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-                flat = np.frombuffer(b"".join(ids), np.int32)
                 carried = {
                     name: batch.column(name) for name in batch.schema.names if name != "_text"
                 }
                 yield pa.RecordBatch.from_pydict(
                     carried
                     | {
-                        "place": pa.array(np.arange(place, place + len(ids))),
+                        "place": pa.array(np.arange(place, place + batch.num_rows)),
                         "n_tokens": pa.array(counts),
                         "ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
                     }
                 )
-                place += len(ids)
+                place += batch.num_rows
 
     return run
 

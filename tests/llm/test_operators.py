@@ -251,7 +251,7 @@ def test_long_pieces_are_encoded_as_by_the_library(bpe):
 
 def test_a_full_memory_changes_nothing(bpe, monkeypatch):
     monkeypatch.setattr(byte_bpe, "MEMORY_ENTRIES", 3)
-    monkeypatch.setattr(token_files, "MEMORY_ENTRIES", 3)
+    monkeypatch.setattr(token_files, "MEMORY_ENTRIES", 120)
     docs = cases.hostile(12)
     wanted = brute.byte_bpe(docs)
     small = byte_bpe.ByteBpe(bpe.ranks, public_tokenizers.PATTERN)
@@ -259,8 +259,12 @@ def test_a_full_memory_changes_nothing(bpe, monkeypatch):
     own = token_files.StretchEncoder(queries.word_bpe())
     counts = brute.token_counts(docs)
     for _ in range(2):
-        found = own.encode([t or "" for _, t in docs])
-        assert [len(ids) // 4 for ids in found] == [counts[i][1] for i, _ in docs]
+        ids, found = own.encode(pa.array([t for _, t in docs]))
+        assert found.tolist() == [counts[i][1] for i, _ in docs] and len(ids) == found.sum()
+    many = pa.array([" ".join(f"k{n}" for n in range(400))])
+    wanted = own.tokenizer.encode(many[0].as_py(), add_special_tokens=False).ids
+    assert own.encode(many)[0].tolist() == wanted
+    assert own.encode(pa.array([], pa.string()))[1].tolist() == []
 
 
 @pytest.mark.parametrize("chunk, overlap", [(64, 4), (100, 30), (700, 8)])
