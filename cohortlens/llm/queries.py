@@ -86,8 +86,9 @@ def op4_window_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op5_sharding(spark: SparkSession, folder: str) -> DataFrame:
     """All documents shuffled into 24 written shards, and read back."""
     path = scratch_path(spark)
-    write_shards(_documents(spark, folder), path, SHARDS, SEED)
-    return digest(read_shards(spark, path))
+    docs = _documents(spark, folder)
+    write_shards(docs, path, SHARDS, SEED)
+    return digest(read_shards(spark, path, docs.schema))
 
 
 def op6_html_extraction(spark: SparkSession, folder: str) -> DataFrame:

@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Text bytes of a bucket, about; a task holds one as an array.
 BUCKET_BYTES = 8 << 20
@@ -94,8 +95,10 @@ def write_shards(
     )
 
 
-def read_shards(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_shards(spark: SparkSession, path: str, columns: T.StructType) -> DataFrame:
+    """The written rows with shard and slot; ``columns`` are those that were written."""
+    own = [T.StructField("slot", T.LongType()), T.StructField("shard", T.IntegerType())]
+    return spark.read.schema(T.StructType([*columns, *own])).parquet(path)
 
 
 def digest(shards: DataFrame) -> DataFrame:

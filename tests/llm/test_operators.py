@@ -314,7 +314,7 @@ def test_shards_are_native_repeatable_and_ordered(spark, tmp_path):
     for number in range(2):
         path = str(tmp_path / f"s{number}")
         sharding.write_shards(df.repartition(number + 2), path, 5, seed=3, bucket_bytes=3_000)
-        rows = sharding.read_shards(spark, path).orderBy("shard", "slot").collect()
+        rows = sharding.read_shards(spark, path, df.schema).orderBy("shard", "slot").collect()
         orders.append([(row["shard"], row["slot"], row["doc_id"], row["text"]) for row in rows])
     assert orders[0] == orders[1] and len(orders[0]) == len(docs)
     assert [row[2] for row in orders[0]] != sorted((i for i, _ in docs), key=str)
