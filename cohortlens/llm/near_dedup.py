@@ -67,6 +67,8 @@ BLOCK = 512
 #: Shingles with more holders in two blocks are compared as columns of a matrix, so many at once.
 FEW_HOLDERS, MATRIX_COLUMNS = 32, 8192
 LINK = "a long, b long"
+#: Rows of a link or label table that one file holds.
+ROWS_PER_FILE = 500_000
 
 #: Text bytes that are sketched at once, and draws that are made at once.
 TEXT_BYTES = 1 << 19
@@ -276,16 +278,23 @@ def components(links: DataFrame) -> DataFrame:
     neighbour, follows the pointers to their ends, and contracts the links to those ends;
     so vertices at least halve, and tables shrink.
     """
-    links = materialize(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    ordered = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    links = materialize(ordered.distinct())
+    # Tables shrink from here on; few rows are kept in few files.
+    parts = max(1, -(-links.count() // ROWS_PER_FILE))
+
+    def kept(df: DataFrame) -> DataFrame:
+        return materialize(df.coalesce(parts))
+
     ends = links.select(F.col("a").alias("doc")).union(links.select("b")).distinct()
-    labels = materialize(ends.withColumn("component", F.col("doc")))
+    labels = kept(ends.withColumn("component", F.col("doc")))
     while not links.isEmpty():
         both = links.union(links.select("b", "a"))
         pointer = both.groupBy(F.col("a").alias("doc")).agg(F.min("b").alias("to"))
-        pointer = materialize(pointer.select("doc", F.least("doc", "to").alias("to")))
+        pointer = kept(pointer.select("doc", F.least("doc", "to").alias("to")))
         while True:
             nearer = pointer.select(F.col("doc").alias("to"), F.col("to").alias("far"))
-            pointer = materialize(
+            pointer = kept(
                 pointer.join(nearer, "to").select(
                     "doc", F.col("far").alias("to"), (F.col("far") != F.col("to")).alias("moved")
                 )
@@ -294,14 +303,14 @@ def components(links: DataFrame) -> DataFrame:
                 break
         pointer = pointer.select("doc", "to")
         step = pointer.select(F.col("doc").alias("component"), F.col("to").alias("_to"))
-        labels = materialize(
+        labels = kept(
             labels.join(step, "component", "left").select(
                 "doc", F.coalesce("_to", "component").alias("component")
             )
         )
         to_a = pointer.select(F.col("doc").alias("a"), F.col("to").alias("_a"))
         to_b = pointer.select(F.col("doc").alias("b"), F.col("to").alias("_b"))
-        links = materialize(
+        links = kept(
             links.join(to_a, "a")
             .join(to_b, "b")
             .where(F.col("_a") != F.col("_b"))
