@@ -75,10 +75,8 @@ SEQUENCE_SLICE_BYTES = 2 << 20
 MANY_UNITS = 64
 #: Starts that are cut into segments at once, and sequences of a collection, about.
 SEGMENT_PIECE = 1 << 17
-COLLECTION = 400
+COLLECTION = 2000
 
-#: Bits of a suffix's number that hold its length.
-_LENGTH_BITS = 31
 _PLACE_BITS = np.uint64(18)
 _PLACE = np.uint64((1 << 18) - 1)
 
@@ -344,7 +342,10 @@ class ColumnWise:
         self.text, self.lengths, self.ends = text, lengths, np.cumsum(lengths)
         self.symbols = text[self.ends - 1] + np.uint8(1)
         self.common = np.zeros(count, np.int16 if lengths.max() < 2**15 else np.int32)
-        self.suffix = np.arange(count) << _LENGTH_BITS
+        # A suffix's number has its length in the lower bits; narrow numbers move faster.
+        self.bits = int(lengths.max()).bit_length()
+        wide = count << self.bits >= 2**31
+        self.suffix = (np.arange(count) << self.bits).astype(np.int64 if wide else np.int32)
         place = np.arange(count)
         for column in range(1, int(lengths.max()) + 1):
             place = self._insert(place, column)
@@ -374,14 +375,14 @@ class ColumnWise:
         found = np.zeros(len(near), common.dtype)
         found[same] = 1 + self._least(before[same], here[same])
         common[near - whole + markers] = found
-        owner = self.suffix[order[ranks]] >> _LENGTH_BITS
+        owner = self.suffix[order[ranks]] >> self.bits
         before = self.ends[owner] - column - 1
         goes_on = before >= self.ends[owner] - self.lengths[owner]
         symbol = np.where(goes_on, self.text[np.maximum(before, 0)] + np.uint8(1), 0)
         symbols = np.empty(rows, np.uint8)
         symbols[kept], symbols[into] = self.symbols, symbol
-        suffix = np.empty(rows, np.int64)
-        suffix[kept], suffix[into] = self.suffix, owner << _LENGTH_BITS | column
+        suffix = np.empty(rows, self.suffix.dtype)
+        suffix[kept], suffix[into] = self.suffix, owner << self.bits | column
         self.symbols, self.common, self.suffix = symbols, common, suffix
         return into[goes_on]
 
@@ -404,8 +405,8 @@ class ColumnWise:
         number = np.cumsum(opens)
         rows = np.bincount(number)
         shared = rows[number] > 1
-        owner = self.suffix[shared] >> _LENGTH_BITS
-        left = self.suffix[shared] & ((1 << _LENGTH_BITS) - 1)
+        owner = (self.suffix[shared] >> self.bits).astype(np.int64)
+        left = self.suffix[shared] & ((1 << self.bits) - 1)
         return owner, self.lengths[owner] - left, number[shared]
 
 

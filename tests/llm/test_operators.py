@@ -113,8 +113,8 @@ def test_construction_equals_sorted_suffixes():
         suffixes = sorted(
             (tuple(text[k:]) + (-1,), number, k) for number, text in enumerate(texts) for k in range(len(text) + 1)
         )
-        owner = built.suffix >> suffix_dedup._LENGTH_BITS
-        left = built.suffix & ((1 << suffix_dedup._LENGTH_BITS) - 1)
+        owner = built.suffix >> built.bits
+        left = built.suffix & ((1 << built.bits) - 1)
         assert list(zip(owner, lengths[owner] - left)) == [(number, k) for _, number, k in suffixes]
         before = [0 if k == 0 else texts[number][k - 1] + 1 for _, number, k in suffixes]
         assert built.symbols.tolist() == before
