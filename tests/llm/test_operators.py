@@ -1,6 +1,7 @@
 """The operators' own interfaces: methods, odd rows, extra columns, and real outputs."""
 
 import random
+import textwrap
 
 import numpy as np
 import public_tokenizers
@@ -219,6 +220,36 @@ def test_lines_and_verdicts_equal_brute_force(spark):
     assert good.columns[:5] == ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def test_wrapped_and_foreign_prose_is_kept(spark):
+    generator = random.Random(8)
+    plain = [cases.sentence(generator, 27) for _ in range(12)]
+    wrapped = textwrap.fill(" ".join(plain), 72)
+    foreign = {
+        n: "\n".join(line[:-1] + mark for line in plain)
+        for n, mark in enumerate(("।", " ॥", "؟", "۔", "።", "།", "။", "។", "。」", ".”", "!»", "?’)", ";\""), 10)
+    }
+    dense = " ".join(plain).replace(". ", "。")
+    good = {1: wrapped, 2: "Head\n\n" + wrapped.replace("\n", "\r\n"), 3: wrapped.replace(".", "।"), 4: dense}
+    no_marks = wrapped.replace(".", "")
+    one_mark = "\n".join(" ".join(f"item{n}x{k}" for k in range(11)) for n in range(60)) + "\nNow."
+    long_line = " ".join(f"tag{n}" for n in range(90))
+    bad = {
+        30: no_marks, 31: no_marks + "\n\nA mark, but elsewhere.", 32: one_mark,
+        33: long_line + "\nA mark, but not in the long line.", 34: "\n".join(plain).replace(".", "”"),
+    }
+    docs = list((good | foreign | bad).items())
+    rows = quality_rules.judge(cases.frame(spark, docs)).collect()
+    assert {row["row"]["doc_id"] for row in rows if row["kept"]} == {*good, *foreign}
+    cleaned = {row["row"]["doc_id"]: row["cleaned_text"] for row in rows}
+    assert all(cleaned[n] == text for n, text in (good | foreign).items())
+    assert cleaned[33] == "A mark, but not in the long line."
+
+
+def test_no_word_is_all_closing_marks(spark):
+    docs = [(n, text) for n, text in enumerate(["»", "é»", "”", "a»", ")" * 90, "x." + ")" * 4])]
+    assert quality_rules.judge(cases.frame(spark, docs, 1)).count() == len(docs)
+
+
 # --- tokens -----------------------------------------------------------------------
 
 
