@@ -6,10 +6,14 @@ path of open tags above it. A bidirectional LSTM in numpy reads one vector per b
 the whole page in view; the blocks labelled main are the page's text.
 
 It is fitted on at most ``SAMPLE_PAGES`` pages, those with the smallest hashes of
-page_id and url, whose blocks are labelled by their elements. Half of the fitting pages
-are disguised: elements that give the label away become plain ``div``s, so that the
-labeller also learns to judge by words, counts and neighbours. All pages are then
-labelled, whole. A table without pages, or whose sample holds no block, keeps no text.
+page_id and url among the pages that name a main element (``article``, ``main``, a role
+main, or a class or id of ``MAIN_NAMES``), whose blocks are labelled by it. A page that
+names none, or whose main elements hold no block, is unlabelled and not fitted on. Half of
+the fitting pages are disguised: elements that give the label away become plain ``div``s,
+so that the labeller also learns to judge by words, counts and neighbours. Where no
+sampled page is labelled, blocks of prose and their neighbours stand in for labels. All
+pages are then labelled, whole. A table whose sample holds no block keeps no text, nor
+does one whose sample has neither a main element nor prose.
 
 A null or empty page gives an empty text. Pages are judged one by one, so repeated rows
 and ties make no difference; other columns may have any name.
@@ -38,6 +42,8 @@ PATH_SIZE, WORD_SIZE, COUNT_SIZE = 64, 32, 8
 INPUT = PATH_SIZE + WORD_SIZE + COUNT_SIZE
 HIDDEN = 16
 EPOCHS = 10
+#: Steps of a fit at least: few labelled pages are gone through more often.
+LEAST_STEPS = 60
 #: Blocks that one batch of pages holds at most, padding included.
 BATCH_BLOCKS = 20_000
 
@@ -50,7 +56,7 @@ _TOKEN = re.compile(
     re.DOTALL | re.IGNORECASE,
 )
 _ATTRIBUTE = re.compile(
-    r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE
+    r"(?<![\w-])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE
 )
 _NAMES = re.compile(r"[a-z]+")
 
@@ -73,33 +79,53 @@ ASIDE_NAMES = frozenset(
     "social sponsor sponsored subscribe toolbar widget".split()
 )
 MAIN_TAGS = frozenset("article main".split())
+#: Whole classes and ids, ``_`` read as ``-``, of elements that hold main text.
+MAIN_NAMES = frozenset(
+    "article article-body article-content article-text articlebody blog-post body-content "
+    "bodycontent content content-body content-main contentbody entry entry-body entry-content main "
+    "main-content maincontent mw-content-text page-content post post-body post-content postbody "
+    "site-content story-body story-content".split()
+)
+#: How surely an element is a main one: by its tag or role, or by its name.
+BY_ELEMENT, BY_NAME = 2, 1
+#: Words of a block of prose at least, and words in links of one at most, in percent.
+PROSE_WORDS, PROSE_LINKED_PERCENT = 10, 33
+#: Elements whose names speak of the whole page.
+PAGE_TAGS = frozenset("html body".split())
 #: Elements whose start ends an open one of the same kind.
 SELF_ENDING = frozenset("p li dt dd tr td th option".split())
 
 
 class Block:
-    """A block's text and the tags above it, outermost first, with their names."""
+    """A block's text and the tags above it, outermost first, with their names and how
+    surely they are main elements."""
 
     __slots__ = ("text", "path", "linked")
 
-    def __init__(self, text: str, path: tuple[tuple[str, tuple[str, ...]], ...], linked: int):
+    def __init__(self, text: str, path: tuple[tuple[str, tuple[str, ...], int], ...], linked: int):
         self.text, self.path, self.linked = text, path, linked
 
 
-def _names(attributes: str) -> tuple[str, ...]:
-    if "=" not in attributes:
-        return ()
-    found = []
-    for match in _ATTRIBUTE.finditer(attributes):
-        value = match[2] or match[3] or match[4] or ""
-        found.extend(_NAMES.findall(value.lower()))
-    return tuple(found)
+def _element(tag: str, attributes: str) -> tuple[str, tuple[str, ...], int]:
+    """The tag, the words of its names, and how surely it is a main element."""
+    found: list[str] = []
+    sure = BY_ELEMENT if tag in MAIN_TAGS else 0
+    if "=" in attributes:
+        for match in _ATTRIBUTE.finditer(attributes):
+            value = (match[2] or match[3] or match[4] or "").lower()
+            found.extend(_NAMES.findall(value))
+            if match[1].lower() == "role":
+                sure = max(sure, BY_ELEMENT * ("main" in value.split()))
+            elif tag not in PAGE_TAGS:
+                named = not MAIN_NAMES.isdisjoint(value.replace("_", "-").split())
+                sure = max(sure, BY_NAME * named)
+    return tag, tuple(found), sure
 
 
 def blocks(page: str) -> list[Block]:
     """The page's non-empty blocks in order, white space turned to single spaces."""
     found: list[Block] = []
-    path: list[tuple[str, tuple[str, ...]]] = []
+    path: list[tuple[str, tuple[str, ...], int]] = []
     pieces: list[str] = []
     links = linked = 0
 
@@ -137,23 +163,58 @@ def blocks(page: str) -> list[Block]:
         elif tag not in VOID and not match["attributes"].endswith("/"):
             if tag in SELF_ENDING and path and path[-1][0] == tag:
                 path.pop()
-            path.append((tag, _names(match["attributes"])))
+            path.append(_element(tag, match["attributes"]))
     if at < len(page):
         linked += add(page[at:])
     flush()
     return found
 
 
-def is_main(block: Block) -> bool:
-    """The label that a block's elements give it."""
+def _is_aside(tag: str, names: tuple[str, ...]) -> bool:
+    return tag in ASIDE_TAGS or not ASIDE_NAMES.isdisjoint(names)
+
+
+def is_main(block: Block, least: int = BY_NAME) -> bool:
+    """The label that a block's elements give it, if they are main ones that surely."""
     inside = False
-    for tag, names in block.path:
-        if tag in ASIDE_TAGS or not ASIDE_NAMES.isdisjoint(names):
+    for tag, names, sure in block.path:
+        if _is_aside(tag, names):
             return False
-        inside |= tag in MAIN_TAGS
+        inside |= sure >= least
     return inside
 
 
+def known_labels(page: list[Block]) -> np.ndarray | None:
+    """The labels of a page's blocks by its surest main elements; none if it has none."""
+    for least in (BY_ELEMENT, BY_NAME):
+        labels = np.array([is_main(block, least) for block in page], np.float32)
+        if labels.any():
+            return labels
+    return None
+
+
+def prose_labels(page: list[Block]) -> np.ndarray | None:
+    """Labels where no main element is known: prose outside of asides, and what stands beside
+    it in the same element without being a link."""
+    free = [not any(_is_aside(tag, names) for tag, names, _ in block.path) for block in page]
+    linked = [
+        100 * block.linked > PROSE_LINKED_PERCENT * len(block.text.split(" ")) for block in page
+    ]
+    beside = {
+        block.path[:-1]
+        for block, out, link in zip(page, free, linked, strict=True)
+        if out and not link and len(block.text.split(" ")) >= PROSE_WORDS
+    }
+    labels = np.array(
+        [
+            out and not link and block.path[:-1] in beside
+            for block, out, link in zip(page, free, linked, strict=True)
+        ],
+        np.float32,
+    )
+    return labels if labels.any() else None
+
+
 def _slot(name: str, size: int) -> int:
     return zlib.crc32(name.encode("utf-8", "replace")) % size
 
@@ -165,7 +226,7 @@ def _path_vector(path: tuple) -> np.ndarray:
     known = _PATHS.get(path)
     if known is None:
         known = np.zeros(PATH_SIZE, np.float32)
-        for tag, names in path:
+        for tag, names, _ in path:
             known[_slot(tag, PATH_SIZE)] = 1
             for name in names:
                 known[_slot(f".{name}", PATH_SIZE)] = 1
@@ -205,11 +266,9 @@ def disguised(page: list[Block], random: np.random.Generator) -> list[Block]:
     result = []
     for block in page:
         path = []
-        for tag, names in block.path:
-            main = tag in MAIN_TAGS
-            aside = tag in ASIDE_TAGS or not ASIDE_NAMES.isdisjoint(names)
-            hidden = (main and hide_main) or (aside and hide_aside)
-            path.append(("div", ()) if hidden else (tag, names))
+        for tag, names, sure in block.path:
+            hidden = (sure and hide_main) or (_is_aside(tag, names) and hide_aside)
+            path.append(("div", (), 0) if hidden else (tag, names, sure))
         result.append(Block(block.text, tuple(path), block.linked))
     return result
 
@@ -328,7 +387,7 @@ class Labeller:
             for group in batched([len(page[0]) for page in pages], BATCH_BLOCKS // 20)
         ]
         step = 0
-        for _ in range(epochs):
+        for _ in range(max(epochs, -(-LEAST_STEPS // max(1, len(batches))))):
             for number in random.permutation(len(batches)):
                 step += 1
                 gradients = self._gradients(*batches[number])
@@ -370,14 +429,16 @@ def padded(rows: list[np.ndarray], labels: list[np.ndarray] | None = None):
 
 
 def fit_labeller(pages: list[str]) -> Labeller | None:
-    """A labeller fitted on the pages as they are and, half of them, disguised."""
+    """A labeller fitted on the labelled pages as they are and, half of them, disguised."""
     random = np.random.default_rng(3)
+    sample = [found for page in pages if (found := blocks(page)[:SAMPLE_BLOCKS])]
+    labelled = [(found, known_labels(found)) for found in sample]
+    if all(labels is None for _, labels in labelled):
+        labelled = [(found, prose_labels(found)) for found in sample]
     known = []
-    for page in pages:
-        found = blocks(page)[:SAMPLE_BLOCKS]
-        if not found:
+    for found, labels in labelled:
+        if labels is None:
             continue
-        labels = np.array([is_main(block) for block in found], np.float32)
         known.append((features(found), labels))
         if random.random() < 0.5:
             known.append((features(disguised(found, random)), labels))
@@ -413,12 +474,27 @@ def _extracting(labeller):
     return run
 
 
+def _naming_main() -> str:
+    """A pattern of pages with a main element, as Spark and Python read it."""
+    names = "|".join(sorted(name.replace("-", "[-_]") for name in MAIN_NAMES))
+    tags = "|".join(sorted(MAIN_TAGS))
+    value = "|".join(
+        rf"{quote}(?:[^{quote}<>]*\s)?(?:{names})(?:\s[^{quote}<>]*)?{quote}" for quote in "\"'"
+    )
+    return (
+        rf"(?i)<(?:{tags})(?=[\s/>])"
+        rf"|(?<![\w-])(?:class|id|role)\s*=\s*(?:{value}|(?:{names})(?=[\s/>]))"
+    )
+
+
 def extract_main_text(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> DataFrame:
     """All columns of ``pages`` as the struct ``row``, and main_text."""
     spark = pages.sparkSession
     text = F.coalesce(F.col("html").cast("string"), F.lit("")).alias("_text")
     spread = F.xxhash64("page_id", "url")
-    sample = pages.select(spread.alias("_spread"), text).orderBy("_spread").limit(sample_pages)
+    names_main = F.coalesce(F.col("html").cast("string").rlike(_naming_main()), F.lit(False))
+    sample = pages.select((~names_main).alias("_other"), spread.alias("_spread"), text)
+    sample = sample.orderBy("_other", "_spread").limit(sample_pages)
     labeller = fit_labeller([row["_text"] for row in sample.collect()])
     row = F.struct(*[F.col(f"`{name}`") for name in pages.columns])
     schema = T.StructType(

@@ -410,6 +410,57 @@ def test_disguised_pages_are_labelled_by_context():
     assert right >= 0.95 * total
 
 
+def laid_out(generator, top, bottom, menu, foot):
+    """A page, and its main text as a reader would mark it."""
+    body = [cases.sentence(generator, 30) for _ in range(generator.randint(3, 9))]
+    links = "".join(f"<li><a href=x>{generator.choice(cases.VOCABULARY)}</a></li>" for _ in range(6))
+    page = (
+        f"{menu[0]}<ul>{links}</ul>{menu[1]}{top}<h1>A head</h1>"
+        + "".join(f"<p>{line}</p>" for line in body)
+        + f"{bottom}{foot[0]}© all | of | it{foot[1]}"
+    )
+    return page, " ".join(["A head", *body])
+
+
+ARTICLE = ("<article>", "</article>", ("<nav>", "</nav>"), ("<footer>", "</footer>"))
+DIVS = (("<div class=t1>", "</div>"), ("<div class=t9>", "</div>"))
+
+
+@pytest.mark.parametrize(
+    "layouts",
+    [
+        {("<div class='t4'>", "</div>", *DIVS): 60},
+        {("<div id=content>", "</div>", *DIVS): 60},
+        {("<div role='main'>", "</div>", *DIVS): 60},
+        {("<div class='box entry_content'>", "</div>", *DIVS): 60},
+        {ARTICLE: 12, ("<div class='t4'>", "</div>", *DIVS): 300},
+        {ARTICLE: 30, ("<div id=\"content\">", "</div>", *DIVS): 60},
+    ],
+)
+def test_pages_of_divs_give_the_text_a_reader_marks(spark, layouts):
+    generator = random.Random(6)
+    made = [laid_out(generator, *layout) for layout, count in layouts.items() for _ in range(count)]
+    rows = [(n, f"u{n}", page) for n, (page, _) in enumerate(made)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {row["row"]["page_id"]: row["main_text"] for row in html_extraction.extract_main_text(frame).collect()}
+    same = [found[n] == text for n, (_, text) in enumerate(made)]
+    assert sum(same) >= 0.95 * len(same)
+
+
+def test_labels_come_from_the_surest_main_elements():
+    def labels(page):
+        known = html_extraction.known_labels(html_extraction.blocks(page))
+        return known if known is None else known.astype(bool).tolist()
+
+    assert labels("<p>a</p><div class=x><p>b</p></div>") is None
+    assert labels("<article></article><div data-id=content>b</div><body class=content>c</body>") is None
+    assert labels("<div>a</div><div id=content>b<p class=share>c</div>") == [False, True, False]
+    assert labels("<div id=content>a<div role=main>b</div></div>") == [False, True]
+    assert labels("<div class=related-post>a</div><article class=related>b</article><div class='x Post_Body'>c") == [
+        False, False, True,
+    ]
+
+
 # --- pipeline ---------------------------------------------------------------------
 
 
