@@ -320,5 +320,16 @@ def judge(docs: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The documents that pass, with their own columns and text."""
-    return judge(docs).where("kept").select("row.*")
+    """The documents that pass, with their own columns; text is without the failing lines,
+    and n_chars, if there is one, follows."""
+    passed = judge(docs).where("kept")
+
+    def column(name: str):
+        kind = docs.schema[name].dataType
+        if name == "text":
+            return F.col("cleaned_text").cast(kind).alias(name)
+        if name == "n_chars":
+            return F.char_length("cleaned_text").cast(kind).alias(name)
+        return F.col("row")[name].alias(name)
+
+    return passed.select(*[column(name) for name in docs.columns])

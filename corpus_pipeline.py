@@ -25,7 +25,7 @@ def byte_bpe() -> str:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the line-first rules."""
+    """Documents that pass the line-first rules, without their failing lines."""
     return keep_good(docs)
 
 

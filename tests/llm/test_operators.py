@@ -220,6 +220,15 @@ def test_lines_and_verdicts_equal_brute_force(spark):
     assert good.columns[:5] == ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def test_the_stage_passes_texts_without_failing_lines(spark):
+    prose = "\n".join(cases.sentence(random.Random(n), 20) for n in range(9))
+    docs = clashing(cases.frame(spark, [(1, prose + "\nAll rights reserved."), (2, "too short"), (3, prose)]))
+    left = corpus_pipeline.quality_rules(spark, docs, "")
+    assert left.dtypes == docs.dtypes
+    found = {row["doc_id"]: (row["text"], row["n_chars"], row["source"], row["kept"]) for row in left.collect()}
+    assert found == {1: (prose, len(prose), "s1", "kept"), 3: (prose, len(prose), "s0", "kept")}
+
+
 def test_wrapped_and_foreign_prose_is_kept(spark):
     generator = random.Random(8)
     plain = [cases.sentence(generator, 27) for _ in range(12)]
