@@ -10,7 +10,7 @@ Law ``rows``: counts at most one apart. Rows equal in doc_id and text fall into
 bucket; everything else is spread by the hash, copies with their own doc_id too. A null
 text counts no bytes, a null doc_id hashes like a value. With fewer rows than shards,
 some shards stay empty. An empty table gives an empty result. Other columns are written
-along under their names; names that the result needs are refused.
+along under any names but ``shard`` and ``slot``, which the result needs: they are refused.
 """
 
 from __future__ import annotations
@@ -52,20 +52,20 @@ def _offsets(buckets: DataFrame) -> DataFrame:
 def shuffled(
     docs: DataFrame, seed: int, total_bytes: int, bucket_bytes: int = BUCKET_BYTES
 ) -> DataFrame:
-    """All rows with ``_index``, their place from 0 in one random order of the whole table."""
+    """All rows as the struct ``row``, and ``index``, their place from 0 in one random order
+    of the whole table."""
     buckets = max(1, -(-total_bytes // bucket_bytes))
     key = F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text"))
-    dealt = docs.withColumn("_key", key).withColumn(
+    row = F.struct(*[F.col(f"`{name}`") for name in docs.columns])
+    dealt = docs.select(key.alias("_key"), row.alias("row")).withColumn(
         "_bucket", F.pmod(F.xxhash64("_key", F.lit(seed)), F.lit(buckets)).cast("int")
     )
-    row = F.struct("_key", *[F.col(f"`{name}`") for name in docs.columns])
-    held = dealt.groupBy("_bucket").agg(F.collect_list(row).alias("_rows"))
+    held = dealt.groupBy("_bucket").agg(F.collect_list(F.struct("_key", "row")).alias("_rows"))
     # Sorting first makes a repeated task start from the same array.
     mixed = held.select("_bucket", F.shuffle(F.sort_array("_rows"), seed).alias("_rows"))
     placed = mixed.join(_offsets(dealt.select("_bucket")), "_bucket")
     return placed.select("_before", F.posexplode("_rows").alias("_place", "_row")).select(
-        *[F.col("_row")[name].alias(name) for name in docs.columns],
-        (F.col("_before") + F.col("_place")).alias("_index"),
+        F.col("_row.row").alias("row"), (F.col("_before") + F.col("_place")).alias("index")
     )
 
 
@@ -76,19 +76,18 @@ def write_shards(
 
     ``slot`` numbers a shard's rows from 0 without gaps, and files hold ascending slots.
     """
-    clash = sorted(set(OWN_COLUMNS).intersection(docs.columns))
+    clash = sorted(set(OWN_COLUMNS).intersection(name.lower() for name in docs.columns))
     if clash:
         raise ValueError(f"columns {clash} clash with the result's own")
     rows, total = docs.agg(
         F.count(F.lit(1)), F.coalesce(F.sum(_size()), F.lit(0))
     ).first()
     ordered = shuffled(docs, seed, total, bucket_bytes).withColumn(
-        "shard", F.expr(f"cast(_index * {shards} div {max(rows, 1)} as int)")
+        "shard", F.expr(f"cast(index * {shards} div {max(rows, 1)} as int)")
     )
     begins = F.expr(f"(shard * cast({rows} as bigint) + {shards - 1}) div {shards}")
     (
-        ordered.withColumn("slot", F.col("_index") - begins)
-        .drop("_index")
+        ordered.select("row.*", (F.col("index") - begins).alias("slot"), "shard")
         .sortWithinPartitions("shard", "slot")
         .write.partitionBy("shard")
         .parquet(path)

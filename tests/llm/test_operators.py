@@ -362,6 +362,14 @@ def test_shards_are_native_repeatable_and_ordered(spark, tmp_path):
         sharding.write_shards(df.withColumn("slot", F.lit(1)), str(tmp_path / "x"), 5)
 
 
+def test_shards_carry_columns_of_any_name(spark, tmp_path):
+    names = ("_key", "_bucket", "_index", "index", "row", "_row", "_rows", "_before")
+    df = cases.frame(spark, cases.hostile(20)).select("*", *[F.lit(name).alias(name) for name in names])
+    sharding.write_shards(df, str(tmp_path / "s"), 3, seed=3, bucket_bytes=3_000)
+    rows = sharding.read_shards(spark, str(tmp_path / "s"), df.schema).collect()
+    assert len(rows) == df.count() and all(row[name] == name for row in rows for name in names)
+
+
 def test_blocks_of_a_page():
     page = (
         "<title>T</title><nav class='menu x'><a href=1>one</a> <a>two</a></nav><article><h1>Head</h1>"
