@@ -36,10 +36,13 @@ from cohortlens.llm.words import (
     window_hashes,
     window_starts,
 )
+from cohortlens.session import materialize
 
 WINDOW = 10
 #: Most bytes of benchmark text whose windows are broadcast at once.
 BLOCK_BYTES = 16 << 20
+#: Longer items than this part of a block are cut; parts that items are dealt into per block.
+PIECES, PARTS = 64, 64
 #: Text bytes that a task handles at once; a longer text is handled by itself.
 BATCH_BYTES = 4 << 20
 
@@ -151,18 +154,61 @@ def _hits(passages):
     return run
 
 
-def _blocks(benchmark: DataFrame) -> list[list]:
-    """The items, gathered in blocks of bounded size; each is dropped before the next is read."""
+def _pieces(text: str | None, most: int, size: int) -> list[str | None]:
+    """A text of more than ``most`` bytes in pieces of as many, or of ``size`` words if those
+    are longer, that overlap by ``size - 1`` words: each window is in a piece."""
+    if text is None or len(text.encode()) <= most:
+        return [text]
+    buffer, offsets = text_buffer(pa.array([text], pa.string()))
+    starts, ends, _ = spans(lower_ascii(buffer), offsets, LETTER_DIGIT_WORDS)
+    pieces, low, high = [], 0, 0
+    while high < len(starts):
+        fitting = int(np.searchsorted(ends, starts[low] + most, "right"))
+        high = min(max(fitting, low + size), len(starts))
+        pieces.append(buffer[starts[low] : ends[high - 1]].tobytes().decode())
+        low = high - size + 1
+    return pieces
+
+
+def _cutting(most: int, size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(*[batch.column(name).to_pylist() for name in ("item_id", "text")], strict=True)
+            for item_id, text in rows:
+                pieces = _pieces(text, most, size)
+                columns = {"item_id": [item_id] * len(pieces), "text": pieces}
+                yield pa.RecordBatch.from_pydict(
+                    {name: pa.array(column, pa.string()) for name, column in columns.items()}
+                )
+
+    return run
+
+
+def _blocks(benchmark: DataFrame, size: int) -> list[DataFrame]:
+    """The distinct items, long ones in pieces, in blocks of ``BLOCK_BYTES`` at most; only a
+    run of ``size`` words beyond that makes a larger one."""
     items = benchmark.select(
         F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text")
-    )
-    size = F.coalesce(F.octet_length("text"), F.lit(0)) + F.lit(16)
-    total = items.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
-    blocks = -(-total // BLOCK_BYTES)
-    if blocks <= 1:
+    ).distinct()
+    held = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + F.lit(16)
+    total, longest = items.agg(F.coalesce(F.sum(held), F.lit(0)), F.max(held)).first()
+    if total <= BLOCK_BYTES:
         return [items] if total else []
-    dealt = items.withColumn("_block", F.pmod(F.xxhash64("item_id", "text"), F.lit(2 * blocks)))
-    return [dealt.where(F.col("_block") == number) for number in range(2 * blocks)]
+    most = max(1, BLOCK_BYTES // PIECES)
+    if longest > most:
+        items = items.mapInArrow(_cutting(most, size), items.schema).distinct()
+    items = materialize(items)
+    buckets = PARTS * -(-total // BLOCK_BYTES)
+    dealt = items.withColumn("_part", F.pmod(F.xxhash64("item_id", "text"), F.lit(buckets)))
+    ranges: list[list[int]] = []
+    filled = 0
+    for part, part_bytes in sorted(map(tuple, dealt.groupBy("_part").agg(F.sum(held)).collect())):
+        if not ranges or filled + part_bytes > BLOCK_BYTES:
+            ranges.append([part, part])
+            filled = 0
+        ranges[-1][1] = part
+        filled += part_bytes
+    return [dealt.where(F.col("_part").between(low, high)) for low, high in ranges]
 
 
 def find_passages(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
@@ -179,7 +225,7 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) ->
         [T.StructField("row", docs.schema, False)]
         + list(T.StructType.fromDDL(f"n_words long, hits {SPAN}, item_ids array<string>"))
     )
-    blocks = _blocks(benchmark)
+    blocks = _blocks(benchmark, size)
     if len(blocks) <= 1:
         items = blocks[0].collect() if blocks else []
         known = Passages([item[0] for item in items], [item[1] for item in items], size)

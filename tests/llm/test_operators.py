@@ -193,6 +193,24 @@ def test_blocks_of_the_benchmark_are_united(spark, monkeypatch):
     assert kept.columns == df.columns and sorted(r["doc_id"] for r in kept.collect()) == [50, 51, 51]
 
 
+def test_blocks_of_repeated_and_long_items_are_bounded(spark, monkeypatch):
+    long = " ".join(f"é{k}w" for k in range(2000))
+    items = [("r", " ".join(f"r{k}" for k in range(40)))] * 100 + [("l", long), ("s", "tiny item")]
+    words = long.split(" ")
+    docs = [(n, "x " + " ".join(words[n * 90 : n * 90 + 10]) + " y") for n in range(22)]
+    docs += [(90, "a TINY item"), (91, " ".join(words[5:14])), (92, items[0][1]), (93, None)]
+    df = cases.frame(spark, docs)
+    benchmark = spark.createDataFrame(items, "item_id string, text string")
+    key = ["row.doc_id", "n_words", "hits", "item_ids"]
+    whole = decontamination.find_passages(df, benchmark).select(key).collect()
+    monkeypatch.setattr(decontamination, "BLOCK_BYTES", 6_000)
+    blocks = [block.collect() for block in decontamination._blocks(benchmark, 10)]
+    assert 1 < len(blocks) < 20
+    assert all(sum(len(brute.raw(row["text"])) for row in block) <= 6_000 for block in blocks)
+    parts = decontamination.find_passages(df, benchmark).select(key).collect()
+    assert sorted(map(str, whole)) == sorted(map(str, parts))
+
+
 def test_cut_passages_leave_the_rest(spark):
     passage = " ".join(f"w{n}" for n in range(10))
     docs = [(1, f"Before, it. {passage}! after (é) \n end"), (2, "nothing"), (3, None)]
