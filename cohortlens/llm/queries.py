@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from cohortlens.llm.byte_bpe import encode_and_decode
+from cohortlens.llm.conversation_trie import prefix_trie, share_openings, turn_sequences
 from cohortlens.llm.decontamination import find_passages, hit_words
+from cohortlens.llm.hard_negatives import hard_negatives, usable_rows
 from cohortlens.llm.html_extraction import extract_main_text
 from cohortlens.llm.near_dedup import near_groups
+from cohortlens.llm.personal_data import count_of, find_personal_data, plain_spans, told
 from cohortlens.llm.quality_rules import judge
 from cohortlens.llm.sharding import digest, read_shards, write_shards
 from cohortlens.llm.suffix_dedup import remove_repeated_bytes
@@ -34,6 +37,8 @@ END_ID = 1
 TOKEN_LIMIT = 2048
 SHARDS = 24
 SEED = 20
+#: Every so many vec_ids is an anchor; one vec_id in so many changes its label first.
+ANCHOR_EVERY, RELABEL_EVERY, LABELS = 100, 7, 10
 
 
 def word_bpe() -> str:
@@ -147,6 +152,32 @@ def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data of every document: counts, places found by pattern and check, all places."""
+    return find_personal_data(_documents(spark, folder)).select(
+        "row.doc_id",
+        *[count_of(kind).alias(f"n_{kind}") for kind in ("email", "ip", "card", "phone")],
+        F.sha2(told(plain_spans()), 256).alias("base_sha256"),
+        told(F.col("spans")).alias("spans"),
+    )
+
+
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of another label that score just below each anchor's positives."""
+    vectors = spark.read.parquet(f"{folder}/embeddings.parquet").select("vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % RELABEL_EVERY == 0, (F.col("label") + 1) % LABELS)
+    rows = usable_rows(vectors.withColumn("label", moved.otherwise(F.col("label"))))
+    return hard_negatives(rows, ANCHOR_EVERY)
+
+
+def op13_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """Every shared beginning of the conversations, which open like the first of their group."""
+    turns = spark.read.parquet(f"{folder}/conversations.parquet").select(
+        "conv_id", "turn", "role", "text"
+    )
+    return prefix_trie(share_openings(turn_sequences(turns)))
+
+
 def queries() -> dict[str, Query]:
     found = (
         op1_token_files,
@@ -159,6 +190,9 @@ def queries() -> dict[str, Query]:
         op8_byte_bpe,
         op9_quality_rules,
         op10_suffix_dedup,
+        op11_personal_data,
+        op12_hard_negatives,
+        op13_conversation_trie,
     )
     return {query.__name__: query for query in found} | {"pipeline": corpus_pipeline.run}
 

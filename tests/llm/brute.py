@@ -238,3 +238,109 @@ def pipeline(docs, items):
     docs = [(i, data.decode(errors="ignore")) for i, data in kept_bytes(docs).items()]
     hits = passages(docs, items)
     return byte_bpe([(i, t) for i, t in docs if not hits[i][4]])
+
+
+# --- personal data, hard negatives, conversations ----------------------------------
+
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+ADDRESS = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+
+
+def luhn(digits):
+    doubled = [int(d) * (2 if place % 2 else 1) for place, d in enumerate(digits[::-1])]
+    return sum(sum(divmod(value, 10)) for value in doubled) % 10 == 0
+
+
+def plain_spans(text):
+    text = text or ""
+    found = [("email", m.start(), m.end()) for m in EMAIL.finditer(text)]
+    for m in ADDRESS.finditer(text):
+        if all(part.strip("0123456789") == "" and len(part.lstrip("0")) <= 3 and int(part[-3:]) <= 255
+               for part in m.group().split(".")):
+            found.append(("ip", m.start(), m.end()))
+    for kind, pattern, low, high in (("card", CARD, 12, 19), ("phone", PHONE, 9, 15)):
+        for m in pattern.finditer(text):
+            digits = re.sub(r"[^0-9]", "", m.group())
+            if low <= len(digits) <= high and (kind == "phone" or luhn(digits)):
+                found.append((kind, m.start(), m.end()))
+    order = ("email", "ip", "card", "phone")
+    return sorted(found, key=lambda span: (span[1], order.index(span[0])))
+
+
+def personal_data(docs):
+    found = {}
+    for doc_id, text in docs:
+        spans = plain_spans(text)
+        counts = [sum(kind == own for own, _, _ in spans) for kind in ("email", "ip", "card", "phone")]
+        told = ",".join(f"{kind}:{a}:{b}" for kind, a, b in spans)
+        found[doc_id] = (*counts, sha(told.encode()))
+    return found
+
+
+def hard_negatives(rows, every=100, keep=5):
+    """``rows``: (vec_id, embedding, label) after any change of labels."""
+    import math
+
+    usable = [
+        (vec_id, [math.floor(256 * float(x)) for x in vector], label)
+        for vec_id, vector, label in rows
+        if label is not None and vector is not None
+        and all(x is not None and math.isfinite(x) for x in vector)
+    ]
+    found = []
+    key = lambda row: (-row[0], row[1] is not None, row[1] or 0)
+    for place, (anchor, vector, label) in enumerate(usable):
+        if anchor is None or anchor % every:
+            continue
+        scored = [
+            (sum(a * b for a, b in zip(vector, other)), vec_id, own)
+            for at, (vec_id, other, own) in enumerate(usable)
+            if at != place
+        ]
+        positives = sorted((row for row in scored if row[2] == label), key=key)[:keep]
+        others = sorted((row for row in scored if row[2] != label), key=key)
+        for score, positive, _ in positives:
+            window = [row for row in others if 80 * score <= 100 * row[0] <= 100 * score][:keep]
+            for rank, (negative_score, negative, _) in enumerate(window, 1):
+                found.append((anchor, positive, rank, negative, score, negative_score))
+    return found
+
+
+def conversation_trie(rows):
+    """``rows``: (conv_id, turn, role, text). The tuples of every node."""
+    told = lambda role, text: f"{len((role or '').encode())}:{role or ''}{text or ''}".encode()
+    own = {}
+    for conv_id, turn, role, text in rows:
+        if conv_id is not None:
+            own.setdefault(conv_id, []).append(
+                (turn is not None, turn or 0, hashlib.sha256(told(role, text)).digest(), role or "", text or "")
+            )
+    own = {c: [(role, text) for *_, role, text in sorted(turns)] for c, turns in own.items()}
+    rebuilt = {}
+    for c, turns in own.items():
+        h = zlib.crc32(str(c).encode()) % 9
+        rebuilt[c] = tuple(own.get(c - c % 5, [])[:h] + turns[h:])
+    members = {}
+    for c, turns in rebuilt.items():
+        for d in range(len(turns) + 1):
+            members.setdefault(turns[:d], []).append(c)
+    children, leaves, saved = {}, {}, {}
+    for node in sorted(members, key=len, reverse=True):
+        leaves[node] = leaves.get(node, 0) + (node not in children)
+        own_saving = (len(members[node]) - 1) * len(node[-1][1].encode()) if node else 0
+        saved[node] = saved.get(node, 0) + own_saving
+        if node:
+            up = node[:-1]
+            children[up] = children.get(up, 0) + 1
+            leaves[up] = leaves.get(up, 0) + leaves[node]
+            saved[up] = saved.get(up, 0) + saved[node]
+    found = []
+    for node, convs in members.items():
+        ends = sorted(c for c in convs if rebuilt[c] == node)
+        found.append(
+            (min(convs), len(node), min(members[node[:-1]]) if node else None, len(convs),
+             children.get(node, 0), leaves[node], saved[node], sha(",".join(map(str, ends)).encode()))
+        )
+    return found
