@@ -1,6 +1,8 @@
 """Multi-target models on the imputed, ordinal-encoded mart (auxiliary analysis).
 
-Kept for comparison with the risk champion; nothing is published from here.
+Kept for comparison with the risk champion; nothing is published from here. Linear models come
+from sums over the rows and are scored by expressions; forests grow and score where their rows
+are (``forest``); boosting is Spark's.
 """
 
 from __future__ import annotations
@@ -10,23 +12,25 @@ from dataclasses import dataclass, field
 from functools import reduce
 from typing import Any
 
-from pyspark.ml.classification import (
-    DecisionTreeClassifier,
-    GBTClassifier,
-    LogisticRegression,
-    OneVsRest,
-    RandomForestClassifier,
-)
+import numpy as np
+from pyspark.ml.classification import GBTClassifier, OneVsRest
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.contract import KEYS, ORDINAL_LEVELS, SCORE, TOP_IMPORTANCES_LEGACY
-from cohortlens.models import neighbors
+from cohortlens.contract import (
+    KEYS,
+    ORDINAL_LEVELS,
+    SCORE,
+    TIER_CODES,
+    TOP_IMPORTANCES_LEGACY,
+)
+from cohortlens.models import forest, neighbors
+from cohortlens.models.preparation import ALL_ROWS
+from cohortlens.models.together import VectorBase, Weights, fit_least_squares, fit_logistic
 from cohortlens.operators import metrics, prep, split
 from cohortlens.session import materialize
 
@@ -43,9 +47,9 @@ CLUSTER_ROUNDS = 300
 class Growth:
     """How far trees grow.
 
-    ``depth`` is that of forests and the single tree, by default the deepest that Spark
-    builds, so they stop only at pure leaves; ``bins`` are the candidate cuts per feature;
-    boosting takes ``trees`` steps of ``boost_depth``.
+    ``depth`` is that of forests and the single tree, by default so deep that they stop only
+    at pure leaves; boosting takes ``trees`` steps of ``boost_depth`` with ``bins`` candidate
+    cuts per feature.
     """
 
     trees: int = TREES
@@ -53,11 +57,13 @@ class Growth:
     bins: int = 256
     boost_depth: int = 3
 
-    def single(self) -> dict[str, int]:
-        return {"maxDepth": self.depth, "maxBins": self.bins, "seed": SEED}
+    def single(self, features: int, classes: int) -> forest.Shape:
+        return forest.Shape(1, self.depth, features, classes, features, SEED, draw=False)
 
-    def forest(self) -> dict[str, int]:
-        return self.single() | {"numTrees": self.trees}
+    def forest(self, features: int, classes: int = 0) -> forest.Shape:
+        """Classes are told apart by the root of the features at each node, values by all."""
+        subset = max(1, int(features**0.5)) if classes else features
+        return forest.Shape(self.trees, self.depth, features, classes, subset, SEED)
 
     def boost(self) -> dict[str, Any]:
         return {
@@ -101,7 +107,13 @@ def _parts(
     # A feature column without any value cannot be imputed; such rows are left to the models.
     vectors = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="error")
     kept = prep.drop_missing_target(rows, target).withColumn("label", F.col(target).cast("double"))
-    placed = materialize(split.grouped_parts(kept).select(*KEYS, "part", "label", *features))
+    # Written, so that row numbers stay as they are.
+    placed = materialize(
+        split.grouped_parts(kept).select(
+            *KEYS, "part", "label", *features,
+            F.monotonically_increasing_id().alias("id"), F.xxhash64(*KEYS).alias("lot"),
+        )
+    )
     wide = vectors.transform(placed)
     return (
         wide.where(F.col("part") == "development"),
@@ -110,6 +122,27 @@ def _parts(
     )
 
 
+def _arrays(df: DataFrame) -> DataFrame:
+    return df.withColumn("features", vector_to_array("features"))
+
+
+def _grown(training: DataFrame, test: DataFrame, shape: forest.Shape) -> tuple[DataFrame, forest.Forest]:
+    """The test rows with the ``scores`` of a forest, and its summary."""
+    rows = _arrays(training).withColumn("part", F.lit(forest.TRAINING)).unionByName(
+        _arrays(test).withColumn("part", F.lit(forest.TEST))
+    ).select("id", "lot", "part", "label", "features")
+    scores, fitted = forest.fit_and_score(rows, shape)
+    return test.join(scores, "id"), fitted
+
+
+def _logistic(training: DataFrame, features: Sequence[str]) -> Weights:
+    """Penalised as much as one row weighs; the intercept is free."""
+    base = VectorBase(len(features))
+    rows = _arrays(training).select("label", "features", F.lit(0).alias("fold"))
+    found = fit_logistic(rows, base, "label", {ALL_ROWS: np.eye(base.size)})[ALL_ROWS]
+    return Weights(tuple(map(float, found[0])), found[1])
+
+
 def _weights(models: Mapping[str, Any], features: Sequence[str], kind: str, df: DataFrame) -> DataFrame:
     rows = []
     for name, model in models.items():
@@ -137,21 +170,24 @@ def top_importances(weights: DataFrame, top: int = TOP_IMPORTANCES_LEGACY) -> Da
     )
 
 
-def _predict(
-    kind: str, models: Mapping[str, Any], test: DataFrame, probability: bool = False
-) -> DataFrame:
-    """``(type, model, keys, y_test, y_pred)`` of all models, written once."""
-    rows = []
-    for name, model in models.items():
-        scored = model.transform(test)
-        more = [vector_to_array("probability")[1].alias("probability")] if probability else []
-        rows.append(
-            scored.select(
-                F.lit(kind).alias("type"), F.lit(name).alias("model"), *KEYS,
-                F.col("label").alias("y_test"), F.col("prediction").alias("y_pred"), *more,
-            )
+def _most_likely(scores: Column) -> Column:
+    """The class with the largest share, the first on ties."""
+    return (F.array_position(scores, F.array_max(scores)) - 1).cast("double")
+
+
+def _told(kind: str, name: str, scored: DataFrame, predicted: Column, probability: Column | None = None) -> DataFrame:
+    """``(type, model, keys, y_test, y_pred)`` of one model's test rows, written once."""
+    more = [] if probability is None else [probability.alias("probability")]
+    return materialize(
+        scored.select(
+            F.lit(kind).alias("type"), F.lit(name).alias("model"), *KEYS,
+            F.col("label").alias("y_test"), predicted.alias("y_pred"), *more,
         )
-    return materialize(reduce(DataFrame.unionByName, rows))
+    )
+
+
+def _together(tables: Sequence[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, tables)
 
 
 def binary_models(
@@ -159,16 +195,20 @@ def binary_models(
 ) -> ModelRun:
     """Logistic regression, forest and boosting on ``passed``."""
     training, test, features = _parts(mart, "passed", levels)
-    size = training.count()
-    learners = {
-        "LogisticRegression": LogisticRegression(
-            regParam=1.0 / size, standardization=False, maxIter=1000
-        ),
-        "RandomForest": RandomForestClassifier(**growth.forest()),
-        "GradientBoosting": GBTClassifier(**growth.boost()),
-    }
-    models = {name: learner.fit(training) for name, learner in learners.items()}
-    scored = _predict("binary", models, test, probability=True)
+    linear = _logistic(training, features)
+    grown, trees = _grown(training, test, growth.forest(len(features), 2))
+    boosted = GBTClassifier(**growth.boost()).fit(training)
+    models = {"LogisticRegression": linear, "RandomForest": trees, "GradientBoosting": boosted}
+    p = 1 / (1 + F.exp(-linear.margin(F.col("features"))))
+    scored = _together(
+        [
+            _told("binary", "LogisticRegression", _arrays(test).withColumn("p", p),
+                  (F.col("p") > 0.5).cast("double"), F.col("p")),
+            _told("binary", "RandomForest", grown, _most_likely(F.col("scores")), F.col("scores")[1]),
+            _told("binary", "GradientBoosting", boosted.transform(test), F.col("prediction"),
+                  vector_to_array("probability")[1]),
+        ]
+    )
     by = ["type", "model"]
     errors = metrics.value_scores(scored, "y_test", "y_pred", by)
     table = (
@@ -187,13 +227,18 @@ def ordinal_models(
 ) -> ModelRun:
     """Tree, forest and one-against-rest boosting on ``performance_tier``."""
     training, test, features = _parts(mart, "performance_tier", levels)
-    learners = {
-        "DecisionTree": DecisionTreeClassifier(**growth.single()),
-        "RandomForest": RandomForestClassifier(**growth.forest()),
-        "GradientBoosting": OneVsRest(classifier=GBTClassifier(**growth.boost()), parallelism=4),
-    }
-    models = {name: learner.fit(training) for name, learner in learners.items()}
-    scored = _predict("ordinal", models, test)
+    classes = len(TIER_CODES)
+    alone, tree = _grown(training, test, growth.single(len(features), classes))
+    grown, trees = _grown(training, test, growth.forest(len(features), classes))
+    boosted = OneVsRest(classifier=GBTClassifier(**growth.boost()), parallelism=4).fit(training)
+    models = {"DecisionTree": tree, "RandomForest": trees, "GradientBoosting": boosted}
+    scored = _together(
+        [
+            _told("ordinal", "DecisionTree", alone, _most_likely(F.col("scores"))),
+            _told("ordinal", "RandomForest", grown, _most_likely(F.col("scores"))),
+            _told("ordinal", "GradientBoosting", boosted.transform(test), F.col("prediction")),
+        ]
+    )
     by = ["type", "model"]
     table = metrics.class_scores(scored, "y_test", "y_pred", by).drop("f1_score").join(
         metrics.value_scores(scored, "y_test", "y_pred", by), by
@@ -207,18 +252,19 @@ def regression_models(
 ) -> ModelRun:
     """Linear regression, forest and nearest neighbours on the weighted score."""
     training, test, features = _parts(mart, SCORE, levels)
-    learners = {
-        "LinearRegression": LinearRegression(regParam=0.0),
-        "RandomForestRegressor": RandomForestRegressor(
-            **growth.forest(), featureSubsetStrategy="all"
-        ),
-    }
-    models = {name: learner.fit(training) for name, learner in learners.items()}
-    near = neighbors.nearest_mean(training, test, features, "label", NEIGHBORS).select(
-        F.lit("regression").alias("type"), F.lit("KNN").alias("model"), *KEYS,
-        F.col("actual").alias("y_test"), F.col("predicted").alias("y_pred"),
+    linear = fit_least_squares(_arrays(training), VectorBase(len(features)), "label")
+    grown, trees = _grown(training, test, growth.forest(len(features)))
+    models = {"LinearRegression": linear, "RandomForestRegressor": trees}
+    near = neighbors.nearest_mean(training, test, features, "label", NEIGHBORS).withColumn(
+        "label", F.col("actual")
+    )
+    scored = _together(
+        [
+            _told("regression", "LinearRegression", _arrays(test), linear.margin(F.col("features"))),
+            _told("regression", "RandomForestRegressor", grown, F.col("scores")[0]),
+            _told("regression", "KNN", near, F.col("predicted")),
+        ]
     )
-    scored = materialize(_predict("regression", models, test).unionByName(near))
     table = metrics.value_scores(scored, "y_test", "y_pred", ["type", "model"])
     weights = _weights(models, features, "regression", mart)
     return ModelRun(scored, table, weights, models=models)

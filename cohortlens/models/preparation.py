@@ -46,20 +46,28 @@ class Preparation:
         names = [f"{name}_{level}" for name in CATEGORICAL_FEATURES for level in self.categories[name]]
         return [*names, *NUMERIC_FEATURES]
 
-    def _numeric(self, name: str) -> Column:
-        value = F.coalesce(F.col(name).cast("double"), F.lit(self.medians[name]))
-        value = value - F.lit(self.centers[name])
+    def category(self, name: str) -> Column:
+        """The category, gaps filled with the most frequent one."""
+        return F.coalesce(F.col(name).cast("string"), F.lit(self.modes[name]))
+
+    def filled(self, name: str) -> Column:
+        """The number, gaps filled with the median."""
+        return F.coalesce(F.col(name).cast("double"), F.lit(self.medians[name]))
+
+    def number(self, name: str) -> Column:
+        """The filled number, centred and scaled."""
+        value = self.filled(name) - F.lit(self.centers[name])
         return value / F.lit(self.scales[name]) if self.scales[name] else value
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Add the ``features`` vector; an unseen category is all zeros."""
         inputs = {}
         for name in CATEGORICAL_FEATURES:
-            value = F.coalesce(F.col(name).cast("string"), F.lit(self.modes[name]))
+            value = self.category(name)
             for place, level in enumerate(self.categories[name]):
                 inputs[f"_{name}_{place}"] = (value == F.lit(level)).cast("double")
         for name in NUMERIC_FEATURES:
-            inputs[f"_{name}"] = self._numeric(name)
+            inputs[f"_{name}"] = self.number(name)
         wide = df.withColumns(inputs)
         assembler = VectorAssembler(inputCols=list(inputs), outputCol="features")
         return assembler.transform(wide).drop(*inputs)

@@ -1,20 +1,24 @@
-"""Risk champion: grouped cross-validation, one refit, one holdout evaluation."""
+"""Risk champion: grouped cross-validation, one refit, one holdout evaluation.
+
+The candidates of all folds, and those on all development rows, are fitted together
+(``together``): a Newton step or a level of the trees reads the rows once for all of them.
+Fitted candidates are plain values, applied as column expressions.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from dataclasses import dataclass
-from functools import reduce
-from multiprocessing.pool import ThreadPool
+from collections.abc import Mapping, Sequence
+from dataclasses import asdict, dataclass
 from typing import Any
 
-from pyspark import inheritable_thread_target
-from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
+import numpy as np
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import DenseVector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlens.contract import (
+    CATEGORICAL_FEATURES,
     DEFAULT_HOLDOUT,
     FEATURES,
     KEYS,
@@ -24,6 +28,14 @@ from cohortlens.contract import (
 )
 from cohortlens.functions.expressions import academic_risk
 from cohortlens.models.preparation import ALL_ROWS, Preparation, fit_preparations
+from cohortlens.models.together import (
+    MartBase,
+    Node,
+    VectorBase,
+    fit_logistic,
+    grow_trees,
+    set_sizes,
+)
 from cohortlens.operators import checks, metrics, split
 from cohortlens.session import materialize
 
@@ -31,25 +43,118 @@ LABEL = "academic_risk"
 BASELINE, LINEAR, TREE = "PrevalenceBaseline", "LogisticRegression", "DecisionTreeClassifier"
 # Order matters: it breaks ties between equal metrics.
 CANDIDATES = (BASELINE, LINEAR, TREE)
-PARALLEL_FITS = 4
+# The logistic model's penalty on half the sum of squared weights, and the tree's limits.
+PENALTY, DEPTH, LEAST_ROWS = 1.0, 4, 50
 
 
 def prevalence(df: DataFrame, label: str) -> float:
     return df.agg(F.avg(F.col(label).cast("double"))).first()[0]
 
 
-def _linear(rows: int) -> LogisticRegression:
-    """L2 with C = 1: the penalty per row falls with the number of rows."""
-    return LogisticRegression(
-        labelCol=LABEL, regParam=1.0 / rows, elasticNetParam=0.0, standardization=False,
-        maxIter=1000, tol=1e-8,
-    )
+@dataclass(frozen=True)
+class LinearModel:
+    """A logistic model: one coefficient per encoded feature."""
 
+    weights: tuple[float, ...]
+    intercept: float
+
+    @property
+    def coefficients(self) -> DenseVector:
+        return DenseVector(self.weights)
+
+    def probability(self, preparation: Preparation) -> Column:
+        weights = dict(zip(preparation.feature_names(), self.weights, strict=True))
+        margin = F.lit(self.intercept)
+        for name in CATEGORICAL_FEATURES:
+            levels = preparation.categories[name]
+            if levels:
+                entries = [F.lit(one) for level in levels for one in (level, weights[f"{name}_{level}"])]
+                # An unseen category has no weight.
+                margin += F.coalesce(
+                    F.try_element_at(F.create_map(*entries), preparation.category(name)), F.lit(0.0)
+                )
+        for name in NUMERIC_FEATURES:
+            margin += F.lit(weights[name]) * preparation.number(name)
+        return 1 / (1 + F.exp(-margin))
+
+    def configuration(self) -> dict[str, Any]:
+        return {"penalty": PENALTY, "fit": "Newton steps to a standstill", "threshold": RISK_THRESHOLD}
+
+
+@dataclass(frozen=True)
+class TreeModel:
+    """A decision tree; nodes are numbered 1, and 2n and 2n + 1 below n."""
+
+    nodes: Mapping[int, Node]
+
+    @property
+    def depth(self) -> int:
+        return max(number.bit_length() for number in self.nodes) - 1
+
+    def _walk(self, preparation: Preparation, value, number: int = 1) -> Column:
+        node = self.nodes[number]
+        if node.feature is None:
+            return value(number, node)
+        if node.level is not None:
+            right = preparation.category(node.feature) == F.lit(node.level)
+        else:
+            right = preparation.filled(node.feature) > F.lit(node.cut)
+        return F.when(right, self._walk(preparation, value, 2 * number + 1)).otherwise(
+            self._walk(preparation, value, 2 * number)
+        )
+
+    def probability(self, preparation: Preparation) -> Column:
+        return self._walk(preparation, lambda _, node: F.lit(node.rate))
+
+    def leaf(self, preparation: Preparation) -> Column:
+        return self._walk(preparation, lambda number, _: F.lit(number))
+
+    def importances(self, names: Sequence[str]) -> list[float]:
+        """Each encoded feature's share of the impurity that splits take away."""
+        gains = dict.fromkeys(names, 0.0)
+        for node in self.nodes.values():
+            if node.feature is not None:
+                name = node.feature if node.level is None else f"{node.feature}_{node.level}"
+                gains[name] += node.gain
+        total = sum(gains.values()) or 1.0
+        return [gain / total for gain in gains.values()]
+
+    def configuration(self) -> dict[str, Any]:
+        return {"impurity": "gini", "max_depth": DEPTH, "least_rows_per_leaf": LEAST_ROWS}
+
+
+def model_record(model: LinearModel | TreeModel) -> dict[str, Any]:
+    """A model as plain values for a file; ``model_of`` reads them."""
+    if isinstance(model, LinearModel):
+        return {"weights": list(model.weights), "intercept": model.intercept}
+    return {"nodes": {str(number): asdict(node) for number, node in model.nodes.items()}}
 
-def _tree() -> DecisionTreeClassifier:
-    return DecisionTreeClassifier(
-        labelCol=LABEL, maxDepth=4, minInstancesPerNode=50, impurity="gini", maxBins=256, seed=42
-    )
+
+def model_of(record: Mapping[str, Any]) -> LinearModel | TreeModel:
+    if "nodes" in record:
+        return TreeModel({int(number): Node(**node) for number, node in record["nodes"].items()})
+    return LinearModel(tuple(record["weights"]), record["intercept"])
+
+
+@dataclass(frozen=True)
+class LinearLearner:
+    """Fits the logistic model to the label and a vector column ``features``."""
+
+    penalty: float = PENALTY
+
+    def fit(self, df: DataFrame) -> LinearModel:
+        rows = df.select(LABEL, vector_to_array("features").alias("features"), F.lit(0).alias("fold"))
+        width = len(rows.first()["features"])
+        base = VectorBase(width)
+        weights, intercept = fit_logistic(
+            rows, base, LABEL, {ALL_ROWS: np.eye(base.size)}, self.penalty
+        )[ALL_ROWS]
+        return LinearModel(tuple(map(float, weights)), intercept)
+
+
+def _linear(rows: int) -> LinearLearner:
+    """L2 with C = 1: the penalty does not grow with the rows."""
+    return LinearLearner()
 
 
 @dataclass(frozen=True)
@@ -59,36 +164,31 @@ class FittedRisk:
     name: str
     preparation: Preparation
     rate: float
-    model: Any = None
+    model: LinearModel | TreeModel | None = None
+
+    def probability_column(self) -> Column:
+        if self.model is None:
+            return F.lit(self.rate)
+        return self.model.probability(self.preparation)
 
     def probability(self, df: DataFrame) -> DataFrame:
         """Add ``probability_academic_risk``."""
-        if self.model is None:
-            return df.withColumn("probability_academic_risk", F.lit(self.rate))
-        scored = self.model.transform(self.preparation.transform(df))
-        return scored.withColumn(
-            "probability_academic_risk", vector_to_array("probability")[1]
-        ).drop("features", "rawPrediction", "probability", "prediction")
+        return df.withColumn("probability_academic_risk", self.probability_column())
 
     def configuration(self) -> dict[str, str]:
         found = {"classifier": self.name, "preprocessor": "training rows only: most frequent value "
                  "and one-hot for categories, median and scaling for numbers"}
         if self.model is not None:
-            found |= {
-                param.name: str(value) for param, value in self.model.extractParamMap().items()
-            }
+            found |= {name: str(value) for name, value in self.model.configuration().items()}
         return found
 
     def importance(self) -> tuple[str, list[tuple[str, float]]]:
         """The kind of importance and its value per encoded feature."""
         names = self.preparation.feature_names()
-        if self.name == LINEAR:
-            return "absolute_coefficient", list(
-                zip(names, [abs(float(value)) for value in self.model.coefficients], strict=True)
-            )
-        if self.name == TREE:
-            values = self.model.featureImportances.toArray()
-            return "feature_importance", list(zip(names, map(float, values), strict=True))
+        if isinstance(self.model, LinearModel):
+            return "absolute_coefficient", list(zip(names, map(abs, self.model.weights), strict=True))
+        if isinstance(self.model, TreeModel):
+            return "feature_importance", list(zip(names, self.model.importances(names), strict=True))
         return "unavailable", []
 
 
@@ -107,12 +207,33 @@ def importance_table(spark: SparkSession, fitted: FittedRisk, top: int = TOP_IMP
     return table.orderBy(F.col("importance").desc_nulls_last(), "feature").limit(top)
 
 
-def fit(name: str, df: DataFrame, preparation: Preparation, rows: int, rate: float) -> FittedRisk:
-    if name == BASELINE:
-        return FittedRisk(name, preparation, rate)
-    learner = _linear(rows) if name == LINEAR else _tree()
-    model = learner.fit(preparation.transform(df).select(LABEL, "features"))
-    return FittedRisk(name, preparation, rate, model)
+def fit_candidates(
+    rows: DataFrame, preparations: Mapping[int, Preparation]
+) -> dict[str, dict[int, FittedRisk]]:
+    """Every candidate on every training set, by name and set.
+
+    ``rows`` have a ``fold``; a set is all rows but those of the fold it is named after.
+    """
+    sizes = set_sizes(rows, LABEL, list(preparations))
+    base = MartBase(preparations[ALL_ROWS])
+    maps = {number: base.map(own) for number, own in preparations.items()}
+    linear = fit_logistic(rows, base, LABEL, maps, PENALTY)
+    trees = grow_trees(rows, LABEL, preparations, preparations[ALL_ROWS], sizes, DEPTH, LEAST_ROWS)
+    models = {
+        BASELINE: dict.fromkeys(preparations),
+        LINEAR: {
+            number: LinearModel(tuple(map(float, weights)), intercept)
+            for number, (weights, intercept) in linear.items()
+        },
+        TREE: {number: TreeModel(nodes) for number, nodes in trees.items()},
+    }
+    return {
+        name: {
+            number: FittedRisk(name, preparations[number], positives / count, models[name][number])
+            for number, (count, positives) in sizes.items()
+        }
+        for name in CANDIDATES
+    }
 
 
 @dataclass(frozen=True)
@@ -152,32 +273,19 @@ def labelled_features(mart: DataFrame) -> DataFrame:
 
 
 def _fold_predictions(
-    development: DataFrame, preparations: Mapping[int, Preparation], folds: int
+    development: DataFrame, fits: Mapping[str, Mapping[int, FittedRisk]], folds: int
 ) -> DataFrame:
-    """Each candidate's probabilities on the fold it was not fitted on."""
-    sizes = {
-        row["fold"]: (row["rows"], row["risk"])
-        for row in development.groupBy("fold")
-        .agg(F.count(F.lit(1)).alias("rows"), F.sum(LABEL).alias("risk"))
-        .collect()
-    }
-    all_rows = sum(rows for rows, _ in sizes.values())
-    all_risk = sum(risk for _, risk in sizes.values())
-
-    def validate(job: tuple[str, int]) -> DataFrame:
-        name, fold = job
-        left_rows, left_risk = sizes.get(fold, (0, 0))
-        rows, risk = all_rows - left_rows, all_risk - left_risk
-        training = development.where(F.col("fold") != fold)
-        fitted = fit(name, training, preparations[fold], rows, risk / rows)
-        return fitted.probability(development.where(F.col("fold") == fold)).select(
-            F.lit(name).alias("model"), "fold", LABEL, "probability_academic_risk"
-        )
-
-    jobs = [(name, fold) for name in CANDIDATES for fold in range(folds)]
-    with ThreadPool(PARALLEL_FITS) as pool:
-        scored = pool.map(inheritable_thread_target(validate), jobs)
-    return reduce(DataFrame.unionByName, scored)
+    """Each candidate's probabilities on the fold it was not fitted on, from one scan."""
+    scored = {}
+    for name, own in fits.items():
+        column = F.lit(None).cast("double")
+        for number in range(folds):
+            column = F.when(F.col("fold") == number, own[number].probability_column()).otherwise(column)
+        scored[name] = column
+    entries = [F.struct(F.lit(name).alias("model"), p.alias("probability_academic_risk")) for name, p in scored.items()]
+    return development.select("fold", LABEL, F.explode(F.array(*entries)).alias("scored")).select(
+        "scored.model", "fold", LABEL, "scored.probability_academic_risk"
+    )
 
 
 def mean_over_folds(per_fold: DataFrame) -> DataFrame:
@@ -218,18 +326,17 @@ def search(mart: DataFrame, holdout: str = DEFAULT_HOLDOUT) -> RiskSearch:
     require_both_classes(summary)
     everything = parts.where(F.col("part") == "development").drop("part")
     folds = split.fold_count(everything)
-    development = split.group_folds(everything, folds)
-    preparations = fit_preparations(development, folds)
+    development = materialize(split.group_folds(everything, folds))
+    fits = fit_candidates(development, fit_preparations(development, folds))
     per_fold = metrics.risk_metrics(
-        _fold_predictions(development, preparations, folds),
+        materialize(_fold_predictions(development, fits, folds)),
         LABEL, "probability_academic_risk", ["model", "fold"],
     )
     candidates = spark.createDataFrame(
         mean_over_folds(per_fold).collect(),
         "model string, " + ", ".join(f"{name} double" for name in metrics.METRICS),
     )
-    size = development.agg(F.count(F.lit(1)), F.avg(LABEL)).first()
-    champion = fit(choose(candidates), development, preparations[ALL_ROWS], size[0], size[1])
+    champion = fits[choose(candidates)][ALL_ROWS]
     held = materialize(
         champion.probability(parts.where(F.col("part") == "holdout")).select(
             *KEYS, LABEL, "probability_academic_risk"

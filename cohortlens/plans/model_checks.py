@@ -12,7 +12,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.contract import DEFAULT_CUTOFF, KEYS
+from cohortlens.contract import DEFAULT_CUTOFF, KEYS, MAX_FOLDS
 from cohortlens.models import legacy, risk
 from cohortlens.models.preparation import ALL_ROWS, fit_preparations
 from cohortlens.operators import mart, split
@@ -48,86 +48,109 @@ def signal_predictions(spark, folder):
     )
 
 
-def _fitted(spark: SparkSession, folder: str):
-    """Linear model and tree on the development rows of the signal mart, and these rows."""
+def _fitted(spark: SparkSession, folder: str, folds: int = 1):
+    """All candidates on the training sets of the signal mart's development rows, and these
+    rows with their fold."""
     labelled = risk.labelled_features(signal_mart(spark, folder))
-    rows = materialize(split.temporal_holdout(labelled, HOLDOUT)[0])
-    preparation = fit_preparations(rows.withColumn("fold", F.lit(0)), 1)[ALL_ROWS]
-    size, rate = rows.agg(F.count(F.lit(1)), F.avg(LABEL)).first()
-    fitted = {
-        name: risk.fit(name, rows, preparation, size, rate) for name in (risk.LINEAR, risk.TREE)
-    }
-    return fitted, rows, size
+    rows = split.temporal_holdout(labelled, HOLDOUT)[0]
+    dealt = rows.withColumn("fold", F.lit(0)) if folds == 1 else split.group_folds(rows, folds)
+    dealt = materialize(dealt)
+    preparations = fit_preparations(dealt, folds)
+    wanted = preparations if folds > 1 else {ALL_ROWS: preparations[ALL_ROWS]}
+    return risk.fit_candidates(dealt, wanted), dealt
 
 
 def _sums(values: Mapping[str, Column], df: DataFrame) -> dict[str, float]:
     return df.agg(*[value.alias(name) for name, value in values.items()]).first().asDict()
 
 
-def _linear_checks(fitted: risk.FittedRisk, rows: DataFrame, size: int) -> dict[str, bool]:
-    weights = [float(value) for value in fitted.model.coefficients]
-    scored = fitted.model.transform(fitted.preparation.transform(rows)).select(
+def _linear_checks(fitted: risk.FittedRisk, rows: DataFrame) -> dict[str, bool]:
+    weights = fitted.model.weights
+    scored = fitted.probability(fitted.preparation.transform(rows)).select(
         LABEL,
         vector_to_array("features").alias("x"),
-        vector_to_array("probability")[1].alias("p"),
+        F.col("probability_academic_risk").alias("p"),
     )
     terms = [F.lit(weight) * F.col("x")[place] for place, weight in enumerate(weights)]
     logit = sum(terms, F.lit(float(fitted.model.intercept)))
     error = F.col("p") - F.col(LABEL)
-    slopes = {f"s{place}": F.avg(error * F.col("x")[place]) for place in range(len(weights))}
+    slopes = {f"s{place}": F.sum(error * F.col("x")[place]) for place in range(len(weights))}
     found = _sums(
         slopes
-        | {"offset": F.avg(error), "gap": F.max(F.abs(F.col("p") - 1 / (1 + F.exp(-logit))))},
+        | {
+            "size": F.count(F.lit(1)),
+            "offset": F.sum(error),
+            "gap": F.max(F.abs(F.col("p") - 1 / (1 + F.exp(-logit)))),
+        },
         scored,
     )
-    penalised = [found[f"s{place}"] + weight / size for place, weight in enumerate(weights)]
+    penalised = [found[f"s{place}"] + risk.PENALTY * weight for place, weight in enumerate(weights)]
+    steepest = max(map(abs, [*penalised, found["offset"]])) / found["size"]
     return {
         "probability_is_the_formula": found["gap"] < CLOSE,
-        "loss_is_flat": max(map(abs, [*penalised, found["offset"]])) < FLAT,
+        "loss_is_flat": steepest < FLAT,
     }
 
 
 def _tree_checks(fitted: risk.FittedRisk, rows: DataFrame) -> dict[str, bool]:
-    model = fitted.model.copy().setLeafCol("leaf")
+    model = fitted.model
     leaves = (
-        model.transform(fitted.preparation.transform(rows))
+        fitted.probability(rows)
+        .withColumn("leaf", model.leaf(fitted.preparation))
         .groupBy("leaf")
         .agg(
             F.count(F.lit(1)).alias("rows"),
             F.avg(LABEL).alias("rate"),
-            F.max(vector_to_array("probability")[1]).alias("p"),
+            F.max("probability_academic_risk").alias("p"),
         )
     )
     found = _sums(
         {"least": F.min("rows"), "gap": F.max(F.abs(F.col("rate") - F.col("p")))}, leaves
     )
+    importances = model.importances(fitted.preparation.feature_names())
     return {
         "leaves_hold_50_rows": found["least"] >= 50,
         "probability_is_the_leaf_rate": found["gap"] < CLOSE,
         "depth_is_at_most_4": model.depth <= 4,
-        "importances_sum_to_1": abs(sum(model.featureImportances.toArray()) - 1) < CLOSE,
+        "importances_sum_to_1": abs(sum(importances) - 1) < CLOSE,
     }
 
 
-def signal_model_checks(spark, folder):
-    """Equations that the linear model and the tree satisfy."""
-    fitted, rows, size = _fitted(spark, folder)
-    linear, tree = fitted[risk.LINEAR], fitted[risk.TREE]
+def _candidate_checks(fits, number: int, rows: DataFrame) -> list[tuple[str, str, bool]]:
     checks = {
-        risk.LINEAR: _linear_checks(linear, rows, size),
-        risk.TREE: _tree_checks(tree, rows),
+        risk.LINEAR: _linear_checks(fits[risk.LINEAR][number], rows),
+        risk.TREE: _tree_checks(fits[risk.TREE][number], rows),
     }
-    told = [(name, check, bool(holds)) for name, own in checks.items() for check, holds in own.items()]
+    return [(name, check, bool(holds)) for name, own in checks.items() for check, holds in own.items()]
+
+
+def signal_model_checks(spark, folder):
+    """Equations that the linear model and the tree satisfy."""
+    fits, rows = _fitted(spark, folder)
+    told = _candidate_checks(fits, ALL_ROWS, rows)
     return spark.createDataFrame(told, "model string, check_name string, holds boolean")
 
 
+def signal_fold_checks(spark, folder):
+    """The same equations for the models of every training set, each on its own rows."""
+    fits, rows = _fitted(spark, folder, MAX_FOLDS)
+    told = [
+        (number, *check)
+        for number in (ALL_ROWS, *range(MAX_FOLDS))
+        for check in _candidate_checks(fits, number, rows.where(F.col("fold") != number))
+    ]
+    return spark.createDataFrame(
+        told, "training_set int, model string, check_name string, holds boolean"
+    )
+
+
 def candidate_importances(spark, folder):
     """Every candidate's features and kind of weight, whichever candidate wins."""
-    fitted, _, _ = _fitted(spark, folder)
+    fits, _ = _fitted(spark, folder)
     told = [
-        (name, one.importance()[0], feature, value >= 0)
-        for name, one in fitted.items()
-        for feature, value in one.importance()[1]
+        (name, fits[name][ALL_ROWS].importance()[0], feature, value >= 0)
+        for name in (risk.LINEAR, risk.TREE)
+        for feature, value in fits[name][ALL_ROWS].importance()[1]
     ]
     return spark.createDataFrame(
         told, "model string, kind string, feature string, not_negative boolean"
@@ -220,7 +243,7 @@ def kmeans_checks(spark, folder):
 
 
 CHECKS = (
-    signal_predictions, signal_model_checks, candidate_importances, champion_baseline_candidate,
+    signal_predictions, signal_model_checks, signal_fold_checks, candidate_importances, champion_baseline_candidate,
     _family("binary", legacy.binary_models), _family("ordinal", legacy.ordinal_models),
     _family("regression", legacy.regression_models), ordinal_confusion, kmeans_checks,
 )

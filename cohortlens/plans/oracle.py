@@ -366,6 +366,15 @@ LEGACY = {
 GUESS = "guessed AS (SELECT *, CAST(floor(p * 100) AS INTEGER) % 4 AS guess FROM scored)"
 
 
+MODEL_CHECKS = (
+    "(VALUES ('LogisticRegression', 'probability_is_the_formula'), "
+    "('LogisticRegression', 'loss_is_flat'), ('DecisionTreeClassifier', 'leaves_hold_50_rows'), "
+    "('DecisionTreeClassifier', 'probability_is_the_leaf_rate'), "
+    "('DecisionTreeClassifier', 'depth_is_at_most_4'), "
+    "('DecisionTreeClassifier', 'importances_sum_to_1')) AS told(model, check_name)"
+)
+
+
 def oracle_sql() -> dict[str, str]:
     profile_columns = {
         "code_module": "code_module",
@@ -713,12 +722,10 @@ def oracle_sql() -> dict[str, str]:
             "true AS probability_in_range, true AS class_fits, true AS model_won FROM parts WHERE part = 'holdout'",
             SPLIT,
         ),
-        "signal_model_checks": (
-            "SELECT *, true AS holds FROM (VALUES ('LogisticRegression', 'probability_is_the_formula'), "
-            "('LogisticRegression', 'loss_is_flat'), ('DecisionTreeClassifier', 'leaves_hold_50_rows'), "
-            "('DecisionTreeClassifier', 'probability_is_the_leaf_rate'), "
-            "('DecisionTreeClassifier', 'depth_is_at_most_4'), "
-            "('DecisionTreeClassifier', 'importances_sum_to_1')) AS told(model, check_name)"
+        "signal_model_checks": f"SELECT *, true AS holds FROM {MODEL_CHECKS}",
+        "signal_fold_checks": (
+            f"SELECT CAST(training_set AS INTEGER) AS training_set, told.*, true AS holds FROM {MODEL_CHECKS}, "
+            "range(-1, 5) AS sets(training_set)"
         ),
         "candidate_importances": _mart(
             "SELECT model, kind, feature, true AS not_negative FROM "
