@@ -5,13 +5,15 @@ import random
 from pathlib import Path
 
 import numpy as np
+import public_tokenizers
 import pyarrow.parquet as pq
 import pytest
+import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from cohortlens.llm import conversation_trie, hard_negatives, personal_data, queries
+from cohortlens.llm import byte_bpe, conversation_trie, hard_negatives, personal_data, queries
 from tests.llm import brute, cases
 
 FOLDER = "/root/testdata/sf0.001"
@@ -255,3 +257,58 @@ def test_median_order_keeps_siblings_balanced():
         deepest += 1
         level = [link for node in level for link in (tree.lower[node], tree.higher[node]) if link]
     assert deepest == 10 and sorted(conversation_trie.median_order(7)) == list(range(7))
+
+
+# --- one queue over many pre-tokens ------------------------------------------------
+
+
+def test_batch_queue_gives_ranks_in_order():
+    generator = np.random.default_rng(2)
+    queue, pushed, found = byte_bpe.BatchQueue(), collections.Counter(), []
+    floor = 0
+    for round_number in range(40):
+        ranks = generator.integers(floor, 50_000, 300)
+        places = generator.integers(0, 10_000, 300)
+        queue.push(ranks, places)
+        pushed.update(set(zip(ranks.tolist(), places.tolist())))
+        for _ in range(20):
+            rank, own = queue.pop()
+            assert rank >= floor and (np.diff(own) > 0).all()
+            floor = rank
+            found += [(rank, place) for place in own.tolist()]
+    while (popped := queue.pop()) is not None:
+        found += [(popped[0], place) for place in popped[1].tolist()]
+    assert set(found) == set(pushed) and [rank for rank, _ in found] == sorted(rank for rank, _ in found)
+
+
+def test_rank_files_whose_merges_bring_up_lower_ranks():
+    """Ranks at random: a merge can make a pair of lower rank, and pairs overlap."""
+    generator = random.Random(6)
+    for _ in range(20):
+        tokens = {bytes([value]) for value in range(256)}
+        tokens |= {bytes(generator.choices(b"ab", k=generator.randint(2, 5))) for _ in range(25)}
+        order = sorted(tokens)
+        generator.shuffle(order)
+        ranks = {token: rank for rank, token in enumerate(order)}
+        own = byte_bpe.ByteBpe(ranks, r"[ab]+|[^ab]+")
+        library = tiktoken.Encoding("own", pat_str=r"[ab]+|[^ab]+", mergeable_ranks=ranks, special_tokens={})
+        pieces = ["".join(generator.choices("ab", k=generator.randint(1, 40))) for _ in range(60)]
+        found = own.encode_pieces([piece.encode() for piece in pieces])
+        for piece, ids in zip(pieces, found):
+            if piece.encode() not in ranks:
+                assert np.frombuffer(ids, "<u4").tolist() == library.encode_ordinary(piece)
+        text = " ".join(pieces)
+        ids = np.frombuffer(own.encode(text), "<u4").tolist()
+        assert ids == library.encode_ordinary(text)
+        assert own.decode(own.encode(text)) == text.encode()
+
+
+def test_lists_are_cut_into_bounded_parts(monkeypatch):
+    own = byte_bpe.ByteBpe.from_file(queries.byte_bpe(), public_tokenizers.PATTERN)
+    texts = [text or "" for _, text in cases.hostile(15)] + ["xyzzy" * 4000, ""]
+    whole = own.encode_batch(texts)
+    monkeypatch.setattr(byte_bpe, "LIST_BYTES", 50)
+    small = byte_bpe.ByteBpe(own.ranks, public_tokenizers.PATTERN)
+    assert small.encode_batch(texts) == whole
+    assert small.decode_batch(whole) == [text.encode() for text in texts]
+    assert all(len(key) <= byte_bpe.MEMORY_LONGEST for key in small.memory)
