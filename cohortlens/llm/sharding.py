@@ -1,16 +1,21 @@
 """Sharding by a two-pass external shuffle, in DataFrame functions only.
 
-The first pass scatters the rows evenly into buckets by a seeded hash, as many as it
-takes to hold one in memory. The second shuffles each bucket with ``shuffle``, Spark's
-Fisher-Yates on arrays, and writes it: a bucket's rows follow those of all earlier
-buckets, and the sequence is cut into shards whose row counts differ by one at most, so
-a bucket reaches few shards and nothing is moved a second time.
-
-Law ``rows``: counts at most one apart. Rows equal in doc_id and text fall into one
-bucket; everything else is spread by the hash, copies with their own doc_id too. A null
-text counts no bytes, a null doc_id hashes like a value. With fewer rows than shards,
-some shards stay empty. An empty table gives an empty result. Other columns are written
-along under any names but ``shard`` and ``slot``, which the result needs: they are refused.
+The first pass scatters the rows evenly into buckets by a seeded hash of their content, as many
+as it takes to hold one in memory. The second shuffles each bucket with ``shuffle``, Spark's
+Fisher-Yates on arrays, and writes it: a bucket's rows follow those of all earlier buckets,
+and the sequence is cut into shards whose row counts differ by one at most, so a bucket
+reaches few shards and nothing is moved a second time.
+
+The order depends on rows and seed alone, not on the input's layout: a bucket is a task of its
+own, numbered like it, so its draws start from the seed and the bucket's number, and it is
+sorted before it is shuffled.
+
+Law ``rows``: counts at most one apart. Rows equal in all columns are one row with a count where
+together they would fill a good part of a bucket; the copies are made again behind the count,
+each with a hash of its own, so they spread over all buckets. Other copies need nothing of the
+kind. A null text counts no bytes, a null doc_id hashes like a value. With fewer rows than
+shards, some shards stay empty. An empty table gives an empty result. Other columns are written
+along in one struct under any names; columns of a map type have no order and are refused by Spark.
 """
 
 from __future__ import annotations
@@ -20,13 +25,17 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Text bytes of a bucket, about; a task holds one as an array.
-BUCKET_BYTES = 8 << 20
+from cohortlens.session import materialize
+
+#: Text bytes of a bucket, about; a task holds one as an array. Larger tables on larger
+#: machines take larger buckets, as each is a task.
+BUCKET_BYTES = 32 << 20
+#: The part of a bucket that copies of one row may fill before they are spread.
+HOT_PART = 8
 #: Buckets whose offsets one window adds up.
 BUCKET_GROUP = 4096
 #: What a row counts besides its text.
 ROW_BYTES = 8
-OWN_COLUMNS = ("shard", "slot")
 
 
 def _size() -> Column:
@@ -49,19 +58,52 @@ def _offsets(buckets: DataFrame) -> DataFrame:
     )
 
 
+def _spread_copies(rows: DataFrame, bucket_bytes: int) -> DataFrame:
+    """``(_digest, _copy, row)`` of ``(_digest, _bytes, row)``: copies of hot rows numbered,
+    all others 0.
+
+    Digests are counted before they move. There are few hot rows however many copies they
+    have: each fills a good part of a bucket.
+    """
+    counts = rows.groupBy("_digest").agg(
+        F.count(F.lit(1)).alias("_copies"), F.max("_bytes").alias("_bytes")
+    )
+    filled = F.col("_copies") * F.col("_bytes") * F.lit(HOT_PART)
+    hot = materialize(
+        counts.where((F.col("_copies") > 1) & (filled > F.lit(bucket_bytes))).select("_digest", "_copies")
+    )
+    others = rows.join(hot, "_digest", "left_anti").select("_digest", F.lit(0).cast("long").alias("_copy"), "row")
+    # One of the copies stands for all; equal rows are combined before the shuffle.
+    copies = (
+        rows.join(hot, "_digest")
+        .groupBy("_digest", "_copies")
+        .agg(F.max("row").alias("row"))
+        .select("_digest", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))).alias("_copy"), "row")
+    )
+    return others.unionByName(copies)
+
+
 def shuffled(
     docs: DataFrame, seed: int, total_bytes: int, bucket_bytes: int = BUCKET_BYTES
 ) -> DataFrame:
     """All rows as the struct ``row``, and ``index``, their place from 0 in one random order
     of the whole table."""
     buckets = max(1, -(-total_bytes // bucket_bytes))
-    key = F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text"))
     row = F.struct(*[F.col(f"`{name}`") for name in docs.columns])
-    dealt = docs.select(key.alias("_key"), row.alias("row")).withColumn(
-        "_bucket", F.pmod(F.xxhash64("_key", F.lit(seed)), F.lit(buckets)).cast("int")
+    rows = docs.select(
+        F.unhex(F.sha2(F.to_json(row, {"ignoreNullFields": "false"}), 256)).alias("_digest"),
+        _size().alias("_bytes"),
+        row.alias("row"),
+    )
+    key = F.xxhash64(F.lit(seed), F.col("_digest"), F.col("_copy"))
+    dealt = _spread_copies(rows, bucket_bytes).select(
+        key.alias("_key"), F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(buckets)).cast("int").alias("_bucket"), "row"
+    )
+    held = (
+        dealt.repartitionById(buckets, "_bucket")
+        .groupBy("_bucket")
+        .agg(F.collect_list(F.struct("_key", "row")).alias("_rows"))
     )
-    held = dealt.groupBy("_bucket").agg(F.collect_list(F.struct("_key", "row")).alias("_rows"))
-    # Sorting first makes a repeated task start from the same array.
     mixed = held.select("_bucket", F.shuffle(F.sort_array("_rows"), seed).alias("_rows"))
     placed = mixed.join(_offsets(dealt.select("_bucket")), "_bucket")
     return placed.select("_before", F.posexplode("_rows").alias("_place", "_row")).select(
@@ -72,13 +114,11 @@ def shuffled(
 def write_shards(
     docs: DataFrame, path: str, shards: int, seed: int = 0, bucket_bytes: int = BUCKET_BYTES
 ) -> None:
-    """Write all rows below ``path`` in folders ``shard=0`` to ``shards - 1``.
+    """Write all rows below ``path`` in folders ``shard=0`` to ``shards - 1``, each as the
+    struct ``row``.
 
     ``slot`` numbers a shard's rows from 0 without gaps, and files hold ascending slots.
     """
-    clash = sorted(set(OWN_COLUMNS).intersection(name.lower() for name in docs.columns))
-    if clash:
-        raise ValueError(f"columns {clash} clash with the result's own")
     rows, total = docs.agg(
         F.count(F.lit(1)), F.coalesce(F.sum(_size()), F.lit(0))
     ).first()
@@ -87,7 +127,7 @@ def write_shards(
     )
     begins = F.expr(f"(shard * cast({rows} as bigint) + {shards - 1}) div {shards}")
     (
-        ordered.select("row.*", (F.col("index") - begins).alias("slot"), "shard")
+        ordered.select("row", (F.col("index") - begins).alias("slot"), "shard")
         .sortWithinPartitions("shard", "slot")
         .write.partitionBy("shard")
         .parquet(path)
@@ -95,9 +135,18 @@ def write_shards(
 
 
 def read_shards(spark: SparkSession, path: str, columns: T.StructType) -> DataFrame:
-    """The written rows with shard and slot; ``columns`` are those that were written."""
-    own = [T.StructField("slot", T.LongType()), T.StructField("shard", T.IntegerType())]
-    return spark.read.schema(T.StructType([*columns, *own])).parquet(path)
+    """The written rows with shard and slot; ``columns`` are those that were written.
+
+    Columns that are themselves named shard or slot are in the struct ``row``; all others
+    stand beside it.
+    """
+    own = {"row": columns, "slot": T.LongType(), "shard": T.IntegerType()}
+    schema = T.StructType([T.StructField(name, kind) for name, kind in own.items()])
+    read = spark.read.schema(schema).parquet(path)
+    clash = {name for name in columns.names if name.lower() in ("slot", "shard", "row")}
+    plain = [F.col("row")[name].alias(name) for name in columns.names if name not in clash]
+    whole = ["row"] if clash - {"row"} else [F.col("row")["row"].alias("row")] if clash else []
+    return read.select(*plain, *whole, "slot", "shard")
 
 
 def digest(shards: DataFrame) -> DataFrame:

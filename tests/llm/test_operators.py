@@ -363,21 +363,45 @@ def test_token_files_are_ordered_and_read_by_part(spark, tmp_path, encoding):
 # --- shards and pages -------------------------------------------------------------
 
 
+def shard_order(spark, df, path, **options):
+    sharding.write_shards(df, path, 5, seed=3, **options)
+    rows = sharding.read_shards(spark, path, df.schema).orderBy("shard", "slot").collect()
+    return [(row["shard"], row["slot"], row["doc_id"], row["text"]) for row in rows]
+
+
 def test_shards_are_native_repeatable_and_ordered(spark, tmp_path):
-    docs = cases.hostile(50) + [(0, cases.hostile(1)[0][1]), (None, None), (None, None)]
+    docs = cases.hostile(50) + [(0, cases.hostile(20)[0][1]), (None, None), (None, None)]
+    docs += [(7, "one row " * 20)] * 300 + [(8, "near " * 10 + str(n)) for n in range(100)]
     df = cases.frame(spark, docs)
     plan = sharding.shuffled(df, 3, 10_000, 500)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
     orders = []
-    for number in range(2):
-        path = str(tmp_path / f"s{number}")
-        sharding.write_shards(df.repartition(number + 2), path, 5, seed=3, bucket_bytes=3_000)
-        rows = sharding.read_shards(spark, path, df.schema).orderBy("shard", "slot").collect()
-        orders.append([(row["shard"], row["slot"], row["doc_id"], row["text"]) for row in rows])
-    assert orders[0] == orders[1] and len(orders[0]) == len(docs)
+    for number, adaptive in enumerate(("true", "false", "true", "false")):
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+        try:
+            laid = df.repartition(number + 2)
+            orders.append(shard_order(spark, laid, str(tmp_path / f"s{number}"), bucket_bytes=6_000))
+        finally:
+            spark.conf.unset("spark.sql.adaptive.enabled")
+    assert orders[0] == orders[1] == orders[2] == orders[3] and len(orders[0]) == len(docs)
     assert [row[2] for row in orders[0]] != sorted((i for i, _ in docs), key=str)
-    with pytest.raises(ValueError):
-        sharding.write_shards(df.withColumn("slot", F.lit(1)), str(tmp_path / "x"), 5)
+    assert sorted(map(str, (row[2:] for row in orders[0]))) == sorted(map(str, docs))
+
+
+def test_copies_of_one_row_are_spread_over_buckets(spark):
+    df = cases.frame(spark, [(1, "the same text")] * 900 + [(n, f"text {n}") for n in range(100)])
+    rows = sharding.shuffled(df, 5, 21_000, 2_000).collect()
+    assert sorted(row["index"] for row in rows) == list(range(1000))
+    others = sorted(row["index"] for row in rows if row["row"]["text"] != "the same text")
+    assert len(others) == 100 and max(np.diff(others)) < 120
+
+
+def test_shards_carry_own_shards_and_slots(spark, tmp_path):
+    df = cases.frame(spark, cases.hostile(20)).withColumns({"slot": F.lit("mine"), "shard": F.lit(99), "row": F.lit(1)})
+    sharding.write_shards(df, str(tmp_path / "x"), 3, bucket_bytes=3_000)
+    rows = sharding.read_shards(spark, str(tmp_path / "x"), df.schema).collect()
+    assert len(rows) == df.count() and {row["shard"] for row in rows} == {0, 1, 2}
+    assert all((row["row"]["slot"], row["row"]["shard"], row["row"]["row"]) == ("mine", 99, 1) for row in rows)
 
 
 def test_shards_carry_columns_of_any_name(spark, tmp_path):
