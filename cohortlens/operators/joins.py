@@ -89,3 +89,51 @@ def skew_join(
         .drop("_salts")
     )
     return salted.join(spread, [*on, "_salt"], how).drop("_salt")
+
+
+#: Bits per key and hashes of a key filter: it lets about one in a hundred other keys pass.
+BITS_PER_KEY, HASHES = 10, 7
+#: Keys up to which a filter is made: it goes to every task, at 1.25 bytes a key.
+MOST_FILTER_KEYS = 32_000_000
+
+
+def _bit(on: Sequence[str], turn: int, bits: int) -> Column:
+    # Two halves of one hash make all positions; their sums stay far below 64 bits.
+    whole = F.xxhash64(*[F.col(name) for name in on])
+    first, step = whole.bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(whole, 32)
+    return (first + step * F.lit(turn)) % F.lit(bits)
+
+
+def _mask(bit: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), (bit % F.lit(64)).cast("int"))
+
+
+def key_filter(keys: DataFrame, on: Sequence[str], most: int = MOST_FILTER_KEYS) -> Column | None:
+    """A condition that holds for every row whose key is in ``keys``, and for few others.
+
+    A Bloom filter as wide as the number of keys asks for, computed once and tested at the
+    scan, before rows are shuffled. None where there are more keys than a filter is made for.
+    """
+    distinct = keys.select(*on).distinct()
+    count = distinct.count()
+    if not count:
+        return F.lit(False)
+    if count > most:
+        return None
+    words = -(-count * BITS_PER_KEY // 64)
+    bits = [_bit(on, turn, words * 64) for turn in range(HASHES)]
+    spark = keys.sparkSession
+    word = F.col("bit").cast("bigint")
+    filled = distinct.select(F.explode(F.array(*bits)).alias("bit")).select(
+        F.expr("bit div 64").alias("word"), _mask(word).alias("mask")
+    )
+    empty = spark.range(words).select(F.col("id").alias("word"), F.lit(0).cast("bigint").alias("mask"))
+    table = filled.unionByName(empty).groupBy("word").agg(F.bit_or("mask").alias("mask"))
+    # One list as long as the filter, whose size is bounded above.
+    ordered = F.array_sort(F.collect_list(F.struct("word", "mask")))
+    found = table.agg(F.transform(ordered, lambda entry: entry["mask"]).alias("words")).scalar()
+    condition = F.lit(True)
+    for bit in bits:
+        held = F.get(found, F.floor(bit / F.lit(64)).cast("int"))
+        condition = condition & (held.bitwiseAND(_mask(bit)) != 0)
+    return condition

@@ -18,7 +18,7 @@ from cohortlens.contract import (
     require_cutoff,
 )
 from cohortlens.functions.expressions import passed, performance_tier
-from cohortlens.operators.joins import dimension_join
+from cohortlens.operators.joins import dimension_join, key_filter
 from cohortlens.sources.roles import RoleTables
 
 
@@ -92,16 +92,28 @@ def outcome_codes(enrollment: DataFrame) -> DataFrame:
     )
 
 
-def enrollment_mart(roles: RoleTables, cutoff_day: int) -> DataFrame:
+def cohort_events(roles: RoleTables, cutoff_day: int) -> DataFrame:
+    """Events that can belong to the cohort: those of other enrollments are dropped at the scan,
+    but for the few that a key filter lets pass."""
+    registered = roles.enrollment.where(F.col("date_registration") <= cutoff_day)
+    known = key_filter(registered, KEYS)
+    return roles.interaction if known is None else roles.interaction.where(known)
+
+
+def enrollment_mart(roles: RoleTables, cutoff_day: int, filter_events: bool = False) -> DataFrame:
     """One row per enrollment: 13 cohort, 5 activity and 4 outcome columns.
 
+    ``filter_events`` drops events of enrollments outside the cohort before they are shuffled;
+    it reads the enrollments twice more and pays where the cohort is a part of them.
+
     The enrollment key must be unique (``checks.duplicate_keys``): outcomes then
     come with the cohort rows and need no second read of the enrollments, and
     the left join below keeps scores of enrolled students only.
     """
     require_cutoff(cutoff_day)
     rows = cohort(roles, cutoff_day)
-    activity = activity_features(roles.interaction, cutoff_day)
+    events = cohort_events(roles, cutoff_day) if filter_events else roles.interaction
+    activity = activity_features(events, cutoff_day)
     scores = course_scores(roles.assessment, roles.submission)
     result = F.col("final_result")
     return (

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.contract import CALIBRATION_BINS, CAPACITY, KEYS, RISK_THRESHOLD
+from cohortlens.operators import sketches
 from cohortlens.operators.joins import dimension_join
 from cohortlens.operators.ranking import (
     distribution_percentiles,
@@ -107,10 +108,14 @@ def roc_auc(df: DataFrame, label: str, probability: str, by: Sequence[str] = ())
 
 
 def calibration_bins(
-    df: DataFrame, label: str, probability: str, bins: int = CALIBRATION_BINS
+    df: DataFrame, label: str, probability: str, bins: int = CALIBRATION_BINS,
+    approximate: bool = False,
 ) -> DataFrame:
     """Mean prediction and observed rate per probability quantile; empty bins are dropped.
 
+    ``approximate`` takes the edges from a sketch, within ``sketches.rank_error``, and so orders
+    no scores.
+
     ``bin_rows`` is the bin's size. ``rows`` is the size an equal-frequency split
     into as many bins would give, which differs where scores are tied.
     """
@@ -119,8 +124,12 @@ def calibration_bins(
     counts = df.groupBy(*by, F.col(probability).alias("probability")).agg(
         F.count(F.lit(1)).alias("rank"), F.sum(F.col(label).cast("bigint")).alias("positives")
     )
-    scores = running_totals(counts, by, ["probability"], ["rank"])
-    edges = distribution_percentiles(scores, by, "probability", shares)
+    if approximate:
+        found = sketches.value_sketches(df, by, probability)
+        scores, edges = counts, sketches.sketched_percentiles(found, by, shares)
+    else:
+        scores = running_totals(counts, by, ["probability"], ["rank"])
+        edges = distribution_percentiles(scores, by, "probability", shares)
     above = [F.when(F.col("probability") > F.col(edge), 1).otherwise(0) for edge in shares]
     # One row per bin from here on: at most ``bins`` of them.
     held = (

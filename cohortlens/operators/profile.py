@@ -28,6 +28,7 @@ from cohortlens.contract import (
     WHISKER,
 )
 from cohortlens.functions.expressions import academic_risk
+from cohortlens.operators import sketches
 from cohortlens.operators.joins import dimension_join
 from cohortlens.operators.ranking import (
     distribution_percentiles,
@@ -54,15 +55,18 @@ def _share(counts: DataFrame, *by: str) -> DataFrame:
     return counts.withColumn("share", F.col("count") / total)
 
 
-def cohort_snapshot(mart: DataFrame) -> DataFrame:
+def cohort_snapshot(mart: DataFrame, approximate: bool = False) -> DataFrame:
+    """Rows, columns and distinct keys; ``approximate`` counts distinct keys by sketches, within
+    ``sketches.distinct_error``."""
+    distinct = sketches.approximate_distinct if approximate else F.countDistinct
     names = ("enrollment_rows", "columns", "unique_students", "courses", "presentations",
              "candidate_features")
     counted = mart.agg(
         F.count(F.lit(1)).alias(names[0]),
         F.lit(len(mart.columns)).cast("bigint").alias(names[1]),
-        F.countDistinct("id_student").alias(names[2]),
-        F.countDistinct("code_module").alias(names[3]),
-        F.countDistinct("code_presentation").alias(names[4]),
+        distinct("id_student").alias(names[2]),
+        distinct("code_module").alias(names[3]),
+        distinct("code_presentation").alias(names[4]),
         F.lit(len(ROLES.candidates(mart.schema))).cast("bigint").alias(names[5]),
     )
     return counted.unpivot([], list(names), "metric", "value")
@@ -124,18 +128,31 @@ def categorical_candidates(mart: DataFrame) -> DataFrame:
     return _category_counts(mart, columns, columns, "feature")
 
 
-def numeric_distribution(mart: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Value counts of several columns in long form, nulls included."""
-    long = mart.select(*[F.col(name).cast("double").alias(name) for name in columns]).unpivot(
+def _long(mart: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return mart.select(*[F.col(name).cast("double").alias(name) for name in columns]).unpivot(
         [], list(columns), "feature", "value"
     )
-    return value_distribution(long, ["feature"], "value")
 
 
-def numeric_profile(mart: DataFrame) -> DataFrame:
-    """Count, missing, mean, median, std, min, quartiles and max per numeric candidate."""
-    distribution = numeric_distribution(mart, ROLES.numeric_candidates(mart.schema))
-    return distribution_summary(distribution, ["feature"], "value", QUARTILES).select(
+def numeric_distribution(mart: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Value counts of several columns in long form, nulls included."""
+    return value_distribution(_long(mart, columns), ["feature"], "value")
+
+
+def numeric_profile(mart: DataFrame, approximate: bool = False) -> DataFrame:
+    """Count, missing, mean, median, std, min, quartiles and max per numeric candidate.
+
+    ``approximate`` takes the quartiles from sketches, within ``sketches.rank_error``.
+    """
+    columns = ROLES.numeric_candidates(mart.schema)
+    if approximate:
+        found = sketches.value_sketches(_long(mart, columns), ["feature"], "value")
+        summary = sketches.sketched_summary(found, ["feature"], QUARTILES)
+    else:
+        summary = distribution_summary(
+            numeric_distribution(mart, columns), ["feature"], "value", QUARTILES
+        )
+    return summary.select(
         "feature", "count", F.col("missing").alias("missing_count"), "mean", "median", "std", "min",
         "q1", "q3", "max",
     )
@@ -217,11 +234,32 @@ def feature_histograms(mart: DataFrame) -> DataFrame:
     return _histogram(counts, F.least(F.lit(40), F.greatest(F.lit(5), F.floor(F.sqrt("_rows")))))
 
 
-def box_summary(distribution: DataFrame, by: Sequence[str], value: str) -> DataFrame:
-    """Quartiles, extremes and whiskers per group of a value distribution."""
-    quartiles = distribution_percentiles(distribution, by, value, QUARTILES).withColumn(
-        "iqr", F.col("q3") - F.col("q1")
+def _value_rows(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
+    """Value counts without ranks, in the form of a value distribution."""
+    rank = F.when(F.col(value).isNotNull(), F.col("n")).otherwise(0)
+    return df.groupBy(*by, value).agg(F.count(F.lit(1)).alias("n")).withColumn("rank", rank)
+
+
+def _box(df: DataFrame, by: Sequence[str], value: str, approximate: bool) -> DataFrame:
+    """``box_summary`` of rows, with exact quartiles or those of sketches."""
+    if not approximate:
+        return box_summary(value_distribution(df, by, value), by, value)
+    found = sketches.value_sketches(df, by, value)
+    return box_summary(
+        _value_rows(df, by, value), by, value, sketches.sketched_percentiles(found, by, QUARTILES)
     )
+
+
+def box_summary(
+    distribution: DataFrame, by: Sequence[str], value: str, quartiles: DataFrame | None = None
+) -> DataFrame:
+    """Quartiles, extremes and whiskers per group of a value distribution.
+
+    ``quartiles`` are computed from the distribution's ranks where none are given.
+    """
+    if quartiles is None:
+        quartiles = distribution_percentiles(distribution, by, value, QUARTILES)
+    quartiles = quartiles.withColumn("iqr", F.col("q3") - F.col("q1"))
     held = F.col(value).cast("double")
     low = F.col("q1") - WHISKER * F.col("iqr")
     high = F.col("q3") + WHISKER * F.col("iqr")
@@ -244,18 +282,17 @@ def _position(column: Column, order: Sequence[str]) -> Column:
     return F.when(place > 0, place).otherwise(len(order) + 1)
 
 
-def clicks_boxplot_by_result(mart: DataFrame) -> DataFrame:
+def clicks_boxplot_by_result(mart: DataFrame, approximate: bool = False) -> DataFrame:
     rows = mart.where(F.col("final_result").isin(*RESULT_ORDER))
-    distribution = value_distribution(rows, ["final_result"], ENGAGEMENT)
     return (
-        box_summary(distribution, ["final_result"], ENGAGEMENT)
+        _box(rows, ["final_result"], ENGAGEMENT, approximate)
         .select("final_result", "count", "median", "q1", "q3", "iqr", "min", "max",
                 "lower_whisker", "upper_whisker")
         .orderBy(_position(F.col("final_result"), RESULT_ORDER))
     )
 
 
-def score_boxplot_by_group(mart: DataFrame) -> DataFrame:
+def score_boxplot_by_group(mart: DataFrame, approximate: bool = False) -> DataFrame:
     """Observed and missing scores per category of each descriptive column."""
     by = ["characteristic", "category"]
     long = mart.select(
@@ -265,7 +302,7 @@ def score_boxplot_by_group(mart: DataFrame) -> DataFrame:
             for name in DESCRIPTIVE_ONLY
         ],
     ).unpivot([SCORE], list(DESCRIPTIVE_ONLY), *by)
-    summary = box_summary(value_distribution(long, by, SCORE), by, SCORE)
+    summary = _box(long, by, SCORE, approximate)
     place = F.lit(0)
     for name, order in CATEGORY_ORDERS.items():
         place = F.when(

@@ -13,6 +13,7 @@ from cohortlens.contract import (
     MAX_FOLDS,
 )
 from cohortlens.operators.ranking import global_row_number
+from cohortlens.operators.sketches import approximate_distinct
 
 GROUP = "id_student"
 # One student in so many is held out where no presentation is.
@@ -67,11 +68,12 @@ def split_parts(df: DataFrame, holdout: str = DEFAULT_HOLDOUT) -> tuple[DataFram
     return grouped_parts(df), "grouped_random_holdout_fallback"
 
 
-def split_summary(parts: DataFrame) -> DataFrame:
-    """Rows, students and risk rows per part."""
+def split_summary(parts: DataFrame, approximate: bool = False) -> DataFrame:
+    """Rows, students and risk rows per part; ``approximate`` counts students by sketches."""
+    distinct = approximate_distinct if approximate else F.countDistinct
     return parts.groupBy("part").agg(
         F.count(F.lit(1)).alias("rows"),
-        F.countDistinct(GROUP).alias("students"),
+        distinct(GROUP).alias("students"),
         F.sum("academic_risk").cast("bigint").alias("risk_rows"),
     )
 

@@ -385,6 +385,27 @@ def oracle_sql() -> dict[str, str]:
     }
     sql = {
         "enrollment_mart": _mart(f"SELECT {_rounded(MART_COLUMNS)} FROM mart"),
+        "enrollment_mart_cutoffs": " UNION ALL ".join(
+            f"SELECT CAST({day} AS INTEGER) AS cutoff_day, * FROM ("
+            + _mart(f"SELECT {_rounded(MART_COLUMNS)} FROM mart")
+            .replace("event_day <= 30", f"event_day <= {day}")
+            .replace("date_registration > 30", f"date_registration > {day}")
+            + ")"
+            for day in (0, 30, 60)
+        ),
+        "enrollment_mart_filtered": _mart(f"SELECT {_rounded(MART_COLUMNS)} FROM mart"),
+        "enrollment_mart_bucketed": _mart(f"SELECT {_rounded(MART_COLUMNS)} FROM mart"),
+        "sketched_percentiles": _mart(
+            "SELECT presentation, feature, percentile, true AS within_error FROM "
+            "(SELECT DISTINCT code_presentation AS presentation FROM mart UNION ALL SELECT 'all'), "
+            "(SELECT unnest([" + ", ".join(f"'{name}'" for name in NUMERIC_FEATURES) + "]) AS feature), "
+            "(SELECT unnest(['q1', 'median', 'q3']) AS percentile)"
+        ),
+        "sketched_distinct": _mart(
+            "SELECT presentation, field, true AS within_error, true AS parts_equal_whole FROM "
+            "(SELECT DISTINCT code_presentation AS presentation FROM mart UNION ALL SELECT 'all'), "
+            "(SELECT unnest(['id_student', 'code_module', 'region', 'total_clicks']) AS field)"
+        ),
         "cohort_filter": _mart("SELECT * FROM cohort"),
         "activity_features": _mart("SELECT * FROM activity"),
         "weighted_score": _mart(

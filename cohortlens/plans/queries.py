@@ -19,8 +19,11 @@ from cohortlens.contract import (
 from cohortlens.functions.expressions import academic_risk, fixed_score
 from cohortlens.models import legacy, neighbors, risk
 from cohortlens.plans import model_checks
-from cohortlens.operators import checks, mart, metrics, prep, profile, scoring, split
-from cohortlens.session import materialize
+from cohortlens.operators import checks, cutoffs, mart, metrics, prep, profile, scoring, sketches
+from cohortlens.operators import split
+from cohortlens.operators.joins import dimension_join
+from cohortlens.session import materialize, scratch_path, shuffle_width
+from cohortlens.sources import bucketed
 from cohortlens.sources.order_binding import (
     AGE_ORDER,
     HOLDOUT,
@@ -33,6 +36,7 @@ from cohortlens.sources.order_binding import (
 
 Query = Callable[[SparkSession, str], DataFrame]
 CUTOFF = DEFAULT_CUTOFF
+CUTOFFS = (0, 30, 60)
 LEVELS = {"highest_education": SEGMENT_ORDER, "age_band": AGE_ORDER}
 
 
@@ -115,6 +119,93 @@ def enrollment_mart(spark, folder):
     return rounded(bound_mart(spark, folder))
 
 
+def enrollment_mart_cutoffs(spark, folder):
+    """The mart at several cutoff days, from one scan of the clickstream."""
+    return rounded(cutoffs.enrollment_marts(order_roles(spark, folder), CUTOFFS))
+
+
+def enrollment_mart_filtered(spark, folder):
+    """The mart from events that a filter of the cohort's keys lets pass at the scan."""
+    return rounded(mart.enrollment_mart(order_roles(spark, folder), CUTOFF, filter_events=True))
+
+
+def enrollment_mart_bucketed(spark, folder):
+    """The mart over role tables stored in buckets of students."""
+    path = scratch_path(spark)
+    prefix = f"roles_{path.rpartition('/')[2]}"
+    bucketed.write_bucketed_roles(order_roles(spark, folder), prefix, shuffle_width(spark), path)
+    roles = bucketed.read_bucketed_roles(spark, prefix)
+    return rounded(cutoffs.enrollment_marts(roles, [CUTOFF], laid_out=True).drop("cutoff_day"))
+
+
+def _by_presentation(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """Values of the columns in long form, by presentation."""
+    return rows.select(
+        F.col("code_presentation").alias("presentation"),
+        *[F.col(name).cast("double").alias(name) for name in columns],
+    ).unpivot(["presentation"], columns, "feature", "value")
+
+
+def sketched_percentiles(spark, folder):
+    """Whether sketched quartiles lie within the stated rank error of the exact ranks, per
+    presentation, and for all presentations from the sketches of each."""
+    rows = materialize(bound_mart(spark, folder))
+    long = _by_presentation(rows, list(NUMERIC_FEATURES))
+    by = ["presentation", "feature"]
+    parts = materialize(sketches.value_sketches(long, by, "value"))
+    whole = sketches.united_values(parts, ["feature"]).withColumn("presentation", F.lit("all"))
+    shares = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+    told = sketches.sketched_percentiles(parts.unionByName(whole), by, shares).unpivot(
+        by, list(shares), "percentile", "estimate"
+    )
+    values = long.unionByName(long.withColumn("presentation", F.lit("all")))
+    # Joins by the few presentations and features; every value meets three estimates.
+    wanted = F.element_at(F.create_map(*[F.lit(x) for pair in shares.items() for x in pair]), F.col("percentile"))
+    counted = dimension_join(
+        values.where(F.col("value").isNotNull()).groupBy(*by, "value").agg(F.count(F.lit(1)).alias("n")),
+        told, by, salt_by=["value"],
+    )
+    n, value, estimate = F.col("n"), F.col("value"), F.col("estimate")
+    ranks = counted.groupBy(*by, "percentile").agg(
+        (F.sum(F.when(value < estimate, n).otherwise(0)) / F.sum("n")).alias("below"),
+        (F.sum(F.when(value <= estimate, n).otherwise(0)) / F.sum("n")).alias("upto"),
+    )
+    error = F.greatest(wanted - F.col("upto"), F.col("below") - wanted, F.lit(0.0))
+    return ranks.select(*by, "percentile", (error <= sketches.rank_error()).alias("within_error"))
+
+
+def sketched_distinct(spark, folder):
+    """Whether sketched distinct counts are within the stated error, per presentation and united,
+    and whether the united sketches of the parts tell the same as one of the whole."""
+    columns = ["id_student", "code_module", "region", "total_clicks"]
+    rows = materialize(bound_mart(spark, folder).select("code_presentation", *columns))
+    part = F.col("code_presentation").alias("presentation")
+    parts = materialize(sketches.distinct_sketches(rows.select(part, *columns), ["presentation"], columns))
+    everything = F.lit("all").alias("presentation")
+    united = sketches.united_distinct(parts, columns).select(everything, *columns)
+    single = sketches.distinct_sketches(rows, [], columns)
+    whole = sketches.united_distinct(single, columns).select(everything, *columns)
+
+    def long(sketched: DataFrame, name: str) -> DataFrame:
+        counts = sketches.distinct_counts(sketched, ["presentation"], columns)
+        return counts.unpivot(["presentation"], columns, "field", name)
+
+    exact = [F.countDistinct(name).alias(name) for name in columns]
+    told = rows.groupBy(part).agg(*exact).unionByName(rows.agg(*exact).select(everything, *columns))
+    compared = (
+        long(parts.unionByName(united), "estimate")
+        .join(told.unpivot(["presentation"], columns, "field", "distinct"), ["presentation", "field"])
+        .join(long(whole, "whole"), ["presentation", "field"], "left")
+    )
+    gap = F.abs(F.col("estimate") - F.col("distinct"))
+    return compared.select(
+        "presentation",
+        "field",
+        (gap <= F.ceil(F.col("distinct") * sketches.distinct_error())).alias("within_error"),
+        F.coalesce(F.col("estimate") == F.col("whole"), F.lit(True)).alias("parts_equal_whole"),
+    )
+
+
 def cohort_filter(spark, folder):
     return mart.cohort(order_roles(spark, folder), CUTOFF).drop("final_result")
 
@@ -488,7 +579,8 @@ METRICS = {
 }
 
 DIRECT = (
-    enrollment_mart, cohort_filter, activity_features, weighted_score, outcome_codes,
+    enrollment_mart, enrollment_mart_cutoffs, enrollment_mart_filtered, enrollment_mart_bucketed,
+    sketched_percentiles, sketched_distinct, cohort_filter, activity_features, weighted_score, outcome_codes,
     artifact_features, artifact_targets, artifact_metadata,
     check_completeness, check_duplicate_keys, check_ranges, check_result_domain, check_all_null,
     check_coverage, check_orphan_activity, check_classes_present, coerce_numeric,
