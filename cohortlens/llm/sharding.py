@@ -32,6 +32,8 @@ from cohortlens.session import materialize
 BUCKET_BYTES = 32 << 20
 #: The part of a bucket that copies of one row may fill before they are spread.
 HOT_PART = 8
+#: Buckets up to which all offsets are sent to every task: 16 bytes each.
+MOST_SENT_OFFSETS = 1 << 20
 #: Buckets whose offsets one window adds up.
 BUCKET_GROUP = 4096
 #: What a row counts besides its text.
@@ -105,7 +107,11 @@ def shuffled(
         .agg(F.collect_list(F.struct("_key", "row")).alias("_rows"))
     )
     mixed = held.select("_bucket", F.shuffle(F.sort_array("_rows"), seed).alias("_rows"))
-    placed = mixed.join(_offsets(dealt.select("_bucket")), "_bucket")
+    offsets = materialize(_offsets(dealt.select("_bucket")))
+    if buckets <= MOST_SENT_OFFSETS:
+        # One row per bucket. Joined by a shuffle, the full buckets would move once more.
+        offsets = F.broadcast(offsets)
+    placed = mixed.join(offsets, "_bucket")
     return placed.select("_before", F.posexplode("_rows").alias("_place", "_row")).select(
         F.col("_row.row").alias("row"), (F.col("_before") + F.col("_place")).alias("index")
     )
