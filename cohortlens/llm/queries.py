@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from cohortlens.llm import oracle
 from cohortlens.llm.byte_bpe import encode_and_decode
 from cohortlens.llm.conversation_trie import prefix_trie, share_openings, turn_sequences
 from cohortlens.llm.decontamination import find_passages, hit_words
@@ -198,4 +199,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracle.oracle_sql()

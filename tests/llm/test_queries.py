@@ -2,6 +2,7 @@
 
 from pathlib import Path
 
+import duckdb
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
@@ -121,3 +122,22 @@ def test_pages_give_their_main_blocks(spark, folders, where):
         assert same >= 0.98 * len(wanted)
     elif where == "hostile":
         assert found[1][1] == "" and found[2][1] == ""
+
+
+# --- DuckDB SQL ---------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("name", sorted(registered.oracle_sql()))
+def test_query_equals_sql(spark, folders, name):
+    if "driver" not in folders:
+        pytest.skip("needs the driver tables")
+    with duckdb.connect() as engine:
+        for table in ("documents", "benchmark", "embeddings", "conversations"):
+            engine.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
+        result = engine.execute(registered.oracle_sql()[name])
+        columns = [item[0] for item in result.description]
+        wanted = sorted(map(repr, result.fetchall()))
+    found = registered.queries()[name](spark, FOLDER)
+    assert sorted(found.columns) == sorted(columns)
+    rows = found.select(*columns).collect()
+    assert sorted(repr(tuple(row)) for row in rows) == wanted
