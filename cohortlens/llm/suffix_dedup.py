@@ -71,6 +71,8 @@ BYTES_PER_SEGMENT = 25
 SLICE_SEGMENTS = SLICE_CELLS // 16
 #: Text bytes of the whole table for each slice of sequences.
 SEQUENCE_SLICE_BYTES = 2 << 20
+#: Slices of the construction that a task takes at most.
+TASK_SLICES = 16
 #: A core in more units than this is dealt string by string.
 MANY_UNITS = 64
 #: Starts that are cut into segments at once, and sequences of a collection, about.
@@ -522,9 +524,11 @@ def remove_repeated_bytes(
 
     shared = to_units(_merge, by_unit.applyInArrow(_sketch(size, core, slices), MESSAGE_DDL))
     later = to_units(later_entries, by_units(_segment_entries(size, core, slices), shared))
-    # Construction takes more time than its bytes suggest, so its slices are not gathered.
-    sequences = by_units(_sequences(size, core, bytes_slices), later).repartition(
-        shuffle_width(docs.sparkSession), "_slice"
+    # Construction takes more time than its bytes suggest, so its slices are not gathered by
+    # size but dealt out evenly, a bounded number to each task.
+    tasks = max(shuffle_width(docs.sparkSession), -(-bytes_slices // TASK_SLICES))
+    sequences = by_units(_sequences(size, core, bytes_slices), later).repartitionById(
+        tasks, "_slice"
     )
     marked = to_units(_strings_to_remove(size), sequences)
     schema = result_schema(
