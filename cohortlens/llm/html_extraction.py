@@ -493,9 +493,16 @@ def extract_main_text(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> Dat
     text = F.coalesce(F.col("html").cast("string"), F.lit("")).alias("_text")
     spread = F.xxhash64("page_id", "url")
     names_main = F.coalesce(F.col("html").cast("string").rlike(_naming_main()), F.lit(False))
-    sample = pages.select((~names_main).alias("_other"), spread.alias("_spread"), text)
-    sample = sample.orderBy("_other", "_spread").limit(sample_pages)
-    labeller = fit_labeller([row["_text"] for row in sample.collect()])
+    # Keys first: the pages they name are few, whatever the number of tasks and pages.
+    keys = pages.select((~names_main).alias("_other"), spread.alias("_spread")).distinct()
+    chosen = [row["_spread"] for row in keys.orderBy("_other", "_spread").limit(sample_pages).collect()]
+    found = (
+        pages.where(spread.isin(chosen))
+        .groupBy(spread.alias("_spread"))
+        .agg(F.min(F.coalesce(F.col("html").cast("string"), F.lit(""))).alias("_text"))
+    )
+    texts = {row["_spread"]: row["_text"] for row in found.collect()}
+    labeller = fit_labeller([texts[key] for key in dict.fromkeys(chosen)])
     row = F.struct(*[F.col(f"`{name}`") for name in pages.columns])
     schema = T.StructType(
         [T.StructField("row", pages.schema, False), *T.StructType.fromDDL("main_text string")]
