@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from cohortlens.llm.decontamination import bounded
+from cohortlens.llm.units import text_bytes
 from cohortlens.llm.words import WHITE_SPACE_WORDS, span_hashes, spans, text_buffer
 from cohortlens.session import shuffle_width
 
@@ -34,6 +35,8 @@ from cohortlens.session import shuffle_width
 ROW_GROUP_BYTES = 16 << 20
 PAGE_BYTES = 256 << 10
 DICTIONARY_BYTES = 1 << 20
+#: Text of a range of documents, which one task encodes and writes.
+RANGE_BYTES = 128 << 20
 #: Distinct stretches of text whose ids a worker remembers at most.
 MEMORY_ENTRIES = 2_000_000
 #: Characters that are encoded at once to learn new stretches.
@@ -188,9 +191,11 @@ def write_token_files(
     if encoding not in ("dictionary", "delta"):
         raise ValueError(f"unknown encoding {encoding}")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    # A range is a task, so there are more of them where there is more text.
+    ranges = max(shuffle_width(docs.sparkSession), -(-text_bytes(docs) // RANGE_BYTES))
     ordered = (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("_text"), *columns)
-        .repartitionByRange(shuffle_width(docs.sparkSession), "doc_id", F.xxhash64("_text"))
+        .repartitionByRange(ranges, "doc_id", F.xxhash64("_text"))
         .sortWithinPartitions("doc_id", F.xxhash64("_text"))
         .withColumn("shard", F.spark_partition_id())
     )

@@ -67,12 +67,12 @@ def mix(values: np.ndarray) -> np.ndarray:
 
 def text_buffer(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts, one after the other, and the offsets of each; null is empty."""
+    # Large strings first: joined chunks of plain ones may not pass 2 GB.
+    column = column.cast(pa.large_string())
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-        if isinstance(column, pa.ChunkedArray):
-            column = column.chunk(0) if column.num_chunks else pa.array([], column.type)
     binary = pa.large_binary()
-    column = pc.fill_null(column.cast(pa.large_string()).cast(binary), pa.scalar(b"", binary))
+    column = pc.fill_null(column.cast(binary), pa.scalar(b"", binary))
     if not len(column):
         return np.zeros(0, np.uint8), np.zeros(1, np.int64)
     _, offsets, data = column.buffers()
