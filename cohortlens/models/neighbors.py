@@ -1,9 +1,10 @@
 """Exact k-nearest-neighbour mean as a partitioned join with triangle-inequality bounds.
 
-Training points belong to their nearest pivot, and so do queries. A query first looks
+Training points belong to a near pivot, and so do queries: the nearest pivot of the nearest
+group of pivots, so that finding it takes work with the root of the pivots. A query first looks
 among the points of its own pivot, which gives a true bound on its k-th distance, and
-then visits only the other pivots whose ball reaches within that bound, in blocks of
-bounded size. Equal points are first reduced to the k that could ever be chosen, and
+then visits only the other pivots whose ball reaches within that bound, group by group, in
+blocks of bounded size. Equal points are first reduced to the k that could ever be chosen, and
 equal queries to one, so repeated vectors do not add work. Points are numbered by key
 once, so ties are settled by a number.
 """
@@ -11,20 +12,22 @@ once, so ties are settled by a number.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cohortlens.contract import KEYS
-from cohortlens.operators.joins import skew_join
+from cohortlens.operators.joins import dimension_join, skew_join
 from cohortlens.operators.ranking import global_row_number
 from cohortlens.session import materialize
 
-# Pivots grow with the square root of the points, between these bounds; the driver and
-# every task hold them.
+# Pivots grow with the square root of the points, between these bounds; the driver holds them
+# and sends them to every machine once.
 PIVOTS = (32, 1 << 20)
 BLOCK_ROWS = 4_096
 # Bytes of the distances that a task holds at once.
@@ -75,24 +78,68 @@ def _slices(rows: int, columns: int) -> Iterator[slice]:
     return (slice(low, low + step) for low in range(0, rows, step))
 
 
-def _with_pivots(points: DataFrame, pivots: np.ndarray) -> DataFrame:
-    """Add the nearest pivot and the distance to it."""
+@dataclass(frozen=True)
+class Pivots:
+    """Pivots in groups around some of them; ``members`` are the pivots of each group."""
+
+    points: np.ndarray
+    centers: np.ndarray
+    members: list[np.ndarray]
+
+    @classmethod
+    def of(cls, points: np.ndarray) -> Pivots:
+        centers = points[: int(np.ceil(np.sqrt(len(points))))]
+        group = np.zeros(len(points), int)
+        for part in _slices(len(points), len(centers)):
+            group[part] = _distances(points[part], centers).argmin(axis=1)
+        members = [np.flatnonzero(group == number) for number in range(len(centers))]
+        held = [number for number, own in enumerate(members) if len(own)]
+        return cls(points, centers[held], [members[number] for number in held])
+
+    def nearest(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """A near pivot of each vector and the distance to it."""
+        group = np.zeros(len(vectors), int)
+        for part in _slices(len(vectors), len(self.centers)):
+            group[part] = _distances(vectors[part], self.centers).argmin(axis=1)
+        pivot, radius = np.zeros(len(vectors), "int32"), np.zeros(len(vectors))
+        for number, own in enumerate(self.members):
+            rows = np.flatnonzero(group == number)
+            for part in _slices(len(rows), len(own)):
+                far = np.sqrt(_distances(vectors[rows[part]], self.points[own]))
+                pivot[rows[part]] = own[far.argmin(axis=1)]
+                radius[rows[part]] = far.min(axis=1)
+        return pivot, radius
+
+    def within(
+        self, vectors: np.ndarray, bound: np.ndarray, reach: np.ndarray
+    ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Rows and pivots whose balls (of radius ``reach``) come within the rows' bounds."""
+        for center, own in zip(self.centers, self.members):
+            # The group's ball holds those of its pivots.
+            spread = np.sqrt(_distances(center[None, :], self.points[own]))[0] + reach[own]
+            away = np.sqrt(_distances(vectors, center[None, :]))[:, 0]
+            rows = np.flatnonzero(away - spread.max() <= bound + SLACK)
+            for part in _slices(len(rows), len(own)):
+                far = np.sqrt(_distances(vectors[rows[part]], self.points[own]))
+                near, place = np.nonzero(far - reach[own][None, :] <= bound[rows[part]][:, None])
+                yield rows[part][near], own[place]
+
+
+def _with_pivots(points: DataFrame, pivots: Broadcast[Pivots]) -> DataFrame:
+    """Add a near pivot and the distance to it."""
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            vectors = _points(batch)
-            nearest = np.zeros(len(batch), "int32")
-            radius = np.zeros(len(batch))
-            for part in _slices(len(batch), len(pivots)):
-                far = np.sqrt(_distances(vectors[part], pivots))
-                nearest[part], radius[part] = far.argmin(axis=1), far.min(axis=1)
+            nearest, radius = pivots.value.nearest(_points(batch))
             yield batch.assign(pivot=nearest, radius=radius)
 
     schema = points.schema.simpleString()[len("struct<"):-1]
     return points.mapInPandas(assign, f"{schema},pivot:int,radius:double")
 
 
-def _visits(queries: DataFrame, pivots: np.ndarray, reach: np.ndarray) -> DataFrame:
+def _visits(
+    queries: DataFrame, pivots: Broadcast[Pivots], reach: Broadcast[np.ndarray]
+) -> DataFrame:
     """One row per query and other pivot whose ball reaches within the query's ``bound``.
 
     ``reach`` is each pivot's largest radius.
@@ -102,32 +149,30 @@ def _visits(queries: DataFrame, pivots: np.ndarray, reach: np.ndarray) -> DataFr
         for batch in batches:
             vectors, own = _points(batch), batch["pivot"].to_numpy()
             bound = batch["bound"].to_numpy(float) * (1 + SLACK) + SLACK
-            for part in _slices(len(batch), len(pivots)):
-                far = np.sqrt(_distances(vectors[part], pivots))
-                near = far - reach[None, :] <= bound[part][:, None]
-                near[np.arange(len(near)), own[part]] = False
-                rows, cells = np.nonzero(near)
-                held = batch["vector"].to_numpy()[part]
-                yield pd.DataFrame({"vector": held[rows], "pivot": cells.astype("int32")})
+            held = batch["vector"].to_numpy()
+            for rows, cells in pivots.value.within(vectors, bound, reach.value):
+                other = cells != own[rows]
+                yield pd.DataFrame({"vector": held[rows[other]], "pivot": cells[other].astype("int32")})
 
     return queries.mapInPandas(visit, "vector array<double>, pivot int")
 
 
-def _blocks(df: DataFrame, sizes: dict[int, int], on: Sequence[str], name: str) -> DataFrame:
-    """Spread the rows of a pivot evenly over enough blocks of about ``BLOCK_ROWS``."""
-    counts = F.create_map(
-        *[F.lit(value) for pivot, rows in sizes.items() for value in (pivot, -(-rows // BLOCK_ROWS))]
-    )
-    return df.withColumn(name, F.pmod(F.xxhash64(*on), counts[F.col("pivot")]).cast("int"))
+def _with_blocks(df: DataFrame, sizes: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Add ``_blocks``, how many blocks of about ``BLOCK_ROWS`` the pivot's rows of a side take."""
+    counts = sizes.select("pivot", F.ceil(F.col("rows") / F.lit(BLOCK_ROWS)).cast("int").alias("_blocks"))
+    return dimension_join(df, counts, ["pivot"], salt_by=on)
+
 
+def _blocks(df: DataFrame, sizes: DataFrame, on: Sequence[str], name: str) -> DataFrame:
+    """Spread the rows of a pivot evenly over enough blocks."""
+    place = F.pmod(F.xxhash64(*on), F.col("_blocks")).cast("int")
+    return _with_blocks(df, sizes, on).withColumn(name, place).drop("_blocks")
 
-def _other_blocks(df: DataFrame, sizes: dict[int, int], name: str) -> DataFrame:
+
+def _other_blocks(df: DataFrame, sizes: DataFrame, on: Sequence[str], name: str) -> DataFrame:
     """Copy each row to every block of the other side of its pivot."""
-    counts = F.create_map(
-        *[F.lit(value) for pivot, rows in sizes.items() for value in (pivot, -(-rows // BLOCK_ROWS))]
-    )
-    last = (counts[F.col("pivot")] - 1).cast("int")
-    return df.where(last.isNotNull()).withColumn(name, F.explode(F.sequence(F.lit(0), last)))
+    every = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
+    return _with_blocks(df, sizes, on).withColumn(name, every).drop("_blocks")
 
 
 def _block_nearest(k: int):
@@ -164,18 +209,15 @@ def _block_nearest(k: int):
     return nearest
 
 
-def _search(visits: DataFrame, placed: DataFrame, point_sizes: dict[int, int], k: int) -> DataFrame:
+def _search(visits: DataFrame, placed: DataFrame, point_sizes: DataFrame, k: int) -> DataFrame:
     """The k nearest points per query and block of the pivots that it visits."""
-    visit_sizes = {
-        row["pivot"]: row["count"] for row in visits.groupBy("pivot").count().collect()
-    }
-    if not visit_sizes:
-        return placed.select("vector", F.lit(0.0).alias("distance"), "key", "y").limit(0)
+    visit_sizes = materialize(visits.groupBy("pivot").agg(F.count(F.lit(1)).alias("rows")))
     left = _other_blocks(
-        _blocks(visits, visit_sizes, ["vector"], "query_block"), point_sizes, "point_block"
+        _blocks(visits, visit_sizes, ["vector"], "query_block"), point_sizes, ["vector"], "point_block"
     )
+    points = placed.drop("radius")
     right = _other_blocks(
-        _blocks(placed.drop("radius"), point_sizes, ["key"], "point_block"), visit_sizes, "query_block"
+        _blocks(points, point_sizes, ["key"], "point_block"), visit_sizes, ["key"], "query_block"
     )
     block = ["pivot", "query_block", "point_block"]
     return (
@@ -200,15 +242,20 @@ def nearest_mean(
     # Pivots are spread by hash over the distinct vectors; the driver holds them all.
     wanted = int(np.clip(np.sqrt(points.count()), *PIVOTS))
     sample = points.select("vector").distinct().orderBy(F.xxhash64("vector"), "vector").limit(wanted)
-    pivots = np.array([row["vector"] for row in sample.collect()], dtype=float)
+    chosen = np.array([row["vector"] for row in sample.collect()], dtype=float)
+    context = training.sparkSession.sparkContext
+    pivots = context.broadcast(Pivots.of(chosen.reshape(len(chosen), len(features))))
     placed = materialize(_with_pivots(points, pivots))
-    facts = placed.groupBy("pivot").agg(
-        F.max("radius").alias("reach"), F.count(F.lit(1)).alias("rows")
-    ).collect()
-    reach = np.full(len(pivots), -np.inf)
-    for fact in facts:
-        reach[fact["pivot"]] = fact["reach"]
-    point_sizes = {fact["pivot"]: fact["rows"] for fact in facts}
+    point_sizes = materialize(
+        placed.groupBy("pivot").agg(
+            F.max("radius").alias("reach"), F.count(F.lit(1)).alias("rows")
+        )
+    )
+    # A pivot without points reaches nothing.
+    far = np.full(len(chosen), -np.inf)
+    for fact in point_sizes.collect():
+        far[fact["pivot"]] = fact["reach"]
+    reach = context.broadcast(far)
 
     at_home = materialize(_with_pivots(distinct, pivots).drop("radius"))
     first = materialize(
