@@ -36,6 +36,7 @@ from cohortlens.llm.words import (
     window_hashes,
     window_starts,
 )
+from cohortlens.operators.joins import key_filter
 from cohortlens.session import materialize
 
 WINDOW = 10
@@ -216,7 +217,7 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) ->
     the end exclusive) and ``item_ids`` (as sorted strings).
 
     The result has one row per document. A benchmark of several blocks takes one scan of
-    the documents each.
+    the documents each, which gives the hits alone, and one that adds them to the rows.
     """
     spark = docs.sparkSession
     row = F.struct(*[F.col(f"`{name}`") for name in docs.columns])
@@ -231,29 +232,39 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) ->
         known = Passages([item[0] for item in items], [item[1] for item in items], size)
         keyed = docs.select(row.alias("row"), text)
         return keyed.mapInArrow(_hits(spark.sparkContext.broadcast(known)), schema)
-    # Rows are told apart by content, and equal rows counted, so blocks can be united by key.
-    keyed = docs.select(row.alias("row"), text)
+    # Hits hang on the text alone: they travel under its digest, and no text with them.
+    digest = F.unhex(F.sha2(text, 256)).alias("digest")
+    told = T.StructType([T.StructField("digest", T.BinaryType()), *schema[1:]])
     parts = []
     for block in blocks:
         items = block.select("item_id", "text").collect()
         known = Passages([item[0] for item in items], [item[1] for item in items], size)
-        parts.append(keyed.mapInArrow(_hits(spark.sparkContext.broadcast(known)), schema))
-    rows = F.count(F.lit(1)) / F.lit(len(parts))
-    joined = (
+        scanned = docs.select(digest, text).mapInArrow(_hits(spark.sparkContext.broadcast(known)), told)
+        parts.append(scanned.where(F.size("hits") > 0))
+    united = (
         reduce(DataFrame.unionAll, parts)
-        .groupBy("row", "n_words")
+        .groupBy("digest")
         .agg(
-            rows.cast("int").alias("_rows"),
             F.flatten(F.collect_set("hits")).alias("_hits"),
-            F.sort_array(F.array_distinct(F.flatten(F.collect_set("item_ids")))).alias("item_ids"),
+            F.sort_array(F.array_distinct(F.flatten(F.collect_set("item_ids")))).alias("_items"),
         )
     )
-    merged = joined.select(
-        "row", "n_words", _union_runs("_hits").alias("hits"), "item_ids", "_rows"
+    found = materialize(united.select("digest", _union_runs("_hits").alias("_hits"), "_items"))
+    nothing = spark.sparkContext.broadcast(Passages([], [], size))
+    counted = docs.select(row.alias("row"), digest, text).mapInArrow(
+        _hits(nothing), T.StructType([schema[0], told[0], *schema[1:]])
     )
-    return merged.withColumn(
-        "_rows", F.explode(F.sequence(F.lit(1), "_rows"))
-    ).drop("_rows")
+    columns = ["row", "n_words", "hits", "item_ids"]
+    # Only rows that can have hits meet them; the others are not moved.
+    able = key_filter(found, ["digest"])
+    asked = counted if able is None else counted.where(able)
+    joined = asked.join(found, "digest", "left").select(
+        "row",
+        "n_words",
+        F.coalesce("_hits", "hits").alias("hits"),
+        F.coalesce("_items", "item_ids").alias("item_ids"),
+    )
+    return joined if able is None else joined.unionByName(counted.where(~able).select(*columns))
 
 
 def _union_runs(column: str):
