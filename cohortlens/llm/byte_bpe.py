@@ -44,11 +44,11 @@ GONE = -1
 WALL = -2
 NONE = np.iinfo(np.int32).max
 #: Pieces of text after which a worker's memory is emptied, and the longest that it keeps.
-MEMORY_ENTRIES = 600_000
+MEMORY_ENTRIES = 400_000
 MEMORY_LONGEST = 64
 #: Text of a batch, and pre-tokens of one linked list, in bytes.
-BATCH_BYTES = 4 << 20
-LIST_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
+LIST_BYTES = 2 << 20
 
 
 class RankQueue:
