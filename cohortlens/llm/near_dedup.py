@@ -15,11 +15,13 @@ Work stays in proportion to the documents:
 * a bucket (equal registers in a band) never makes all its pairs. First all its members
   are tested against one pivot, and verified links join most of a group of copies;
 * a bucket whose members are in one group by then is done. The others form cells with
-  the buckets that share members. There the members outside a cell's largest group are
-  compared with all, in blocks of bounded size, each of which gives only the links that
-  join its groups. So every two members of a bucket are either joined or compared;
-* a pair with a pivot is first estimated by the likelihood of its register comparisons
-  given both set sizes, and verified on the full sets unless that is far too low.
+  the buckets that share members. There a pair of two groups is compared if it shares one
+  of the rarest shingles of both sets, at a place that leaves room for enough common ones.
+  Sets at the limit always do, whatever the order of rarity, so no link is lost; and sets
+  that share a template only, with too much text of their own, never meet. A cell's largest
+  group is not compared with itself;
+* every pair is first estimated by the likelihood of its register comparisons given both
+  set sizes, and verified on the full sets unless that is far too low.
 
 A null or empty text has an empty set and is linked with nothing. Fewer words than a
 shingle make one shorter shingle. Rows with equal doc_id are one document: their sets
@@ -62,10 +64,10 @@ REGISTERS = BANDS * BAND_REGISTERS
 GRID = 1.001
 #: Pairs with a lower estimate are not verified: over six deviations below the limit.
 LEAST_ESTIMATE = 0.62
-#: Members of a block that are compared with those of another.
-BLOCK = 512
-#: Shingles with more holders in two blocks are compared as columns of a matrix, so many at once.
-FEW_HOLDERS, MATRIX_COLUMNS = 32, 8192
+#: Sets whose rarest shingles are picked at once.
+SETS = 64
+#: Counters that say which shingles are rare: a MB of levels, sent to every task.
+COUNTERS, COUNTERS_PER_ROW = 1 << 20, 1 << 14
 LINK = "a long, b long"
 #: Rows of a link or label table that one file holds.
 ROWS_PER_FILE = 500_000
@@ -383,10 +385,7 @@ def _links(named: DataFrame, buckets: DataFrame) -> DataFrame:
         .select("a", F.col("doc").alias("b"))
         .distinct()
     )
-    for side in "ab":
-        own = [F.col(name).alias(f"{name}_{side}") for name in ("registers", "shingles")]
-        both = both.join(sets.select(F.col("doc").alias(side), *own), side)
-    found = materialize(both.mapInArrow(_verified, LINK))
+    found = materialize(_compare(both, sets))
     group = components(found)
     grouped = buckets.join(group, "doc", "left").select(
         "bucket", "doc", F.coalesce("component", "doc").alias("component")
@@ -398,123 +397,152 @@ def _links(named: DataFrame, buckets: DataFrame) -> DataFrame:
     rest = materialize(grouped.join(mixed, "bucket", "left_semi"))
     if rest.isEmpty():
         return found
-    return materialize(found.union(_links_across(rest, sets)))
+    pairs = materialize(_candidates(rest, sets))
+    return materialize(found.union(_compare(pairs, sets)))
+
+
+def _compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sets pass the estimate and are verified."""
+    for side in "ab":
+        own = [F.col(name).alias(f"{name}_{side}") for name in ("registers", "shingles")]
+        pairs = pairs.join(sets.select(F.col("doc").alias(side), *own), side)
+    return pairs.mapInArrow(_verified, LINK)
+
+
+def _slots(hashes: np.ndarray) -> np.ndarray:
+    return (mix(hashes) % np.uint64(COUNTERS)).astype(np.int64)
+
+
+def _slot_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts = np.zeros(COUNTERS, np.int64)
+    for batch in batches:
+        for data in batch.column("shingles").to_pylist():
+            np.add.at(counts, _slots(_unpack_set(data)), 1)
+    slots = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_pydict(
+        {"slot": pa.array(slots), "n": pa.array(counts[slots])}
+    )
+
 
+def _slot_levels(table: pa.Table) -> pa.Table:
+    """The bit lengths of the counters of one row, one byte each."""
+    slots, counts = table.column("slot").to_numpy(), table.column("n").to_numpy()
+    levels = np.zeros(COUNTERS_PER_ROW, np.uint8)
+    levels[slots % COUNTERS_PER_ROW] = np.frexp(counts.astype(np.float64))[1]
+    row = int(slots[0]) // COUNTERS_PER_ROW
+    return pa.table({"row": pa.array([row], pa.int64()), "levels": [levels.tobytes()]})
 
-def _links_across(rest: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links between members of different groups, in cells of buckets that share members.
 
-    In each cell all but the largest group's members are compared with all members, block
-    by block, on their full sets. Blocks hold few members and give at most one link for
-    each of them, however many pairs they look at.
+def _rarity(held: DataFrame) -> bytes:
+    """How common the shingles of each counter are, on a logarithmic scale.
+
+    The counters' number is fixed. Shingles that share one seem more common than they are,
+    which changes what is compared first, never what is found.
+    """
+    counts = held.select("shingles").mapInArrow(_slot_counts, "slot long, n long")
+    counts = counts.groupBy("slot").agg(F.sum("n").alias("n"))
+    rows = counts.groupBy(F.expr(f"slot div {COUNTERS_PER_ROW}")).applyInArrow(
+        _slot_levels, "row long, levels binary"
+    )
+    levels = np.zeros((COUNTERS // COUNTERS_PER_ROW, COUNTERS_PER_ROW), np.uint8)
+    for row in rows.collect():
+        levels[row["row"]] = np.frombuffer(row["levels"], np.uint8)
+    return levels.tobytes()
+
+
+def _asked(size: int) -> int:
+    """Rarest shingles of which a set shares one with any smaller one that it is linked to."""
+    return size - -(-SIMILAR_PERCENT * size // 100) + 1
+
+
+def _offered(size: int) -> int:
+    """Rarest shingles of which a set shares one with any larger one that it is linked to."""
+    return size - -(-2 * SIMILAR_PERCENT * size // (100 + SIMILAR_PERCENT)) + 1
+
+
+def _rarest(rarity: bytes):
+    """Rows of each set's rarest shingles: place in the order of rarity, and if it is offered."""
+    columns = ("cell", "doc", "component", "home")
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        levels = np.frombuffer(rarity, np.uint8)
+        for whole in batches:
+            for low in range(0, whole.num_rows, SETS):
+                batch = whole.slice(low, SETS)
+                sets = [_unpack_set(data) for data in batch.column("shingles").to_pylist()]
+                order = [np.lexsort((one, levels[_slots(one)]))[: _asked(len(one))] for one in sets]
+                counts = np.array([len(one) for one in order], np.int64)
+                sizes = np.array([len(one) for one in sets], np.int64)
+                offered = np.array([_offered(len(one)) for one in sets], np.int64)
+                row = np.repeat(np.arange(len(sets)), counts)
+                place = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
+                chosen = [one[rare] for one, rare in zip(sets, order, strict=True)]
+                shingles = np.concatenate([np.zeros(0, np.uint64), *chosen])
+                yield pa.RecordBatch.from_pydict(
+                    {name: batch.column(name).take(pa.array(row)) for name in columns}
+                    | {
+                        "shingle": pa.array(shingles.view(np.int64)),
+                        "size": pa.array(sizes[row]),
+                        "place": pa.array(place),
+                        "offered": pa.array(place < offered[row]),
+                    }
+                )
+
+    return rows
+
+
+def _candidates(rest: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) of a cell's members in different groups that can be similar enough.
+
+    Shingles are ordered by rarity. Of two linked sets the smaller holds one of its first
+    ``_offered`` among the first ``_asked`` of the larger; and after the first shingle that
+    they share, both have enough left to reach the limit.
     """
     low = rest.groupBy("bucket").agg(F.min("doc").alias("a"))
     stars = rest.join(low, "bucket").select("a", F.col("doc").alias("b"))
     cells = components(stars).withColumnRenamed("component", "cell")
     members = materialize(rest.select("doc", "component").distinct().join(cells, "doc"))
     groups = members.groupBy("cell", "component").agg(F.count(F.lit(1)).alias("n"))
-    cell = groups.groupBy("cell").agg(
-        F.max(F.struct("n", "component")).alias("_home"), F.sum("n").alias("_n")
+    homes = groups.groupBy("cell").agg(F.max(F.struct("n", "component"))["component"].alias("_home"))
+    held = members.join(homes, "cell").join(sets.select("doc", "shingles"), "doc").select(
+        "cell", "doc", "component", (F.col("component") == F.col("_home")).alias("home"), "shingles"
     )
-
-    def blocks(count):
-        return F.ceil(count / F.lit(BLOCK)).cast("int")
-
-    cell = cell.select(
-        "cell",
-        F.col("_home.component").alias("_home"),
-        blocks(F.col("_n")).alias("_all"),
-        blocks(F.col("_n") - F.col("_home.n")).alias("_others"),
+    rare = materialize(
+        held.mapInArrow(
+            _rarest(_rarity(held)),
+            "cell long, doc long, component long, home boolean, shingle long,"
+            " size long, place long, offered boolean",
+        )
     )
-    held = members.join(cell, "cell").join(sets.select("doc", "shingles"), "doc")
-    spread = F.xxhash64("doc")
-
-    def every(count: str):
-        return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
-
-    told = ["cell", "doc", "component", "shingles"]
-    others = held.where(F.col("component") != F.col("_home")).select(
-        *told,
-        F.lit(True).alias("asks"),
-        F.pmod(spread, F.col("_others")).cast("int").alias("row"),
-        every("_all").alias("column"),
+    # A shingle that only one group holds, or that no other group offers, gives no pair.
+    shared = rare.groupBy("cell", "shingle").agg(
+        F.min("component").alias("_low"), F.max("component").alias("_high"),
+        F.bool_or("offered").alias("_offered"),
     )
-    everyone = held.select(
-        *told,
-        F.lit(False).alias("asks"),
-        every("_others").alias("row"),
-        F.pmod(spread, F.col("_all")).cast("int").alias("column"),
+    shared = shared.where((F.col("_low") != F.col("_high")) & F.col("_offered"))
+    rare = materialize(rare.join(shared.select("cell", "shingle"), ["cell", "shingle"], "left_semi"))
+
+    def side(rows: DataFrame, name: str) -> DataFrame:
+        own = ("doc", "component", "size", "place")
+        return rows.select("cell", "shingle", *[F.col(one).alias(f"{one}_{name}") for one in own])
+
+    offers = rare.where("offered")
+    # Askers are the larger sets, equal sizes by doc_id; no home asks a home.
+    possible = F.expr(
+        f"""component_a != component_b
+        AND (size_b < size_a OR size_b = size_a AND doc_b < doc_a)
+        AND 100 * size_b >= {SIMILAR_PERCENT} * size_a
+        AND {100 + SIMILAR_PERCENT} * least(size_a - place_a, size_b - place_b)
+            >= {SIMILAR_PERCENT} * (size_a + size_b)"""
     )
-    both = others.unionByName(everyone)
-    return both.groupBy("cell", "row", "column").applyInArrow(_block_links, LINK)
-
 
-def _shared(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
-    """How many shingles each left set shares with each right one.
+    def met(asking: DataFrame, offering: DataFrame) -> DataFrame:
+        both = side(asking, "a").join(side(offering, "b"), ["cell", "shingle"])
+        return both.where(possible).select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b"))
 
-    Shingles that many sets hold go through a product of matrices, the others through the
-    pairs of their few holders.
-    """
-    sets = [*left, *right]
-    owner = np.repeat(np.arange(len(sets)), [len(one) for one in sets])
-    _, shingle = np.unique(np.concatenate(sets), return_inverse=True)
-    shared = np.zeros((len(left), len(right)), np.float32)
-    asks = owner < len(left)
-    count = len(shingle) and int(shingle.max()) + 1
-    lefts = np.bincount(shingle[asks], minlength=count)
-    rights = np.bincount(shingle[~asks], minlength=count)
-    many = (lefts > 0) & (rights > 0) & (lefts + rights > FEW_HOLDERS)
-    few = (lefts > 0) & (rights > 0) & ~many
-    place = np.cumsum(many) - 1
-    total = int(many.sum())
-    for low in range(0, total, MATRIX_COLUMNS):
-        chosen = many[shingle] & (place[shingle] >= low) & (place[shingle] < low + MATRIX_COLUMNS)
-        held = np.zeros((len(sets), min(MATRIX_COLUMNS, total - low)), np.float32)
-        held[owner[chosen], place[shingle[chosen]] - low] = 1
-        shared += held[: len(left)] @ held[len(left) :].T
-    # Each holder on the left meets the run of holders on the right.
-    chosen = few[shingle]
-    a, b = chosen & asks, chosen & ~asks
-    order = np.argsort(shingle[b], kind="stable")
-    b_shingle, b_owner = shingle[b][order], owner[b][order] - len(left)
-    begin = np.searchsorted(b_shingle, shingle[a], "left")
-    runs = np.searchsorted(b_shingle, shingle[a], "right") - begin
-    where = np.repeat(begin - (np.cumsum(runs) - runs), runs) + np.arange(int(runs.sum()))
-    pair = np.repeat(owner[a], runs) * len(right) + b_owner[where]
-    shared += np.bincount(pair, minlength=shared.size).reshape(shared.shape)
-    return shared.astype(np.int64)
-
-
-def _block_links(table: pa.Table) -> pa.Table:
-    """Links of one block's askers with its other members, just enough to join them."""
-    order = np.argsort(table.column("doc").to_numpy(), kind="stable")
-    table = table.take(pa.array(order))
-    asks = table.column("asks").to_numpy(zero_copy_only=False)
-    docs, group = table.column("doc").to_numpy(), table.column("component").to_numpy()
-    sets = [_unpack_set(data) for data in table.column("shingles").to_pylist()]
-    left, right = np.flatnonzero(asks), np.flatnonzero(~asks)
-    found: list[tuple[int, int]] = []
-    if len(left) and len(right):
-        shared = _shared([sets[i] for i in left], [sets[i] for i in right])
-        sizes = np.array([len(one) for one in sets])
-        union = sizes[left][:, None] + sizes[right][None, :] - shared
-        linked = (100 * shared >= SIMILAR_PERCENT * union) & (shared > 0)
-        linked &= group[left][:, None] != group[right][None, :]
-        parent = {int(one): int(one) for one in np.unique(group)}
-
-        def root(one: int) -> int:
-            while parent[one] != one:
-                parent[one] = parent[parent[one]]
-                one = parent[one]
-            return one
-
-        for a, b in zip(*np.nonzero(linked), strict=True):
-            one, two = root(int(group[left[a]])), root(int(group[right[b]]))
-            if one != two:
-                parent[max(one, two)] = min(one, two)
-                found.append((int(docs[left[a]]), int(docs[right[b]])))
-    columns = list(zip(*found, strict=True)) if found else [(), ()]
-    return pa.table({name: pa.array(column, pa.int64()) for name, column in zip("ab", columns)})
+    strangers = ~F.col("home")
+    pairs = met(rare.where(strangers), offers).union(met(rare.where("home"), offers.where(strangers)))
+    return pairs.distinct()
 
 
 def keep_first(docs: DataFrame) -> DataFrame:

@@ -167,6 +167,53 @@ def test_groups_are_joined_across_pivots(spark):
     assert {key: row[:3] for key, row in found.items()} == brute.near_groups(docs)
 
 
+def test_rarest_shingles_of_linked_sets_meet():
+    """Whatever the order, at the limit and just above it, and for the smallest sets."""
+    generator = np.random.default_rng(5)
+    checked = 0
+    for _ in range(4000):
+        size = int(generator.integers(1, 60))
+        common = generator.integers(-(-8 * size // 9), size + 1)
+        larger, smaller = int(generator.integers(common, size + 8)), int(common + generator.integers(0, 4))
+        larger, smaller = max(larger, smaller), min(larger, smaller)
+        if smaller < common or 100 * common < 80 * (larger + smaller - common):
+            continue
+        checked += 1
+        places = generator.permutation(larger + smaller - common)
+        a = np.sort(places[:larger]).tolist()
+        b = np.sort(np.concatenate([places[:common], places[larger:]])).tolist()
+        met = set(a[: near_dedup._asked(larger)]) & set(b[: near_dedup._offered(smaller)])
+        assert any(
+            180 * min(larger - a.index(one), smaller - b.index(one)) >= 80 * (larger + smaller)
+            for one in met
+        )
+    assert checked > 500
+
+
+def test_a_common_template_is_not_compared_in_pairs(spark, monkeypatch):
+    """Documents of one template, alike at 0.5 to 0.79: few pairs are looked at, no link is lost."""
+    generator = random.Random(3)
+    template = [generator.choice(cases.VOCABULARY) + str(n) for n in range(200)]
+    docs = []
+    for number in range(150):
+        own = [f"own{number}x{k}" for k in range(generator.choice((25, 30, 40, 70)))]
+        docs.append((number, " ".join(template + own)))
+        if number % 10 == 0:
+            docs.append((1000 + number, " ".join(template + own[:-2])))
+    looked_at = []
+    candidates = near_dedup._candidates
+
+    def counted(rest, sets):
+        pairs = candidates(rest, sets)
+        looked_at.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(near_dedup, "_candidates", counted)
+    found = cases.results(near_dedup.near_groups(cases.frame(spark, docs)))
+    assert {key: row[:3] for key, row in found.items()} == brute.near_groups(docs)
+    assert looked_at and sum(looked_at) <= 3 * len(docs)
+
+
 def test_near_groups_of_odd_ids(spark):
     text = cases.sentence(random.Random(1), 50)
     docs = [(3, text), (3, text), (None, text), (None, text), (9, text + " end"), (4, "alone here")]
