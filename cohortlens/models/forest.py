@@ -30,16 +30,13 @@ from cohortlens.session import materialize
 LOCAL_ROWS = 500_000
 #: Cuts per feature and nodes per pass of the upper levels: a task holds their histograms.
 UPPER_CUTS, PASS_NODES = 256, 1000
-#: Numbers that a split sorts at once; columns of larger nodes are taken one by one.
+#: Counters that a split of a level takes for a feature at most; beyond them values are sorted.
 SORTED_AT_ONCE = 1 << 20
 #: Draws of a row above which the Poisson table ends.
 MOST_DRAWS = 16
 TRAINING, TEST = 0, 1
 
-PACKED = (
-    "tree int, node long, chunk long, part int, ids binary, lots binary, labels binary, "
-    "features binary, weights binary"
-)
+PACKED = "tree int, node long, chunk long, part int, ids binary, labels binary, features binary, weights binary"
 GROWN = "id long, feature int, tree int, {values}"
 
 
@@ -127,101 +124,188 @@ def _value(shape: Shape, weight: float, sums: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Subtree:
-    """Flat arrays; ``feature`` is -1 in a leaf."""
+    """Flat arrays, level by level; ``feature`` is -1 in a leaf."""
 
-    feature: list[int]
-    cut: list[float]
-    left: list[int]
-    right: list[int]
-    value: list[np.ndarray]
+    feature: np.ndarray
+    cut: np.ndarray
+    left: np.ndarray
+    right: np.ndarray
+    value: np.ndarray
     gains: np.ndarray
 
     def predict(self, x: np.ndarray) -> np.ndarray:
-        feature, cut = np.array(self.feature), np.array(self.cut)
-        left, right, value = np.array(self.left), np.array(self.right), np.array(self.value)
         at = np.zeros(len(x), np.int64)
-        open_rows = np.flatnonzero(feature[at] >= 0)
+        open_rows = np.flatnonzero(self.feature[at] >= 0)
         while len(open_rows):
             node = at[open_rows]
-            low = x[open_rows, feature[node]] <= cut[node]
-            at[open_rows] = np.where(low, left[node], right[node])
-            open_rows = open_rows[feature[at[open_rows]] >= 0]
-        return value[at]
-
-
-def _exact_split(shape: Shape, x: np.ndarray, target: np.ndarray, weight: np.ndarray, total, whole):
-    """The best feature and cut of the given columns: (gain, column, cut), column -1 without any."""
-    if x.size > SORTED_AT_ONCE and x.shape[1] > 1:
-        found = [
-            _exact_split(shape, x[:, column : column + 1], target, weight, total, whole)
-            for column in range(x.shape[1])
-        ]
-        able = [(gain, -column, cut) for column, (gain, split, cut) in enumerate(found) if split >= 0]
-        gain, column, cut = max(able, default=(0.0, 1, 0.0))
-        return gain, -column, cut
-    order = np.argsort(x, axis=0, kind="stable")
-    ordered = np.take_along_axis(x, order, axis=0)
-    gaps = ordered[1:] > ordered[:-1]
-    if not gaps.any():
-        return 0.0, -1, 0.0
-    left = np.cumsum((target * weight[:, None])[order], axis=0)[:-1]
-    held = np.cumsum(weight[order], axis=0)[:-1]
-    after = _loss(shape, held, left) + _loss(shape, total - held, whole - left)
-    gain = np.where(gaps, _loss(shape, np.float64(total), whole) - after, -np.inf)
-    place, column = np.unravel_index(np.argmax(gain), gain.shape)
-    low, high = ordered[place, column], ordered[place + 1, column]
-    middle = low + (high - low) / 2
-    return float(gain[place, column]), int(column), float(middle if middle < high else low)
+            low = x[open_rows, self.feature[node]] <= self.cut[node]
+            at[open_rows] = np.where(low, self.left[node], self.right[node])
+            open_rows = open_rows[self.feature[at[open_rows]] >= 0]
+        return self.value[at]
+
+
+def _firsts(sorted_keys: np.ndarray) -> np.ndarray:
+    """The place where each run of equal keys begins."""
+    return np.flatnonzero(np.concatenate([[True], sorted_keys[1:] != sorted_keys[:-1]]))
+
+
+def _by_value(shape: Shape, key: np.ndarray, cells: int, weight: np.ndarray, target: np.ndarray):
+    """Weight and target sums of each key that occurs, keys ascending: by counters where these
+    are few, else by sorting."""
+    width = shape.classes or 1
+    if cells <= min(4 * len(key), SORTED_AT_ONCE):
+        held = np.bincount(key, weight, cells)
+        found = np.flatnonzero(held)
+        if shape.classes:
+            sums = np.bincount(key * width + target, weight, cells * width)
+        else:
+            sums = np.bincount(key, weight * target, cells)
+        return found, held[found], sums.reshape(-1, width)[found]
+    order = np.argsort(key)
+    key, weight, target = key[order], weight[order], target[order]
+    begins = _firsts(key)
+    held = np.add.reduceat(weight, begins)
+    if shape.classes:
+        run = np.repeat(np.arange(len(begins)), np.diff(begins, append=len(key)))
+        sums = np.bincount(run * width + target, weight, len(begins) * width)
+    else:
+        sums = np.add.reduceat(weight * target, begins)
+    return key[begins], held, sums.reshape(-1, width)
+
+
+def _cut_gains(shape: Shape, weight: np.ndarray, sums: np.ndarray, held: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """What cuts with ``held`` and ``left`` on their left take from the loss of their nodes."""
+    rest = weight - held
+    if shape.classes:
+        squares = [np.sum(part * part, axis=1) for part in (left, sums - left, sums)]
+        return squares[0] / held + squares[1] / rest - squares[2] / weight
+    # Values are distances from their node's mean.
+    return left[:, 0] ** 2 * weight / (held * rest)
+
+
+@dataclass
+class _Best:
+    """The best split of each node so far; ``place`` settles ties between features."""
+
+    gain: np.ndarray
+    place: np.ndarray
+    feature: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+
+    @classmethod
+    def none(cls, nodes: int) -> _Best:
+        ends = [np.zeros(nodes, np.int64) for _ in range(2)]
+        return cls(np.full(nodes, -np.inf), np.full(nodes, np.inf), np.full(nodes, -1), *ends)
+
+    def take(self, node, gain, place, feature, low, high) -> None:
+        better = (gain > self.gain[node]) | ((gain == self.gain[node]) & (place < self.place[node]))
+        node = node[better]
+        self.gain[node], self.place[node], self.feature[node] = gain[better], place[better], feature
+        self.low[node], self.high[node] = low[better], high[better]
+
+
+def _level_splits(shape: Shape, codes, widths, at, weight, target, totals, sums, generator) -> _Best:
+    """The best split of every node of a level over a random subset of features each; over the
+    others where none of the subset splits."""
+    nodes, best = len(totals), _Best.none(len(totals))
+    if shape.subset >= shape.features:
+        place = np.broadcast_to(np.arange(shape.features, dtype=float), (nodes, shape.features))
+        turns = [np.ones((nodes, shape.features), bool)]
+    else:
+        place = generator.random((nodes, shape.features))
+        last = np.partition(place, shape.subset - 1, axis=1)[:, shape.subset - 1 : shape.subset]
+        turns = [place <= last, place > last]
+    for turn in turns:
+        waiting = best.feature < 0
+        for feature in range(shape.features):
+            wanted = turn[:, feature] & waiting
+            if not wanted.any():
+                continue
+            here = slice(None) if wanted.all() else np.flatnonzero(wanted[at])
+            width = widths[feature]
+            key = at[here] * width + codes[feature, here]
+            found, held, part = _by_value(shape, key, nodes * width, weight[here], target[here])
+            node, code = np.divmod(found, width)
+            gaps = np.flatnonzero(node[1:] == node[:-1])
+            if not len(gaps):
+                continue
+            # Sums from a node's first value on; up to a gap they are its left side.
+            begins = _firsts(node)
+            run = np.repeat(np.arange(len(begins)), np.diff(begins, append=len(node)))
+            above, left = np.cumsum(held), np.cumsum(part, axis=0)
+            above -= (above[begins] - held[begins])[run]
+            left -= (left[begins] - part[begins])[run]
+            owner = node[gaps]
+            gain = _cut_gains(shape, totals[owner], sums[owner], above[gaps], left[gaps])
+            begins = _firsts(owner)
+            top = np.maximum.reduceat(gain, begins)
+            reached = np.flatnonzero(gain == np.repeat(top, np.diff(begins, append=len(owner))))
+            reached = reached[_firsts(owner[reached])]
+            chosen, cut = owner[reached], gaps[reached]
+            best.take(chosen, gain[reached], place[chosen, feature], feature, code[cut], code[cut + 1])
+    return best
 
 
 def grow_subtree(
     shape: Shape, x: np.ndarray, labels: np.ndarray, weight: np.ndarray, depth: int, key: Sequence[int]
 ) -> Subtree:
-    """Grow to pure leaves or ``depth`` levels; ``key`` seeds the choice of features."""
+    """Grow to pure leaves or ``depth`` levels; ``key`` seeds the choice of features.
+
+    All nodes of a level are split together, on the places of exact values in their order, so
+    the work goes with rows and levels and not with nodes.
+    """
     generator = np.random.default_rng([shape.seed, *key])
-    target = shape.targets(labels)
-    if not shape.classes:
-        # Squares lose their digits where values lie far from zero.
-        base = float(np.average(labels, weights=weight))
-        target = shape.targets(labels - base)
-    tree = Subtree([], [], [], [], [], np.zeros(shape.features))
-    waiting = [(np.arange(len(x)), depth, -1, False)]
-    while waiting:
-        rows, levels, parent, is_right = waiting.pop()
-        node = len(tree.feature)
-        if parent >= 0:
-            (tree.right if is_right else tree.left)[parent] = node
-        own_weight, own = weight[rows], target[rows]
-        total, whole = own_weight.sum(), (own * own_weight[:, None]).sum(axis=0)
-        value = _value(shape, total, whole)
-        tree.value.append(value if shape.classes else value + base)
-        tree.left.append(0)
-        tree.right.append(0)
-        tree.feature.append(-1)
-        tree.cut.append(0.0)
-        impure = (own != own[0]).any() if len(rows) > 1 else False
-        if not levels or not impure:
-            continue
-        gain, feature, cut = _node_split(shape, x[rows], own, own_weight, total, whole, generator)
-        if feature < 0:
-            continue
-        tree.feature[node], tree.cut[node] = feature, cut
-        tree.gains[feature] += max(gain, 0.0)
-        low = x[rows, feature] <= cut
-        waiting += [(rows[~low], levels - 1, node, True), (rows[low], levels - 1, node, False)]
-    return tree
-
-
-def _node_split(shape, x, target, weight, total, whole, generator):
-    """The best split over a random subset of features; the others if none of them splits."""
-    if shape.subset >= shape.features:
-        return _exact_split(shape, x, target, weight, total, whole)
-    shuffled = generator.permutation(shape.features)
-    for tried in (shuffled[: shape.subset], shuffled[shape.subset :]):
-        gain, column, cut = _exact_split(shape, x[:, tried], target, weight, total, whole)
-        if column >= 0:
-            return gain, int(tried[column]), cut
-    return 0.0, -1, 0.0
+    values, codes = zip(*[np.unique(column, return_inverse=True) for column in x.T])
+    widths = [len(own) for own in values]
+    codes = np.array(codes).reshape(shape.features, -1)
+    # Values far from zero lose their digits in sums.
+    base = 0.0 if shape.classes else float(np.average(labels, weights=weight))
+    target = labels.astype(np.int64) if shape.classes else labels - base
+    at, count, nodes = np.zeros(len(x), np.int64), 1, 0
+    gains, levels = np.zeros(shape.features), []
+    for level in range(depth + 1):
+        totals = np.bincount(at, weight, count)
+        if shape.classes:
+            sums = np.bincount(at * shape.classes + target, weight, count * shape.classes)
+        else:
+            sums = np.bincount(at, weight * target, count)
+        sums = sums.reshape(count, -1)
+        mean = sums / totals[:, None]
+        first = np.zeros(count, target.dtype)
+        first[at] = target
+        impure = np.bincount(at[target != first[at]], minlength=count) > 0
+        feature, cut, child = np.full(count, -1), np.zeros(count), np.zeros(count, np.int64)
+        told = (feature, cut, child, mean if shape.classes else mean + base)
+        levels.append(told)
+        nodes += count
+        if level == depth or not impure.any():
+            break
+        number = np.cumsum(impure) - 1
+        rows = np.flatnonzero(impure[at])
+        at, weight, target, codes = number[at[rows]], weight[rows], target[rows], codes[:, rows]
+        centred = target if shape.classes else target - mean[impure, 0][at]
+        whole = sums[impure] if shape.classes else np.zeros((int(impure.sum()), 1))
+        best = _level_splits(shape, codes, widths, at, weight, centred, totals[impure], whole, generator)
+        able = best.feature >= 0
+        if not able.any():
+            break
+        split = np.flatnonzero(impure)[able]
+        feature[split] = best.feature[able]
+        for own in np.unique(feature[split]):
+            picked = np.flatnonzero(able & (best.feature == own))
+            low, high = values[own][best.low[picked]], values[own][best.high[picked]]
+            middle = low + (high - low) / 2
+            # Between neighbours in floating point the middle is one of them: cut at the lower.
+            cut[np.flatnonzero(impure)[picked]] = np.where(middle < high, middle, low)
+        gains += np.bincount(best.feature[able], np.maximum(best.gain[able], 0.0), shape.features)
+        child[split] = nodes + 2 * np.arange(len(split))
+        rows = np.flatnonzero(able[at])
+        at, weight, target, codes = at[rows], weight[rows], target[rows], codes[:, rows]
+        right = codes[best.feature[at], np.arange(len(at))] > best.low[at]
+        at, count = 2 * (np.cumsum(able) - 1)[at] + right, 2 * len(split)
+    feature, cut, left, value = (np.concatenate(parts) for parts in zip(*levels))
+    return Subtree(feature, cut, left, left + 1, value, gains)
 
 
 # --- upper levels ------------------------------------------------------------------------
@@ -394,17 +478,36 @@ def _feature_cuts(rows: DataFrame, shape: Shape) -> list[np.ndarray]:
 # --- subtrees ------------------------------------------------------------------------------
 
 
+def _narrowed(values: np.ndarray) -> np.ndarray:
+    """The values in the smallest type that holds them exactly."""
+    for kind in "bhif":
+        with np.errstate(invalid="ignore", over="ignore"):
+            small = values.astype(kind)
+        if np.array_equal(small, values):
+            return small
+    return values
+
+
+def _bytes(values: np.ndarray) -> bytes:
+    """The letter of the type and the values."""
+    return values.dtype.char.encode() + values.tobytes()
+
+
 def _packer(shape: Shape, upper: Upper):
-    """The rows of a batch, packed once per tree and node."""
+    """The rows of a batch, packed once per tree and node: training rows under their lot, test
+    rows under their id and with their features only."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             ids, lots, labels, x, part = _batch(batch, shape)
+            names = np.where(part == TEST, ids, lots)
+            narrow, told = _narrowed(x), _narrowed(labels)
             for tree in range(shape.trees):
                 at = _place(x, upper[tree])
                 weight = np.where(part == TEST, 1.0, _weights(shape, lots, tree))
+                drawn = weight.astype(np.int8)
                 key = np.where(weight > 0, 2 * at + part, -1)
                 order = np.argsort(key, kind="stable")
                 found, begins = np.unique(key[order], return_index=True)
@@ -416,10 +519,11 @@ def _packer(shape: Shape, upper: Upper):
                         continue
                     # Test rows in a leaf of the upper levels need not come together.
                     chunk = 0 if split is None else int(ids[here[0]])
+                    known = here if kind == TRAINING else here[:0]
                     rows.append(
                         (
-                            tree, node, chunk, kind, ids[here].tobytes(), lots[here].tobytes(),
-                            labels[here].tobytes(), x[here].tobytes(), weight[here].tobytes(),
+                            tree, node, chunk, kind, _bytes(names[here]), _bytes(told[known]),
+                            _bytes(narrow[here]), _bytes(drawn[known]),
                         )
                     )
                 yield _table(rows, PACKED)
@@ -429,42 +533,55 @@ def _packer(shape: Shape, upper: Upper):
 
 def _grower(shape: Shape, upper: Upper, values: str):
     """Grow a node's subtree and score its test rows; last a row per feature with its gain."""
-    ddl = GROWN.format(values=values)
+    kinds = [pa.int64(), pa.int32(), pa.int32(), *[pa.float64()] * shape.width]
+    fields = [part.split()[0] for part in GROWN.format(values=values).split(", ")]
 
     def run(table: pa.Table) -> pa.Table:
         tree, node = table.column("tree")[0].as_py(), table.column("node")[0].as_py()
         part = table.column("part").to_numpy()
 
-        def column(name: str, kind: int, dtype) -> np.ndarray:
+        def column(name: str, kind: int, dtype=np.float64) -> np.ndarray:
             held = table.column(name).to_pylist()
-            return np.frombuffer(b"".join(held[at] for at in np.flatnonzero(part == kind)), dtype)
+            packed = [held[at] for at in np.flatnonzero(part == kind)]
+            return np.concatenate(
+                [np.zeros(0, dtype), *[np.frombuffer(data, data[:1].decode(), offset=1) for data in packed]]
+            ).astype(dtype)
 
-        lots, tests = column("lots", TRAINING, np.int64), column("ids", TEST, np.int64)
-        tested = column("features", TEST, np.float64).reshape(-1, shape.features)
+        lots, tests = column("ids", TRAINING, np.int64), column("ids", TEST, np.int64)
+        tested = column("features", TEST).reshape(-1, shape.features)
         split = upper[tree].get(node)
+        gains, count = np.zeros(0), 0
         if split is not None:
-            told, gains, count = np.repeat(split.value[None, :], len(tests), axis=0), None, 0
+            told = np.repeat(split.value[None, :], len(tests), axis=0)
         elif not len(lots):
             # No row was drawn here, so the node above speaks.
             above = upper[tree].get(node // 2)
             value = above.value if above is not None else np.full(shape.width, np.nan)
-            told, gains, count = np.repeat(value[None, :], len(tests), axis=0), None, 0
+            told = np.repeat(value[None, :], len(tests), axis=0)
         else:
+            x = column("features", TRAINING).reshape(-1, shape.features)
+            labels, weight = column("labels", TRAINING), column("weights", TRAINING)
             # Batches arrive in any order; sums and choices follow the rows' own.
-            order = np.lexsort((column("ids", TRAINING, np.int64), lots))
-            x = column("features", TRAINING, np.float64).reshape(-1, shape.features)[order]
-            labels = column("labels", TRAINING, np.float64)[order]
-            weight = column("weights", TRAINING, np.float64)[order]
+            order = np.lexsort((labels, lots))
             depth = shape.depth - (node.bit_length() - 1)
-            grown = grow_subtree(shape, x, labels, weight, depth, (tree, node))
-            told = grown.predict(tested) if len(tests) else np.zeros((0, shape.width))
-            gains, count = grown.gains, len(grown.feature)
-        rows = [(one, None, tree, *value) for one, value in zip(tests.tolist(), told.tolist())]
-        if gains is not None:
-            empty = [None] * (shape.width - 1)
-            rows += [(None, place, tree, gain, *empty) for place, gain in enumerate(gains.tolist())]
-            rows.append((None, -1, tree, float(count), *empty))
-        return pa.Table.from_batches([_table(rows, ddl)])
+            grown = grow_subtree(shape, x[order], labels[order], weight[order], depth, (tree, node))
+            told = grown.predict(tested)
+            gains, count = np.append(grown.gains, len(grown.feature)), 1
+        # Scores are summed over the trees, gains kept apart by tree; the nodes are feature -1.
+        places = np.append(np.arange(shape.features), -1) if count else gains
+        empty = np.full((len(gains), shape.width - 1), np.nan)
+        numbers_told = np.vstack([told.reshape(-1, shape.width), np.hstack([gains[:, None], empty])])
+        scored = np.arange(len(tests) + len(gains)) < len(tests)
+        columns = [
+            (np.append(tests, np.zeros(len(gains), np.int64)), ~scored),
+            (np.append(np.zeros(len(tests), np.int64), places), scored),
+            (np.full(len(scored), tree), scored),
+            *[(own, None) for own in numbers_told.T],
+        ]
+        return pa.table(
+            [pa.array(own.astype(kind.to_pandas_dtype()), kind, mask=mask) for (own, mask), kind in zip(columns, kinds)],
+            names=fields,
+        )
 
     return run
 
@@ -472,7 +589,8 @@ def _grower(shape: Shape, upper: Upper, values: str):
 def fit_and_score(rows: DataFrame, shape: Shape) -> tuple[DataFrame, Forest]:
     """Scores of the test rows of ``(id, lot, part, label, features)``, and the forest's summary.
 
-    ``id`` tells rows apart; ``lot`` decides when a row is drawn. Gives ``id`` and ``scores``, the mean over the trees: a value, or a share per class.
+    ``id`` tells rows apart; ``lot`` decides when a row is drawn and orders the training rows. Gives
+    ``id`` and ``scores``, the mean over the trees: a value, or a share per class.
     Importances are those of the trees, each with sum 1, averaged.
     """
     upper, above = _grow_upper(rows, shape)
@@ -482,13 +600,13 @@ def fit_and_score(rows: DataFrame, shape: Shape) -> tuple[DataFrame, Forest]:
         rows.mapInArrow(_packer(shape, upper), PACKED)
         .groupBy("tree", "node", "chunk")
         .applyInArrow(_grower(shape, upper, values), GROWN.format(values=values))
+        .groupBy("id", "tree", "feature")
+        .agg(*[F.sum(name).alias(name) for name in names])
     )
-    scores = (
-        grown.where(F.col("id").isNotNull())
-        .groupBy("id")
-        .agg(F.array(*[F.sum(name) / F.lit(float(shape.trees)) for name in names]).alias("scores"))
+    scores = grown.where(F.col("id").isNotNull()).select(
+        "id", F.array(*[F.col(name) / F.lit(float(shape.trees)) for name in names]).alias("scores")
     )
-    told = grown.where(F.col("id").isNull()).groupBy("tree", "feature").agg(F.sum("v0").alias("sum"))
+    told = grown.where(F.col("id").isNull()).select("tree", "feature", F.col("v0").alias("sum"))
     gains, nodes = above, sum(len(own) for own in upper.values())
     for row in told.collect():
         if row["feature"] < 0:

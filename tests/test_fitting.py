@@ -237,3 +237,15 @@ def test_no_task_carries_the_trees(spark):
     assert {"id", "lot", *KEYS} <= set(training.columns)
     scored, fitted = legacy._grown(training, test, legacy.Growth(trees=5).forest(len(features), 4))
     assert scored.count() == test.count() and fitted.nodes > 5
+
+
+def test_subtrees_split_all_nodes_of_a_level_together(monkeypatch):
+    rng = np.random.default_rng(4)
+    x, y = rng.integers(0, 50, size=(5_000, 4)).astype(float), rng.integers(0, 4, 5_000).astype(float)
+    calls, split = [], forest._level_splits
+    monkeypatch.setattr(forest, "_level_splits", lambda *args: calls.append(1) or split(*args))
+    grown = forest.grow_subtree(forest.Shape(1, 90, 4, 4, 2, 1), x, y, np.ones(5_000), 90, (0, 1))
+    assert len(grown.feature) > 3_000 and len(calls) <= 90
+    distinct, first, counts = np.unique(x, axis=0, return_index=True, return_counts=True)
+    alone = first[counts == 1]
+    assert np.argmax(grown.predict(x[alone]), axis=1).tolist() == y[alone].tolist()
