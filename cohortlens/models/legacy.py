@@ -2,7 +2,7 @@
 
 Kept for comparison with the risk champion; nothing is published from here. Linear models come
 from sums over the rows and are scored by expressions; forests grow and score where their rows
-are (``forest``); boosting is Spark's.
+are (``forest``); boosted trees of all classes are fitted together (``boosting``).
 """
 
 from __future__ import annotations
@@ -13,7 +13,6 @@ from functools import reduce
 from typing import Any
 
 import numpy as np
-from pyspark.ml.classification import GBTClassifier, OneVsRest
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -28,7 +27,7 @@ from cohortlens.contract import (
     TIER_CODES,
     TOP_IMPORTANCES_LEGACY,
 )
-from cohortlens.models import forest, neighbors
+from cohortlens.models import boosting, forest, neighbors
 from cohortlens.models.preparation import ALL_ROWS
 from cohortlens.models.together import VectorBase, Weights, fit_least_squares, fit_logistic
 from cohortlens.operators import metrics, prep, split
@@ -66,10 +65,7 @@ class Growth:
         return forest.Shape(self.trees, self.depth, features, classes, subset, SEED)
 
     def boost(self) -> dict[str, Any]:
-        return {
-            "maxIter": self.trees, "maxDepth": self.boost_depth, "stepSize": 0.1,
-            "maxBins": self.bins, "seed": SEED,
-        }
+        return {"rounds": self.trees, "depth": self.boost_depth, "step": 0.1, "bins": self.bins}
 
 
 FULL = Growth()
@@ -197,16 +193,16 @@ def binary_models(
     training, test, features = _parts(mart, "passed", levels)
     linear = _logistic(training, features)
     grown, trees = _grown(training, test, growth.forest(len(features), 2))
-    boosted = GBTClassifier(**growth.boost()).fit(training)
+    boosted = boosting.fit_boosted(_arrays(training), features, 1, **growth.boost())
     models = {"LogisticRegression": linear, "RandomForest": trees, "GradientBoosting": boosted}
-    p = 1 / (1 + F.exp(-linear.margin(F.col("features"))))
+    p, margin = 1 / (1 + F.exp(-linear.margin(F.col("features")))), F.col("margins")[0]
     scored = _together(
         [
             _told("binary", "LogisticRegression", _arrays(test).withColumn("p", p),
                   (F.col("p") > 0.5).cast("double"), F.col("p")),
             _told("binary", "RandomForest", grown, _most_likely(F.col("scores")), F.col("scores")[1]),
-            _told("binary", "GradientBoosting", boosted.transform(test), F.col("prediction"),
-                  vector_to_array("probability")[1]),
+            _told("binary", "GradientBoosting", boosted.score(_arrays(test), [*KEYS, "label"]),
+                  (margin > 0).cast("double"), boosting.probability(margin)),
         ]
     )
     by = ["type", "model"]
@@ -230,13 +226,15 @@ def ordinal_models(
     classes = len(TIER_CODES)
     alone, tree = _grown(training, test, growth.single(len(features), classes))
     grown, trees = _grown(training, test, growth.forest(len(features), classes))
-    boosted = OneVsRest(classifier=GBTClassifier(**growth.boost()), parallelism=4).fit(training)
-    models = {"DecisionTree": tree, "RandomForest": trees, "GradientBoosting": boosted}
+    boosted = boosting.fit_boosted(_arrays(training), features, classes, **growth.boost())
+    # One against the rest: the importances of several models are not shown.
+    models = {"DecisionTree": tree, "RandomForest": trees}
+    margins = boosted.score(_arrays(test), [*KEYS, "label"])
     scored = _together(
         [
             _told("ordinal", "DecisionTree", alone, _most_likely(F.col("scores"))),
             _told("ordinal", "RandomForest", grown, _most_likely(F.col("scores"))),
-            _told("ordinal", "GradientBoosting", boosted.transform(test), F.col("prediction")),
+            _told("ordinal", "GradientBoosting", margins, _most_likely(F.col("margins"))),
         ]
     )
     by = ["type", "model"]
@@ -244,7 +242,8 @@ def ordinal_models(
         metrics.value_scores(scored, "y_test", "y_pred", by), by
     )
     cells = metrics.confusion(scored, "y_test", "y_pred", by)
-    return ModelRun(scored, table, _weights(models, features, "ordinal", mart), cells, models)
+    weights = _weights(models, features, "ordinal", mart)
+    return ModelRun(scored, table, weights, cells, models | {"GradientBoosting": boosted})
 
 
 def regression_models(

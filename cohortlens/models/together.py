@@ -331,31 +331,38 @@ class Cuts:
         return np.searchsorted(self.cuts[feature], value, "left")
 
 
-def possible_cuts(rows: DataFrame, whole: Preparation) -> Cuts:
-    """Midpoints between neighbouring values where they are few, else quantiles."""
-    numeric = [F.col(name).cast("double").alias(name) for name in NUMERIC_FEATURES]
-    long = rows.select(*numeric).unpivot([], list(NUMERIC_FEATURES), "feature", "value")
+def value_cuts(rows: DataFrame, columns: Sequence[str], most: int) -> dict[str, np.ndarray]:
+    """Midpoints between a column's neighbouring values where these are at most ``most``, else
+    quantiles."""
+    numeric = [F.col(name).cast("double").alias(name) for name in columns]
+    long = rows.select(*numeric).unpivot([], list(columns), "feature", "value")
     counts = long.where(F.col("value").isNotNull()).groupBy("feature", "value").agg(
         F.count(F.lit(1)).alias("n")
     )
-    shares = [place / MOST_CUTS for place in range(1, MOST_CUTS)]
+    shares = [place / most for place in range(1, most)]
     # The values of a feature are gathered only up to the bound; the rest goes by quantiles.
-    few = F.slice(F.array_sort(F.collect_set("value")), 1, MOST_CUTS + 1)
+    few = F.slice(F.array_sort(F.collect_set("value")), 1, most + 1)
     widths = {row["feature"]: row["count"] for row in counts.groupBy("feature").count().collect()}
-    cuts = {name: np.zeros(0) for name in NUMERIC_FEATURES}
-    narrow = [name for name in NUMERIC_FEATURES if widths.get(name, 0) <= MOST_CUTS]
+    cuts = {name: np.zeros(0) for name in columns}
+    narrow = [name for name in columns if widths.get(name, 0) <= most]
     held = counts.where(F.col("feature").isin(narrow)).groupBy("feature").agg(few.alias("values"))
     for row in held.collect():
         values = np.array(row["values"])
         middle = values[:-1] + np.diff(values) / 2
         # Between neighbours in floating point the middle is one of them: cut at the lower.
         cuts[row["feature"]] = np.where(middle < values[1:], middle, values[:-1])
-    wide = [name for name in NUMERIC_FEATURES if name not in narrow]
+    wide = [name for name in columns if name not in narrow]
     if wide:
         marks = rows.agg(
-            *[F.percentile_approx(F.col(name).cast("double"), shares, 10 * MOST_CUTS).alias(name) for name in wide]
+            *[F.percentile_approx(F.col(name).cast("double"), shares, 10 * most).alias(name) for name in wide]
         ).first()
         cuts |= {name: np.unique(np.array(marks[name])) for name in wide}
+    return cuts
+
+
+def possible_cuts(rows: DataFrame, whole: Preparation) -> Cuts:
+    """The cuts of the contract's numbers and the levels of its categories."""
+    cuts = value_cuts(rows, NUMERIC_FEATURES, MOST_CUTS)
     return Cuts(cuts, {name: list(whole.categories[name]) for name in CATEGORICAL_FEATURES})
 
 

@@ -249,3 +249,27 @@ def test_subtrees_split_all_nodes_of_a_level_together(monkeypatch):
     distinct, first, counts = np.unique(x, axis=0, return_index=True, return_counts=True)
     alone = first[counts == 1]
     assert np.argmax(grown.predict(x[alone]), axis=1).tolist() == y[alone].tolist()
+
+
+def test_boosting_of_all_classes_equals_one_against_rest(spark):
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+
+    from cohortlens.models import boosting
+
+    rng = np.random.default_rng(6)
+    x = np.column_stack([rng.integers(0, 40, 900), rng.normal(size=900).round(1), rng.integers(0, 3, 900)])
+    y = (x[:, 0] > 20).astype(int) + ((x[:, 1] > 0) ^ (rng.random(900) < 0.2))
+    rows = spark.createDataFrame(
+        [(n, float(label), own.tolist()) for n, (label, own) in enumerate(zip(y, x))],
+        "id long, label double, features array<double>",
+    ).repartition(3)
+    wide = rows.select("id", "label", *[F.col("features")[place].alias(f"f{place}") for place in range(3)], "features")
+    model = boosting.fit_boosted(wide, ["f0", "f1", "f2"], 3, rounds=12, depth=3, step=0.1, bins=256)
+    told = {row["id"]: row["margins"] for row in model.score(wide, ["id"]).collect()}
+    for number in range(3):
+        single = GBTClassifier(maxIter=12, maxDepth=3, stepSize=0.1, maxBins=256, seed=1)
+        own = rows.select("id", (F.col("label") == number).cast("double").alias("label"), array_to_vector("features").alias("features"))
+        scored = single.fit(own).transform(own).select("id", vector_to_array("rawPrediction")[1].alias("raw"))
+        for row in scored.collect():
+            assert told[row["id"]][number] == pytest.approx(row["raw"], abs=1e-9)
