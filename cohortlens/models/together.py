@@ -163,14 +163,14 @@ def _step_sums(base: Any, label: str, weights: Mapping[int, np.ndarray]):
             x, y = base.matrix(batch), numbers(batch.column(label))
             fold = batch.column("fold").to_numpy()
             for number, weight in weights.items():
-                inside = fold != number
-                own, target = x[inside], y[inside]
-                margin = own @ weight
+                # Rows of the fold count as nothing, which spares a copy of all others.
+                inside = (fold != number).astype(float)
+                margin = x @ weight
                 p = sigmoid(margin)
                 total = sums[number]
-                total[0] += np.sum(np.logaddexp(0, margin) - target * margin)
-                total[1 : 1 + size] += own.T @ (p - target)
-                total[1 + size :] += ((own * (p * (1 - p))[:, None]).T @ own).ravel()
+                total[0] += np.sum(inside * (np.logaddexp(0, margin) - y * margin))
+                total[1 : 1 + size] += (inside * (p - y)) @ x
+                total[1 + size :] += ((x * (inside * p * (1 - p))[:, None]).T @ x).ravel()
         yield _sum_rows([(number, bucket, total.tobytes()) for number, total in sums.items()])
 
     return run
@@ -321,14 +321,24 @@ class Cuts:
     def bins(self, feature: str) -> int:
         return len(self.levels[feature]) + 1 if feature in self.levels else len(self.cuts[feature]) + 1
 
-    def codes(self, feature: str, column: pa.Array, preparation: Preparation) -> np.ndarray:
-        """Each row's bin, gaps filled in as the preparation says."""
+    def codes(self, feature: str, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Each row's bin, and the rows that have a gap there."""
+        gaps = np.flatnonzero(column.is_null(nan_is_null=True).to_numpy(zero_copy_only=False))
         if feature in self.levels:
-            mode = pa.scalar(preparation.modes[feature], pa.string())
-            return level_codes(pc.fill_null(column.cast(pa.string()), mode), self.levels[feature])
-        value = numbers(column)
-        value = np.where(np.isnan(value), preparation.medians[feature], value)
-        return np.searchsorted(self.cuts[feature], value, "left")
+            return level_codes(column, self.levels[feature]), gaps
+        return np.searchsorted(self.cuts[feature], numbers(column), "left"), gaps
+
+    def filled(self, feature: str, codes: np.ndarray, gaps: np.ndarray, preparation: Preparation) -> np.ndarray:
+        """The bins with gaps filled in as the preparation says."""
+        if not len(gaps):
+            return codes
+        if feature in self.levels:
+            code = level_codes(pa.array([preparation.modes[feature]], pa.string()), self.levels[feature])[0]
+        else:
+            code = np.searchsorted(self.cuts[feature], preparation.medians[feature], "left")
+        codes = codes.copy()
+        codes[gaps] = code
+        return codes
 
 
 def value_cuts(rows: DataFrame, columns: Sequence[str], most: int) -> dict[str, np.ndarray]:
@@ -393,29 +403,37 @@ def _histograms(cuts: Cuts, label: str, preparations: Mapping[int, Preparation],
     """Rows and positives per set, open node, feature and bin."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        widths = [cuts.bins(feature) for feature in FEATURE_ORDER]
         totals = {
-            (number, node, place): np.zeros((2, cuts.bins(feature)), np.int64)
+            number: [np.zeros((2, len(nodes), width), np.int64) for width in widths]
             for number, nodes in active.items()
-            for node in nodes
-            for place, feature in enumerate(FEATURE_ORDER)
         }
         for batch in batches:
             if not batch.num_rows:
                 continue
             fold = batch.column("fold").to_numpy()
             positive = numbers(batch.column(label)) > 0
+            # Bins are found once for all sets; a set only fills its gaps.
+            found = {name: cuts.codes(name, batch.column(name)) for name in FEATURE_ORDER}
             for number, nodes in active.items():
-                codes = {
-                    name: cuts.codes(name, batch.column(name), preparations[number]) for name in FEATURE_ORDER
-                }
+                codes = {name: cuts.filled(name, *own, preparations[number]) for name, own in found.items()}
                 at = _nodes_of(batch, trees[number], codes, cuts)
-                for node in nodes:
-                    inside = (at == node) & (fold != number)
-                    for place, feature in enumerate(FEATURE_ORDER):
-                        total, bins = totals[number, node, place], cuts.bins(feature)
-                        total[0] += np.bincount(codes[feature][inside], minlength=bins)
-                        total[1] += np.bincount(codes[feature][inside & positive], minlength=bins)
-        rows = [(*key, total.tobytes()) for key, total in totals.items()]
+                place = np.full(2 * max(max(nodes), int(at.max())), -1)
+                place[list(nodes)] = np.arange(len(nodes))
+                open_node = np.where(fold != number, place[at], -1)
+                inside = open_node >= 0
+                hit = inside & positive
+                for total, width, name in zip(totals[number], widths, FEATURE_ORDER):
+                    key = open_node * width + codes[name]
+                    for line, rows in enumerate((inside, hit)):
+                        counted = np.bincount(key[rows], minlength=len(nodes) * width)
+                        total[line] += counted.reshape(len(nodes), width)
+        rows = [
+            (number, node, place, np.ascontiguousarray(total[:, at]).tobytes())
+            for number, nodes in active.items()
+            for place, total in enumerate(totals[number])
+            for at, node in enumerate(nodes)
+        ]
         columns = list(zip(*rows))
         kinds = (pa.int32(), pa.int32(), pa.int32(), pa.binary())
         yield pa.RecordBatch.from_arrays(

@@ -273,3 +273,19 @@ def test_boosting_of_all_classes_equals_one_against_rest(spark):
         scored = single.fit(own).transform(own).select("id", vector_to_array("rawPrediction")[1].alias("raw"))
         for row in scored.collect():
             assert told[row["id"]][number] == pytest.approx(row["raw"], abs=1e-9)
+
+
+def test_bins_are_found_once_for_all_training_sets(dealt, monkeypatch):
+    preparations = fit_preparations(dealt, FOLDS)
+    cuts = together.possible_cuts(dealt, preparations[ALL_ROWS])
+    sizes = together.set_sizes(dealt, risk.LABEL, list(preparations))
+    trees = {number: {1: together.Node(*sizes[number])} for number in preparations}
+    batch = dealt.select("fold", risk.LABEL, *together.FEATURE_ORDER).toArrow().combine_chunks().to_batches()[0]
+    calls, codes = [], together.Cuts.codes
+    monkeypatch.setattr(together.Cuts, "codes", lambda *args: calls.append(1) or codes(*args))
+    run = together._histograms(cuts, risk.LABEL, preparations, trees, dict.fromkeys(preparations, [1]))
+    (told,) = run(iter([batch]))
+    assert len(calls) == len(together.FEATURE_ORDER)
+    for row in told.to_pylist():
+        rows, positives = np.frombuffer(row["counts"], np.int64).reshape(2, -1).sum(axis=1)
+        assert (rows, positives) == sizes[row["training_set"]]
