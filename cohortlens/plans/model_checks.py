@@ -210,8 +210,9 @@ def ordinal_confusion(spark, folder):
 
 def kmeans_checks(spark, folder):
     """Whether clusters are those of the nearest centres, and the inertia their sum."""
-    rows, features = legacy.prepare(_mart(spark, folder), LEVELS)
-    run = legacy.segments(_mart(spark, folder), LEVELS)
+    written = materialize(_mart(spark, folder))
+    rows, features = legacy.prepare(written, LEVELS)
+    run = legacy.segments(written, LEVELS)
     centers = [list(map(float, center)) for center in run.models["KMeans"].clusterCenters()]
     far = [
         sum(

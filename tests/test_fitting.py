@@ -289,3 +289,12 @@ def test_bins_are_found_once_for_all_training_sets(dealt, monkeypatch):
     for row in told.to_pylist():
         rows, positives = np.frombuffer(row["counts"], np.int64).reshape(2, -1).sum(axis=1)
         assert (rows, positives) == sizes[row["training_set"]]
+
+
+def test_kmeans_checks_compute_the_mart_once(spark, monkeypatch):
+    from cohortlens.plans import model_checks
+
+    calls, mart_of = [], model_checks._mart
+    monkeypatch.setattr(model_checks, "_mart", lambda *args: calls.append(1) or mart_of(*args))
+    found = model_checks.kmeans_checks(spark, "/root/testdata/sf0.001").first()
+    assert len(calls) == 1 and found["nearest_centre"] and found["all_rows_clustered"]
