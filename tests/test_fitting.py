@@ -298,3 +298,15 @@ def test_kmeans_checks_compute_the_mart_once(spark, monkeypatch):
     monkeypatch.setattr(model_checks, "_mart", lambda *args: calls.append(1) or mart_of(*args))
     found = model_checks.kmeans_checks(spark, "/root/testdata/sf0.001").first()
     assert len(calls) == 1 and found["nearest_centre"] and found["all_rows_clustered"]
+
+
+def test_whole_number_distances_take_one_product_and_stay_exact():
+    from cohortlens.models import neighbors
+
+    rng = np.random.default_rng(8)
+    whole = rng.integers(-5_000, 5_000, size=(40, 9)).astype(float)
+    exact = [[float(np.sum((a - b) ** 2)) for b in whole] for a in whole]
+    assert neighbors._whole(whole) and neighbors._distances(whole, whole).tolist() == exact
+    for odd in (whole + 0.3, whole * 1e6):
+        assert not neighbors._whole(odd)
+        assert (np.diag(neighbors._distances(odd, odd)) == 0).all()
