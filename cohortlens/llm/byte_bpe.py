@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortlens.llm.decontamination import bounded
+from cohortlens.llm.memory import batchwise, holds
 
 #: Bits of a rank that the lower level of the bitmap holds.
 BLOCK_BITS = 10
@@ -401,6 +402,7 @@ def loaded(path: str, pattern: str) -> ByteBpe:
     key = (path, pattern)
     if key not in _LOADED:
         _LOADED[key] = ByteBpe.from_file(path, pattern)
+        holds(__name__, _LOADED.clear)
     return _LOADED[key]
 
 
@@ -419,7 +421,7 @@ def _encoding(path: Callable[[], str], pattern: str):
                     }
                 )
 
-    return run
+    return batchwise(run, __name__)
 
 
 def encode_and_decode(docs: DataFrame, path: Callable[[], str], pattern: str) -> DataFrame:

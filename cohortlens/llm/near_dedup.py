@@ -40,6 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.llm.decontamination import bounded
+from cohortlens.llm.memory import batchwise
 from cohortlens.llm.units import pack, unpack
 from cohortlens.llm.words import (
     WHITE_SPACE_WORDS,
@@ -323,7 +324,7 @@ def near_groups(docs: DataFrame) -> DataFrame:
     named = docs.select(F.col("doc_id").cast("long").alias("doc"), text)
     sketched = materialize(
         named.mapInArrow(
-            _sketched,
+            batchwise(_sketched),
             "doc long, size long, print_1 long, print_2 long, bands array<long>",
         )
     )
@@ -373,7 +374,7 @@ def _links(named: DataFrame, buckets: DataFrame) -> DataFrame:
     involved = buckets.select("doc").distinct()
     sets = materialize(
         named.join(involved, "doc", "left_semi").mapInArrow(
-            _set_rows, "doc long, registers binary, shingles binary"
+            batchwise(_set_rows), "doc long, registers binary, shingles binary"
         )
     )
     # The pivot comes from an aggregate that combines on the map side; only the join back
@@ -406,7 +407,7 @@ def _compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     for side in "ab":
         own = [F.col(name).alias(f"{name}_{side}") for name in ("registers", "shingles")]
         pairs = pairs.join(sets.select(F.col("doc").alias(side), *own), side)
-    return pairs.mapInArrow(_verified, LINK)
+    return pairs.mapInArrow(batchwise(_verified), LINK)
 
 
 def _slots(hashes: np.ndarray) -> np.ndarray:
@@ -439,7 +440,7 @@ def _rarity(held: DataFrame) -> bytes:
     The counters' number is fixed. Shingles that share one seem more common than they are,
     which changes what is compared first, never what is found.
     """
-    counts = held.select("shingles").mapInArrow(_slot_counts, "slot long, n long")
+    counts = held.select("shingles").mapInArrow(batchwise(_slot_counts), "slot long, n long")
     counts = counts.groupBy("slot").agg(F.sum("n").alias("n"))
     rows = counts.groupBy(F.expr(f"slot div {COUNTERS_PER_ROW}")).applyInArrow(
         _slot_levels, "row long, levels binary"
@@ -509,7 +510,7 @@ def _candidates(rest: DataFrame, sets: DataFrame) -> DataFrame:
     )
     rare = materialize(
         held.mapInArrow(
-            _rarest(_rarity(held)),
+            batchwise(_rarest(_rarity(held))),
             "cell long, doc long, component long, home boolean, shingle long,"
             " size long, place long, offered boolean",
         )

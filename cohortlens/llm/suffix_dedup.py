@@ -36,6 +36,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from cohortlens.llm.memory import tablewise
 from cohortlens.llm.units import (
     MESSAGE_DDL,
     SLICE_CELLS,
@@ -517,12 +518,12 @@ def remove_repeated_bytes(
     by_unit = docs.groupBy("_unit")
 
     def to_units(slice_work, sent):
-        return sent.groupBy("_slice").applyInArrow(slice_work, MESSAGE_DDL).groupBy("_unit")
+        return sent.groupBy("_slice").applyInArrow(tablewise(slice_work), MESSAGE_DDL).groupBy("_unit")
 
     def by_units(unit_work, answers, schema=MESSAGE_DDL):
-        return by_unit.cogroup(answers).applyInArrow(unit_work, schema)
+        return by_unit.cogroup(answers).applyInArrow(tablewise(unit_work), schema)
 
-    shared = to_units(_merge, by_unit.applyInArrow(_sketch(size, core, slices), MESSAGE_DDL))
+    shared = to_units(_merge, by_unit.applyInArrow(tablewise(_sketch(size, core, slices)), MESSAGE_DDL))
     later = to_units(later_entries, by_units(_segment_entries(size, core, slices), shared))
     # Construction takes more time than its bytes suggest, so its slices are not gathered by
     # size but dealt out evenly, a bounded number to each task.

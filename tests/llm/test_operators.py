@@ -586,3 +586,16 @@ def test_stages_keep_the_columns(spark, tmp_path):
             left = stage(spark, docs, str(tmp_path))
             assert left.dtypes == docs.dtypes
         assert set(corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).columns) >= {"doc_id"}
+
+
+def test_workers_keep_nothing_of_other_operators(monkeypatch):
+    from cohortlens.llm import memory
+
+    given, emptied = [], []
+    monkeypatch.setattr(memory, "give_back", lambda: given.append(1))
+    monkeypatch.setattr(memory, "_CACHES", {})
+    memory.holds("one", lambda: emptied.append("one"))
+    assert list(memory.batchwise(lambda batches: (2 * batch for batch in batches), "one")(iter([1, 2]))) == [2, 4]
+    assert not emptied and len(given) == 1
+    assert memory.tablewise(lambda table: table + 1)(1) == 2 and emptied == ["one"]
+    assert memory.tablewise(lambda table, answers: table + answers)(1, 2) == 3 and len(given) == 3
