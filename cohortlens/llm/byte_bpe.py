@@ -47,9 +47,10 @@ NONE = np.iinfo(np.int32).max
 #: Pieces of text after which a worker's memory is emptied, and the longest that it keeps.
 MEMORY_ENTRIES = 400_000
 MEMORY_LONGEST = 64
-#: Text of a batch, and pre-tokens of one linked list, in bytes.
-BATCH_BYTES = 2 << 20
-LIST_BYTES = 2 << 20
+#: Text of a batch, and pre-tokens of one linked list, in bytes: what a worker holds at once is
+#: some hundred times as much.
+BATCH_BYTES = 1 << 20
+LIST_BYTES = 1 << 20
 
 
 class RankQueue:
@@ -186,6 +187,7 @@ class ByteBpe:
         self.of_byte = [ranks[bytes([value])] for value in range(256)]
         self.merges = self._all_merges()
         self.memory: dict[str, bytes] = {}
+        self.most: int | None = None
         # The merges as sorted arrays, those of two bytes by both, and all tokens in one buffer.
         self._pairs = np.array(sorted(self.merges), np.int64)
         self._merged = np.array([self.merges[pair] for pair in self._pairs.tolist()], np.int32)
@@ -362,7 +364,7 @@ class ByteBpe:
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
         memory = self.memory
-        if len(memory) >= MEMORY_ENTRIES:
+        if len(memory) >= (self.most or MEMORY_ENTRIES):
             memory.clear()
         cut = [self._cut(text) for text in texts]
         missing: set[str] = set()
@@ -406,12 +408,16 @@ def loaded(path: str, pattern: str) -> ByteBpe:
     return _LOADED[key]
 
 
-def _encoding(path: Callable[[], str], pattern: str):
+def _encoding(path: Callable[[], str], pattern: str, entries: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = loaded(path(), pattern)
+        bpe.most = entries
         for whole in batches:
+            if "_text" not in whole.schema.names:
+                row = whole.column("row")
+                whole = pa.RecordBatch.from_arrays([row, row.field("text")], ["row", "_text"])
             for batch in bounded(whole, "_text", BATCH_BYTES):
-                ids = bpe.encode_batch(batch.column("_text").to_pylist())
+                ids = bpe.encode_batch([text or "" for text in batch.column("_text").to_pylist()])
                 decoded = bpe.decode_batch(ids)
                 yield pa.RecordBatch.from_pydict(
                     {
@@ -424,18 +430,26 @@ def _encoding(path: Callable[[], str], pattern: str):
     return batchwise(run, __name__)
 
 
-def encode_and_decode(docs: DataFrame, path: Callable[[], str], pattern: str) -> DataFrame:
+def encode_and_decode(
+    docs: DataFrame, path: Callable[[], str], pattern: str, entries: int | None = None
+) -> DataFrame:
     """All columns of ``docs`` as the struct ``row``; ``ids``, little-endian unsigned 32-bit
     integers; and ``decoded``, the bytes that those ids stand for.
 
-    ``path`` is called in the tasks and gives the rank file's place on that machine.
+    ``path`` is called in the tasks and gives the rank file's place on that machine. A worker's
+    memory is emptied beyond ``entries`` pieces of text, ``MEMORY_ENTRIES`` where none are given.
     """
     row = F.struct(*[F.col(f"`{name}`") for name in docs.columns])
-    text = F.coalesce(F.col("text").cast("string"), F.lit("")).alias("_text")
+    # A text that the row holds as it is travels once: batches are sent whole, so a second
+    # copy would be held by the executor and by the worker.
+    held = dict(docs.dtypes).get("text") == "string"
+    apart = [] if held else [F.col("text").cast("string").alias("_text")]
     schema = T.StructType(
         [
             T.StructField("row", docs.schema, False),
             *T.StructType.fromDDL("ids binary, decoded binary"),
         ]
     )
-    return docs.select(row.alias("row"), text).mapInArrow(_encoding(path, pattern), schema)
+    return docs.select(row.alias("row"), *apart).mapInArrow(
+        _encoding(path, pattern, entries), schema
+    )

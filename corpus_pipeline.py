@@ -20,6 +20,10 @@ from cohortlens.llm.suffix_dedup import remove_repeated_bytes
 from cohortlens.session import materialize
 
 
+#: Pieces of text that a worker remembers: the executors' heaps have grown in the stages before.
+BPE_ENTRIES = 100_000
+
+
 def byte_bpe() -> str:
     return public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -59,7 +63,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def byte_level_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Digests of each document's ids and of the bytes that they decode to."""
     encoded = encode_and_decode(
-        docs.select("doc_id", "text"), byte_bpe, public_tokenizers.PATTERN
+        docs.select("doc_id", "text"), byte_bpe, public_tokenizers.PATTERN, BPE_ENTRIES
     )
     return encoded.select(
         "row.doc_id",

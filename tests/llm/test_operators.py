@@ -599,3 +599,25 @@ def test_workers_keep_nothing_of_other_operators(monkeypatch):
     assert not emptied and len(given) == 1
     assert memory.tablewise(lambda table: table + 1)(1) == 2 and emptied == ["one"]
     assert memory.tablewise(lambda table, answers: table + answers)(1, 2) == 3 and len(given) == 3
+
+
+def test_byte_bpe_sends_a_text_once(spark):
+    """A batch goes to the worker whole, so a second copy of its texts would be held there too."""
+    docs = spark.createDataFrame(cases.hostile(12), "doc_id long, text string")
+    docs = docs.unionByName(spark.createDataFrame([(901, None), (902, "")], docs.schema))
+
+    def encoded(frame):
+        return byte_bpe.encode_and_decode(frame, queries.byte_bpe, public_tokenizers.PATTERN)
+
+    plan = encoded(docs)._jdf.queryExecution().analyzed().toString()
+    assert "MapInArrow" in plan and "_text" not in plan
+    rows = encoded(docs).select("row.doc_id", "row.text", "ids", "decoded").collect()
+    assert len(rows) == docs.count()
+    for row in rows:
+        assert bytes(row.decoded) == (row.text or "").encode()
+    few = byte_bpe.encode_and_decode(docs, queries.byte_bpe, public_tokenizers.PATTERN, 3)
+    assert {(r.row.doc_id, bytes(r.ids)) for r in few.collect()} == {(r.doc_id, bytes(r.ids)) for r in rows}
+    # A text that has to be cast still goes beside its row, which keeps the column as it is.
+    numbers = docs.select("doc_id", F.col("doc_id").alias("text"))
+    for row in encoded(numbers).select("row", "decoded").collect():
+        assert bytes(row.decoded) == str(row.row.doc_id).encode() and row.row.text == row.row.doc_id
