@@ -74,15 +74,29 @@ def enrollment_marts(
     """
     days = _ordered(cutoffs)
     rows = cohort(roles, days[-1])
-    places = F.array(*[F.struct(F.lit(at).alias("slot"), F.lit(day).alias("day")) for at, day in enumerate(days)])
     result = F.col("final_result")
+    added = activity_between(roles.interaction, days, laid_out)
+    # One row per key, with its sums up to each cutoff: the wide cohort rows are copied for the
+    # cutoffs after all joins, as no copy has to move then.
+    until = added.groupBy(*KEYS).agg(
+        *[
+            F.sum(F.when(F.col("slot") <= at, F.col(name))).alias(f"_{name}_{at}")
+            for at in range(len(days))
+            for name in ACTIVITY
+        ]
+    )
     with_scores = rows.join(course_scores(roles.assessment, roles.submission), list(KEYS), "left")
-    grid = with_scores.withColumn("_place", F.explode(places)).withColumn("slot", F.col("_place.slot"))
-    joined = grid.join(activity_between(roles.interaction, days, laid_out), [*KEYS, "slot"], "left")
-    until = W.partitionBy(*KEYS).orderBy("slot").rowsBetween(W.unboundedPreceding, W.currentRow)
-    summed = joined.withColumns(
-        {name: F.coalesce(F.sum(name).over(until), F.lit(0)) for name in ACTIVITY}
+    places = F.array(
+        *[
+            F.struct(
+                F.lit(day).alias("day"),
+                *[F.coalesce(F.col(f"_{name}_{at}"), F.lit(0)).alias(name) for name in ACTIVITY],
+            )
+            for at, day in enumerate(days)
+        ]
     )
+    joined = with_scores.join(until, list(KEYS), "left").withColumn("_place", F.explode(places))
+    summed = joined.withColumns({name: F.col(f"_place.{name}") for name in ACTIVITY})
     # An enrollment is in the mart of a cutoff from its registration on.
     return summed.where(F.col("date_registration") <= F.col("_place.day")).select(
         F.col("_place.day").alias("cutoff_day"),

@@ -69,8 +69,10 @@ def course_scores(assessment: DataFrame, submission: DataFrame) -> DataFrame:
     marked = submission.where(F.col("score").isNotNull())
     score, weight = F.col("score").cast("double"), F.col("weight").cast("double")
     total = F.sum(weight)
+    # Assessments are a handful per course. Spark cannot know so before it has read them, and
+    # would move every submission once for the join, besides once for its enrollment.
     return (
-        dimension_join(marked, assessment, ["id_assessment"], salt_by=["id_student", "score"])
+        marked.join(F.broadcast(assessment), "id_assessment")
         .groupBy(*KEYS)
         .agg((F.sum(score * weight) / F.nullif(total, F.lit(0.0))).alias(SCORE))
     )

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cohortlens.contract import KEYS, MART_SCHEMA, TARGETS
-from cohortlens.operators import checks, mart
+from cohortlens.operators import checks, cutoffs, mart
 from cohortlens.sinks import tables as sinks
 from cohortlens.sources import files, roles
 from cohortlens.sources.order_binding import order_roles
@@ -157,3 +157,26 @@ def test_artifacts_refuse_duplicate_keys_and_banned_columns(mart8, tmp_path):
         sinks.write_artifacts(mart8.union(mart8.limit(1)), str(tmp_path), 30)
     with pytest.raises(checks.CheckError, match="must not contain"):
         sinks.write_artifacts(mart8.withColumn("Kongo_score", F.lit(1)), str(tmp_path), 30)
+
+
+def test_submissions_move_by_enrollment_only(spark, tmp_path):
+    """No exchange stands between the submissions and the sums per enrollment."""
+    spark.createDataFrame([("a1", 1, 50.0), ("a1", 1, None), ("a2", 1, 80.0)], "id_assessment string, id_student int, score double").write.parquet(str(tmp_path / "submission"))
+    spark.createDataFrame([("a1", "M", "2001B", 10.0), ("a2", "M", "2001B", 30.0)], "id_assessment string, code_module string, code_presentation string, weight double").write.parquet(str(tmp_path / "assessment"))
+    submission, assessment = (spark.read.parquet(str(tmp_path / name)) for name in ("submission", "assessment"))
+    # As where the size of a derived table is not known before it is computed.
+    assessment = assessment.groupBy("id_assessment", "code_module", "code_presentation").agg({"weight": "max"}).withColumnRenamed("max(weight)", "weight")
+    scores = mart.course_scores(assessment, submission)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = scores._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        assert [tuple(row) for row in scores.collect()] == [(1, "M", "2001B", 72.5)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_cohort_rows_are_copied_for_cutoffs_after_the_last_exchange(spark):
+    plan = cutoffs.enrollment_marts(order_roles(spark, "/root/testdata/sf0.001"), (0, 30, 60))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan[: plan.index("Generate explode")] and "Join" not in plan[: plan.index("Generate explode")]
