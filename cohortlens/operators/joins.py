@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -92,48 +93,61 @@ def skew_join(
 
 
 #: Bits per key and hashes of a key filter: it lets about one in a hundred other keys pass.
-BITS_PER_KEY, HASHES = 10, 7
-#: Keys up to which a filter is made: it goes to every task, at 1.25 bytes a key.
+BITS_PER_KEY, HASHES = 12, 5
+#: Keys up to which a filter is made: it goes to every task, at 1.5 bytes a key.
 MOST_FILTER_KEYS = 32_000_000
+#: Words of a key filter that one task puts in order.
+FILTER_CHUNK = 4_096
 
 
-def _bit(on: Sequence[str], turn: int, bits: int) -> Column:
-    # Two halves of one hash make all positions; their sums stay far below 64 bits.
-    whole = F.xxhash64(*[F.col(name) for name in on])
-    first, step = whole.bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(whole, 32)
-    return (first + step * F.lit(turn)) % F.lit(bits)
+def _bit(whole: Column, turn: int) -> Column:
+    bit = F.shiftrightunsigned(whole, 6 * turn).bitwiseAND(F.lit(63)).cast("int")
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), bit)
 
 
-def _mask(bit: Column) -> Column:
-    return F.call_function("shiftleft", F.lit(1).cast("bigint"), (bit % F.lit(64)).cast("int"))
+def _word_and_mask(on: Sequence[str], words: int) -> tuple[Column, Column]:
+    """The word of a filter that holds a key, and the key's bits in it, from one hash."""
+    whole = F.xxhash64(*[F.col(name) for name in on])
+    # What a condition names more than once is computed as often, and keys may be expressions
+    # of their own: with the hash in every bit the code outgrows what the JVM compiles. A
+    # lambda's variable is computed once.
+    bits = F.transform(
+        F.array(whole),
+        lambda known: reduce(Column.bitwiseOR, [_bit(known, turn) for turn in range(HASHES)]),
+    )
+    return F.shiftrightunsigned(whole, 6 * HASHES) % F.lit(words), F.get(bits, F.lit(0))
 
 
 def key_filter(keys: DataFrame, on: Sequence[str], most: int = MOST_FILTER_KEYS) -> Column | None:
     """A condition that holds for every row whose key is in ``keys``, and for few others.
 
     A Bloom filter as wide as the number of keys asks for, computed once and tested at the
-    scan, before rows are shuffled. None where there are more keys than a filter is made for.
+    scan, before rows are shuffled. All bits of a key lie in one word, so a row reads one.
+    None where there are more keys than a filter is made for.
     """
-    distinct = keys.select(*on).distinct()
-    count = distinct.count()
+    count = keys.select(*on).distinct().count()
     if not count:
         return F.lit(False)
     if count > most:
         return None
     words = -(-count * BITS_PER_KEY // 64)
-    bits = [_bit(on, turn, words * 64) for turn in range(HASHES)]
-    spark = keys.sparkSession
-    word = F.col("bit").cast("bigint")
-    filled = distinct.select(F.explode(F.array(*bits)).alias("bit")).select(
-        F.expr("bit div 64").alias("word"), _mask(word).alias("mask")
+    word, mask = _word_and_mask(on, words)
+    # A key that comes twice sets the same bits.
+    filled = keys.select(word.alias("word"), mask.alias("mask"))
+    empty = keys.sparkSession.range(words).select(
+        F.col("id").alias("word"), F.lit(0).cast("bigint").alias("mask")
     )
-    empty = spark.range(words).select(F.col("id").alias("word"), F.lit(0).cast("bigint").alias("mask"))
     table = filled.unionByName(empty).groupBy("word").agg(F.bit_or("mask").alias("mask"))
-    # One list as long as the filter, whose size is bounded above.
-    ordered = F.array_sort(F.collect_list(F.struct("word", "mask")))
-    found = table.agg(F.transform(ordered, lambda entry: entry["mask"]).alias("words")).scalar()
-    condition = F.lit(True)
-    for bit in bits:
-        held = F.get(found, F.floor(bit / F.lit(64)).cast("int"))
-        condition = condition & (held.bitwiseAND(_mask(bit)) != 0)
-    return condition
+
+    def listed(entries: Column, value: str) -> Column:
+        return F.transform(F.array_sort(entries), lambda entry: entry[value])
+
+    # Chunks of words are ordered side by side. What is left is one list as long as the filter,
+    # whose size is bounded above.
+    chunks = table.groupBy(F.expr(f"word div {FILTER_CHUNK}").alias("chunk")).agg(
+        listed(F.collect_list(F.struct("word", "mask")), "mask").alias("masks")
+    )
+    entries = F.collect_list(F.struct("chunk", "masks"))
+    found = chunks.agg(F.flatten(listed(entries, "masks")).alias("words")).scalar()
+    held = F.get(found, word.cast("int"))
+    return F.bitwise_not(held).bitwiseAND(mask) == 0

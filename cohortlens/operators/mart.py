@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
@@ -19,17 +20,23 @@ from cohortlens.contract import (
 )
 from cohortlens.functions.expressions import passed, performance_tier
 from cohortlens.operators.joins import dimension_join, key_filter
+from cohortlens.session import materialize
 from cohortlens.sources.roles import RoleTables
 
 
-def cohort(roles: RoleTables, cutoff_day: int) -> DataFrame:
-    """Enrollments registered by the cutoff, with student and course columns.
+def registered(enrollment: DataFrame, cutoff_day: int) -> DataFrame:
+    """Enrollments registered by the cutoff.
 
     An unknown registration day cannot show that the student was there.
     """
-    enrolled = roles.enrollment.where(
+    return enrollment.where(
         F.col("date_registration").isNotNull() & (F.col("date_registration") <= cutoff_day)
     )
+
+
+def cohort(roles: RoleTables, cutoff_day: int) -> DataFrame:
+    """Enrollments registered by the cutoff, with student and course columns."""
+    enrolled = registered(roles.enrollment, cutoff_day)
     # A student has one enrollment per course and presentation, so no key is heavy.
     with_student = enrolled.join(roles.student, "id_student")
     return dimension_join(with_student, roles.course, COURSE_KEYS).select(
@@ -97,8 +104,7 @@ def outcome_codes(enrollment: DataFrame) -> DataFrame:
 def cohort_events(roles: RoleTables, cutoff_day: int) -> DataFrame:
     """Events that can belong to the cohort: those of other enrollments are dropped at the scan,
     but for the few that a key filter lets pass."""
-    registered = roles.enrollment.where(F.col("date_registration") <= cutoff_day)
-    known = key_filter(registered, KEYS)
+    known = key_filter(registered(roles.enrollment, cutoff_day), KEYS)
     return roles.interaction if known is None else roles.interaction.where(known)
 
 
@@ -106,13 +112,17 @@ def enrollment_mart(roles: RoleTables, cutoff_day: int, filter_events: bool = Fa
     """One row per enrollment: 13 cohort, 5 activity and 4 outcome columns.
 
     ``filter_events`` drops events of enrollments outside the cohort before they are shuffled;
-    it reads the enrollments twice more and pays where the cohort is a part of them.
+    it writes the cohort's enrollments once, as the filter needs them too, and pays where the
+    cohort is a part of them.
 
     The enrollment key must be unique (``checks.duplicate_keys``): outcomes then
     come with the cohort rows and need no second read of the enrollments, and
     the left join below keeps scores of enrolled students only.
     """
     require_cutoff(cutoff_day)
+    if filter_events:
+        # The cohort, the filter and its size are computed from these.
+        roles = replace(roles, enrollment=materialize(registered(roles.enrollment, cutoff_day)))
     rows = cohort(roles, cutoff_day)
     events = cohort_events(roles, cutoff_day) if filter_events else roles.interaction
     activity = activity_features(events, cutoff_day)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from cohortlens.contract import KEYS, MART_SCHEMA
 from cohortlens.operators import cutoffs, joins, mart, metrics, profile, sketches, split
 from cohortlens.sources import bucketed
+from cohortlens.sources.order_binding import order_roles
 from cohortlens.sources.roles import RoleTables
 
 MARKED = "id_student int, code_module string, code_presentation string"
@@ -91,6 +92,33 @@ def test_events_outside_the_cohort_are_dropped_before_the_shuffle(roles, spark,
     assert "Filter" in below_exchange and "subquery#" in below_exchange.lower(), below_exchange
 
 
+def test_a_row_is_hashed_twice_at_most_for_a_key_filter(spark):
+    """A key that is an expression is not computed anew for every bit, nor the filter read for each."""
+    derived = spark.range(0, 30_000).selectExpr("id", "concat('M', CAST(id % 7 AS string)) AS b")
+    keys = spark.range(0, 30_000, 3).selectExpr("id", "concat('M', CAST(id % 7 AS string)) AS b")
+    held = derived.where(joins.key_filter(keys, ["id", "b"]))
+    plan = held._jdf.queryExecution().optimizedPlan().toString()
+    condition = next(line for line in plan.splitlines() if "Filter" in line)
+    assert condition.count("xxhash64") <= 2 and condition.count("scalar-subquery#") == 1, condition
+    assert held.join(keys, ["id", "b"]).count() == 10_000
+    assert held.count() < 10_000 * 1.05
+    # Several chunks of words, and keys that come twice.
+    assert joins.FILTER_CHUNK * 64 < 30_000 * joins.BITS_PER_KEY
+    wide = spark.range(0, 30_000).selectExpr("id", "CAST(id AS string) AS b")
+    assert wide.where(joins.key_filter(wide, ["id", "b"])).count() == 30_000
+    twice = wide.unionByName(wide)
+    assert twice.where(joins.key_filter(twice, ["id", "b"])).count() == 60_000
+
+
+def test_the_filtered_mart_computes_the_enrollments_once(spark):
+    """The cohort, its filter and the filter's size come from enrollments written once."""
+    bound = order_roles(spark, "/root/testdata/sf0.001")
+    filtered = mart.enrollment_mart(bound, 30, filter_events=True)
+    plan = filtered._jdf.queryExecution().executedPlan().toString()
+    assert "o_totalprice" not in plan and "subquery#" in plan.lower()
+    assert rows_of(filtered) == rows_of(mart.enrollment_mart(bound, 30))
+
+
 def test_bucketed_roles_join_without_moving_rows(roles, spark, tmp_path):
     bucketed.write_bucketed_roles(roles, "bucket_test", 4, str(tmp_path))
     kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
