@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.contract import CATEGORICAL_FEATURES, NUMERIC_FEATURES
 from cohortlens.models.preparation import Preparation
+from cohortlens.session import materialize
 
 #: Partial sums of a set that reach the driver at most.
 BUCKETS = 16
@@ -346,9 +347,8 @@ def value_cuts(rows: DataFrame, columns: Sequence[str], most: int) -> dict[str,
     quantiles."""
     numeric = [F.col(name).cast("double").alias(name) for name in columns]
     long = rows.select(*numeric).unpivot([], list(columns), "feature", "value")
-    counts = long.where(F.col("value").isNotNull()).groupBy("feature", "value").agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    # Written, as two passes read it.
+    counts = materialize(long.where(F.col("value").isNotNull()).select("feature", "value").distinct())
     shares = [place / most for place in range(1, most)]
     # The values of a feature are gathered only up to the bound; the rest goes by quantiles.
     few = F.slice(F.array_sort(F.collect_set("value")), 1, most + 1)

@@ -310,3 +310,114 @@ def test_whole_number_distances_take_one_product_and_stay_exact():
     for odd in (whole + 0.3, whole * 1e6):
         assert not neighbors._whole(odd)
         assert (np.diag(neighbors._distances(odd, odd)) == 0).all()
+
+
+def test_a_boosting_pass_counts_narrow_features_together(monkeypatch):
+    import pyarrow as pa
+
+    from cohortlens.models import boosting
+
+    rng = np.random.default_rng(9)
+    widths = [5, 4, 91, 2, 208, 10, 10, 10, 2, 5, 3]
+    cuts = [np.arange(width - 1) + 0.5 for width in widths]
+    x = np.column_stack([rng.integers(0, width, 70_000) for width in widths]).astype(float)
+    labels, margins = rng.integers(0, 3, 70_000), np.zeros((3, 70_000))
+    codes, layout = boosting._codes(x, cuts), boosting.Layout.of(cuts)
+    assert sorted(sum(layout.lines, [])) == list(range(11)) and len(layout.lines) == 4
+    growing = [boosting.Tree.empty(3) for _ in range(3)]
+    for number, tree in enumerate(growing):
+        tree.feature[1], tree.cut[1] = 2, 20 + number
+    packed = [labels.astype(np.int16).tobytes(), codes.tobytes(), margins.tobytes()]
+    batch = pa.RecordBatch.from_arrays(
+        [*[pa.array([own], pa.binary()) for own in packed], pa.array([3], pa.int32())], names=["a", "b", "c", "bucket"]
+    )
+    calls, count = [], np.bincount
+    monkeypatch.setattr(np, "bincount", lambda *args, **more: calls.append(1) or count(*args, **more))
+    run = boosting._histograms(layout, codes.dtype, 3, [], True, growing, 1)
+    (made,) = run(iter([batch]))
+    # Rows and sums of a line and class: a counter for each feature would take 66.
+    assert len(calls) == 2 * 3 * 4
+    found = boosting._totals([made.column("sums")[0].as_py()], layout, 3, 2)
+    for number in range(3):
+        wanted, right = np.where(labels == number, 1.0, -1.0), x[:, 2] > 20 + number
+        for feature, width in enumerate(widths):
+            for node, rows in enumerate((~right, right)):
+                held = x[rows, feature].astype(int)
+                assert (found[number][feature][0, node] == count(held, minlength=width)).all()
+                assert found[number][feature][1, node] == pytest.approx(count(held, wanted[rows], width))
+
+
+def test_rows_go_down_boosted_trees_as_single_steps_would():
+    from cohortlens.models import boosting
+
+    rng = np.random.default_rng(5)
+    for bins, kind in ((200, np.uint8), (300, np.uint16)):
+        codes = rng.integers(0, bins, (4, 500)).astype(kind)
+        tree = boosting.Tree.empty(3)
+        for node in range(1, 8):
+            # A node that does not split sends all rows left.
+            if node != 3:
+                tree.feature[node], tree.cut[node] = rng.integers(4), rng.integers(bins)
+        for levels in range(4):
+            told = tree.places(codes, levels)
+            for row in range(500):
+                node = 1
+                for _ in range(levels):
+                    node = 2 * node + int(codes[tree.feature[node], row] > tree.cut[node])
+                assert told[row] == node - (1 << levels)
+
+
+def test_distinct_values_are_gathered_once(spark):
+    rows = spark.createDataFrame([(float(n % 7), float(n)) for n in range(60)], "a double, b double")
+    found = together.value_cuts(rows.unionByName(rows).withColumn("c", F.lit(None).cast("double")), ["a", "b", "c"], 10)
+    assert found["a"].tolist() == [0.5, 1.5, 2.5, 3.5, 4.5, 5.5] and len(found["b"]) == 9 and not len(found["c"])
+
+
+def test_draws_by_table_are_those_of_the_law():
+    lots = np.random.default_rng(1).integers(-(2**63), 2**63 - 1, 300_000)
+    mixed = (lots.astype(np.uint64) + np.uint64(12 * 0x9E3779B97F4A7C15 % 2**64)) ^ np.uint64(42)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        mixed = (mixed ^ (mixed >> np.uint64(shift))) * np.uint64(factor)
+    share = ((mixed ^ (mixed >> np.uint64(31))) >> np.uint64(11)) / float(1 << 53)
+    told = forest.draws(lots, 11, 42)
+    assert told.dtype == np.int8 and (told == np.searchsorted(forest._DRAWS, share, "right")).all()
+
+
+def test_a_level_tries_only_as_many_features_as_its_nodes_draw(monkeypatch):
+    rng = np.random.default_rng(4)
+    x, y = rng.integers(0, 40, size=(4_000, 9)).astype(float), rng.integers(0, 3, 4_000).astype(float)
+    calls, levels, by_value, split = [], [], forest._by_value, forest._level_splits
+    monkeypatch.setattr(forest, "_by_value", lambda *args: calls.append(1) or by_value(*args))
+    monkeypatch.setattr(forest, "_level_splits", lambda *args: levels.append(1) or split(*args))
+    forest.grow_subtree(forest.Shape(1, 8, 9, 3, 3, 1), x, y, np.ones(4_000), 8, (0, 1))
+    assert len(levels) == 8 and len(calls) == 3 * 8
+
+
+def test_the_trees_of_a_test_row_meet_as_blocks(spark):
+    rows, _, _ = forest_rows(spark)
+    shape = forest.Shape(6, 30, 4, 0, 4, 7, local_rows=60)
+    upper, _ = forest._grow_upper(rows, shape)
+    made = rows.mapInArrow(forest._packer(shape, upper), forest.PACKED)
+    grown = made.groupBy("tree", "node", "chunk").applyInArrow(forest._grower(shape, upper), forest.GROWN)
+    pieces = grown.where("block >= 0").collect()
+    assert sum(len(row["places"]) // 2 for row in pieces) == 6 * 125 and len(pieces) < 6 * 125
+    # The ids travel with one tree only.
+    assert sorted(n for row in pieces for n in np.frombuffer(row["ids"], np.int64)) == list(range(0, 500, 4))
+
+
+def test_upper_levels_place_values_and_bins_alike():
+    rng = np.random.default_rng(3)
+    cuts = [np.array([0.5, 1.5, 2.5]), np.array([10.0, 20.0])]
+    x = np.array([rng.integers(0, 4, 400), rng.integers(0, 30, 400)]).astype(float)
+    none = np.zeros(1)
+    tree = {1: forest.Split(0, 1.5, none, 1), 3: forest.Split(1, 20.0, none, 1), 2: forest.Split(1, 10.0, none, 0),
+            5: forest.Split(None, 0.0, none), 6: forest.Split(0, 2.5, none, 2)}
+    paths = forest.Paths.of(tree)
+    codes = np.array([np.searchsorted(own, line, "left") for own, line in zip(cuts, x)], np.uint8)
+    told = paths.ends[paths.slots(x)]
+    assert (told == paths.ends[paths.slots(codes, coded=True)]).all()
+    for node, row in zip(told, x.T):
+        at = 1
+        while at in tree and tree[at].feature is not None:
+            at = 2 * at + int(row[tree[at].feature] > tree[at].cut)
+        assert at == node
