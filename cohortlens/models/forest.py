@@ -157,7 +157,7 @@ def _firsts(sorted_keys: np.ndarray) -> np.ndarray:
 
 def _by_value(shape: Shape, key: np.ndarray, cells: int, weight: np.ndarray, target: np.ndarray):
     """Weight and target sums of each key that occurs, keys ascending: by counters where these
-    are few, else by sorting. ``weight`` holds whole numbers."""
+    are few, else by sorting. ``weight`` holds whole numbers; a value comes times its weight."""
     width = shape.width
     if cells * width <= min(8 * len(key), SORTED_AT_ONCE):
         if shape.classes:
@@ -165,7 +165,7 @@ def _by_value(shape: Shape, key: np.ndarray, cells: int, weight: np.ndarray, tar
             held = reduce(np.add, sums.T)
         else:
             held = np.bincount(key, weight, cells)
-            sums = np.bincount(key, weight * target, cells)[:, None]
+            sums = np.bincount(key, target, cells)[:, None]
         found = np.flatnonzero(held)
         return found, held[found], sums[found]
     if shape.classes:
@@ -181,8 +181,16 @@ def _by_value(shape: Shape, key: np.ndarray, cells: int, weight: np.ndarray, tar
         target = packed & ((1 << high) - 1)
         key = packed >> high
     else:
-        order = np.argsort(key, kind="stable")
-        key, weight, target = key[order], weight[order], target[order]
+        # Key and place in one number; places keep the order of the rows in a key.
+        low = (len(key) - 1).bit_length()
+        if cells.bit_length() + low < 63:
+            packed = key << low
+            packed |= np.arange(len(key))
+            packed.sort()
+            order = packed & ((1 << low) - 1)
+        else:
+            order = np.argsort(key, kind="stable")
+        key, weight, target = key.take(order), weight.take(order), target.take(order)
     starts = np.empty(len(key), bool)
     starts[0] = True
     np.not_equal(key[1:], key[:-1], out=starts[1:])
@@ -193,7 +201,7 @@ def _by_value(shape: Shape, key: np.ndarray, cells: int, weight: np.ndarray, tar
         run -= 1
         sums = np.bincount(run * width + target, weight, len(begins) * width).reshape(-1, width)
     else:
-        sums = np.add.reduceat(weight * target, begins)[:, None]
+        sums = np.add.reduceat(target, begins)[:, None]
     return key[begins], held, sums
 
 
@@ -369,7 +377,7 @@ def grow_subtree(
             held = np.flatnonzero(impure[at])
             at, rows, weight, target = at[held], rows[held], weight[held], target[held]
             at = (np.cumsum(impure) - 1).take(at)
-        centred = target if shape.classes else target - mean[impure, 0][at]
+        centred = target if shape.classes else weight * (target - mean[impure, 0][at])
         whole = sums[impure] if shape.classes else np.zeros((int(impure.sum()), 1))
         best = _level_splits(shape, codes, at, rows, weight, centred, totals[impure], whole, generator)
         able = best.feature >= 0

@@ -421,3 +421,23 @@ def test_upper_levels_place_values_and_bins_alike():
         while at in tree and tree[at].feature is not None:
             at = 2 * at + int(row[tree[at].feature] > tree[at].cut)
         assert at == node
+
+
+@pytest.mark.parametrize("classes", [0, 3])
+def test_sorted_keys_sum_up_like_counters(monkeypatch, classes):
+    rng = np.random.default_rng(2)
+    shape, count = forest.Shape(1, 30, 4, classes, 4, 1), 4_000
+    key, weight = rng.integers(0, 900, count), rng.integers(1, 17, count).astype(float)
+    target = rng.integers(0, 3, count) if classes else weight * rng.normal(size=count)
+    # Values come times their weight, so that a level multiplies once for all features.
+    wanted = [(np.bincount(key, weight * (target == own)) if classes else np.bincount(key, target)) for own in range(classes or 1)]
+    for cells in (1 << 16, 900, 1 << 58):
+        with monkeypatch.context() as patch:
+            if cells > 900:
+                patch.setattr(forest, "SORTED_AT_ONCE", 10)
+            if cells > 1 << 50 and classes:
+                continue
+            found, held, sums = forest._by_value(shape, key, cells, weight, target)
+        assert found.tolist() == np.unique(key).tolist()
+        assert held == pytest.approx(np.bincount(key, weight)[found])
+        assert sums == pytest.approx(np.array(wanted).T[found])
